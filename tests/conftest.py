@@ -1,0 +1,44 @@
+import datetime as dt
+import uuid
+
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("retail-lake-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "lake")
+
+
+@pytest.fixture
+def day():
+    return dt.date(2021, 6, 2)
+
+
+@pytest.fixture
+def rows():
+    """Rows of a frame as a sorted list of tuples."""
+    return lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture
+def source_name():
+    return f"daily_{uuid.uuid4().hex}"
