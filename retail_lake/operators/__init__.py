@@ -1,6 +1,6 @@
 from retail_lake.operators.conform import (
     conform,
-    conform_with_reasons,
+    conform_marked,
     schema_differences,
     validate,
 )
@@ -18,7 +18,7 @@ __all__ = [
     "Inserted",
     "clean_stock",
     "conform",
-    "conform_with_reasons",
+    "conform_marked",
     "contract_report",
     "drop_unknown",
     "duplicate_keys",

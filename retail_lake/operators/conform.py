@@ -13,8 +13,9 @@ from retail_lake.contracts import Contract, ContractViolation
 
 log = logging.getLogger(__name__)
 
-#: Column that carries a row's broken rules through a merge; empty when clean.
-REASONS = "_reasons"
+#: Column that carries a row's broken rules through a merge: bit n is rule n of
+#: ``row_rules``. A fixed-width number keeps the merge's aggregate in hash form.
+BROKEN = "_broken"
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
@@ -37,15 +38,14 @@ def row_rules(df: DataFrame, contract: Contract) -> Iterator[tuple[str, str, Col
             yield "too_long", field.name, F.char_length(typed) > contract.lengths[field.name]
 
 
-def conform_with_reasons(df: DataFrame, contract: Contract) -> DataFrame:
-    """``conform`` plus ``REASONS``: broken rules as ``rule:column``, comma separated."""
-    broken = [
-        F.when(condition, F.lit(f"{rule}:{column}"))
-        for rule, column, condition in row_rules(df, contract)
-    ]
+def conform_marked(df: DataFrame, contract: Contract) -> DataFrame:
+    """``conform`` plus ``BROKEN``, 0 for a row that keeps every rule."""
+    marks = F.lit(0).cast("long")
+    for n, (_, _, condition) in enumerate(row_rules(df, contract)):
+        marks = marks + F.when(condition, F.lit(1 << n)).otherwise(F.lit(0))
     return df.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.schema],
-        F.concat_ws(",", *broken).alias(REASONS),
+        marks.alias(BROKEN),
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,16 +42,15 @@ def join_dimension(
     return fact.join(dimension, on=key, how="inner")
 
 
-def absent(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Left anti-join with the batch's own column order."""
-    return batch.join(existing.select(*keys), on=keys, how="left_anti").select(*batch.columns)
-
-
 def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Batch rows whose key is absent from ``existing``; copies and NULL keys stay.
 
-    A NULL key matches nothing, so those rows skip the join: sent through it
-    they would all hash to the same partition.
+    No broadcast is asked for: Spark takes it where file sizes or a finished
+    shuffle show that the keys are few. Otherwise both sides are shuffled once,
+    ``existing`` with its keys only. Rows of one hot key, or all rows with a
+    NULL key, land in one partition of the batch side, which adaptive execution
+    splits over several tasks; the keys of ``existing`` are unique, so that
+    side has no hot partition.
     """
-    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return absent(batch.where(~keyless), existing, keys).unionByName(batch.where(keyless))
+    known = existing.select(*keys)
+    return batch.join(known, on=keys, how="left_anti").select(*batch.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,13 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.contracts import Contract, ContractViolation
-from retail_lake.operators.conform import REASONS, conform, conform_with_reasons
-from retail_lake.operators.joins import absent
-from retail_lake.operators.quality import duplicate_keys, first_per_key
+from retail_lake.operators.conform import BROKEN, conform, conform_marked, row_rules
+from retail_lake.operators.joins import new_rows
+from retail_lake.operators.quality import first_per_key
 from retail_lake.workspace import stage
 
 log = logging.getLogger(__name__)
 
+#: How many batch rows a merged row stands for.
+COPIES = "_copies"
+
 
 @dataclass(frozen=True)
 class Inserted:
@@ -48,65 +52,66 @@ def _key_contract(contract: Contract) -> Contract:
     return Contract(contract.name, type(contract.columns)(fields), contract.key, contract.day)
 
 
-def _check_rows(staged: DataFrame, contract: Contract) -> None:
-    """Refuse rows that broke a rule. Clean files are skipped by their statistics."""
-    broken = (
-        staged.where(F.col(REASONS) != "")
-        .select(F.explode(F.split(REASONS, ",")).alias("reason"))
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("reason")
-        .collect()  # at most one row per rule of the contract
-    )
-    if broken:
-        raise ContractViolation(contract.name, [f"{r.reason}: {r.n} rows" for r in broken])
+def _check_staged(batch, staged: DataFrame, contract: Contract, on_duplicate: str) -> int:
+    """Refuse staged rows that break a rule; otherwise say how many there are."""
+    rules = [f"{rule}:{column}" for rule, column, _ in row_rules(batch, contract)]
+    marks = [F.count_if(F.col(BROKEN).bitwiseAND(1 << n) != 0) for n in range(len(rules))]
+    repeated = F.count_if(F.col(COPIES) > 1)
+    n_new, n_repeated, *broken = staged.agg(F.count(F.lit(1)), repeated, *marks).first()
+    findings = [f"{rule}: {n} rows" for rule, n in zip(rules, broken) if n]
+    if n_repeated and on_duplicate == "error":
+        examples = staged.where(F.col(COPIES) > 1).select(*contract.key).take(3)
+        shown = ", ".join(str(tuple(str(v) for v in e)) for e in examples)
+        findings.append(f"repeated new keys: {n_repeated}, such as {shown}")
+    if findings:
+        raise ContractViolation(contract.name, findings)
+    return n_new
 
 
 def insert_new(
     batch: DataFrame,
     target,
     on_duplicate: str = "error",
-    order_by: list[str] | None = None,
+    order_by: Sequence[str] = (),
     count_existing: bool = False,
 ) -> Inserted:
     """Append the batch rows whose key the target lacks.
 
     Rows already in the target stay as they are, even where the batch has other
-    attributes for them. The order of work makes a failure harmless: NULL keys
-    stop the load before any shuffle; new rows are computed once and staged;
-    broken rules and repeated keys are looked for among the staged rows only;
-    the target is touched last.
-
-    ``on_duplicate="error"`` refuses a key that is new and repeated in the
-    batch; ``"first"`` keeps its least row by ``order_by``.
+    attributes for them. ``on_duplicate="error"`` refuses a key that is new and
+    repeated in the batch; ``"first"`` keeps its least row by ``order_by``.
+
+    The batch is shuffled once, by key: copies of a key collapse into one
+    counted row before they move, and the anti-join uses the same partitioning.
+    Its result is staged, so new rows are computed once. All rules are checked
+    on the staged rows, and the target is touched last: a refused load leaves
+    nothing behind, and a load that died halfway is completed by running it
+    again.
     """
     if on_duplicate not in ("error", "first"):
         raise ValueError(f"on_duplicate: {on_duplicate!r}")
     if on_duplicate == "first" and not order_by:
         raise ValueError("on_duplicate='first' needs order_by")
     spark, contract = batch.sparkSession, target.contract
-    keys = list(contract.key)
+    keys, columns = list(contract.key), contract.schema.names
 
     days = _check_keys(batch, contract)
     n_existing = target.count(spark) if count_existing else None
-    rows = conform_with_reasons(batch, contract)
+    rows = first_per_key(
+        conform_marked(batch, contract),
+        keys,
+        list(order_by),
+        values=[c for c in columns if c not in keys],
+        also=[F.count(F.lit(1)).alias(COPIES), F.bit_or(BROKEN).alias(BROKEN)],
+    )
     existing = target.keys(spark, days)
     if existing is not None:
-        rows = absent(rows, existing, keys)
+        rows = new_rows(rows, existing, keys)
     staged = stage(rows, f"new-{contract.name}")
 
-    _check_rows(staged, contract)
-    repeated = duplicate_keys(staged, keys)
-    if on_duplicate == "first":
-        if not repeated.isEmpty():
-            staged = stage(first_per_key(staged, keys, order_by), f"first-{contract.name}")
-    elif examples := repeated.take(3):
-        shown = ", ".join(str(tuple(r)[:-1]) for r in examples)
-        raise ContractViolation(contract.name, [f"repeated new keys, such as {shown}"])
-
-    staged = staged.drop(REASONS)
-    n_new = staged.count()
+    n_new = _check_staged(batch, staged, contract, on_duplicate)
     log.info("%s: %d new rows, %s before", contract.name, n_new, n_existing)
+    inserted = staged.select(*columns)
     if n_new:
-        target.append(staged, n_new)
-    return Inserted(staged, n_new, n_existing)
+        target.append(inserted, n_new)
+    return Inserted(inserted, n_new, n_existing)

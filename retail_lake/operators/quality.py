@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.contracts import Contract
@@ -30,20 +32,39 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """The least row of each key by ``order_by``, ties settled by the other columns.
-
-    A minimum over a struct is an ordinary aggregate: it combines on the map
-    side, where a window would move a whole hot group into one task.
+def first_per_key(
+    df: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    values: list[str] | None = None,
+    also: Sequence[Column] = (),
+) -> DataFrame:
+    """The least row of each key by ``order_by``, NULLs last, ties settled by the
+    other columns.
+
+    A minimum is an ordinary aggregate: copies of a key collapse on the map
+    side, where a window would move a whole hot group into one task. ``values``
+    limits the columns kept beside the key; ``also`` adds aggregates over all of
+    a key's rows.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    if not set(order_by) <= set(df.columns):
-        raise ValueError(f"unknown order columns in {order_by}")
-    picked = [c for c in order_by if c not in keys] + rest
-    if not picked:
-        return df.select(*keys).distinct()
-    least = df.groupBy(*keys).agg(F.min(F.struct(*picked)).alias("_row"))
-    return least.select(*keys, "_row.*").select(*df.columns)
+    values = [c for c in df.columns if c not in keys] if values is None else values
+    unknown = set(order_by) - {*keys, *values}
+    if unknown:
+        raise ValueError(f"unknown order columns {sorted(unknown)}")
+    grouped = df.groupBy(*keys)
+    if len(values) < 2:
+        # A plain minimum of fixed width stays a hash aggregate.
+        least = [F.min(c).alias(c) for c in values]
+        return grouped.agg(*least, *also) if least or also else df.select(*keys).distinct()
+    first = [c for c in order_by if c in values]
+    ranked = [
+        part
+        for c in [*first, *(c for c in values if c not in first)]
+        for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))
+    ]
+    found = grouped.agg(F.min(F.struct(*ranked)).alias("_row"), *also)
+    row = [F.col("_row")[c].alias(c) for c in values]
+    return found.select(*keys, *row, *found.columns[len(keys) + 1 :])
 
 
 def contract_report(df: DataFrame, contract: Contract) -> DataFrame:

@@ -121,7 +121,7 @@ def transform_stock(
     written = set()
 
     def save(df):
-        written.update(files.write_days(df, silver)["days"])
+        written.update(files.write_days(df, silver, gather=first != last)["days"])
 
     counts = to_silver(
         lambda: files.read_days(spark, bronze, first, last, fmt, schema), save, clean=clean_stock

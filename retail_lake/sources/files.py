@@ -17,9 +17,9 @@ _CSV = {"header": True, "escape": '"'}
 READ_OPTIONS = {"parquet": {}, "json": {}, "csv": {**_CSV, "multiLine": True}}
 WRITE_OPTIONS = {"parquet": {}, "json": {}, "csv": _CSV}
 
-#: A CSV file with line breaks inside values is read by one task, so files of
-#: row formats are kept short enough to be read side by side.
-ROWS_PER_TEXT_FILE = 1_000_000
+#: A CSV file that may hold line breaks inside values is read by one task, so
+#: such files are kept short enough for many tasks to share a table.
+ROWS_PER_CSV_FILE = 1_000_000
 
 
 def _known(fmt: str) -> str:
@@ -35,7 +35,7 @@ def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None):
 
 def _writer(df: DataFrame, fmt: str):
     writer = df.write.format(_known(fmt)).options(**WRITE_OPTIONS[fmt])
-    return writer if fmt == "parquet" else writer.option("maxRecordsPerFile", ROWS_PER_TEXT_FILE)
+    return writer.option("maxRecordsPerFile", ROWS_PER_CSV_FILE) if fmt == "csv" else writer
 
 
 def open_table(

@@ -21,18 +21,37 @@ def _keys(rows: DataFrame | None, contract: Contract, days) -> DataFrame | None:
 
 @dataclass(frozen=True)
 class ParquetTarget:
-    """A Parquet folder, partitioned by the contract's day where it has one."""
+    """A Parquet folder, partitioned by the month of the contract's day if it has one.
+
+    Months keep years of history to a few dozen folders. Inside a month files
+    are ordered by day, so a range of days skips folders by partition and row
+    groups by statistics.
+    """
 
     contract: Contract
     path: str
 
+    @property
+    def _month(self) -> str:
+        return f"{self.contract.day}_month"
+
+    def _files(self, spark: SparkSession) -> DataFrame | None:
+        schema = self.contract.schema
+        if self.contract.day is not None:
+            schema = schema.add(self._month, "string")
+        return read_if_present(spark, self.path, schema)
+
     def read(self, spark: SparkSession) -> DataFrame | None:
-        return read_if_present(spark, self.path, self.contract.schema)
+        rows = self._files(spark)
+        return None if rows is None else rows.select(*self.contract.schema.names)
 
     def keys(
         self, spark: SparkSession, days: tuple[dt.date, dt.date] | None = None
     ) -> DataFrame | None:
-        return _keys(self.read(spark), self.contract, days)
+        rows = self._files(spark)
+        if rows is not None and days is not None:
+            rows = rows.where(F.col(self._month).between(*[d.strftime("%Y-%m") for d in days]))
+        return _keys(rows, self.contract, days)
 
     def count(self, spark: SparkSession) -> int:
         rows = self.read(spark)
@@ -42,9 +61,16 @@ class ParquetTarget:
         day = self.contract.day
         if day is None:
             rows.write.mode("append").parquet(self.path)
-        else:
-            # One or few files per day; a heavy day is split over tasks.
-            rows.hint("rebalance", day).write.mode("append").partitionBy(day).parquet(self.path)
+            return
+        # Few files per month; adaptive execution splits a heavy month over tasks.
+        (
+            rows.withColumn(self._month, F.date_format(day, "yyyy-MM"))
+            .hint("rebalance", self._month)
+            .sortWithinPartitions(self._month, day)
+            .write.mode("append")
+            .partitionBy(self._month)
+            .parquet(self.path)
+        )
 
 
 @dataclass(frozen=True)

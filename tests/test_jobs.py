@@ -1,0 +1,161 @@
+"""Whole daily runs over two days, source to gold."""
+
+import datetime as dt
+
+import pytest
+
+from retail_lake.contracts import GOLD, STOCK_SCHEMA, ContractViolation
+from retail_lake.plans import jobs, run_shop_day, run_stock_days
+from retail_lake.sources import NoData, ParquetTarget, daily_source, read_day, stored_days
+
+FIRST, SECOND = dt.date(2021, 6, 2), dt.date(2021, 6, 3)
+
+
+def shop(spark, second=False):
+    """The shop's tables; on the second day with changes."""
+    order = "product_id int, client_id int, order_date string, store_id int, quantity int"
+    orders = [(1, 1, "2021-06-01", 1, 3), (2, 1, "2021-06-01", 1, 4)]
+    clients = [(1, "ann", 1)]
+    if second:
+        orders += [(1, 2, "2021-06-02", 1, 9)]
+        clients = [(1, "ann, renamed", 1), (2, 'bob "b"\nsecond line', 1)]
+    tables = {
+        "orders": (orders, order),
+        "products": (
+            [(1, "milk", 1, 1), (2, "bun", 2, 1), (3, "odd", 99, 1)],
+            "product_id int, product_name string, aisle_id int, department_id int",
+        ),
+        "departments": ([(1, "food")], "department_id int, department string"),
+        "aisles": ([(1, "dairy"), (2, "bakery")], "aisle_id int, aisle string"),
+        "clients": (clients, "client_id int, fullname string, location_area_id int"),
+        "stores": ([(1, 1, 1)], "store_id int, location_area_id int, store_type_id int"),
+        "store_types": ([(1, "kiosk")], "store_type_id int, type string"),
+        "location_areas": ([(1, "north")], "area_id int, area string"),
+    }
+    return lambda name: spark.createDataFrame(*tables[name])
+
+
+def targets(root, *names):
+    return {n: ParquetTarget(GOLD[n], f"{root}/gold/{n}") for n in names}
+
+
+SHOP_GOLD = ("products", "location_areas", "clients", "stores", "dates", "orders")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet", "json"])
+def test_two_shop_days_and_a_rerun(spark, root, rows, fmt):
+    gold = targets(root, *SHOP_GOLD)
+    done = run_shop_day(spark, shop(spark), root, gold, FIRST, fmt)
+    assert {n: r.n_new for n, r in done.items()} == {
+        "products": 2,
+        "location_areas": 1,
+        "clients": 1,
+        "stores": 1,
+        "dates": 1,
+        "orders": 2,
+    }
+    assert list(done)[-1] == "orders", "facts are loaded last"
+    again = run_shop_day(spark, shop(spark), root, gold, FIRST, fmt)
+    assert not any(r.n_new for r in again.values())
+    later = run_shop_day(spark, shop(spark, second=True), root, gold, SECOND, fmt)
+    assert {n: r.n_new for n, r in later.items() if r.n_new} == {"clients": 1, "dates": 1, "orders": 1}
+    assert rows(gold["clients"].read(spark)) == [(1, "ann", 1), (2, 'bob "b"\nsecond line', 1)]
+    assert rows(gold["dates"].read(spark)) == [
+        (dt.date(2021, 6, 1), 22, 6, 2021, 3),
+        (dt.date(2021, 6, 2), 22, 6, 2021, 4),
+    ]
+    assert rows(gold["products"].read(spark)) == [
+        (1, "milk", "dairy", "food"),
+        (2, "bun", "bakery", "food"),
+    ]
+    assert gold["orders"].read(spark).count() == 3
+    assert stored_days(spark, f"{root}/bronze/orders") == [FIRST, SECOND]
+    assert read_day(spark, f"{root}/silver/orders", FIRST).count() == 2
+
+
+def test_a_bad_table_stops_the_run_before_later_ones(spark, root):
+    tables = shop(spark)
+
+    def extract(name):
+        df = tables(name)
+        return df.union(df.selectExpr("client_id", "'twin'", "2")) if name == "clients" else df
+
+    gold = targets(root, *SHOP_GOLD)
+    with pytest.raises(ContractViolation, match="clients: repeated new keys"):
+        run_shop_day(spark, extract, root, gold, FIRST)
+    assert gold["products"].read(spark).count() == 2
+    assert gold["clients"].read(spark) is None and gold["orders"].read(spark) is None
+
+
+def stock_source(spark, name, documents):
+    """``documents``: rows per day of January 2021."""
+
+    def fetch(day):
+        found = documents.get(day.day)
+        return found and [{"product_id": p, "date": d} for p, d in found]
+
+    spark.dataSource.register(daily_source(name, fetch, STOCK_SCHEMA))
+    return name
+
+
+def test_stock_days(spark, root, rows, source_name):
+    january = lambda n: dt.date(2021, 1, n)
+    gold = targets(root, "dates", "out_of_stock")
+    documents = {
+        3: [(1, "2021-01-03"), (1, "2021-01-03"), (None, "2021-01-03"), (1, "2021-1-3")],
+        4: [(1, "2021-01-04"), (2, "2021-01-04")],
+    }
+    source = stock_source(spark, source_name, documents)
+    one = run_stock_days(spark, source, root, gold, january(3))
+    assert {n: r.n_new for n, r in one.items()} == {"dates": 1, "out_of_stock": 1}
+    more = run_stock_days(spark, source, root, gold, january(3), january(4))
+    assert {n: r.n_new for n, r in more.items()} == {"dates": 1, "out_of_stock": 2}
+    assert rows(gold["out_of_stock"].read(spark)) == [
+        (1, january(3), None),
+        (1, january(4), None),
+        (2, january(4), None),
+    ]
+    assert rows(gold["dates"].read(spark))[0] == (january(3), 53, 1, 2021, 1)
+    assert read_day(spark, f"{root}/silver/stock", january(3)).count() == 2
+    with pytest.raises(NoData, match="2021-01-05"):
+        run_stock_days(spark, source, root, gold, january(5))
+    assert run_stock_days(spark, source, root, gold, january(5), on_empty="skip") == {}
+    skipped = run_stock_days(spark, source, root, gold, january(4), january(6), on_empty="skip")
+    assert not any(r.n_new for r in skipped.values())
+    with pytest.raises(ValueError, match="on_empty"):
+        run_stock_days(spark, source, root, gold, january(3), on_empty="maybe")
+
+
+def test_a_day_that_lost_its_rows_is_emptied(spark, root, source_name):
+    day = dt.date(2021, 1, 3)
+    gold = targets(root, "dates", "out_of_stock")
+    run_stock_days(spark, stock_source(spark, source_name, {3: [(1, "2021-01-03")]}), root, gold, day)
+    later = stock_source(spark, source_name + "_2", {3: [(None, "2021-01-03")]})
+    done = run_stock_days(spark, later, root, gold, day)
+    assert read_day(spark, f"{root}/silver/stock", day).count() == 0
+    assert not any(r.n_new for r in done.values())
+    assert gold["out_of_stock"].count(spark) == 1, "gold is insert-only"
+
+
+def test_days_without_complete_rows_load_nothing(spark, root, source_name):
+    incomplete = {n: [(None, f"2021-01-0{n}"), (None, f"2021-01-0{n}")] for n in (3, 4)}
+    source = stock_source(spark, source_name, incomplete)
+    gold = targets(root, "dates", "out_of_stock")
+    done = run_stock_days(spark, source, root, gold, dt.date(2021, 1, 3), dt.date(2021, 1, 4))
+    assert {n: r.n_new for n, r in done.items()} == {"dates": 0, "out_of_stock": 0}
+    assert gold["dates"].read(spark) is None
+
+
+def test_a_stock_day_with_a_bad_date_is_refused(spark, root, source_name):
+    gold = targets(root, "dates", "out_of_stock")
+    source = stock_source(spark, source_name, {3: [(1, "nope")]})
+    with pytest.raises(ContractViolation, match="NULL or bad key"):
+        run_stock_days(spark, source, root, gold, dt.date(2021, 1, 3))
+    assert gold["dates"].read(spark) is None
+
+
+def test_all_eight_tables_are_extracted(spark, root):
+    asked = []
+    tables = shop(spark)
+    jobs.extract_shop(spark, lambda n: asked.append(n) or tables(n), root, FIRST)
+    assert sorted(asked) == sorted(jobs.SHOP_TABLES) and len(asked) == 8

@@ -1,0 +1,88 @@
+import pytest
+
+from retail_lake.operators import join_dimension, new_rows
+from retail_lake.operators.joins import fits_broadcast, measured_size
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def settings(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def set_all(**options):
+        for name, value in options.items():
+            key = "spark.sql." + name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def dimension(spark):
+    return spark.createDataFrame([(1, "dairy"), (2, "bakery"), (None, "lost")], "id int, name string")
+
+
+@pytest.fixture
+def fact(spark):
+    return spark.createDataFrame([(10, 1), (11, 2), (12, 9), (13, None)], "p int, id int")
+
+
+def test_join_dimension_drops_unmatched_and_null_keys(fact, dimension, rows):
+    joined = join_dimension(fact, dimension, "id").select("p", "name")
+    assert rows(joined) == [(10, "dairy"), (11, "bakery")]
+
+
+def test_measured_size_counts_text(dimension):
+    n_rows, n_bytes = measured_size(dimension)
+    assert n_rows == 3 and n_bytes == 3 * 32 + len("dairybakerylost")
+    assert measured_size(dimension.limit(0)) == (0, 0)
+
+
+def test_only_a_measured_small_dimension_is_broadcast(fact, dimension, rows, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    small = join_dimension(fact, dimension, "id")
+    assert "BroadcastHashJoin" in plan(small)
+    large = join_dimension(fact, dimension, "id", max_bytes=10)
+    assert not fits_broadcast(dimension, 10)
+    assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
+    assert rows(small) == rows(large)
+
+
+def test_new_rows_keeps_copies_and_null_keys(spark, rows):
+    batch = spark.createDataFrame(
+        [("a", 1, 1), ("b", 1, 2), ("c", 1, 2), ("d", None, 1), ("e", 1, None)],
+        "v string, x int, y int",
+    )
+    existing = spark.createDataFrame([(1, 1), (None, 1), (7, 7)], "x int, y int")
+    new = new_rows(batch, existing, ["x", "y"])
+    assert new.columns == ["v", "x", "y"]
+    assert rows(new) == [("b", 1, 2), ("c", 1, 2), ("d", None, 1), ("e", 1, None)]
+
+
+@pytest.mark.parametrize("hot", ["NULL", "5"])
+def test_hot_key_of_an_anti_join_is_split(spark, settings, hot):
+    """A third of the batch under one key, NULL or not, runs as several tasks."""
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        adaptive__advisoryPartitionSizeInBytes="20KB",
+        adaptive__coalescePartitions__enabled="false",
+    )
+    batch = spark.range(0, 60_000, 1, 8).selectExpr(
+        f"CASE WHEN id % 3 = 0 THEN {hot} ELSE id END AS k", "id AS v"
+    )
+    existing = spark.range(0, 30_000, 1, 8).where("id <> 5").withColumnRenamed("id", "k")
+    new = new_rows(batch, existing, ["k"])
+    hot_rows, missing_from_existing = 20_000, 1
+    later = spark.range(30_000, 60_000).where("id % 3 <> 0").count()
+    assert len(new.collect()) == hot_rows + missing_from_existing + later
+    assert "skew=true" in plan(new)

@@ -1,0 +1,50 @@
+import random
+
+import pytest
+
+from retail_lake.operators import clean_stock, drop_unknown, duplicate_keys, first_per_key
+
+
+def test_clean_stock_drops_nulls_and_copies(spark, rows):
+    df = spark.createDataFrame(
+        [(1, "d"), (1, "d"), (None, "d"), (2, None)], "product_id int, date string"
+    )
+    assert rows(clean_stock(df)) == [(1, "d")]
+    assert rows(drop_unknown(df)) == [(1, "d"), (1, "d")]
+
+
+def test_duplicate_keys_counts_rows(spark, rows):
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 3), (None, 3)], "a int, b int")
+    assert rows(duplicate_keys(df, ["a", "b"])) == [(1, 1, 2), (None, 3, 2)]
+
+
+@pytest.mark.parametrize("columns", [1, 2])
+def test_first_per_key_matches_brute_force(spark, rows, columns):
+    rng = random.Random(columns)
+    pick = lambda: rng.choice([None, 0, 1, 2, 3])
+    data = [(rng.randrange(20), pick(), str(pick())) for _ in range(300)]
+    data = [r[: 1 + columns] for r in data]
+    df = spark.createDataFrame(data, "k int, a int, b string" if columns == 2 else "k int, a int")
+    best = {}
+    rank = lambda r: [(v is None, v or 0 if i == 0 else v) for i, v in enumerate(r[1:])]
+    for row in data:
+        if row[0] not in best or rank(row) < rank(best[row[0]]):
+            best[row[0]] = row
+    assert rows(first_per_key(df, ["k"], ["a"])) == sorted(best.values(), key=repr)
+
+
+def test_first_per_key_keeps_column_of_order_and_refuses_unknown(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "k int, a int, b int")
+    assert first_per_key(df, ["k"], ["b"]).columns == ["k", "a", "b"]
+    assert first_per_key(df.select("k"), ["k"], []).columns == ["k"]
+    with pytest.raises(ValueError, match="unknown"):
+        first_per_key(df, ["k"], ["z"])
+
+
+def test_hot_copies_collapse_before_the_shuffle(spark):
+    """A third of all rows in one key leaves each map task as one row."""
+    df = spark.range(0, 90_000, 1, 6).selectExpr("if(id % 3 = 0, -1, id) AS k", "id AS v")
+    for plan in (first_per_key(df, ["k"], ["v"]), clean_stock(df.select("k"))):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        shuffle = text.index("Exchange hashpartitioning")
+        assert "Aggregate(" in text[shuffle:], "no aggregate below the shuffle"
