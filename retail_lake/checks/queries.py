@@ -37,7 +37,7 @@ from retail_lake.sources import (
     write_day,
     write_days,
 )
-from retail_lake.workspace import new_path
+from retail_lake.workspace import new_path, stage
 
 #: History that is already in the warehouse when a merge starts.
 LOADED_UNTIL = dt.date(1998, 1, 1)
@@ -223,7 +223,9 @@ def stock_backfill(spark, sf):
 # --- merges and daily runs -----------------------------------------------
 
 def _two_loads(target, fact):
-    options = MERGE_OPTIONS["orders"]
+    """Load the history, then everything. The joined fact is written once, as the
+    silver table it would come from."""
+    options, fact = MERGE_OPTIONS["orders"], stage(fact, "silver-orders").rows
     insert_new(fact.where(F.col("order_date") < LOADED_UNTIL), target, **options)
     insert_new(fact, target, **options)
     return target.read(fact.sparkSession)

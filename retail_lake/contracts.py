@@ -13,12 +13,17 @@ from pyspark.sql import types as T
 
 
 class ContractViolation(ValueError):
-    """Rows that a target may not take. ``findings`` holds the report rows."""
+    """Rows that a target may not take.
 
-    def __init__(self, table: str, findings: list[str]):
+    ``findings`` says which rules are broken and how often; ``staged``, where
+    set, is the staged table that holds the refused rows.
+    """
+
+    def __init__(self, table: str, findings: list[str], staged=None):
         super().__init__(f"{table}: " + "; ".join(findings))
         self.table = table
         self.findings = findings
+        self.staged = staged
 
 
 @dataclass(frozen=True)

@@ -14,7 +14,7 @@ from retail_lake.contracts import Contract, ContractViolation
 from retail_lake.operators.conform import BROKEN, conform, conform_marked, row_rules
 from retail_lake.operators.joins import new_rows
 from retail_lake.operators.quality import first_per_key
-from retail_lake.workspace import stage
+from retail_lake.workspace import Staged, stage
 
 log = logging.getLogger(__name__)
 
@@ -24,11 +24,16 @@ COPIES = "_copies"
 
 @dataclass(frozen=True)
 class Inserted:
-    """``rows`` were appended; they are read from the staged table, so they stay
-    the same after the target changed. ``n_existing`` is None unless asked for."""
+    """What a merge appended.
+
+    ``rows`` are read from the staged table, so they stay the same after the
+    target changed, until ``staged.discard()``. ``n_existing`` counts the target
+    before the merge and is None unless asked for.
+    """
 
     rows: DataFrame
     n_new: int
+    staged: Staged
     n_existing: int | None = None
 
 
@@ -52,19 +57,21 @@ def _key_contract(contract: Contract) -> Contract:
     return Contract(contract.name, type(contract.columns)(fields), contract.key, contract.day)
 
 
-def _check_staged(batch, staged: DataFrame, contract: Contract, on_duplicate: str) -> int:
+def _check_staged(
+    batch: DataFrame, staged: Staged, contract: Contract, on_duplicate: str
+) -> int:
     """Refuse staged rows that break a rule; otherwise say how many there are."""
     rules = [f"{rule}:{column}" for rule, column, _ in row_rules(batch, contract)]
     marks = [F.count_if(F.col(BROKEN).bitwiseAND(1 << n) != 0) for n in range(len(rules))]
     repeated = F.count_if(F.col(COPIES) > 1)
-    n_new, n_repeated, *broken = staged.agg(F.count(F.lit(1)), repeated, *marks).first()
+    n_new, n_repeated, *broken = staged.rows.agg(F.count(F.lit(1)), repeated, *marks).first()
     findings = [f"{rule}: {n} rows" for rule, n in zip(rules, broken) if n]
     if n_repeated and on_duplicate == "error":
-        examples = staged.where(F.col(COPIES) > 1).select(*contract.key).take(3)
+        examples = staged.rows.where(F.col(COPIES) > 1).select(*contract.key).take(3)
         shown = ", ".join(str(tuple(str(v) for v in e)) for e in examples)
         findings.append(f"repeated new keys: {n_repeated}, such as {shown}")
     if findings:
-        raise ContractViolation(contract.name, findings)
+        raise ContractViolation(contract.name, findings, staged)
     return n_new
 
 
@@ -111,7 +118,7 @@ def insert_new(
 
     n_new = _check_staged(batch, staged, contract, on_duplicate)
     log.info("%s: %d new rows, %s before", contract.name, n_new, n_existing)
-    inserted = staged.select(*columns)
+    inserted = staged.rows.select(*columns)
     if n_new:
         target.append(inserted, n_new)
-    return Inserted(inserted, n_new, n_existing)
+    return Inserted(inserted, n_new, staged, n_existing)

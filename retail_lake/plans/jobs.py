@@ -14,6 +14,7 @@ from retail_lake.operators import shape
 from retail_lake.operators.merge import Inserted, insert_new
 from retail_lake.operators.quality import clean_stock
 from retail_lake.plans.silver import StageCounts, to_silver
+from retail_lake.sizing import fit_shuffle, input_bytes
 from retail_lake.sources import daily, files
 
 SHOP_TABLES = (
@@ -71,7 +72,12 @@ def transform_shop(
 def load_shop(
     spark: SparkSession, root: str, day: dt.date, targets: Mapping, options: MergeOptions = {}
 ) -> dict[str, Inserted]:
-    """The day's silver tables into the six shop gold tables, facts last."""
+    """The day's silver tables into the six shop gold tables.
+
+    The five dimensions do not depend on each other and load side by side; the
+    orders follow once all of them are in.
+    """
+    fit_shuffle(spark, input_bytes(spark, files.day_path(f"{root}/silver/orders", day)))
     silver = {n: files.read_day(spark, f"{root}/silver/{n}", day) for n in SHOP_TABLES}
     shaped = {
         "products": lambda: shape.products(
@@ -83,10 +89,12 @@ def load_shop(
         "dates": lambda: shape.dates(silver["orders"], "order_date"),
         "orders": lambda: shape.orders(silver["orders"]),
     }
-    return {
-        name: insert_new(rows(), targets[name], **options.get(name, {}))
-        for name, rows in shaped.items()
-    }
+
+    def load(name):
+        return insert_new(shaped[name](), targets[name], **options.get(name, {}))
+
+    dimensions = [name for name in shaped if name != "orders"]
+    return {**_side_by_side(spark, load, dimensions), "orders": load("orders")}
 
 
 def run_shop_day(
@@ -118,6 +126,8 @@ def transform_stock(
 ) -> StageCounts:
     """Complete, distinct rows of each day to silver."""
     bronze, silver = f"{root}/bronze/stock", f"{root}/silver/stock"
+    paths = [files.day_path(bronze, day) for day in daily.days_between(first, last)]
+    fit_shuffle(spark, input_bytes(spark, *paths))
     written = set()
 
     def save(df):

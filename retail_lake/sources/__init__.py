@@ -3,6 +3,7 @@ from retail_lake.sources.daily import (
     Unauthorized,
     backfill,
     daily_source,
+    get_days,
     missing_days,
     read_source,
     update_days,
@@ -28,6 +29,7 @@ __all__ = [
     "backfill",
     "clear",
     "daily_source",
+    "get_days",
     "missing_days",
     "open_table",
     "read_day",

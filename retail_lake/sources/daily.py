@@ -21,7 +21,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from retail_lake.operators.joins import new_rows
-from retail_lake.sources.files import DAY, stored_days, write_days
+from retail_lake.sources.files import DAY, read_days, stored_days, write_days
 
 # Workers get this module with the pickled source, installed there or not.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -145,3 +145,20 @@ def backfill(
     # At most the days the caller listed come back.
     missing = [r[0] for r in missing_days(requested, stored).orderBy(F.col(DAY)).collect()]
     return update_days(spark, name, missing, root, fmt) if missing else []
+
+
+def get_days(
+    spark: SparkSession,
+    name: str,
+    days: list[dt.date],
+    root: str,
+    fmt: str = "json",
+    schema: T.StructType | None = None,
+) -> DataFrame | None:
+    """The stored rows of ``days``, fetched and stored first where they are missing;
+    None if neither the store nor the source has any of the days."""
+    backfill(spark, name, days, root, fmt)
+    if not set(days) & set(stored_days(spark, root)):
+        return None
+    rows = read_days(spark, root, min(days), max(days), fmt, schema)
+    return rows.where(F.col(DAY).isin(days))

@@ -39,12 +39,23 @@ def _writer(df: DataFrame, fmt: str):
 
 
 def open_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    line_breaks: bool = True,
 ) -> DataFrame:
-    """Read a file or folder by its extension; CSV columns are strings unless
-    a schema is given, and so costs no inference pass."""
+    """Read a file or folder by its extension.
+
+    CSV columns are strings unless a schema is given. Pass
+    ``line_breaks=False`` for a large CSV file whose values hold none: it is
+    then split over tasks.
+    """
     name = str(path).rstrip("/").rsplit("/", 1)[-1]
-    return _reader(spark, name.rsplit(".", 1)[-1] if "." in name else "", schema).load(str(path))
+    fmt = _known(name.rsplit(".", 1)[-1] if "." in name else "")
+    reader = _reader(spark, fmt, schema)
+    if fmt == "csv":
+        reader = reader.option("multiLine", line_breaks)
+    return reader.load(str(path))
 
 
 def day_path(root: str, day: dt.date) -> str:

@@ -79,7 +79,8 @@ class BucketedTarget:
 
     A merge then moves only the batch: the table's rows already lie in the
     buckets the join needs. Choose ``buckets`` at or above the session's
-    shuffle partitions, so that a bucket of keys fits in a task.
+    shuffle partitions, so that a bucket of keys fits in a task. The catalog
+    must outlive the session.
     """
 
     contract: Contract
@@ -88,7 +89,12 @@ class BucketedTarget:
     buckets: int
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        return spark.table(self.table) if spark.catalog.tableExists(self.table) else None
+        if spark.catalog.tableExists(self.table):
+            return spark.table(self.table)
+        if read_if_present(spark, self.path, self.contract.schema) is not None:
+            # Taking the table for new would insert every row again.
+            raise RuntimeError(f"files at {self.path}, but the catalog lost {self.table}")
+        return None
 
     def keys(
         self, spark: SparkSession, days: tuple[dt.date, dt.date] | None = None

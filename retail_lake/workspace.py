@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,8 +35,26 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return the written rows.
+@dataclass(frozen=True)
+class Staged:
+    """A table written under the working folder."""
+
+    path: str
+    rows: DataFrame
+
+    def discard(self) -> None:
+        """Delete the files. Only a folder that ``new_path`` named can be meant."""
+        spark = self.rows.sparkSession
+        folder, _, name = self.path.rpartition("/")
+        if folder != work_dir(spark) or not re.fullmatch(r"[\w-]+-[0-9a-f]{32}", name):
+            raise ValueError(f"not a staged table: {self.path}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(path, True)
+
+
+def stage(df: DataFrame, label: str) -> Staged:
+    """Write ``df`` once and read the written rows from then on.
 
     Unlike ``persist`` the result survives lost executors, and unlike a lazy
     frame it does not change when a table it was computed from is appended to.
@@ -42,4 +62,4 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Staged(path, spark.read.schema(df.schema).parquet(path))

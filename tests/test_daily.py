@@ -9,6 +9,7 @@ from retail_lake.sources import (
     Unauthorized,
     backfill,
     daily_source,
+    get_days,
     missing_days,
     read_days,
     read_source,
@@ -147,3 +148,14 @@ def test_update_replaces_a_day_and_keeps_one_without_data(spark, api, source_nam
     stored = read_days(spark, root, DAYS[0], DAYS[2], "json", STOCK_SCHEMA)
     found = sorted((r.ds.day, r.product_id or 0) for r in stored.collect())
     assert found == [(1, 7), (2, 7), (3, 0), (3, 3)]
+
+
+def test_get_days_fetches_once(spark, api, root, rows):
+    name, calls = api
+    wanted = [DAYS[0], DAYS[1]]
+    for _ in range(2):
+        found = get_days(spark, name, wanted, root, schema=STOCK_SCHEMA)
+        assert rows(found) == [(1, "2021-01-01", DAYS[0]), (None, "2021-01-01", DAYS[0])]
+    # The day without data is asked for again, as it may have some by now.
+    assert calls() == ["2021-01-01", "2021-01-02", "2021-01-02"]
+    assert get_days(spark, name, [DAYS[1]], root, schema=STOCK_SCHEMA) is None

@@ -46,6 +46,19 @@ def test_an_export_written_elsewhere_is_read(spark, tmp_path, rows):
     ]
 
 
+def test_a_csv_without_line_breaks_is_split(spark, tmp_path):
+    path = tmp_path / "ids.csv"
+    path.write_text("id,text\n" + "".join(f'{n},"a ""quoted"" text"\n' for n in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    try:
+        whole, split = open_table(spark, path), open_table(spark, path, line_breaks=False)
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 1
+        assert split.exceptAll(whole).isEmpty() and split.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_a_one_line_json_array_is_a_row_per_element(spark, tmp_path, rows):
     path = tmp_path / "2021-01-03.json"
     path.write_text(json.dumps([{"product_id": 1, "date": "2021-01-03"}, {"product_id": None, "date": "2021-01-03"}]))

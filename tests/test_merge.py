@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from retail_lake.contracts import CLIENTS, ORDERS, OUT_OF_STOCK, ContractViolation
 from retail_lake.operators import insert_new
 from retail_lake.sources import BucketedTarget, ParquetTarget
-from retail_lake.workspace import stage, work_dir
+from retail_lake.workspace import Staged, stage, work_dir
 
 CLIENT = "client_id bigint, fullname string, location_area_id int"
 ORDER = "product_id bigint, client_id bigint, order_date string, store_id bigint, quantity int"
@@ -169,3 +169,31 @@ def test_key_without_value_columns_and_typed_null(spark, root, rows):
 
 def test_working_folder_is_the_one_the_session_names(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir") + "/retail_lake"
+
+
+def test_refused_rows_can_be_looked_at(spark, clients, rows):
+    batch = spark.createDataFrame([(1, "x" * 64, 1), (2, "fine", 1)], CLIENT)
+    with pytest.raises(ContractViolation) as refused:
+        insert_new(batch, clients)
+    staged = refused.value.staged
+    assert refused.value.findings == ["too_long:fullname: 1 rows"]
+    assert rows(staged.rows.where("_broken <> 0").select("client_id")) == [(1,)]
+
+
+def test_only_a_staged_table_can_be_discarded(spark, clients, root):
+    done = insert_new(spark.createDataFrame([(1, "ann", 5)], CLIENT), clients)
+    done.staged.discard()
+    assert not glob.glob(f"{done.staged.path}*")
+    assert clients.count(spark) == 1
+    with pytest.raises(ValueError, match="not a staged table"):
+        Staged(clients.path, done.rows).discard()
+    with pytest.raises(ValueError, match="not a staged table"):
+        Staged(work_dir(spark), done.rows).discard()
+
+
+def test_a_bucketed_table_lost_by_the_catalog_is_not_taken_for_new(spark, root):
+    batch = spark.createDataFrame([(1, 1, "2021-01-03", 1, 9)], ORDER)
+    insert_new(batch, BucketedTarget(ORDERS, f"a_{uuid.uuid4().hex}", f"{root}/b", 8))
+    lost = BucketedTarget(ORDERS, f"b_{uuid.uuid4().hex}", f"{root}/b", 8)
+    with pytest.raises(RuntimeError, match="catalog lost"):
+        insert_new(batch, lost)
