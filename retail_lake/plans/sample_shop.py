@@ -148,7 +148,7 @@ def register_stock_source(spark: SparkSession, sf_dir: str) -> str:
             & (pads.field("event_type") == "error")
         )
         scan = pads.dataset(path, format="parquet").scanner(
-            columns=["user_id", "value"], filter=wanted
+            columns=["user_id", "value"], filter=wanted, use_threads=False
         )
         text = day.isoformat()
         return (

@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import SparkSession
 
+from retail_lake.storage import total_bytes
+
 #: Input bytes per shuffle partition. Only key and payload columns of the
 #: (compressed) input are shuffled, so a partition stays well within memory.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
@@ -18,15 +20,7 @@ INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Total size of the files under ``paths`` on any Hadoop filesystem."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for name in paths:
-        path = hadoop.Path(name)
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            total += fs.getContentSummary(path).getLength()
-    return total
+    return sum(total_bytes(spark, path) for path in paths)
 
 
 def partitions_for(n_bytes: int) -> int:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retail_lake.storage import exists, matching_names
+
 DAY = "ds"
 
 #: Options to read each supported format. CSV quotes are doubled and values
@@ -126,10 +127,8 @@ def write_days(
 
 def stored_days(spark: SparkSession, root: str) -> list[dt.date]:
     """Days a store holds, from its folder names alone."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{str(root).rstrip('/')}/{DAY}=*")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path) or []
-    return sorted(dt.date.fromisoformat(s.getPath().getName()[len(DAY) + 1 :]) for s in found)
+    names = matching_names(spark, f"{str(root).rstrip('/')}/{DAY}=*")
+    return [dt.date.fromisoformat(name.partition("=")[2]) for name in names]
 
 
 def clear(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "parquet") -> bool:
@@ -153,9 +152,4 @@ def clear(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "parq
 
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """A Parquet table, or None where nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else None

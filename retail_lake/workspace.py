@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retail_lake.storage import delete_folder
+
 
 @functools.lru_cache(maxsize=1)
 def _local_folder() -> str:
@@ -48,9 +50,7 @@ class Staged:
         folder, _, name = self.path.rpartition("/")
         if folder != work_dir(spark) or not re.fullmatch(r"[\w-]+-[0-9a-f]{32}", name):
             raise ValueError(f"not a staged table: {self.path}")
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(path, True)
+        delete_folder(spark, self.path)
 
 
 def stage(df: DataFrame, label: str) -> Staged:
