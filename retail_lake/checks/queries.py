@@ -174,7 +174,7 @@ def csv_roundtrip(spark, sf):
 
 def json_roundtrip(spark, sf):
     path = new_path(spark, "json") + ".json"
-    _stock(spark, sf).write.json(path)
+    _stock(spark, sf).write.options(**files.WRITE_OPTIONS["json"]).json(path)
     return open_table(spark, path).select("product_id", "date")
 
 

@@ -151,6 +151,18 @@ GOLD: dict[str, Contract] = {
     for c in (CLIENTS, LOCATION_AREAS, ORDERS, PRODUCTS, STORES, DATES, OUT_OF_STOCK)
 }
 
+# Columns the gold tables need of each shop source table (fixed values).
+SHOP_COLUMNS: dict[str, list[str]] = {
+    "orders": ["product_id", "client_id", "order_date", "store_id", "quantity"],
+    "products": ["product_id", "product_name", "aisle_id", "department_id"],
+    "departments": ["department_id", "department"],
+    "aisles": ["aisle_id", "aisle"],
+    "clients": ["client_id", "fullname", "location_area_id"],
+    "stores": ["store_id", "location_area_id", "store_type_id"],
+    "store_types": ["store_type_id", "type"],
+    "location_areas": ["area_id", "area"],
+}
+
 #: What a day's out-of-stock document holds.
 STOCK_SCHEMA = T.StructType(
     [T.StructField("product_id", T.LongType()), T.StructField("date", T.StringType())]

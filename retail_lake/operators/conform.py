@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,14 +66,18 @@ def schema_differences(df: DataFrame, expected: T.StructType | Contract) -> list
     )
 
 
-def validate(expected: T.StructType | Contract, strict: bool = False):
-    """A ``df.transform`` hook: rows pass through, differences are logged.
+def validate(expected: T.StructType | Contract | Sequence[str], strict: bool = False):
+    """A ``df.transform`` hook: rows pass through, schema differences are logged.
 
-    With ``strict`` a difference raises instead.
+    Given column names only, it looks for missing ones. With ``strict`` a
+    difference raises instead.
     """
 
     def check(df: DataFrame) -> DataFrame:
-        differences = schema_differences(df, expected)
+        if isinstance(expected, (T.StructType, Contract)):
+            differences = schema_differences(df, expected)
+        else:
+            differences = [f"missing {name}" for name in expected if name not in df.columns]
         log.info("schema %s, differences: %s", df.schema.simpleString(), differences or "none")
         if differences and strict:
             raise ContractViolation(getattr(expected, "name", "schema"), differences)

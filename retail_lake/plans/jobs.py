@@ -9,25 +9,15 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lake.contracts import STOCK_SCHEMA
+from retail_lake.contracts import SHOP_COLUMNS, STOCK_SCHEMA
 from retail_lake.operators import shape
+from retail_lake.operators.conform import validate
 from retail_lake.operators.merge import Inserted, insert_new
 from retail_lake.operators.quality import clean_stock
-from retail_lake.plans.silver import StageCounts, to_silver
+from retail_lake.plans.silver import Hook, StageCounts, as_is, to_silver
 from retail_lake.sizing import fit_shuffle, input_bytes
 from retail_lake.sources import daily, files
 
-SHOP_TABLES = (
-    "orders",
-    "products",
-    "departments",
-    "aisles",
-    "clients",
-    "stores",
-    "store_types",
-    "location_areas",
-)
-
 #: Options of ``insert_new`` per gold table, such as
 #: ``{"orders": {"on_duplicate": "first", "order_by": ["quantity"]}}``.
 MergeOptions = Mapping[str, Mapping[str, object]]
@@ -51,21 +41,28 @@ def extract_shop(
     _side_by_side(
         spark,
         lambda name: files.write_day(extract(name), f"{root}/bronze/{name}", day, fmt),
-        SHOP_TABLES,
+        SHOP_COLUMNS,
     )
 
 
 def transform_shop(
-    spark: SparkSession, root: str, day: dt.date, fmt: str = "parquet"
+    spark: SparkSession,
+    root: str,
+    day: dt.date,
+    fmt: str = "parquet",
+    clean: Mapping[str, Hook] = {},
 ) -> dict[str, StageCounts]:
-    """The day's bronze tables to silver Parquet, rows unchanged."""
+    """The day's bronze tables to silver Parquet. Rows stay as they are, but for
+    tables with a ``clean`` hook."""
     return _side_by_side(
         spark,
         lambda name: to_silver(
             lambda: files.read_day(spark, f"{root}/bronze/{name}", day, fmt),
             lambda df: files.write_day(df, f"{root}/silver/{name}", day),
+            validate=validate(SHOP_COLUMNS[name]),
+            clean=clean.get(name, as_is),
         ),
-        SHOP_TABLES,
+        SHOP_COLUMNS,
     )
 
 
@@ -78,7 +75,7 @@ def load_shop(
     orders follow once all of them are in.
     """
     fit_shuffle(spark, input_bytes(spark, files.day_path(f"{root}/silver/orders", day)))
-    silver = {n: files.read_day(spark, f"{root}/silver/{n}", day) for n in SHOP_TABLES}
+    silver = {n: files.read_day(spark, f"{root}/silver/{n}", day) for n in SHOP_COLUMNS}
     shaped = {
         "products": lambda: shape.products(
             silver["products"], silver["aisles"], silver["departments"]
@@ -105,6 +102,7 @@ def run_shop_day(
     day: dt.date,
     bronze_format: str = "parquet",
     options: MergeOptions = {},
+    clean: Mapping[str, Hook] = {},
 ) -> dict[str, Inserted]:
     """All extracts, then all transforms, then the load. A rerun changes nothing.
 
@@ -112,7 +110,7 @@ def run_shop_day(
     ``lambda t: jdbc.snapshot(spark, url, t, properties, split=...)``.
     """
     extract_shop(spark, extract, root, day, bronze_format)
-    transform_shop(spark, root, day, bronze_format)
+    transform_shop(spark, root, day, bronze_format, clean)
     return load_shop(spark, root, day, targets, options)
 
 
@@ -134,7 +132,10 @@ def transform_stock(
         written.update(files.write_days(df, silver, gather=first != last)["days"])
 
     counts = to_silver(
-        lambda: files.read_days(spark, bronze, first, last, fmt, schema), save, clean=clean_stock
+        lambda: files.read_days(spark, bronze, first, last, fmt, schema),
+        save,
+        validate=validate(schema.names),
+        clean=clean_stock,
     )
     for day in files.stored_days(spark, silver):
         if first <= day <= last and day not in written:

@@ -10,9 +10,11 @@ from retail_lake.sources.daily import (
 )
 from retail_lake.sources.files import (
     clear,
+    dated_name,
     open_table,
     read_day,
     read_days,
+    save_table,
     stored_days,
     write_day,
     write_days,
@@ -29,12 +31,14 @@ __all__ = [
     "backfill",
     "clear",
     "daily_source",
+    "dated_name",
     "get_days",
     "missing_days",
     "open_table",
     "read_day",
     "read_days",
     "read_source",
+    "save_table",
     "snapshot",
     "stored_days",
     "update_days",

@@ -12,11 +12,17 @@ from retail_lake.storage import exists, matching_names
 
 DAY = "ds"
 
-#: Options to read each supported format. CSV quotes are doubled and values
-#: may hold line breaks, as relational exports write them.
-_CSV = {"header": True, "escape": '"'}
+#: Options of each supported format. CSV quotes are doubled and values may hold
+#: line breaks, as relational exports write them; blanks around a text belong to
+#: it. JSON keeps NULL fields, so that a column of NULLs is still a column.
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 READ_OPTIONS = {"parquet": {}, "json": {}, "csv": {**_CSV, "multiLine": True}}
-WRITE_OPTIONS = {"parquet": {}, "json": {}, "csv": _CSV}
+WRITE_OPTIONS = {"parquet": {}, "json": {"ignoreNullFields": False}, "csv": _CSV}
 
 #: A CSV file that may hold line breaks inside values is read by one task, so
 #: such files are kept short enough for many tasks to share a table.
@@ -29,6 +35,10 @@ def _known(fmt: str) -> str:
     return fmt
 
 
+def _extension(path: str) -> str:
+    return _known(str(path).rstrip("/").rsplit("/", 1)[-1].rpartition(".")[2])
+
+
 def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None):
     reader = spark.read.format(_known(fmt)).options(**READ_OPTIONS[fmt])
     return reader if schema is None else reader.schema(schema)
@@ -51,14 +61,27 @@ def open_table(
     ``line_breaks=False`` for a large CSV file whose values hold none: it is
     then split over tasks.
     """
-    name = str(path).rstrip("/").rsplit("/", 1)[-1]
-    fmt = _known(name.rsplit(".", 1)[-1] if "." in name else "")
+    fmt = _extension(path)
     reader = _reader(spark, fmt, schema)
     if fmt == "csv":
         reader = reader.option("multiLine", line_breaks)
     return reader.load(str(path))
 
 
+def save_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write a folder in the format of its extension."""
+    _writer(df, _extension(path)).mode(mode).save(str(path))
+
+
+def dated_name(
+    root: str, extension: str, day: dt.date | None = None, name: str | None = None
+) -> str:
+    """``<root>/<day>/<name>.<extension>``, the layout of earlier lakes, for
+    ``open_table`` and ``save_table``. The day defaults to today, the name to the day."""
+    text = (day or dt.date.today()).isoformat()
+    return f"{str(root).rstrip('/')}/{text}/{name or text}.{extension}"
+
+
 def day_path(root: str, day: dt.date) -> str:
     return f"{str(root).rstrip('/')}/{DAY}={day.isoformat()}"
 

@@ -75,6 +75,9 @@ def test_validate_passes_rows_through_unless_strict(spark, rows):
     assert rows(df.transform(validate(CLIENTS))) == [(1, "a")]
     with pytest.raises(ContractViolation, match="missing location_area_id"):
         df.transform(validate(CLIENTS, strict=True))
+    assert rows(df.transform(validate(["client_id"], strict=True))) == [(1, "a")]
+    with pytest.raises(ContractViolation, match="missing area"):
+        df.transform(validate(["client_id", "area"], strict=True))
 
 
 def test_contract_report(spark, rows):

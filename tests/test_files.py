@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import types as T
@@ -9,9 +10,11 @@ from retail_lake.plans import StageCounts, to_silver
 from retail_lake.operators import clean_stock
 from retail_lake.sources import (
     clear,
+    dated_name,
     open_table,
     read_day,
     read_days,
+    save_table,
     stored_days,
     write_day,
     write_days,
@@ -24,6 +27,8 @@ TEXT = [
     (2, "two\nlines", "a, b"),
     (3, "", None),
     (4, "back\\slash", "tab\there"),
+    (5, "  blanks around \t", "\r\nbreaks\r"),
+    (6, '"', '",\n"'),
 ]
 
 
@@ -35,6 +40,20 @@ def test_csv_keeps_quotes_commas_and_line_breaks(spark, root, day, rows):
     assert rows(back) == [(str(i), a or None, b) for i, a, b in TEXT]
 
 
+def test_csv_keeps_random_text(spark, root, day):
+    rng = random.Random(7)
+    letters = ["a", '"', ",", "\n", "\r\n", "\r", " ", "\\", "\t", "#", "é", "'", ";", "\u2028"]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(8))) for _ in range(2_000)]
+    write_day(spark.createDataFrame(list(enumerate(texts)), "id int, a string"), root, day, "csv")
+    back = {int(r.id): r.a for r in read_day(spark, root, day, "csv").collect()}
+    assert back == {n: text or None for n, text in enumerate(texts)}
+
+
+def test_json_keeps_a_column_of_nulls(spark, root, day, rows):
+    write_day(spark.createDataFrame([(1, None)], "a int, b string"), root, day, "json")
+    assert rows(read_day(spark, root, day, "json")) == [(1, None)]
+
+
 def test_an_export_written_elsewhere_is_read(spark, tmp_path, rows):
     path = tmp_path / "aisles.csv"
     path.write_text('aisle_id,aisle\n1,"say ""hi"""\n2,"two\nlines"\n3,\n4,""\n')
@@ -67,6 +86,16 @@ def test_a_one_line_json_array_is_a_row_per_element(spark, tmp_path, rows):
     assert rows(df) == [("2021-01-03", 1), ("2021-01-03", None)]
 
 
+def test_layout_of_earlier_lakes(spark, root, day, rows):
+    assert dated_name(root, "json", day) == f"{root}/2021-06-02/2021-06-02.json"
+    assert dated_name(root, "csv", name="orders").endswith(f"/{dt.date.today()}/orders.csv")
+    for extension in ("csv", "json", "parquet"):
+        path = dated_name(root, extension, day, "orders")
+        for _ in range(2):
+            save_table(spark.createDataFrame([("1",)], "id string"), path)
+        assert rows(open_table(spark, path)) == [("1",)]
+
+
 @pytest.mark.parametrize("name", ["x.orc", "noextension", "x."])
 def test_other_extensions_are_refused(spark, name):
     with pytest.raises(TypeError, match="csv.*json.*parquet"):

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from retail_lake.contracts import GOLD, STOCK_SCHEMA, ContractViolation
+from retail_lake.contracts import GOLD, SHOP_COLUMNS, STOCK_SCHEMA, ContractViolation
 from retail_lake.plans import jobs, run_shop_day, run_stock_days
 from retail_lake.sources import NoData, ParquetTarget, daily_source, read_day, stored_days
 
@@ -87,6 +87,13 @@ def test_a_bad_table_stops_the_run_before_later_ones(spark, root):
     assert gold["clients"].read(spark) is None and gold["orders"].read(spark) is None
 
 
+def test_a_clean_hook_for_one_table(spark, root):
+    gold = targets(root, *SHOP_GOLD)
+    clean = {"orders": lambda df: df.where("product_id = 1")}
+    done = run_shop_day(spark, shop(spark), root, gold, FIRST, clean=clean)
+    assert done["orders"].n_new == 1 and done["products"].n_new == 2
+
+
 def stock_source(spark, name, documents):
     """``documents``: rows per day of January 2021."""
 
@@ -158,4 +165,4 @@ def test_all_eight_tables_are_extracted(spark, root):
     asked = []
     tables = shop(spark)
     jobs.extract_shop(spark, lambda n: asked.append(n) or tables(n), root, FIRST)
-    assert sorted(asked) == sorted(jobs.SHOP_TABLES) and len(asked) == 8
+    assert sorted(asked) == sorted(SHOP_COLUMNS) and len(asked) == 8
