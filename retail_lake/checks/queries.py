@@ -51,7 +51,9 @@ MERGE_OPTIONS = {"orders": {"on_duplicate": "first", "order_by": ["quantity"]}}
 # --- shaping -------------------------------------------------------------
 
 def products_gold(spark, sf):
-    return shape.products(shop.products(spark, sf), shop.aisles(spark, sf), shop.departments(spark, sf))
+    return shape.products(
+        shop.products(spark, sf), shop.aisles(spark, sf), shop.departments(spark, sf)
+    )
 
 
 def products_positional(spark, sf):
@@ -181,8 +183,9 @@ def json_roundtrip(spark, sf):
 def silver_rerun(spark, sf):
     """The same day saved twice is the day once."""
     root = new_path(spark, "silver")
+    lines = shop.table(spark, sf, "lineitem")
     for _ in range(2):
-        to_silver(lambda: shop.table(spark, sf, "lineitem"), lambda df: write_day(df, root, RUN_DAY))
+        to_silver(lambda: lines, lambda df: write_day(df, root, RUN_DAY))
     return read_day(spark, root, RUN_DAY)
 
 
@@ -239,7 +242,9 @@ def orders_merged(spark, sf):
 def orders_merged_bucketed(spark, sf):
     path = new_path(spark, "gold")
     table = "orders_" + path[-32:]
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = fit_shuffle(
+        spark, input_bytes(spark, f"{sf}/lineitem.parquet", f"{sf}/orders.parquet")
+    )
     target = BucketedTarget(ORDERS, table, path, buckets)
     return _two_loads(target, shop.orders(spark, sf)).select(*ORDERS.schema.names)
 

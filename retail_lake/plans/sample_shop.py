@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from retail_lake.contracts import STOCK_SCHEMA
 from retail_lake.operators.joins import join_dimension
+from retail_lake.sources import files
 from retail_lake.sources.daily import daily_source
+from retail_lake.workspace import new_path
 
 #: Error events below the first value lack their product, above the second
 #: their date, so that the stock documents have something to clean.
@@ -27,7 +29,9 @@ def _department_id():
 
 def aisles(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    return part.select(F.crc32("p_type").alias("aisle_id"), F.col("p_type").alias("aisle")).distinct()
+    return part.select(
+        F.crc32("p_type").alias("aisle_id"), F.col("p_type").alias("aisle")
+    ).distinct()
 
 
 def departments(spark, sf_dir):
@@ -130,35 +134,23 @@ def stock_days(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
 def register_stock_source(spark: SparkSession, sf_dir: str) -> str:
     """Register a daily source over the same events and return its name.
 
-    Its ``fetch`` stands for the remote API: a task asks it for one day and
-    reads that day's rows as they come.
+    The days' documents are laid out once, a folder per day, and ``fetch``
+    stands for the remote API that serves them: a task asks for one day, and
+    that day's rows come as they are read.
     """
-    path, least, most = f"{sf_dir}/events.parquet", LEAST_VALUE, MOST_VALUE
+    documents = new_path(spark, "documents")
+    files.write_days(stock(spark, sf_dir), documents)
 
     def fetch(day):
-        import datetime
-
-        import pyarrow.dataset as pads
-
-        start = datetime.datetime(day.year, day.month, day.day)
-        ts = pads.field("ts")
-        wanted = (
-            (ts >= start)
-            & (ts < start + datetime.timedelta(days=1))
-            & (pads.field("event_type") == "error")
-        )
-        scan = pads.dataset(path, format="parquet").scanner(
-            columns=["user_id", "value"], filter=wanted, use_threads=False
-        )
-        text = day.isoformat()
-        return (
-            {
-                "product_id": row["user_id"] if row["value"] >= least else None,
-                "date": text if row["value"] <= most else None,
-            }
-            for batch in scan.to_batches()
-            for row in batch.to_pylist()
-        )
+        import pyarrow.dataset
+        import pyarrow.fs
+
+        filesystem, folder = pyarrow.fs.FileSystem.from_uri(f"{documents}/ds={day.isoformat()}")
+        if filesystem.get_file_info(folder).type == pyarrow.fs.FileType.NotFound:
+            return None
+        document = pyarrow.dataset.dataset(folder, format="parquet", filesystem=filesystem)
+        batches = document.scanner(columns=["product_id", "date"], use_threads=False).to_batches()
+        return (row for batch in batches for row in batch.to_pylist())
 
     name = f"stock_{uuid.uuid4().hex}"
     spark.dataSource.register(daily_source(name, fetch, STOCK_SCHEMA))

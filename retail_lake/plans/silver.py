@@ -40,18 +40,22 @@ def to_silver(
     clean: Hook = as_is,
 ) -> StageCounts:
     """Run the stages as one Spark job; the counts need no jobs of their own."""
-    counted = F.count(F.lit(1)).alias("n")
-    stages = []
-    for step in (lambda _: read(), validate, clean):
-        seen = Observation()
-        df = step(stages[-1][1] if stages else None).observe(seen, counted)
-        stages.append((seen, df))
-    save(stages[-1][1])
-    counts = StageCounts(*[_rows(seen, df) for seen, df in stages])
+    raw, seen_raw = _counted(read())
+    valid, seen_valid = _counted(validate(raw))
+    cleaned, seen_cleaned = _counted(clean(valid))
+    save(cleaned)
+    counts = StageCounts(
+        _rows(seen_raw, raw), _rows(seen_valid, valid), _rows(seen_cleaned, cleaned)
+    )
     log.info("silver: %s", counts)
     return counts
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
 def _rows(seen: Observation, df: DataFrame) -> int:
     try:
         return seen.get["n"]

@@ -27,17 +27,19 @@ def partitions_for(n_bytes: int) -> int:
     return min(MOST_PARTITIONS, math.ceil(n_bytes / BYTES_PER_PARTITION))
 
 
+def start_shuffles_at(spark: SparkSession, partitions: int) -> None:
+    """Partitions that the session's next shuffles begin with."""
+    spark.conf.set(INITIAL, str(partitions))
+
+
 def fit_shuffle(spark: SparkSession, n_bytes: int) -> int:
-    """Start shuffles with enough partitions for ``n_bytes``.
+    """Start shuffles with enough partitions for ``n_bytes``, and never with fewer
+    than ``spark.sql.shuffle.partitions``.
 
-    Only ever raises the starting number: adaptive execution merges small
-    partitions again but cannot split ordinary large ones.
+    Adaptive execution merges small partitions again, but it cannot make
+    ordinary partitions smaller.
     """
-    current = int(
-        spark.conf.get(INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    )
-    wanted = partitions_for(n_bytes)
-    if wanted > current:
-        spark.conf.set(INITIAL, str(wanted))
-        return wanted
-    return current
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(least, partitions_for(n_bytes))
+    start_shuffles_at(spark, partitions)
+    return partitions

@@ -30,7 +30,13 @@ ROWS_PER_BATCH = 10_000
 
 
 class Unauthorized(Exception):
-    """Raised by ``fetch`` when its token is no longer accepted."""
+    """Raised by ``fetch`` when its token is no longer accepted.
+
+    Told apart by its mark, since a worker may know the class from its own
+    installation as well as from the pickled source.
+    """
+
+    token_refused = True
 
 
 class NoData(RuntimeError):
@@ -55,8 +61,9 @@ def fetch_day(day, fetch, authenticate, renewals):
     for left in range(renewals, -1, -1):
         try:
             return fetch(day) if authenticate is None else fetch(day, authenticate())
-        except Unauthorized:
-            if authenticate is None or left == 0:
+        except Exception as error:
+            refused = getattr(error, "token_refused", False)
+            if not refused or authenticate is None or left == 0:
                 raise
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ def _known(fmt: str) -> str:
 
 
 def _extension(path: str) -> str:
-    return _known(str(path).rstrip("/").rsplit("/", 1)[-1].rpartition(".")[2])
+    return _known(PurePosixPath(str(path)).suffix[1:])
 
 
 def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None):
@@ -127,11 +128,13 @@ def write_days(
 ) -> dict[dt.date, int]:
     """Replace the days present in column ``ds`` and leave every other day alone.
 
-    Returns the days written and their rows. ``gather`` brings a day's rows
-    together first, so that a day is few files; adaptive execution splits a
-    heavy day into several tasks. Leave it off where each task already holds
-    one day.
+    Returns the days written and their rows; a row without a day fails the write.
+    ``gather`` brings a day's rows together first, so that a day is few files;
+    adaptive execution splits a heavy day into several tasks. Leave it off where
+    each task already holds one day.
     """
+    no_day = F.raise_error(F.lit(f"row without {DAY}")).cast("date")
+    df = df.withColumn(DAY, F.coalesce(F.col(DAY), no_day))
     if gather:
         df = df.hint("rebalance", DAY)
     seen = Observation()

@@ -108,7 +108,8 @@ class JdbcTarget:
 
     def count(self, spark: SparkSession) -> int:
         query = f"SELECT COUNT(*) AS n FROM {self.table}"
-        return int(_reader(spark, self.url, self.properties).option("query", query).load().first()[0])
+        found = _reader(spark, self.url, self.properties).option("query", query).load()
+        return int(found.first()[0])
 
     def append(self, rows: DataFrame, n_rows: int) -> None:
         if n_rows <= self.one_transaction_rows:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lake.contracts import Contract
+from retail_lake.sizing import start_shuffles_at
 from retail_lake.sources.files import read_if_present
 
 
@@ -77,10 +78,11 @@ class ParquetTarget:
 class BucketedTarget:
     """A catalog table bucketed by its key.
 
-    A merge then moves only the batch: the table's rows already lie in the
-    buckets the join needs. Choose ``buckets`` at or above the session's
-    shuffle partitions, so that a bucket of keys fits in a task. The catalog
-    must outlive the session.
+    A merge then moves only the batch, straight into as many partitions as there
+    are buckets: the table's rows already lie where the join needs them. Choose
+    ``buckets`` at or above ``spark.sql.shuffle.partitions`` and by the size the
+    table will have, so that a bucket of keys fits in a task (``sizing``). The
+    catalog must outlive the session.
     """
 
     contract: Contract
@@ -99,6 +101,8 @@ class BucketedTarget:
     def keys(
         self, spark: SparkSession, days: tuple[dt.date, dt.date] | None = None
     ) -> DataFrame | None:
+        # Otherwise the batch would be shuffled a second time to match the buckets.
+        start_shuffles_at(spark, self.buckets)
         return _keys(self.read(spark), self.contract, days)
 
     def count(self, spark: SparkSession) -> int:

@@ -99,5 +99,6 @@ def test_contract_report(spark, rows):
 
 
 def test_contract_report_of_clean_rows_is_empty(spark):
-    df = spark.createDataFrame([(1, "a", 2)], "client_id int, fullname string, location_area_id int")
+    columns = "client_id int, fullname string, location_area_id int"
+    df = spark.createDataFrame([(1, "a", 2)], columns)
     assert contract_report(df, CLIENTS).isEmpty()

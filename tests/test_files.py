@@ -80,7 +80,8 @@ def test_a_csv_without_line_breaks_is_split(spark, tmp_path):
 
 def test_a_one_line_json_array_is_a_row_per_element(spark, tmp_path, rows):
     path = tmp_path / "2021-01-03.json"
-    path.write_text(json.dumps([{"product_id": 1, "date": "2021-01-03"}, {"product_id": None, "date": "2021-01-03"}]))
+    document = [{"product_id": n, "date": "2021-01-03"} for n in (1, None)]
+    path.write_text(json.dumps(document))
     df = open_table(spark, path)
     assert df.schema.simpleString() == "struct<date:string,product_id:bigint>"
     assert rows(df) == [("2021-01-03", 1), ("2021-01-03", None)]
@@ -96,7 +97,7 @@ def test_layout_of_earlier_lakes(spark, root, day, rows):
         assert rows(open_table(spark, path)) == [("1",)]
 
 
-@pytest.mark.parametrize("name", ["x.orc", "noextension", "x."])
+@pytest.mark.parametrize("name", ["x.orc", "noextension", "x.", "csv"])
 def test_other_extensions_are_refused(spark, name):
     with pytest.raises(TypeError, match="csv.*json.*parquet"):
         open_table(spark, f"/nowhere.csv/{name}")
@@ -132,6 +133,12 @@ def test_write_days_replaces_the_days_it_holds(spark, root, day, rows):
     assert stored_days(spark, root) == [day, NEXT]
 
 
+def test_a_row_without_a_day_fails_the_write(spark, root, day):
+    with pytest.raises(Exception, match="row without ds"):
+        write_days(spark.createDataFrame([(1, day), (2, None)], "id int, ds date"), root)
+    assert stored_days(spark, root) == []
+
+
 def test_other_days_are_not_read(spark, root, day):
     write_days(spark.createDataFrame([(1, day), (2, NEXT)], "id int, ds date"), root)
     one = read_day(spark, root, day)
@@ -192,7 +199,8 @@ def test_shuffle_sizing(spark, tmp_path):
     assert fit_shuffle(spark, 5) == 8
     try:
         assert fit_shuffle(spark, 2**32) == 16
-        assert fit_shuffle(spark, 5) == 16
+        assert spark.conf.get(INITIAL) == "16"
+        assert fit_shuffle(spark, 5) == 8
     finally:
         spark.conf.unset(INITIAL)
     assert os.path.exists(tmp_path / "x")

@@ -57,12 +57,12 @@ def test_split_table_asks_for_bounds_and_reads_in_parallel():
     jdbc.snapshot(session, URL, "public.orders", PROPERTIES, split="client_id", partitions=4)
     bounds, read = session.loads
     assert bounds["query"] == "SELECT MIN(client_id) AS lo, MAX(client_id) AS hi FROM public.orders"
-    assert {k: read[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
+    assert read.items() >= {
         "partitionColumn": "client_id",
         "lowerBound": "3",
         "upperBound": "900",
         "numPartitions": "4",
-    }
+    }.items()
 
 
 @pytest.mark.parametrize("answer", [(None, None), (5, 5)])

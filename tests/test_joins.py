@@ -26,7 +26,8 @@ def settings(spark):
 
 @pytest.fixture
 def dimension(spark):
-    return spark.createDataFrame([(1, "dairy"), (2, "bakery"), (None, "lost")], "id int, name string")
+    names = [(1, "dairy"), (2, "bakery"), (None, "lost")]
+    return spark.createDataFrame(names, "id int, name string")
 
 
 @pytest.fixture

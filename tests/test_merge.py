@@ -24,7 +24,7 @@ def clients(root):
 def orders(request, root):
     if request.param == "parquet":
         return ParquetTarget(ORDERS, f"{root}/orders")
-    return BucketedTarget(ORDERS, f"orders_{uuid.uuid4().hex}", f"{root}/orders", 8)
+    return BucketedTarget(ORDERS, f"orders_{uuid.uuid4().hex}", f"{root}/orders", 16)
 
 
 def test_only_new_keys_are_inserted_and_the_result_stays(spark, clients, rows):
@@ -35,7 +35,8 @@ def test_only_new_keys_are_inserted_and_the_result_stays(spark, clients, rows):
     assert (second.n_new, second.n_existing) == (1, 1)
     assert rows(second.rows) == [(2, "bob", None)]
     assert rows(clients.read(spark)) == [(1, "ann", 5), (2, "bob", None)]
-    assert clients.read(spark).dtypes == [(f.name, f.dataType.simpleString()) for f in CLIENTS.schema]
+    typed = [(f.name, f.dataType.simpleString()) for f in CLIENTS.schema]
+    assert clients.read(spark).dtypes == typed
     again = insert_new(batch, clients)
     assert again.n_new == 0 and rows(again.rows) == []
     assert rows(first.rows) == [(1, "ann", 5)]
@@ -57,7 +58,8 @@ def test_a_row_that_breaks_a_rule_stops_the_load(spark, clients, rows, bad, find
 
 
 def test_bad_value_in_a_nullable_column_does_not_vanish(spark, clients):
-    batch = spark.createDataFrame([("1", "ann", "here")], "client_id string, fullname string, location_area_id string")
+    columns = "client_id string, fullname string, location_area_id string"
+    batch = spark.createDataFrame([("1", "ann", "here")], columns)
     with pytest.raises(ContractViolation, match="bad_value:location_area_id: 1"):
         insert_new(batch, clients)
     assert clients.read(spark) is None
@@ -99,10 +101,8 @@ def test_random_merges_match_brute_force(spark, orders, rows, seed):
     days = [dt.date(2020, 12, 30) + dt.timedelta(days=n) for n in range(5)]
     gold = {}
     for _ in range(3):
-        data = [
-            (rng.randrange(4), rng.randrange(3), str(rng.choice(days)), rng.randrange(2), rng.randrange(9))
-            for _ in range(40)
-        ]
+        n = rng.randrange
+        data = [(n(4), n(3), str(rng.choice(days)), n(2), n(9)) for _ in range(40)]
         first = {}
         for p, c, d, s, q in data:
             key = (p, c, dt.date.fromisoformat(d), s)
@@ -161,9 +161,8 @@ def test_files_of_a_target(spark, root, monkeypatch):
 
 def test_key_without_value_columns_and_typed_null(spark, root, rows):
     target = ParquetTarget(OUT_OF_STOCK, f"{root}/oos")
-    batch = spark.createDataFrame([(1, "2021-01-03")], "product_id int, order_date string").withColumn(
-        "store_id", F.lit(None).cast("int")
-    )
+    batch = spark.createDataFrame([(1, "2021-01-03")], "product_id int, order_date string")
+    batch = batch.withColumn("store_id", F.lit(None).cast("int"))
     assert rows(insert_new(batch, target).rows) == [(1, dt.date(2021, 1, 3), None)]
 
 

@@ -26,7 +26,7 @@ def test_first_per_key_matches_brute_force(spark, rows, columns):
     data = [r[: 1 + columns] for r in data]
     df = spark.createDataFrame(data, "k int, a int, b string" if columns == 2 else "k int, a int")
     best = {}
-    rank = lambda r: [(v is None, v or 0 if i == 0 else v) for i, v in enumerate(r[1:])]
+    rank = lambda r: [(v is None, v if v is not None else 0) for v in r[1:]]
     for row in data:
         if row[0] not in best or rank(row) < rank(best[row[0]]):
             best[row[0]] = row
