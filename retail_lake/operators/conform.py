@@ -25,15 +25,34 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def _given(name: str) -> str:
+    return f"_given_{name}"
+
+
+def cast_once(df: DataFrame, contract: Contract) -> DataFrame:
+    """``conform`` plus, per column, whether the source gave a value.
+
+    Rules look at these columns, so that a cast runs once however many rules
+    ask about it.
+    """
+    given = [F.col(f.name).isNotNull().alias(_given(f.name)) for f in contract.schema]
+    return df.select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.schema], *given
+    )
+
+
 def row_rules(df: DataFrame, contract: Contract) -> Iterator[tuple[str, str, Column]]:
-    """``(rule, column, condition on the uncast row)`` for every row-level rule."""
+    """``(rule, column, condition on a row of cast_once)`` for every row-level rule.
+
+    ``df`` is the frame before the cast; columns that already have the
+    contract's type cannot hold a bad value.
+    """
     for field in contract.schema:
-        raw = F.col(field.name)
-        typed = raw.try_cast(field.dataType)
+        typed, given = F.col(field.name), F.col(_given(field.name))
         if df.schema[field.name].dataType != field.dataType:
-            yield "bad_value", field.name, raw.isNotNull() & typed.isNull()
+            yield "bad_value", field.name, given & typed.isNull()
         if not field.nullable:
-            yield "null", field.name, raw.isNull()
+            yield "null", field.name, ~given
         if field.name in contract.lengths:
             yield "too_long", field.name, F.char_length(typed) > contract.lengths[field.name]
 
@@ -43,10 +62,7 @@ def conform_marked(df: DataFrame, contract: Contract) -> DataFrame:
     marks = F.lit(0).cast("long")
     for n, (_, _, condition) in enumerate(row_rules(df, contract)):
         marks = marks + F.when(condition, F.lit(1 << n)).otherwise(F.lit(0))
-    return df.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.schema],
-        marks.alias(BROKEN),
-    )
+    return cast_once(df, contract).select(*contract.schema.names, marks.alias(BROKEN))
 
 
 def schema_differences(df: DataFrame, expected: T.StructType | Contract) -> list[str]:

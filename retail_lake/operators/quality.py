@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.contracts import Contract
-from retail_lake.operators.conform import conform, row_rules
+from retail_lake.operators.conform import cast_once, conform, row_rules
 
 
 def drop_unknown(df: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     counts the rows that share their (cast) key with another row.
     """
     rules = list(row_rules(df, contract))
-    counts = df.agg(
+    counts = cast_once(df, contract).agg(
         F.array(
             *[
                 F.struct(

@@ -40,26 +40,32 @@ def to_silver(
     clean: Hook = as_is,
 ) -> StageCounts:
     """Run the stages as one Spark job; the counts need no jobs of their own."""
-    raw, seen_raw = _counted(read())
-    valid, seen_valid = _counted(validate(raw))
-    cleaned, seen_cleaned = _counted(clean(valid))
-    save(cleaned)
-    counts = StageCounts(
-        _rows(seen_raw, raw), _rows(seen_valid, valid), _rows(seen_cleaned, cleaned)
-    )
+    raw = _counted(read())
+    valid = _counted(validate(raw.rows), raw)
+    cleaned = _counted(clean(valid.rows), valid)
+    save(cleaned.rows)
+    counts = StageCounts(raw.count(), valid.count(), cleaned.count())
     log.info("silver: %s", counts)
     return counts
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+@dataclass(frozen=True)
+class _Counted:
+    rows: DataFrame
+    seen: Observation
+
+    def count(self) -> int:
+        try:
+            return self.seen.get["n"]
+        except Py4JJavaError:
+            # Nothing was left to write, and adaptive execution dropped the finished
+            # stages from its plan together with what they observed.
+            return self.rows.count()
+
+
+def _counted(df: DataFrame, before: _Counted | None = None) -> _Counted:
+    """Count ``df``, or reuse the count before it if the stage changed nothing."""
+    if before is not None and df is before.rows:
+        return before
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
-
-
-def _rows(seen: Observation, df: DataFrame) -> int:
-    try:
-        return seen.get["n"]
-    except Py4JJavaError:
-        # Nothing was left to write, and adaptive execution dropped the finished
-        # stages from its plan together with what they observed.
-        return df.count()
+    return _Counted(df.observe(seen, F.count(F.lit(1)).alias("n")), seen)

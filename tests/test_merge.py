@@ -196,3 +196,16 @@ def test_a_bucketed_table_lost_by_the_catalog_is_not_taken_for_new(spark, root):
     lost = BucketedTarget(ORDERS, f"b_{uuid.uuid4().hex}", f"{root}/b", 8)
     with pytest.raises(RuntimeError, match="catalog lost"):
         insert_new(batch, lost)
+
+
+@pytest.mark.parametrize("master", ["local[4]", "yarn"])
+def test_a_cluster_must_name_its_shared_folder(master):
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
+        sparkContext = type("Context", (), {"master": master})
+
+    if master == "yarn":
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            work_dir(Session)
+    else:
+        assert work_dir(Session) == work_dir(Session)
