@@ -4,7 +4,7 @@ from retail_lake.operators.conform import (
     schema_differences,
     validate,
 )
-from retail_lake.operators.joins import join_dimension, new_rows
+from retail_lake.operators.joins import join_dimensions, new_rows
 from retail_lake.operators.merge import Inserted, insert_new
 from retail_lake.operators.quality import (
     clean_stock,
@@ -24,7 +24,7 @@ __all__ = [
     "duplicate_keys",
     "first_per_key",
     "insert_new",
-    "join_dimension",
+    "join_dimensions",
     "new_rows",
     "schema_differences",
     "validate",

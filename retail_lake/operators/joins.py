@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,35 +14,42 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
 
-def measured_size(df: DataFrame) -> tuple[int, int]:
-    """``(rows, bytes)`` of a frame, by one distributed aggregate."""
+def _size(df: DataFrame, position: int) -> DataFrame:
     width = F.lit(0).cast("long")
     for field in df.schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
         width = width + F.lit(16)
-    rows, n_bytes = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows, n_bytes
+    return df.agg(
+        F.lit(position).alias("position"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum(width), F.lit(0)).alias("n_bytes"),
+    )
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    rows, n_bytes = measured_size(df)
-    return rows <= BROADCAST_ROWS and n_bytes <= max_bytes
+def measured_sizes(frames: Sequence[DataFrame]) -> list[tuple[int, int]]:
+    """``(rows, bytes)`` of each frame, all by one distributed job."""
+    sizes = reduce(DataFrame.unionAll, [_size(df, n) for n, df in enumerate(frames)])
+    return [(r.n_rows, r.n_bytes) for r in sorted(sizes.collect())]
 
 
-def join_dimension(
-    fact: DataFrame, dimension: DataFrame, key: str, max_bytes: int = BROADCAST_BYTES
+def join_dimensions(
+    fact: DataFrame, dimensions: Mapping[str, DataFrame], max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Inner join on ``key``; rows without a partner or with a NULL key drop out.
+    """Inner join with each dimension on its key; rows without a partner or with a
+    NULL key drop out.
 
-    The dimension is measured first. Within the bound it is broadcast and the
-    fact side is not shuffled, so a hot key costs nothing. Beyond it the join
-    shuffles both sides, and adaptive execution splits a hot key's fact rows
-    over several tasks (``spark.sql.adaptive.skewJoin``, on by default).
+    The dimensions are measured first. One within the bounds is broadcast and
+    the fact side is not shuffled for it, so a hot key costs nothing. Beyond
+    them the join shuffles both sides, and adaptive execution splits a hot key's
+    fact rows over several tasks (``spark.sql.adaptive.skewJoin``, on by default).
     """
-    if fits_broadcast(dimension, max_bytes):
-        dimension = F.broadcast(dimension)
-    return fact.join(dimension, on=key, how="inner")
+    sizes = measured_sizes(list(dimensions.values()))
+    for (key, dimension), (n_rows, n_bytes) in zip(dimensions.items(), sizes):
+        if n_rows <= BROADCAST_ROWS and n_bytes <= max_bytes:
+            dimension = F.broadcast(dimension)
+        fact = fact.join(dimension, on=key, how="inner")
+    return fact
 
 
 def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

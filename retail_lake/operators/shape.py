@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.functions.calendar import calendar_parts
-from retail_lake.operators.joins import join_dimension
+from retail_lake.operators.joins import join_dimensions
 
 
 def name_aisle_columns(aisles: DataFrame) -> DataFrame:
@@ -15,10 +15,11 @@ def name_aisle_columns(aisles: DataFrame) -> DataFrame:
 
 
 def products(products: DataFrame, aisles: DataFrame, departments: DataFrame) -> DataFrame:
-    named = name_aisle_columns(aisles).select("aisle_id", "aisle")
-    departments = departments.select("department_id", "department")
-    joined = join_dimension(products, named, "aisle_id")
-    return join_dimension(joined, departments, "department_id").select(
+    dimensions = {
+        "aisle_id": name_aisle_columns(aisles).select("aisle_id", "aisle"),
+        "department_id": departments.select("department_id", "department"),
+    }
+    return join_dimensions(products, dimensions).select(
         "product_id", "product_name", "department", "aisle"
     )
 
@@ -33,7 +34,7 @@ def clients(clients: DataFrame) -> DataFrame:
 
 def stores(stores: DataFrame, store_types: DataFrame) -> DataFrame:
     types = store_types.select("store_type_id", F.col("type").alias("store_type"))
-    return join_dimension(stores, types, "store_type_id").select(
+    return join_dimensions(stores, {"store_type_id": types}).select(
         "store_id", "location_area_id", "store_type"
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lake.contracts import STOCK_SCHEMA
-from retail_lake.operators.joins import join_dimension
+from retail_lake.operators.joins import join_dimensions
 from retail_lake.sources import files
 from retail_lake.sources.daily import daily_source
 from retail_lake.workspace import new_path
@@ -73,7 +73,7 @@ def stores(spark, sf_dir):
         F.col("n_nationkey").alias("location_area_id"),
         F.col("n_regionkey").alias("store_type_id"),
     )
-    return join_dimension(suppliers, nations, "location_area_id").select(
+    return join_dimensions(suppliers, {"location_area_id": nations}).select(
         "store_id", "location_area_id", "store_type_id"
     )
 

@@ -1,7 +1,7 @@
 import pytest
 
-from retail_lake.operators import join_dimension, new_rows
-from retail_lake.operators.joins import fits_broadcast, measured_size
+from retail_lake.operators import join_dimensions, new_rows
+from retail_lake.operators.joins import measured_sizes
 
 
 def plan(df):
@@ -35,25 +35,30 @@ def fact(spark):
     return spark.createDataFrame([(10, 1), (11, 2), (12, 9), (13, None)], "p int, id int")
 
 
-def test_join_dimension_drops_unmatched_and_null_keys(fact, dimension, rows):
-    joined = join_dimension(fact, dimension, "id").select("p", "name")
+def test_join_drops_unmatched_and_null_keys(fact, dimension, rows):
+    joined = join_dimensions(fact, {"id": dimension}).select("p", "name")
     assert rows(joined) == [(10, "dairy"), (11, "bakery")]
 
 
-def test_measured_size_counts_text(dimension):
-    n_rows, n_bytes = measured_size(dimension)
-    assert n_rows == 3 and n_bytes == 3 * 32 + len("dairybakerylost")
-    assert measured_size(dimension.limit(0)) == (0, 0)
+def test_measured_sizes_count_text(dimension):
+    text = len("dairybakerylost")
+    assert measured_sizes([dimension, dimension.limit(0), dimension.select("id")]) == [
+        (3, 3 * 32 + text),
+        (0, 0),
+        (3, 3 * 16),
+    ]
 
 
-def test_only_a_measured_small_dimension_is_broadcast(fact, dimension, rows, settings):
+def test_only_measured_small_dimensions_are_broadcast(spark, fact, dimension, rows, settings):
     settings(autoBroadcastJoinThreshold="-1")
-    small = join_dimension(fact, dimension, "id")
+    small = join_dimensions(fact, {"id": dimension})
     assert "BroadcastHashJoin" in plan(small)
-    large = join_dimension(fact, dimension, "id", max_bytes=10)
-    assert not fits_broadcast(dimension, 10)
+    large = join_dimensions(fact, {"id": dimension}, max_bytes=10)
     assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
     assert rows(small) == rows(large)
+    tiny = spark.createDataFrame([(10,), (12,)], "p int")
+    mixed = plan(join_dimensions(fact, {"p": tiny, "id": dimension}, max_bytes=40))
+    assert "BroadcastHashJoin [p" in mixed and "SortMergeJoin [id" in mixed
 
 
 def test_new_rows_keeps_copies_and_null_keys(spark, rows):
