@@ -42,3 +42,19 @@ def rows():
 @pytest.fixture
 def source_name():
     return f"daily_{uuid.uuid4().hex}"
+
+
+@pytest.fixture
+def settings(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def set_all(**options):
+        for name, value in options.items():
+            key = "spark.sql." + name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)

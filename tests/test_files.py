@@ -133,6 +133,18 @@ def test_write_days_replaces_the_days_it_holds(spark, root, day, rows):
     assert stored_days(spark, root) == [day, NEXT]
 
 
+def test_a_heavy_day_is_written_by_several_tasks(spark, root, day, settings):
+    settings(adaptive__advisoryPartitionSizeInBytes="20KB")
+    other = f"date_add(date'{NEXT}', cast(id % 9 as int))"
+    heavy = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id", "id * 7 AS v", f"if(id % 3 = 0, date'{day}', {other}) AS ds"
+    )
+    assert write_days(heavy, root)["n_rows"] == 60_000
+    files = [f for f in os.listdir(f"{root}/ds={day}") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert read_day(spark, root, day).count() == 20_000
+
+
 def test_a_row_without_a_day_fails_the_write(spark, root, day):
     with pytest.raises(Exception, match="row without ds"):
         write_days(spark.createDataFrame([(1, day), (2, None)], "id int, ds date"), root)

@@ -159,6 +159,25 @@ def test_files_of_a_target(spark, root, monkeypatch):
     assert len(glob.glob(f"{root}/b/*.parquet")) <= 8
 
 
+def test_a_heavy_month_is_written_by_several_tasks(spark, root, settings):
+    settings(
+        adaptive__advisoryPartitionSizeInBytes="20KB",
+        adaptive__coalescePartitions__minPartitionSize="1KB",
+    )
+    data = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id AS product_id",
+        "id AS client_id",
+        "if(id % 3 = 0, date'2021-01-01', date_add(date'2021-02-01', cast(id % 28 as int)))"
+        " AS order_date",
+        "1 AS store_id",
+        "1 AS quantity",
+    )
+    target = ParquetTarget(ORDERS, f"{root}/heavy")
+    assert insert_new(data, target).n_new == 60_000
+    assert len(glob.glob(f"{root}/heavy/order_date_month=2021-01/*.parquet")) > 1
+    assert target.read(spark).count() == 60_000
+
+
 def test_key_without_value_columns_and_typed_null(spark, root, rows):
     target = ParquetTarget(OUT_OF_STOCK, f"{root}/oos")
     batch = spark.createDataFrame([(1, "2021-01-03")], "product_id int, order_date string")
