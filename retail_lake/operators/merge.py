@@ -38,7 +38,8 @@ class Inserted:
 
 
 def _check_keys(batch: DataFrame, contract: Contract):
-    """Refuse NULL keys and return the batch's date range.
+    """Refuse NULL keys and return the batch's date range as text, so that it holds
+    years Python's dates do not know.
 
     One narrow pass over the key columns. It comes before the merge's shuffle,
     which would otherwise send all rows with a NULL key to the same task.
@@ -46,7 +47,8 @@ def _check_keys(batch: DataFrame, contract: Contract):
     keys = conform(batch.select(*contract.key), _key_contract(contract))
     keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in contract.key])
     day = F.col(contract.day) if contract.day else F.lit(None).cast("date")
-    n_keyless, first, last = keys.agg(F.count_if(keyless), F.min(day), F.max(day)).first()
+    ends = [F.min(day).cast("string"), F.max(day).cast("string")]
+    n_keyless, first, last = keys.agg(F.count_if(keyless), *ends).first()
     if n_keyless:
         raise ContractViolation(contract.name, [f"NULL or bad key: {n_keyless} rows"])
     return None if first is None else (first, last)

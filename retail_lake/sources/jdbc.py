@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retail_lake.contracts import Contract
 
@@ -84,9 +84,7 @@ class JdbcTarget:
     partitions: int = 32
     one_transaction_rows: int = 100_000
 
-    def keys(
-        self, spark: SparkSession, days: tuple[dt.date, dt.date] | None = None
-    ) -> DataFrame:
+    def keys(self, spark: SparkSession, days: tuple[str, str] | None = None) -> DataFrame:
         contract = self.contract
         if days is None:
             rows = snapshot(
@@ -103,7 +101,8 @@ class JdbcTarget:
                 self.partitions,
                 bounds=days if self.split in (None, contract.day) else None,
             )
-            rows = rows.where(rows[contract.day].between(*days))
+            first, last = (F.lit(d).cast("date") for d in days)
+            rows = rows.where(rows[contract.day].between(first, last))
         return rows.select(*contract.key)
 
     def count(self, spark: SparkSession) -> int:

@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +13,14 @@ from retail_lake.sizing import start_shuffles_at
 from retail_lake.sources.files import read_if_present
 
 
-def _keys(rows: DataFrame | None, contract: Contract, days) -> DataFrame | None:
+#: First and last day of a batch, as Spark writes dates.
+Days = tuple[str, str]
+
+
+def _keys(rows: DataFrame | None, contract: Contract, days: Days | None) -> DataFrame | None:
     if rows is not None and days is not None:
-        rows = rows.where(F.col(contract.day).between(*days))
+        first, last = (F.lit(d).cast("date") for d in days)
+        rows = rows.where(F.col(contract.day).between(first, last))
     return None if rows is None else rows.select(*contract.key)
 
 
@@ -46,12 +50,11 @@ class ParquetTarget:
         rows = self._files(spark)
         return None if rows is None else rows.select(*self.contract.schema.names)
 
-    def keys(
-        self, spark: SparkSession, days: tuple[dt.date, dt.date] | None = None
-    ) -> DataFrame | None:
+    def keys(self, spark: SparkSession, days: Days | None = None) -> DataFrame | None:
         rows = self._files(spark)
-        if rows is not None and days is not None:
-            rows = rows.where(F.col(self._month).between(*[d.strftime("%Y-%m") for d in days]))
+        if rows is not None and days is not None and all(len(d) == 10 for d in days):
+            # Months of years with four digits are ordered like their text.
+            rows = rows.where(F.col(self._month).between(*[d[:7] for d in days]))
         return _keys(rows, self.contract, days)
 
     def count(self, spark: SparkSession) -> int:
@@ -64,8 +67,9 @@ class ParquetTarget:
             rows.write.mode("append").parquet(self.path)
             return
         # Few files per month; adaptive execution splits a heavy month over tasks.
+        text = F.col(day).cast("string")
         (
-            rows.withColumn(self._month, F.date_format(day, "yyyy-MM"))
+            rows.withColumn(self._month, F.left(text, F.length(text) - 3))
             .hint("rebalance", self._month)
             .sortWithinPartitions(self._month, day)
             .write.mode("append")
@@ -98,9 +102,7 @@ class BucketedTarget:
             raise RuntimeError(f"files at {self.path}, but the catalog lost {self.table}")
         return None
 
-    def keys(
-        self, spark: SparkSession, days: tuple[dt.date, dt.date] | None = None
-    ) -> DataFrame | None:
+    def keys(self, spark: SparkSession, days: Days | None = None) -> DataFrame | None:
         # Otherwise the batch would be shuffled a second time to match the buckets.
         start_shuffles_at(spark, self.buckets)
         return _keys(self.read(spark), self.contract, days)

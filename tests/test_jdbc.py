@@ -1,7 +1,5 @@
 """What is asked of a database. No database is started: nothing here connects."""
 
-import datetime as dt
-
 import pytest
 
 from retail_lake.contracts import CLIENTS, ORDERS
@@ -102,7 +100,7 @@ class FakeRows(FakeReader):
 def test_keys_of_the_batch_days_only(spark):
     session = FakeSession()
     session.read = FakeRows(session.loads)
-    days = (dt.date(2021, 1, 1), dt.date(2021, 2, 1))
+    days = ("2021-01-01", "2021-02-01")
     JdbcTarget(ORDERS, URL, "public.orders", PROPERTIES, partitions=6).keys(session, days)
     read, where, select = session.loads
     assert read["partitionColumn"] == "order_date" and read["numPartitions"] == "6"

@@ -159,6 +159,17 @@ def test_files_of_a_target(spark, root, monkeypatch):
     assert len(glob.glob(f"{root}/b/*.parquet")) <= 8
 
 
+def test_months_of_any_century(spark, root, rows):
+    target = ParquetTarget(ORDERS, f"{root}/p")
+    days = ("-0001-02-03", "0999-12-31", "1970-01-01", "9999-12-31", "20210-01-01")
+    data = [(1, 1, day, 1, 1) for day in days]
+    assert insert_new(spark.createDataFrame(data, ORDER), target).n_new == 5
+    assert insert_new(spark.createDataFrame(data, ORDER), target).n_new == 0
+    for row in data:
+        assert insert_new(spark.createDataFrame([row], ORDER), target).n_new == 0
+    assert target.count(spark) == 5
+
+
 def test_a_heavy_month_is_written_by_several_tasks(spark, root, settings):
     settings(
         adaptive__advisoryPartitionSizeInBytes="20KB",
