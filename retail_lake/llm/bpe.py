@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text characters that one block holds; a longer text is a block of its own.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 #: Pre-tokens remembered in a task; past that the memory starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 500_000
 BARRIER, DEAD = -1, -2
 
 
@@ -245,56 +245,61 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
-def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+def _decoded(vocabulary: Vocabulary, lists: pa.ListArray) -> pa.Array:
+    """Bytes of each row's ids: one decode for all rows, cut at the rows' byte offsets."""
+    offsets = lists.offsets.to_numpy()
+    ids = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+    ends = np.concatenate([[0], np.cumsum(vocabulary.lengths[ids])])
+    cuts = ends[offsets - offsets[0]].astype(np.int64)
+    buffers = [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(vocabulary.decode(ids))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), buffers).cast(
+        pa.binary()
+    )
+
+
+def encode(documents: DataFrame, path: str, pattern: str, back: bool = False) -> DataFrame:
     """``doc_id`` and ``ids array<int>`` of every whole text.
 
     ``path`` is a rank file that each executor can open, ``pattern`` splits a text
-    into pre-tokens that are merged separately. No special tokens are known.
+    into pre-tokens that are merged separately. No special tokens are known. With
+    ``back`` the ids are decoded again in the same task, as column ``decoded``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load(path), pattern)
+        vocabulary = load(path)
+        encoder = Encoder(vocabulary, pattern)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for begin, end in _blocks(texts):
                 rows = encoder.encode(texts[begin:end])
-                sizes = np.array([len(r) // 4 for r in rows], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                ends = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(rows), np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), lists], names=["doc_id", "ids"]
-                )
+                lists = pa.ListArray.from_arrays(pa.array(ends), values)
+                columns = {"doc_id": batch.column(0).slice(begin, end - begin), "ids": lists}
+                if back:
+                    columns["decoded"] = _decoded(vocabulary, lists)
+                yield pa.RecordBatch.from_pydict(columns)
 
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return texts.mapInArrow(
+        run, f"doc_id {kind}, ids array<int>" + ", decoded binary" * back
+    )
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """The columns of ``encoded`` and ``decoded``, the bytes of its ``ids``."""
+    """``doc_id``, ``ids`` and ``decoded``, the bytes of the ids; NULL ids give none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load(path)
         for batch in batches:
-            lists = batch.column(1)
-            offsets = lists.offsets.to_numpy()
-            values = lists.values.to_numpy(zero_copy_only=False)
-            # One decode for the batch, cut at the rows' byte offsets.
-            ids = values[offsets[0] : offsets[-1]]
-            ends = np.concatenate([[0], np.cumsum(vocabulary.lengths[ids])])
-            cuts = ends[offsets - offsets[0]].astype(np.int64)
-            decoded = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(),
-                len(lists),
-                [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(vocabulary.decode(ids))],
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lists, decoded.cast(pa.binary())],
-                names=["doc_id", "ids", "decoded"],
+            columns = {"doc_id": batch.column(0), "ids": batch.column(1)}
+            yield pa.RecordBatch.from_pydict(
+                columns | {"decoded": _decoded(vocabulary, batch.column(1))}
             )
 
-    rows = encoded.select("doc_id", "ids")
+    ids = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
+    rows = encoded.select("doc_id", ids)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
 

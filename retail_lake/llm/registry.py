@@ -19,8 +19,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_bpe(spark, sf):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = bpe.encode(documents(spark, sf), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(ids, ranks))
+    return bpe.digests(
+        bpe.encode(documents(spark, sf), ranks, public_tokenizers.PATTERN, back=True)
+    )
 
 
 _QUERIES = [op1_bpe]
