@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lake.llm import bpe, packing, quality
+from retail_lake.llm import bpe, packing, quality, secrets
 from retail_lake.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "registered"]
@@ -24,6 +24,10 @@ def op1_bpe(spark, sf):
     )
 
 
+def op2_secrets(spark, sf):
+    return secrets.digests(secrets.find(documents(spark, sf)))
+
+
 def op5_packing(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.digests(
@@ -35,7 +39,7 @@ def op10_quality(spark, sf):
     return quality.verdicts(quality.assess(documents(spark, sf)))
 
 
-_QUERIES = [op1_bpe, op5_packing, op10_quality]
+_QUERIES = [op1_bpe, op2_secrets, op5_packing, op10_quality]
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
