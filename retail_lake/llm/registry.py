@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lake.llm import bpe, packing, quality, secrets
+from retail_lake.llm import bpe, packing, quality, secrets, toxicity
 from retail_lake.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "registered"]
@@ -28,6 +28,11 @@ def op2_secrets(spark, sf):
     return secrets.digests(secrets.find(documents(spark, sf)))
 
 
+def op3_toxicity(spark, sf):
+    labels = spark.read.parquet(f"{sf.rstrip('/')}/labels.parquet")
+    return toxicity.assess(documents(spark, sf), labels)
+
+
 def op5_packing(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.digests(
@@ -39,7 +44,7 @@ def op10_quality(spark, sf):
     return quality.verdicts(quality.assess(documents(spark, sf)))
 
 
-_QUERIES = [op1_bpe, op2_secrets, op5_packing, op10_quality]
+_QUERIES = [op1_bpe, op2_secrets, op3_toxicity, op5_packing, op10_quality]
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
