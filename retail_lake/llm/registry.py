@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lake.llm import bpe, packing, quality, secrets, toxicity
+from retail_lake.llm import bpe, minhash, packing, quality, secrets, toxicity
 from retail_lake.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "registered"]
@@ -40,11 +40,15 @@ def op5_packing(spark, sf):
     )
 
 
+def op6_minhash(spark, sf):
+    return minhash.cluster(documents(spark, sf))
+
+
 def op10_quality(spark, sf):
     return quality.verdicts(quality.assess(documents(spark, sf)))
 
 
-_QUERIES = [op1_bpe, op2_secrets, op3_toxicity, op5_packing, op10_quality]
+_QUERIES = [op1_bpe, op2_secrets, op3_toxicity, op5_packing, op6_minhash, op10_quality]
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
