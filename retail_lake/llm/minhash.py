@@ -39,8 +39,6 @@ SIMILAR = 75
 BANDS, ROWS = 12, 2
 #: Documents of one bucket that a batch sends on.
 SENT = 4
-#: Buckets of the exchange for each partition.
-BUCKETS = 8
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
@@ -119,7 +117,6 @@ def _candidates(docs: np.ndarray, place: np.ndarray, begin: np.ndarray, least: i
 def candidate_pairs(sets: DataFrame, bands: int = BANDS) -> DataFrame:
     """Distinct pairs ``a < b`` of ``doc_id`` that meet in a table."""
     partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(1, (partitions * BUCKETS - 1).bit_length())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = multipliers(bands * bands, 4)
@@ -129,20 +126,25 @@ def candidate_pairs(sets: DataFrame, bands: int = BANDS) -> DataFrame:
             lines = np.frombuffer(raw, np.uint64).reshape(len(ids), 2 * bands)
             keys = lines[:, :bands, None] * tables[0] + lines[:, None, bands:] * tables[1]
             keys = mix(keys.reshape(len(ids), -1) + tables[None, :]).ravel()
+            # All tables of one band of the first collection go to one partition, so a
+            # pair is found by few of them. A band's hash has its number in it.
+            parts = (lines[:, :bands] % np.uint64(partitions)).astype(np.int32)
+            parts = np.repeat(parts.ravel(), bands)
             docs = np.repeat(ids, bands * bands)
             order, place, begin = _pairs(keys, docs)
-            keys, docs = keys[order], docs[order]
+            docs = docs[order]
             linked = _candidates(docs, place, begin, SENT)
-            sent = place < SENT
-            keys, docs = keys[sent], docs[sent]
-            cuts = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(1 << bits, dtype=np.uint64))
-            cuts = np.append(cuts, len(keys))
+            sent = np.flatnonzero(place < SENT)
+            parts = parts[order[sent]]
+            dealt = np.argsort(parts, kind="stable")
+            sent = sent[dealt]
+            cuts = np.searchsorted(parts[dealt], np.arange(partitions + 1))
             full = np.flatnonzero(np.diff(cuts))
-            key_bytes, doc_bytes = keys.tobytes(), docs.tobytes()
+            key_bytes, doc_bytes = keys[order[sent]].tobytes(), docs[sent].tobytes()
             spans = [(8 * int(cuts[b]), 8 * int(cuts[b + 1])) for b in full]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "bucket": pa.array([*full.tolist(), number % (1 << bits)], pa.int32()),
+                    "part": pa.array([*full.tolist(), number % partitions], pa.int32()),
                     "keys": pa.array([*(key_bytes[s:e] for s, e in spans), b""], pa.binary()),
                     "docs": pa.array([*(doc_bytes[s:e] for s, e in spans), b""], pa.binary()),
                     "pairs": pa.array([b""] * len(spans) + [linked.tobytes()], pa.binary()),
@@ -163,9 +165,10 @@ def candidate_pairs(sets: DataFrame, bands: int = BANDS) -> DataFrame:
         yield pa.RecordBatch.from_pydict({"a": found[:, 0].copy(), "b": found[:, 1].copy()})
 
     sent = sets.select("doc_id", "bands").mapInArrow(
-        send, "bucket int, keys binary, docs binary, pairs binary"
+        send, "part int, keys binary, docs binary, pairs binary"
     )
-    return sent.repartition(partitions, "bucket").mapInArrow(meet, "a long, b long").distinct()
+    met = sent.repartitionById(partitions, F.col("part")).mapInArrow(meet, "a long, b long")
+    return met.distinct()
 
 
 def confirm(pairs: DataFrame, documents: DataFrame, similar: int = SIMILAR) -> DataFrame:
