@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lake.llm import bpe, minhash, packing, quality, secrets, toxicity
+from retail_lake.llm import bpe, minhash, packing, quality, secrets, suffix_dedup, toxicity
 from retail_lake.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "registered"]
@@ -33,6 +33,10 @@ def op3_toxicity(spark, sf):
     return toxicity.assess(documents(spark, sf), labels)
 
 
+def op4_suffixes(spark, sf):
+    return suffix_dedup.digests(suffix_dedup.find_repeats(documents(spark, sf)))
+
+
 def op5_packing(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.digests(
@@ -48,7 +52,7 @@ def op10_quality(spark, sf):
     return quality.verdicts(quality.assess(documents(spark, sf)))
 
 
-_QUERIES = [op1_bpe, op2_secrets, op3_toxicity, op5_packing, op6_minhash, op10_quality]
+_QUERIES = [op1_bpe, op2_secrets, op3_toxicity, op4_suffixes, op5_packing, op6_minhash, op10_quality]
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
