@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lake.llm import bpe, minhash, packing, quality, secrets, suffix_dedup, toxicity
+from retail_lake.llm import (
+    bpe,
+    fingerprint,
+    minhash,
+    packing,
+    quality,
+    secrets,
+    suffix_dedup,
+    toxicity,
+)
 from retail_lake.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "registered"]
@@ -48,11 +57,24 @@ def op6_minhash(spark, sf):
     return minhash.cluster(documents(spark, sf))
 
 
+def op9_fingerprints(spark, sf):
+    return fingerprint.compare(documents(spark, sf))
+
+
 def op10_quality(spark, sf):
     return quality.verdicts(quality.assess(documents(spark, sf)))
 
 
-_QUERIES = [op1_bpe, op2_secrets, op3_toxicity, op4_suffixes, op5_packing, op6_minhash, op10_quality]
+_QUERIES = [
+    op1_bpe,
+    op2_secrets,
+    op3_toxicity,
+    op4_suffixes,
+    op5_packing,
+    op6_minhash,
+    op9_fingerprints,
+    op10_quality,
+]
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
