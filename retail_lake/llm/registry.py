@@ -12,6 +12,7 @@ from retail_lake.llm import (
     fingerprint,
     minhash,
     packing,
+    pages,
     quality,
     secrets,
     suffix_dedup,
@@ -57,6 +58,10 @@ def op6_minhash(spark, sf):
     return minhash.cluster(documents(spark, sf))
 
 
+def op7_pages(spark, sf):
+    return pages.main_text(spark.read.parquet(f"{sf.rstrip('/')}/pages.parquet"))
+
+
 def op9_fingerprints(spark, sf):
     return fingerprint.compare(documents(spark, sf))
 
@@ -72,6 +77,7 @@ _QUERIES = [
     op4_suffixes,
     op5_packing,
     op6_minhash,
+    op7_pages,
     op9_fingerprints,
     op10_quality,
 ]
