@@ -15,6 +15,7 @@ from retail_lake.llm import (
     pages,
     quality,
     secrets,
+    sharding,
     suffix_dedup,
     toxicity,
 )
@@ -62,6 +63,10 @@ def op7_pages(spark, sf):
     return pages.main_text(spark.read.parquet(f"{sf.rstrip('/')}/pages.parquet"))
 
 
+def op8_shards(spark, sf):
+    return sharding.assign(documents(spark, sf))
+
+
 def op9_fingerprints(spark, sf):
     return fingerprint.compare(documents(spark, sf))
 
@@ -78,6 +83,7 @@ _QUERIES = [
     op5_packing,
     op6_minhash,
     op7_pages,
+    op8_shards,
     op9_fingerprints,
     op10_quality,
 ]
