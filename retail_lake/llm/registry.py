@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from retail_lake.llm import (
     bpe,
     fingerprint,
@@ -75,6 +76,10 @@ def op10_quality(spark, sf):
     return quality.verdicts(quality.assess(documents(spark, sf)))
 
 
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
+
+
 _QUERIES = [
     op1_bpe,
     op2_secrets,
@@ -86,6 +91,7 @@ _QUERIES = [
     op8_shards,
     op9_fingerprints,
     op10_quality,
+    pipeline,
 ]
 
 

@@ -386,8 +386,7 @@ def spans_in(text: str, model: Model) -> list[tuple[int, int, int]]:
 
 
 def redact(documents: DataFrame, model: Model, mark: str = "[secret]") -> DataFrame:
-    """The documents with each secret replaced by ``mark``; all columns stay, and a
-    column ``n_chars`` is brought up to date."""
+    """The documents with each secret replaced by ``mark``. All columns stay."""
 
     def clean(text: str) -> str:
         out, at = [], 0
@@ -401,11 +400,7 @@ def redact(documents: DataFrame, model: Model, mark: str = "[secret]") -> DataFr
     def redacted(texts: pd.Series) -> pd.Series:
         return texts.map(clean, na_action="ignore")
 
-    out = documents.withColumn("text", redacted("text"))
-    if "n_chars" in documents.columns:
-        kind = documents.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.length("text").cast(kind))
-    return out.select(*documents.columns)
+    return documents.withColumn("text", redacted("text"))
 
 
 def digests(found: DataFrame) -> DataFrame:

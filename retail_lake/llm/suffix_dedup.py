@@ -239,44 +239,61 @@ def _shared_keys(count: int) -> Callable:
 
 
 def _send_texts(count: int) -> Callable:
+    """Texts with what columns there are behind ``doc_id`` and ``text``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs = batch.column(0).to_numpy()
             texts = batch.column(1).to_pylist()
+            others = batch.select(range(2, batch.num_columns))
             for begin, end in blocks(texts):
                 own = docs[begin:end]
                 order, dealt = _dealt(_part_of(own, count), count)
-                yield _rows(
-                    TEXTS,
-                    [
+                rows = []
+                for p, s, e in dealt:
+                    at = order[s:e] + begin
+                    mine = [texts[i] for i in at]
+                    rows.append(
                         (
                             p,
                             _pack(
-                                own[order[s:e]],
-                                np.array([len(texts[begin + i]) for i in order[s:e]], np.int64),
-                                np.frombuffer(b"".join(texts[begin + i] for i in order[s:e]), np.uint8),
+                                docs[at],
+                                np.array([len(t) for t in mine], np.int64),
+                                np.frombuffer(b"".join(mine), np.uint8),
+                                np.frombuffer(_columns(others.take(pa.array(at))), np.uint8),
                             ),
                         )
-                        for p, s, e in dealt
-                    ],
-                )
+                    )
+                yield _rows(TEXTS, rows)
 
     return run
 
 
-def _texts_of(packed: list[bytes], most: int = 1_000_000) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Documents and texts of compressed blocks, some of these at a time."""
+def _columns(batch: pa.RecordBatch) -> bytes:
+    if not batch.num_columns:
+        return b""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _texts_of(
+    packed: list[bytes], most: int = 1_000_000
+) -> Iterator[tuple[np.ndarray, list[bytes], list[bytes]]]:
+    """Documents, texts and other columns of compressed blocks, some of these at a time."""
     at = 0
     while at < len(packed):
-        docs, texts, held = [], [], 0
+        docs, texts, others, held = [], [], [], 0
         while at < len(packed) and held < most:
-            doc, sizes, raw = _unpack(packed[at], np.int64, np.int64, np.uint8)
+            doc, sizes, raw, columns = _unpack(packed[at], np.int64, np.int64, np.uint8, np.uint8)
             data, ends = raw.tobytes(), np.cumsum(sizes).tolist()
             texts += [data[e - s : e] for s, e in zip(sizes.tolist(), ends, strict=True)]
             docs.append(doc)
+            others.append(columns.tobytes())
             held += len(packed[at])
             at += 1
-        yield np.concatenate(docs), texts
+        yield np.concatenate(docs), texts, others
 
 
 def _ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray, count: int) -> pa.RecordBatch:
@@ -294,7 +311,7 @@ def _send_stretches(count: int) -> Callable:
         wanted = np.sort(mix(keys ^ mix(owner.astype(np.uint64))))
         if not len(wanted):
             return
-        for docs, texts in _texts_of(blocks_.get(TEXTS, [])):
+        for docs, texts, _ in _texts_of(blocks_.get(TEXTS, [])):
             for begin, end in blocks(texts):
                 found = Stretches(texts[begin:end])
                 doc = docs[begin:end][found.text]
@@ -441,37 +458,67 @@ def _repeated_windows(raw, begin, doc, place, stretches, windows):
     return doc[of], place[of] + shift[hit[first]], place[of] + shift[hit[last]] + WINDOW
 
 
-def _cut(count: int) -> Callable:
+def _cut(
+    finish: Callable[[np.ndarray, list[bytes], list[list[tuple[int, int]]], list[bytes]], pa.RecordBatch],
+) -> Callable:
+    """Texts and their ranges meet; ``finish`` makes a batch of documents, texts, maximal
+    runs and other columns."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks_ = _gather(batches)
         doc, begin, end = _joined(blocks_.get(RANGES, []), np.int64, np.int64, np.int64)
         order = np.lexsort((begin, doc))
         doc, begin, end = doc[order], begin[order], end[order]
-        for ids, texts in _texts_of(blocks_.get(TEXTS, [])):
+        for ids, texts, others in _texts_of(blocks_.get(TEXTS, [])):
             low = np.searchsorted(doc, ids).tolist()
             high = np.searchsorted(doc, ids, side="right").tolist()
-            spans, kept = [], []
-            for text, s, e in zip(texts, low, high, strict=True):
-                own = union_of(begin[s:e], end[s:e], len(text))
-                spans.append([{"start": a, "end": b} for a, b in own])
-                edges = [0, *(x for span in own for x in span), len(text)]
-                kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array(
-                        spans,
-                        pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
-                    ),
-                    pa.array(kept, pa.binary()),
-                ],
-                names=["doc_id", "n_bytes", "spans", "kept"],
-            )
+            spans = [
+                union_of(begin[s:e], end[s:e], len(text))
+                for text, s, e in zip(texts, low, high, strict=True)
+            ]
+            yield finish(ids, texts, spans, others)
 
     return run
 
 
+def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    edges = [0, *(x for span in spans for x in span), len(text)]
+    return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def _found(ids, texts, spans, others) -> pa.RecordBatch:
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    runs = [[{"start": a, "end": b} for a, b in own] for own in spans]
+    kept = [_kept(text, own) for text, own in zip(texts, spans, strict=True)]
+    return pa.RecordBatch.from_pydict(
+        {
+            "doc_id": pa.array(ids),
+            "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
+            "spans": pa.array(runs, pa.list_(span)),
+            "kept": pa.array(kept, pa.binary()),
+        }
+    )
+
+
+def _cleaned(place: int) -> Callable:
+    """The other columns with the text left, as whole characters, at its place."""
+
+    def finish(ids, texts, spans, others) -> pa.RecordBatch:
+        tables = [pa.ipc.open_stream(o).read_all() for o in others]
+        columns = pa.concat_tables(tables).combine_chunks()
+        kept = [
+            _kept(text, own).decode("utf-8", "ignore")
+            for text, own in zip(texts, spans, strict=True)
+        ]
+        arrays = [c.combine_chunks() for c in columns.columns]
+        arrays.insert(place, pa.array(kept, pa.string()))
+        names = [*columns.column_names]
+        names.insert(place, "text")
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return finish
+
+
 def union_of(begin: np.ndarray, end: np.ndarray, size: int) -> list[tuple[int, int]]:
     """Maximal runs of ranges that are in order of their begin, within a text."""
     if not len(begin):
@@ -484,23 +531,33 @@ def union_of(begin: np.ndarray, end: np.ndarray, size: int) -> list[tuple[int, i
     return [(a, b) for a, b in found if a < b]
 
 
+def _repeated(known: DataFrame, texts: DataFrame, count: int, finish: Callable, schema) -> DataFrame:
+    """``known`` has ``doc_id`` and ``text`` as bytes; ``texts`` are blocks of the same rows."""
+
+    def dealt(blocks_: DataFrame) -> DataFrame:
+        return blocks_.repartitionById(count, F.col("part"))
+
+    plain = known.select("doc_id", "text").mapInArrow(_send_texts(count), BLOCK)
+    keys = known.select("doc_id", "text").mapInArrow(_send_keys(count), BLOCK)
+    answers = dealt(keys).mapInArrow(_shared_keys(count), BLOCK)
+    stretches = dealt(plain.unionByName(answers)).mapInArrow(_send_stretches(count), BLOCK)
+    ranges = dealt(stretches).mapInArrow(_sorted_stretches(count), BLOCK)
+    return dealt(texts.unionByName(ranges)).mapInArrow(_cut(finish), schema)
+
+
+def _partitions(documents: DataFrame) -> int:
+    return int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def find_repeats(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``spans array<struct<start, end>>`` (maximal removed runs, in
     bytes) and ``kept`` (the remaining bytes) of every document."""
-    count = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = _partitions(documents)
     text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text)
     known = rows.where("doc_id IS NOT NULL")
-
-    def dealt(blocks_: DataFrame) -> DataFrame:
-        return blocks_.repartitionById(count, F.col("part"))
-
-    keys = known.mapInArrow(_send_keys(count), BLOCK)
-    answers = dealt(keys).mapInArrow(_shared_keys(count), BLOCK)
     texts = known.mapInArrow(_send_texts(count), BLOCK)
-    stretches = dealt(texts.unionByName(answers)).mapInArrow(_send_stretches(count), BLOCK)
-    ranges = dealt(stretches).mapInArrow(_sorted_stretches(count), BLOCK)
-    found = dealt(texts.unionByName(ranges)).mapInArrow(_cut(count), FOUND)
+    found = _repeated(known, texts, count, _found, FOUND)
     nameless = rows.where("doc_id IS NULL").select(
         "doc_id",
         F.octet_length("text").cast("long").alias("n_bytes"),
@@ -510,6 +567,26 @@ def find_repeats(documents: DataFrame) -> DataFrame:
     return found.unionByName(nameless)
 
 
+def without_repeats(documents: DataFrame) -> DataFrame:
+    """The documents with repeated bytes cut from ``text``; characters that a cut splits go
+    whole. All columns stay. A NULL text stays NULL."""
+    count = _partitions(documents)
+    columns = documents.columns
+    others = [c for c in columns if c != "text"]
+    whole = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    rows = whole.select(
+        F.col("doc_id").cast("long").alias("_id"),
+        F.col("text").cast("binary").alias("_text"),
+        *others,
+    )
+    known = rows.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"))
+    texts = rows.mapInArrow(_send_texts(count), BLOCK)
+    schema = documents.select(*columns).schema
+    cleaned = _repeated(known, texts, count, _cleaned(columns.index("text")), schema)
+    rest = documents.where("doc_id IS NULL OR text IS NULL")
+    return cleaned.unionByName(rest)
+
+
 def digests(found: DataFrame) -> DataFrame:
     """Bytes, removed bytes and runs of each document, and the digest of what is kept."""
     return found.select(

@@ -326,8 +326,8 @@ def fit(documents: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> M
     return Model(lexicon, fit_curve(x, y, weight / weight.mean()))
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``documents`` and a last one, ``toxicity_score``, from the text alone."""
+def score(text: Column, model: Model) -> Column:
+    """Score of a text, from the text alone."""
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -336,15 +336,16 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
             x = np.array([features(fold(t), matcher) for t in batch]).reshape(-1, 2)
             yield pd.Series(scores(model, x))
 
-    return documents.withColumn("toxicity_score", scored(F.coalesce("text", F.lit(""))))
+    return scored(F.coalesce(text, F.lit("")))
 
 
 def assess(documents: DataFrame, labels: DataFrame, least_score: float = 0.7) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every document."""
-    rows = score(documents.select("doc_id", "text"), fit(documents, labels))
+    model = fit(documents, labels)
+    rows = documents.select("doc_id", score(F.col("text"), model).alias("score"))
     return rows.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        F.col("toxicity_score").alias("score"),
-        (F.col("toxicity_score") >= least_score).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= least_score).cast("int").alias("predicted"),
     )
