@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from retail_lake.workspace import stage
 
 #: Samples of a fingerprint.
-SAMPLES = 16
+SAMPLES = 24
 #: Ranges of ``doc_id`` for each shuffle partition, and the boundaries at which they
 #: are cut by counted shares; within those they are of even width.
 RANGES, BOUNDARIES = 4, 256

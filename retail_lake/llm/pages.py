@@ -293,7 +293,8 @@ def host_votes(pages: DataFrame) -> DataFrame:
                 for host, source in zip(batch["host"], batch["html"], strict=True)
                 for path, share in votes_of(parse(source))
             ]
-            yield pd.DataFrame(found, columns=["host", "path", "votes"])
+            if found:
+                yield pd.DataFrame(found, columns=["host", "path", "votes"])
 
     cast = _with_host(pages).where("host IS NOT NULL").select("host", "html")
     each = cast.mapInPandas(run, "host string, path string, votes double")

@@ -202,18 +202,15 @@ def _term_counts(sample: DataFrame, beginnings: tuple[int, int]) -> DataFrame:
                     continue
                 seen.add(sketch)
                 counts[toxic].update(terms_of(folded, beginnings))
-            terms = list(counts[1])
-            yield pd.DataFrame(
-                {
-                    "term": terms,
-                    "hits": [counts[1][t] for t in terms],
-                    "misses": [counts[0][t] for t in terms],
-                }
-            )
-            harmless = [t for t in counts[0] if t not in counts[1]]
-            yield pd.DataFrame(
-                {"term": harmless, "hits": 0, "misses": [counts[0][t] for t in harmless]}
-            )
+            terms = list(counts[0] | counts[1])
+            if terms:
+                yield pd.DataFrame(
+                    {
+                        "term": terms,
+                        "hits": [counts[1][t] for t in terms],
+                        "misses": [counts[0][t] for t in terms],
+                    }
+                )
 
     counted = sample.where("NOT curve").mapInPandas(run, "term string, hits long, misses long")
     return counted.groupBy("term").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
