@@ -44,7 +44,7 @@ FACT_DATES = f"SELECT order_date, {CALENDAR} FROM (SELECT DISTINCT order_date FR
 RAW_STOCK = f"""SELECT CASE WHEN value >= {LEAST_VALUE} THEN user_id END AS product_id,
     CASE WHEN value <= {MOST_VALUE} THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS date,
     CAST(ts AS DATE) AS ds
-  FROM events WHERE event_type = 'error'"""
+  FROM events"""
 
 CLEAN_STOCK = f"""SELECT DISTINCT product_id, date FROM ({RAW_STOCK})
   WHERE product_id IS NOT NULL AND date IS NOT NULL"""
@@ -121,13 +121,16 @@ ORACLES: dict[str, str] = {
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
       ORDER BY l_shipdate, l_partkey, l_suppkey) AS n FROM lineitem) WHERE n = 1""",
     "stock_contract_report": f"""WITH raw AS ({RAW_STOCK}),
-  repeated AS (SELECT COUNT(*) AS n FROM raw GROUP BY product_id, date HAVING COUNT(*) > 1)
+  repeated AS (SELECT COUNT(*) AS n FROM raw
+    WHERE product_id IS NOT NULL AND date IS NOT NULL
+    GROUP BY product_id, date HAVING COUNT(*) > 1)
   SELECT * FROM (
     SELECT 'null' AS "rule", 'product_id' AS column_name, COUNT(*) AS n_rows
       FROM raw WHERE product_id IS NULL
     UNION ALL SELECT 'null', 'order_date', COUNT(*) FROM raw WHERE date IS NULL
     UNION ALL SELECT 'duplicate_key', 'product_id,order_date', CAST(SUM(n) AS BIGINT)
       FROM repeated) WHERE n_rows > 0""",
+    "lossy_casts": "SELECT event_id, value FROM events WHERE value <> trunc(value)",
     "stage_counts": f"""SELECT (SELECT COUNT(*) FROM ({RAW_STOCK})) AS n_read,
     (SELECT COUNT(*) FROM ({RAW_STOCK})
       WHERE product_id IS NOT NULL AND date IS NOT NULL) AS n_valid,
@@ -142,6 +145,12 @@ ORACLES: dict[str, str] = {
   WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""",
     "stock_source": RAW_STOCK,
     "stock_backfill": RAW_STOCK,
+    "stock_update": f"""WITH raw AS ({RAW_STOCK})
+  SELECT * FROM raw
+    WHERE ds <> (SELECT MIN(ds) FROM raw) AND ds <> DATE '{STORED_UNTIL}'
+  UNION ALL SELECT CAST(1 AS BIGINT), 'replaced', MIN(ds) FROM raw""",
+    "stock_get": RAW_STOCK,
+    "store_cleared": f"SELECT * FROM ({RAW_STOCK}) WHERE ds < DATE '{STORED_UNTIL}'",
     "orders_merged": FACT_FIRST,
     "orders_merged_bucketed": FACT_FIRST,
     "shop_day": SHOP_DAY,

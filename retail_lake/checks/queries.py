@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from retail_lake.contracts import GOLD, ORDERS, STOCK_SCHEMA
+from retail_lake.contracts import GOLD, ORDERS, STOCK_SCHEMA, Contract
 from retail_lake.operators import (
+    bad_rows,
     clean_stock,
     conform,
     contract_report,
@@ -27,13 +30,16 @@ from retail_lake.sources import (
     BucketedTarget,
     ParquetTarget,
     backfill,
+    clear,
     daily,
     files,
+    get_days,
     missing_days,
     open_table,
     read_day,
     read_days,
     read_source,
+    update_days,
     write_day,
     write_days,
 )
@@ -150,6 +156,15 @@ def stock_contract_report(spark, sf):
     return contract_report(raw, GOLD["out_of_stock"])
 
 
+def lossy_casts(spark, sf):
+    """Events whose value is no whole number, under a contract that wants one."""
+    schema = T.StructType(
+        [T.StructField("event_id", T.LongType(), False), T.StructField("value", T.IntegerType())]
+    )
+    events = shop.table(spark, sf, "events").select("event_id", "value")
+    return bad_rows(events, Contract("counts", schema, ("event_id",)))
+
+
 def stage_counts(spark, sf):
     out = new_path(spark, "silver")
     counts = to_silver(
@@ -223,6 +238,42 @@ def stock_backfill(spark, sf):
     return read_days(spark, root, first, last, "json", STOCK_SCHEMA)
 
 
+def _register(spark, fetch):
+    name = f"stock_{uuid.uuid4().hex}"
+    spark.dataSource.register(daily.daily_source(name, fetch, STOCK_SCHEMA))
+    return name
+
+
+def stock_update(spark, sf):
+    """All days are stored, then one is replaced, one has no rows any more, and one is
+    unknown to the source and stays."""
+    root, name = new_path(spark, "store"), shop.register_stock_source(spark, sf)
+    first, last = shop.stock_days(spark, sf)
+    update_days(spark, name, daily.days_between(first, last), root)
+    answers = {first: [{"product_id": 1, "date": "replaced"}], STORED_UNTIL: []}
+    days = sorted({first, STORED_UNTIL, last})
+    update_days(spark, _register(spark, answers.get), days, root)
+    return read_days(spark, root, first, last, "json", STOCK_SCHEMA)
+
+
+def stock_get(spark, sf):
+    """Days that are partly stored already, and fetched where they are not."""
+    root, name = new_path(spark, "store"), shop.register_stock_source(spark, sf)
+    first, last = shop.stock_days(spark, sf)
+    update_days(spark, name, daily.days_between(first, STORED_UNTIL), root)
+    return get_days(spark, name, daily.days_between(first, last), root, schema=STOCK_SCHEMA)
+
+
+def store_cleared(spark, sf):
+    """A full store is cleared and filled again with the first days only."""
+    root = new_path(spark, "store")
+    rows = shop.stock(spark, sf)
+    write_days(rows, root)
+    clear(spark, root, rows.schema)
+    write_days(rows.where(F.col("ds") < STORED_UNTIL), root)
+    return read_days(spark, root, *shop.stock_days(spark, sf))
+
+
 # --- merges and daily runs -----------------------------------------------
 
 def _two_loads(target, fact):
@@ -320,6 +371,7 @@ _QUERIES = {
     key_violations: ["lineitem"],
     first_line: ["lineitem"],
     stock_contract_report: ["events"],
+    lossy_casts: ["events"],
     stage_counts: ["events"],
     csv_roundtrip: ["documents"],
     json_roundtrip: ["events"],
@@ -328,6 +380,9 @@ _QUERIES = {
     missing_dates: ["lineitem", "orders"],
     stock_source: ["events"],
     stock_backfill: ["events"],
+    stock_update: ["events"],
+    stock_get: ["events"],
+    store_cleared: ["events"],
     orders_merged: ["lineitem", "orders"],
     orders_merged_bucketed: ["lineitem", "orders"],
     shop_day: ["lineitem", "orders", "part", "customer", "supplier"],

@@ -1,4 +1,5 @@
 from retail_lake.operators.conform import (
+    bad_rows,
     conform,
     conform_marked,
     schema_differences,
@@ -16,6 +17,7 @@ from retail_lake.operators.quality import (
 
 __all__ = [
     "Inserted",
+    "bad_rows",
     "clean_stock",
     "conform",
     "conform_marked",

@@ -13,16 +13,38 @@ from retail_lake.contracts import Contract, ContractViolation
 
 log = logging.getLogger(__name__)
 
-#: Column that carries a row's broken rules through a merge: bit n is rule n of
-#: ``row_rules``. A fixed-width number keeps the merge's aggregate in hash form.
+#: First column that carries a row's broken rules through a merge: bit n is rule n of
+#: ``row_rules``, and every ``RULES_PER_COLUMN`` rules there is a column more. Numbers
+#: of fixed width keep the merge's aggregate in hash form.
 BROKEN = "_broken"
+RULES_PER_COLUMN = 62
+
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def broken_column(rule: int) -> tuple[str, int]:
+    """The column and the bit of a rule."""
+    number, bit = divmod(rule, RULES_PER_COLUMN)
+    return (f"{BROKEN}_{number}" if number else BROKEN), bit
+
+
+def broken_columns(n_rules: int) -> list[str]:
+    return list(dict.fromkeys(broken_column(n)[0] for n in range(max(1, n_rules))))
+
+
+def exact_cast(df: DataFrame, field: T.StructField) -> Column:
+    """A column in the contract's type, NULL where the cast fails or drops a fraction."""
+    given, source = F.col(field.name), df.schema[field.name].dataType
+    typed = given.try_cast(field.dataType)
+    if isinstance(source, _FRACTIONAL) and isinstance(field.dataType, T.IntegralType):
+        typed = F.when(typed.try_cast(source) == given, typed)
+    return typed.alias(field.name)
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
-    """Contract columns in contract order; a value that cannot be cast is NULL."""
-    return df.select(
-        [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.schema]
-    )
+    """Contract columns in contract order; a value that cannot be cast, or only with
+    loss of its fraction, is NULL."""
+    return df.select([exact_cast(df, f) for f in contract.schema])
 
 
 def _given(name: str) -> str:
@@ -36,9 +58,7 @@ def cast_once(df: DataFrame, contract: Contract) -> DataFrame:
     ask about it.
     """
     given = [F.col(f.name).isNotNull().alias(_given(f.name)) for f in contract.schema]
-    return df.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.schema], *given
-    )
+    return df.select(*[exact_cast(df, f) for f in contract.schema], *given)
 
 
 def row_rules(df: DataFrame, contract: Contract) -> Iterator[tuple[str, str, Column]]:
@@ -58,11 +78,25 @@ def row_rules(df: DataFrame, contract: Contract) -> Iterator[tuple[str, str, Col
 
 
 def conform_marked(df: DataFrame, contract: Contract) -> DataFrame:
-    """``conform`` plus ``BROKEN``, 0 for a row that keeps every rule."""
-    marks = F.lit(0).cast("long")
-    for n, (_, _, condition) in enumerate(row_rules(df, contract)):
-        marks = marks + F.when(condition, F.lit(1 << n)).otherwise(F.lit(0))
-    return cast_once(df, contract).select(*contract.schema.names, marks.alias(BROKEN))
+    """``conform`` plus the columns of ``broken_columns``, all 0 for a row that keeps
+    every rule."""
+    rules = list(row_rules(df, contract))
+    marks = dict.fromkeys(broken_columns(len(rules)), F.lit(0).cast("long"))
+    for n, (_, _, condition) in enumerate(rules):
+        column, bit = broken_column(n)
+        marks[column] = marks[column] + F.when(condition, F.lit(1 << bit)).otherwise(F.lit(0))
+    return cast_once(df, contract).select(
+        *contract.schema.names, *[mark.alias(column) for column, mark in marks.items()]
+    )
+
+
+def bad_rows(df: DataFrame, contract: Contract) -> DataFrame:
+    """The rows, as given, with a value that is no value of the contract's type."""
+    bad = F.lit(False)
+    for field in contract.schema:
+        if df.schema[field.name].dataType != field.dataType:
+            bad = bad | (F.col(field.name).isNotNull() & exact_cast(df, field).isNull())
+    return df.where(bad)
 
 
 def schema_differences(df: DataFrame, expected: T.StructType | Contract) -> list[str]:

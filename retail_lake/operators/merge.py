@@ -11,9 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.contracts import Contract, ContractViolation
-from retail_lake.operators.conform import BROKEN, conform, conform_marked, row_rules
+from retail_lake.operators.conform import (
+    broken_column,
+    broken_columns,
+    conform_marked,
+    exact_cast,
+    row_rules,
+)
 from retail_lake.operators.joins import new_rows
 from retail_lake.operators.quality import first_per_key
+from retail_lake.sizing import shuffles_at
+from retail_lake.sources.targets import Days, month_of
 from retail_lake.workspace import Staged, stage
 
 log = logging.getLogger(__name__)
@@ -31,32 +39,47 @@ class Inserted:
     before the merge and is None unless asked for.
     """
 
-    rows: DataFrame
+    rows: DataFrame | None
     n_new: int
-    staged: Staged
+    staged: Staged | None
     n_existing: int | None = None
 
+    def discard(self) -> Inserted:
+        """The counts alone; the staged table is deleted."""
+        if self.staged is not None:
+            self.staged.discard()
+        return Inserted(None, self.n_new, None, self.n_existing)
+
+
+def key_facts(batch: DataFrame, contract: Contract) -> DataFrame:
+    """For each day that the batch gives, ``n_rows`` and ``n_keyless``, how many of them
+    have a NULL or bad key. One narrow pass; a few rows for each day of the calendar."""
+    typed = [exact_cast(batch, contract.schema[k]) for k in contract.key]
+    keyless = reduce(lambda a, b: a | b, [k.isNull() for k in typed])
+    day = [F.col(contract.day)] if contract.day else []
+    return batch.groupBy(*day).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(keyless).alias("n_keyless")
+    )
+
 
-def _check_keys(batch: DataFrame, contract: Contract):
-    """Refuse NULL keys and return the batch's date range as text, so that it holds
-    years Python's dates do not know.
+def _check_keys(facts: DataFrame, contract: Contract) -> Days | None:
+    """Refuse NULL keys and return the batch's days as text, so that they hold years
+    Python's dates do not know.
 
-    One narrow pass over the key columns. It comes before the merge's shuffle,
-    which would otherwise send all rows with a NULL key to the same task.
+    This comes before the merge's shuffle, which would otherwise send all rows with a
+    NULL key to the same task.
     """
-    keys = conform(batch.select(*contract.key), _key_contract(contract))
-    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in contract.key])
-    day = F.col(contract.day) if contract.day else F.lit(None).cast("date")
-    ends = [F.min(day).cast("string"), F.max(day).cast("string")]
-    n_keyless, first, last = keys.agg(F.count_if(keyless), *ends).first()
+    day = F.col(contract.day).try_cast("date") if contract.day else F.lit(None).cast("date")
+    text = day.cast("string")
+    n_keyless, first, last, months = facts.agg(
+        F.coalesce(F.sum("n_keyless"), F.lit(0)),
+        F.min(day).cast("string"),
+        F.max(day).cast("string"),
+        F.collect_set(month_of(text)),  # as many as the calendar has
+    ).first()
     if n_keyless:
         raise ContractViolation(contract.name, [f"NULL or bad key: {n_keyless} rows"])
-    return None if first is None else (first, last)
-
-
-def _key_contract(contract: Contract) -> Contract:
-    fields = [contract.columns[k] for k in contract.key]
-    return Contract(contract.name, type(contract.columns)(fields), contract.key, contract.day)
+    return None if first is None else Days(first, last, tuple(sorted(months)))
 
 
 def _check_staged(
@@ -64,10 +87,12 @@ def _check_staged(
 ) -> int:
     """Refuse staged rows that break a rule; otherwise say how many there are."""
     rules = [f"{rule}:{column}" for rule, column, _ in row_rules(batch, contract)]
-    marks = [F.count_if(F.col(BROKEN).bitwiseAND(1 << n) != 0) for n in range(len(rules))]
+    places = [broken_column(n) for n in range(len(rules))]
+    marks = [F.count_if(F.col(c).bitwiseAND(1 << bit) != 0) for c, bit in places]
     repeated = F.count_if(F.col(COPIES) > 1)
     n_new, n_repeated, *broken = staged.rows.agg(F.count(F.lit(1)), repeated, *marks).first()
-    findings = [f"{rule}: {n} rows" for rule, n in zip(rules, broken) if n]
+    # A staged row stands for all rows of its key.
+    findings = [f"{rule}: {n} keys" for rule, n in zip(rules, broken) if n]
     if n_repeated and on_duplicate == "error":
         examples = staged.rows.where(F.col(COPIES) > 1).select(*contract.key).take(3)
         shown = ", ".join(str(tuple(str(v) for v in e)) for e in examples)
@@ -83,12 +108,15 @@ def insert_new(
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
     count_existing: bool = False,
+    facts: DataFrame | None = None,
 ) -> Inserted:
     """Append the batch rows whose key the target lacks.
 
     Rows already in the target stay as they are, even where the batch has other
     attributes for them. ``on_duplicate="error"`` refuses a key that is new and
-    repeated in the batch; ``"first"`` keeps its least row by ``order_by``.
+    repeated in the batch; ``"first"`` keeps its least row by ``order_by``, and still
+    refuses a key of which any row breaks a rule. ``facts`` are the ``key_facts`` of the
+    batch, where the caller has them.
 
     The batch is shuffled once, by key: copies of a key collapse into one
     counted row before they move, and the anti-join uses the same partitioning.
@@ -104,19 +132,22 @@ def insert_new(
     spark, contract = batch.sparkSession, target.contract
     keys, columns = list(contract.key), contract.schema.names
 
-    days = _check_keys(batch, contract)
+    days = _check_keys(key_facts(batch, contract) if facts is None else facts, contract)
     n_existing = target.count(spark) if count_existing else None
+    marks = broken_columns(len(list(row_rules(batch, contract))))
     rows = first_per_key(
         conform_marked(batch, contract),
         keys,
         list(order_by),
         values=[c for c in columns if c not in keys],
-        also=[F.count(F.lit(1)).alias(COPIES), F.bit_or(BROKEN).alias(BROKEN)],
+        also=[F.count(F.lit(1)).alias(COPIES), *[F.bit_or(c).alias(c) for c in marks]],
     )
     existing = target.keys(spark, days)
     if existing is not None:
         rows = new_rows(rows, existing, keys)
-    staged = stage(rows, f"new-{contract.name}")
+    # A bucketed target's rows stay where they are if the batch meets them in as many parts.
+    with shuffles_at(spark, getattr(target, "buckets", None)):
+        staged = stage(rows, f"new-{contract.name}")
 
     n_new = _check_staged(batch, staged, contract, on_duplicate)
     log.info("%s: %d new rows, %s before", contract.name, n_new, n_existing)

@@ -71,7 +71,7 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     """``rule, column_name, n_rows`` for every broken rule of the contract.
 
     Row rules are counted in one pass whatever their number. ``duplicate_key``
-    counts the rows that share their (cast) key with another row.
+    counts the rows that share their whole (cast) key with another row.
     """
     rules = list(row_rules(df, contract))
     counts = cast_once(df, contract).agg(
@@ -87,7 +87,9 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
         ).alias("findings")
     ).select(F.inline("findings"))
     keys = list(contract.key)
-    repeated = duplicate_keys(conform(df, contract).select(*keys), keys).agg(
+    # Rows without a key are no copies of each other; rule null counts them.
+    keyed = conform(df, contract).select(*keys).dropna(how="any")
+    repeated = duplicate_keys(keyed, keys).agg(
         F.lit("duplicate_key").alias("rule"),
         F.lit(",".join(keys)).alias("column_name"),
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),

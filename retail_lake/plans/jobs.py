@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from retail_lake.contracts import SHOP_COLUMNS, STOCK_SCHEMA
 from retail_lake.operators import shape
 from retail_lake.operators.conform import validate
-from retail_lake.operators.merge import Inserted, insert_new
+from retail_lake.operators.merge import Inserted, insert_new, key_facts
 from retail_lake.operators.quality import clean_stock
 from retail_lake.plans.silver import Hook, StageCounts, as_is, to_silver
 from retail_lake.sizing import fit_shuffle, input_bytes
 from retail_lake.sources import daily, files
+from retail_lake.workspace import stage
 
 #: Options of ``insert_new`` per gold table, such as
 #: ``{"orders": {"on_duplicate": "first", "order_by": ["quantity"]}}``.
@@ -67,12 +68,20 @@ def transform_shop(
 
 
 def load_shop(
-    spark: SparkSession, root: str, day: dt.date, targets: Mapping, options: MergeOptions = {}
+    spark: SparkSession,
+    root: str,
+    day: dt.date,
+    targets: Mapping,
+    options: MergeOptions = {},
+    keep_staged: bool = False,
 ) -> dict[str, Inserted]:
     """The day's silver tables into the six shop gold tables.
 
-    The five dimensions do not depend on each other and load side by side; the
-    orders follow once all of them are in.
+    The five dimensions do not depend on each other and load side by side, but for
+    bucketed ones, which set the shuffles for themselves; the orders follow once all of
+    them are in. The orders are read once for their days, which also give the dates, and
+    once to be merged. Staged rows are deleted after a good load unless ``keep_staged``;
+    those of a refused one stay.
     """
     fit_shuffle(spark, input_bytes(spark, files.day_path(f"{root}/silver/orders", day)))
     silver = {n: files.read_day(spark, f"{root}/silver/{n}", day) for n in SHOP_COLUMNS}
@@ -83,15 +92,23 @@ def load_shop(
         "location_areas": lambda: shape.location_areas(silver["location_areas"]),
         "clients": lambda: shape.clients(silver["clients"]),
         "stores": lambda: shape.stores(silver["stores"], silver["store_types"]),
-        "dates": lambda: shape.dates(silver["orders"], "order_date"),
+        "dates": lambda: shape.dates(facts.rows, "order_date"),
         "orders": lambda: shape.orders(silver["orders"]),
     }
+    orders = shape.orders(silver["orders"])
+    facts = stage(key_facts(orders, targets["orders"].contract), "days")
 
-    def load(name):
-        return insert_new(shaped[name](), targets[name], **options.get(name, {}))
+    def load(name, **more):
+        done = insert_new(shaped[name](), targets[name], **more, **options.get(name, {}))
+        return done if keep_staged else done.discard()
 
-    dimensions = [name for name in shaped if name != "orders"]
-    return {**_side_by_side(spark, load, dimensions), "orders": load("orders")}
+    bucketed = [n for n in shaped if n != "orders" and hasattr(targets[n], "buckets")]
+    plain = [n for n in shaped if n != "orders" and n not in bucketed]
+    done = _side_by_side(spark, load, plain) if plain else {}
+    done |= {name: load(name) for name in bucketed}
+    done["orders"] = load("orders", facts=facts.rows)
+    facts.discard()
+    return done
 
 
 def run_shop_day(
@@ -103,6 +120,7 @@ def run_shop_day(
     bronze_format: str = "parquet",
     options: MergeOptions = {},
     clean: Mapping[str, Hook] = {},
+    keep_staged: bool = False,
 ) -> dict[str, Inserted]:
     """All extracts, then all transforms, then the load. A rerun changes nothing.
 
@@ -111,7 +129,7 @@ def run_shop_day(
     """
     extract_shop(spark, extract, root, day, bronze_format)
     transform_shop(spark, root, day, bronze_format, clean)
-    return load_shop(spark, root, day, targets, options)
+    return load_shop(spark, root, day, targets, options, keep_staged)
 
 
 def transform_stock(
@@ -152,14 +170,17 @@ def load_stock(
     targets: Mapping,
     options: MergeOptions = {},
     schema=STOCK_SCHEMA,
+    keep_staged: bool = False,
 ) -> dict[str, Inserted]:
-    """Silver days into ``dates`` and then ``out_of_stock``."""
+    """Silver days into ``dates`` and then ``out_of_stock``. Staged rows are deleted after
+    a good load unless ``keep_staged``."""
     stock = files.read_days(spark, f"{root}/silver/stock", first, last, schema=schema)
     shaped = {"dates": shape.dates(stock, "date"), "out_of_stock": shape.out_of_stock(stock)}
-    return {
-        name: insert_new(rows, targets[name], **options.get(name, {}))
-        for name, rows in shaped.items()
-    }
+    done = {}
+    for name, rows in shaped.items():
+        loaded = insert_new(rows, targets[name], **options.get(name, {}))
+        done[name] = loaded if keep_staged else loaded.discard()
+    return done
 
 
 def run_stock_days(
@@ -175,8 +196,9 @@ def run_stock_days(
 ) -> dict[str, Inserted]:
     """Fetch, clean and load one day or a range of them, one job per step.
 
-    ``source`` is a registered ``daily_source``. Days without data fail the run
-    (``on_empty="error"``) or are passed over (``"skip"``).
+    ``source`` is a registered ``daily_source``. Days that it does not have fail the run
+    (``on_empty="error"``) or are passed over (``"skip"``); an answer without rows
+    is a day like any other.
     """
     if on_empty not in ("error", "skip"):
         raise ValueError(f"on_empty: {on_empty!r}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from retail_lake.sources import files
 from retail_lake.sources.daily import daily_source
 from retail_lake.workspace import new_path
 
-#: Error events below the first value lack their product, above the second
+#: Events below the first value lack their product, above the second
 #: their date, so that the stock documents have something to clean.
 LEAST_VALUE, MOST_VALUE = 5.0, 150.0
 
@@ -118,7 +119,7 @@ SHOP = {
 
 def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw stock rows with the day ``ds`` of the document they would come in."""
-    events = table(spark, sf_dir, "events").where("event_type = 'error'")
+    events = table(spark, sf_dir, "events")
     day = F.to_date("ts")
     return events.select(
         F.when(F.col("value") >= LEAST_VALUE, F.col("user_id")).alias("product_id"),
@@ -145,7 +146,9 @@ def register_stock_source(spark: SparkSession, sf_dir: str) -> str:
         import pyarrow.dataset
         import pyarrow.fs
 
-        filesystem, folder = pyarrow.fs.FileSystem.from_uri(f"{documents}/ds={day.isoformat()}")
+        # Hadoop and Arrow name the same object store by different schemes.
+        place = re.sub(r"^s3[an]:", "s3:", f"{documents}/ds={day.isoformat()}")
+        filesystem, folder = pyarrow.fs.FileSystem.from_uri(place)
         if filesystem.get_file_info(folder).type == pyarrow.fs.FileType.NotFound:
             return None
         document = pyarrow.dataset.dataset(folder, format="parquet", filesystem=filesystem)

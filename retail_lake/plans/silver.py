@@ -57,9 +57,11 @@ class _Counted:
     def count(self) -> int:
         try:
             return self.seen.get["n"]
-        except Py4JJavaError:
+        except Py4JJavaError as error:
             # Nothing was left to write, and adaptive execution dropped the finished
             # stages from its plan together with what they observed.
+            if "toPyRow" not in str(error):
+                raise
             return self.rows.count()
 
 

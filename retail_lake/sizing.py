@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import logging
 import math
+import threading
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -11,10 +15,13 @@ from retail_lake.storage import total_bytes
 #: Input bytes per shuffle partition. Only key and payload columns of the
 #: (compressed) input are shuffled, so a partition stays well within memory.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-#: More reducers than this cost more in shuffle blocks than they save: past it
+#: Default limit of reducers. More of them burden the driver; past the limit
 #: partitions grow, and sorts and hash tables spill.
 MOST_PARTITIONS = 100_000
 
+log = logging.getLogger(__name__)
+_changing = threading.RLock()
+
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -23,23 +30,52 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return sum(total_bytes(spark, path) for path in paths)
 
 
-def partitions_for(n_bytes: int) -> int:
-    return min(MOST_PARTITIONS, math.ceil(n_bytes / BYTES_PER_PARTITION))
+def partitions_for(
+    n_bytes: int,
+    bytes_per_partition: int = BYTES_PER_PARTITION,
+    most_partitions: int = MOST_PARTITIONS,
+) -> int:
+    wanted = math.ceil(n_bytes / bytes_per_partition)
+    if wanted > most_partitions:
+        log.warning(
+            "%d bytes ask for %d shuffle partitions; the limit is %d, so each holds %d bytes",
+            n_bytes, wanted, most_partitions, n_bytes // most_partitions,
+        )
+    return min(most_partitions, wanted)
 
 
-def start_shuffles_at(spark: SparkSession, partitions: int) -> None:
-    """Partitions that the session's next shuffles begin with."""
-    spark.conf.set(INITIAL, str(partitions))
+@contextlib.contextmanager
+def shuffles_at(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """Shuffles of the jobs started inside begin with ``partitions``; afterwards the
+    session is as it was. With None nothing changes."""
+    if partitions is None:
+        yield
+        return
+    with _changing:
+        before = spark.conf.get(INITIAL, None)
+        spark.conf.set(INITIAL, str(partitions))
+        try:
+            yield
+        finally:
+            if before is None:
+                spark.conf.unset(INITIAL)
+            else:
+                spark.conf.set(INITIAL, before)
 
 
-def fit_shuffle(spark: SparkSession, n_bytes: int) -> int:
+def fit_shuffle(
+    spark: SparkSession,
+    n_bytes: int,
+    bytes_per_partition: int = BYTES_PER_PARTITION,
+    most_partitions: int = MOST_PARTITIONS,
+) -> int:
     """Start shuffles with enough partitions for ``n_bytes``, and never with fewer
-    than ``spark.sql.shuffle.partitions``.
+    than ``spark.sql.shuffle.partitions``. A limit that is reached is logged.
 
     Adaptive execution merges small partitions again, but it cannot make
     ordinary partitions smaller.
     """
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(least, partitions_for(n_bytes))
-    start_shuffles_at(spark, partitions)
+    partitions = max(least, partitions_for(n_bytes, bytes_per_partition, most_partitions))
+    spark.conf.set(INITIAL, str(partitions))
     return partitions

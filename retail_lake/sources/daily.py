@@ -14,19 +14,22 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from retail_lake.operators.joins import new_rows
-from retail_lake.sources.files import DAY, read_days, stored_days, write_days
+from retail_lake.sources.files import DAY, read_days, stored_days, write_day, write_days
 
 # Workers get this module with the pickled source, installed there or not.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_BATCH = 10_000
+#: Column that is true in the one row that says that a day was answered.
+ANSWERED = "_answered"
+_NOTHING = object()
 
 
 class Unauthorized(Exception):
@@ -46,6 +49,7 @@ class NoData(RuntimeError):
 @dataclass
 class OneDay(InputPartition):
     day: dt.date
+    token: object = None
 
 
 def days_between(first: dt.date, last: dt.date | None = None) -> list[dt.date]:
@@ -56,21 +60,36 @@ def days_between(first: dt.date, last: dt.date | None = None) -> list[dt.date]:
     return [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
 
 
-def fetch_day(day, fetch, authenticate, renewals):
-    """Call ``fetch`` and renew a refused token at most ``renewals`` times."""
+def fetch_day(day, fetch, authenticate, renewals, token=None):
+    """An iterator over the day's rows, or None where there is no such day.
+
+    ``token`` is kept until it is refused, and then renewed at most ``renewals`` times. A
+    refusal before the first row is met by asking again; later it is an error, since
+    asking again would repeat rows.
+    """
     for left in range(renewals, -1, -1):
         try:
-            return fetch(day) if authenticate is None else fetch(day, authenticate())
+            if authenticate is None:
+                rows = fetch(day)
+            else:
+                token = authenticate() if token is None else token
+                rows = fetch(day, token)
+            if rows is None:
+                return None
+            rows = iter(rows)
+            first = next(rows, _NOTHING)
+            return iter(()) if first is _NOTHING else itertools.chain([first], rows)
         except Exception as error:
             refused = getattr(error, "token_refused", False)
             if not refused or authenticate is None or left == 0:
                 raise
+            token = None
 
 
-def _batches(rows: Iterable, schema: pa.Schema, day: dt.date) -> Iterator[pa.RecordBatch]:
+def _batches(rows: Iterable, schema: pa.Schema, more: Mapping) -> Iterator[pa.RecordBatch]:
     rows = iter(rows)
     while chunk := list(itertools.islice(rows, ROWS_PER_BATCH)):
-        yield pa.RecordBatch.from_pylist([{**row, DAY: day} for row in chunk], schema=schema)
+        yield pa.RecordBatch.from_pylist([{**row, **more} for row in chunk], schema=schema)
 
 
 def daily_source(
@@ -83,41 +102,63 @@ def daily_source(
     """A data source class to pass to ``spark.dataSource.register``.
 
     ``fetch(day)``, or ``fetch(day, token)`` with ``authenticate``, returns the
-    day's rows as mappings (any iterable, so that a long day streams), or None
-    when there are none for that day. Any error but ``Unauthorized`` fails the
-    task. Rows carry the day asked for in ``ds``.
+    day's rows as mappings (any iterable, so that a long day streams; an empty one is
+    a day without rows), or None when there is no such day. Any error but
+    ``Unauthorized`` fails the task. Rows carry the day asked for in ``ds``.
+    One token is drawn for a read and used by all its tasks until it is refused.
 
     Options of the reader: ``start`` and ``end`` (inclusive; ``end`` defaults to
-    ``start``), or ``days``, a comma-separated list. Dates are ISO.
+    ``start``), or ``days``, a comma-separated list. Dates are ISO. With
+    ``answers=true`` every day that is answered, also by no rows, has a row more
+    with nothing but ``ds`` and a true ``_answered``.
     """
     full = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+    with_answers = T.StructType([*full.fields, T.StructField(ANSWERED, T.BooleanType())])
 
     class Reader(DataSourceReader):
-        def __init__(self, days):
-            self.days = days
+        def __init__(self, days, answers):
+            self.days, self.answers = days, answers
 
         def partitions(self):
-            return [OneDay(day) for day in self.days]
+            token = None
+            if authenticate is not None and self.days:
+                try:
+                    token = authenticate()
+                except Exception as error:
+                    if not getattr(error, "token_refused", False):
+                        raise
+            return [OneDay(day, token) for day in self.days]
 
         def read(self, partition):
-            rows = fetch_day(partition.day, fetch, authenticate, renewals)
-            if rows is not None:
-                yield from _batches(rows, to_arrow_schema(full), partition.day)
+            rows = fetch_day(partition.day, fetch, authenticate, renewals, partition.token)
+            if rows is None:
+                return
+            more = {DAY: partition.day}
+            if not self.answers:
+                yield from _batches(rows, to_arrow_schema(full), more)
+                return
+            yield from _batches(rows, to_arrow_schema(with_answers), {**more, ANSWERED: False})
+            yield from _batches([{}], to_arrow_schema(with_answers), {**more, ANSWERED: True})
 
     class Daily(DataSource):
         @classmethod
         def name(cls):
             return name
 
+        def _answers(self):
+            return str(self.options.get("answers", "false")).lower() == "true"
+
         def schema(self):
-            return full
+            return with_answers if self._answers() else full
 
         def reader(self, schema):
             if "days" in self.options:
-                return Reader([dt.date.fromisoformat(d) for d in self.options["days"].split(",")])
-            start = dt.date.fromisoformat(self.options["start"])
-            end = self.options.get("end")
-            return Reader(days_between(start, end and dt.date.fromisoformat(end)))
+                days = [dt.date.fromisoformat(d) for d in self.options["days"].split(",")]
+            else:
+                start = dt.date.fromisoformat(self.options["start"])
+                end = self.options.get("end")
+                days = days_between(start, end and dt.date.fromisoformat(end))
+            return Reader(days, self._answers())
 
     return Daily
 
@@ -136,10 +177,21 @@ def missing_days(requested: DataFrame, stored: DataFrame) -> DataFrame:
 def update_days(
     spark: SparkSession, name: str, days: list[dt.date], root: str, fmt: str = "json"
 ) -> list[dt.date]:
-    """Fetch ``days`` again and replace them in the store; returns those that had
-    data. A day without data keeps what was stored for it."""
-    rows = read_source(spark, name, days)
-    return sorted(write_days(rows, root, fmt, gather=False)["days"])
+    """Fetch ``days`` again and replace them in the store; returns those that were
+    answered. An answer without rows is a stored day without rows; a day that the
+    source does not have keeps what was stored for it."""
+    listed = ",".join(day.isoformat() for day in days)
+    rows = spark.read.format(name).options(days=listed, answers="true").load()
+    seen = Observation()
+    # At most the days the caller listed.
+    marked = rows.observe(seen, F.collect_set(F.when(F.col(ANSWERED), F.col(DAY))).alias("days"))
+    answers = marked.where(~F.col(ANSWERED)).drop(ANSWERED)
+    stored = write_days(answers, root, fmt, gather=False)
+    answered = sorted(seen.get["days"])
+    empty = spark.createDataFrame([], rows.drop(DAY, ANSWERED).schema)
+    for day in sorted(set(answered) - set(stored["days"])):
+        write_day(empty, root, day, fmt)
+    return answered
 
 
 def backfill(

@@ -91,8 +91,26 @@ def write_day(
     df: DataFrame, root: str, day: dt.date, fmt: str = "parquet", mode: str = "overwrite"
 ) -> None:
     """Store one day. By default it replaces that day and only that day, even
-    by nothing, so that a rerun gives the same store."""
-    _writer(df, fmt).mode(mode).save(day_path(root, day))
+    by nothing, so that a rerun gives the same store.
+
+    The stored day is replaced when the new one has been written whole: after a failed
+    write it is still there. The folder gives ``ds``; such a column of ``df`` is left out.
+    """
+    if mode != "overwrite":
+        _writer(df, fmt).mode(mode).save(day_path(root, day))
+        return
+    before = matching_names(spark := df.sparkSession, f"{day_path(root, day)}/part-*")
+    (
+        _writer(df.withColumn(DAY, F.lit(day).cast("date")), fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY)
+        .save(str(root))
+    )
+    if matching_names(spark, f"{day_path(root, day)}/part-*") == before:
+        # No new file: the day has no rows now, and nothing is left to fail.
+        empty = spark.createDataFrame([], df.drop(DAY).schema)
+        _writer(empty, fmt).mode("overwrite").save(day_path(root, day))
 
 
 def read_day(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lake.contracts import Contract
+from retail_lake.sources.targets import Days
 
 FETCH_ROWS = 10_000
 
@@ -49,6 +50,10 @@ def snapshot(
     what the database says, is cut evenly. Where values bunch, pass your own
     ``predicates``, one per task; together they must cover every row once,
     NULLs included. With neither, one task reads the table: for small tables.
+
+    Each task reads over its own connection at its own moment, so a parallel read is one
+    consistent snapshot only of a table that nothing changes meanwhile: rows that move
+    between ranges may be missed or read twice. Read a replica or a frozen view.
     """
     if predicates is not None:
         properties = {"fetchsize": str(FETCH_ROWS), **properties}
@@ -71,9 +76,9 @@ class JdbcTarget:
     ``split`` and ``partitions`` set how the keys are read in parallel; without
     ``split`` a dated table is cut by day, so name another column where one day
     holds a large share of the rows.
-    An append of at most ``one_transaction_rows`` rows goes through one
-    connection and so is all or nothing; a larger one is atomic per task only,
-    and a rerun after a failure inserts just the rows still missing.
+    An ``atomic`` append goes through one connection and is all or nothing, whatever
+    its size. Otherwise it is parallel and atomic per task only, and a rerun after a
+    failure inserts just the rows still missing.
     """
 
     contract: Contract
@@ -82,9 +87,9 @@ class JdbcTarget:
     properties: Mapping[str, str] = field(default_factory=dict)
     split: str | None = None
     partitions: int = 32
-    one_transaction_rows: int = 100_000
+    atomic: bool = False
 
-    def keys(self, spark: SparkSession, days: tuple[str, str] | None = None) -> DataFrame:
+    def keys(self, spark: SparkSession, days: Days | None = None) -> DataFrame:
         contract = self.contract
         if days is None:
             rows = snapshot(
@@ -99,9 +104,9 @@ class JdbcTarget:
                 self.properties,
                 self.split or contract.day,
                 self.partitions,
-                bounds=days if self.split in (None, contract.day) else None,
+                bounds=days[:2] if self.split in (None, contract.day) else None,
             )
-            first, last = (F.lit(d).cast("date") for d in days)
+            first, last = (F.lit(d).cast("date") for d in days[:2])
             rows = rows.where(rows[contract.day].between(first, last))
         return rows.select(*contract.key)
 
@@ -111,7 +116,7 @@ class JdbcTarget:
         return int(found.first()[0])
 
     def append(self, rows: DataFrame, n_rows: int) -> None:
-        if n_rows <= self.one_transaction_rows:
+        if self.atomic:
             rows = rows.coalesce(1)
         (
             rows.write.format("jdbc")

@@ -4,22 +4,43 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lake.contracts import Contract
-from retail_lake.sizing import start_shuffles_at
 from retail_lake.sources.files import read_if_present
+from retail_lake.storage import has_files
 
 
-#: First and last day of a batch, as Spark writes dates.
-Days = tuple[str, str]
+class Days(NamedTuple):
+    """First and last day of a batch and the months it has, as Spark writes dates."""
+
+    first: str
+    last: str
+    months: tuple[str, ...]
+
+
+def month_of(day: Column) -> Column:
+    """``yyyy-MM`` of a day's text."""
+    return F.left(day, F.length(day) - 3)
+
+
+def _month_column(contract: Contract) -> str:
+    return f"{contract.day}_month"
+
+
+def _in_months(rows: DataFrame | None, contract: Contract, days: Days | None) -> DataFrame | None:
+    """Only the folders of the batch's months, which one odd date doesn't widen."""
+    if rows is None or days is None:
+        return rows
+    return rows.where(F.col(_month_column(contract)).isin(*days.months))
 
 
 def _keys(rows: DataFrame | None, contract: Contract, days: Days | None) -> DataFrame | None:
     if rows is not None and days is not None:
-        first, last = (F.lit(d).cast("date") for d in days)
+        first, last = (F.lit(d).cast("date") for d in days[:2])
         rows = rows.where(F.col(contract.day).between(first, last))
     return None if rows is None else rows.select(*contract.key)
 
@@ -36,14 +57,10 @@ class ParquetTarget:
     contract: Contract
     path: str
 
-    @property
-    def _month(self) -> str:
-        return f"{self.contract.day}_month"
-
     def _files(self, spark: SparkSession) -> DataFrame | None:
         schema = self.contract.schema
         if self.contract.day is not None:
-            schema = schema.add(self._month, "string")
+            schema = schema.add(_month_column(self.contract), "string")
         return read_if_present(spark, self.path, schema)
 
     def read(self, spark: SparkSession) -> DataFrame | None:
@@ -51,11 +68,7 @@ class ParquetTarget:
         return None if rows is None else rows.select(*self.contract.schema.names)
 
     def keys(self, spark: SparkSession, days: Days | None = None) -> DataFrame | None:
-        rows = self._files(spark)
-        if rows is not None and days is not None and all(len(d) == 10 for d in days):
-            # Months of years with four digits are ordered like their text.
-            rows = rows.where(F.col(self._month).between(*[d[:7] for d in days]))
-        return _keys(rows, self.contract, days)
+        return _keys(_in_months(self._files(spark), self.contract, days), self.contract, days)
 
     def count(self, spark: SparkSession) -> int:
         rows = self.read(spark)
@@ -67,26 +80,27 @@ class ParquetTarget:
             rows.write.mode("append").parquet(self.path)
             return
         # Few files per month; adaptive execution splits a heavy month over tasks.
-        text = F.col(day).cast("string")
+        month = _month_column(self.contract)
         (
-            rows.withColumn(self._month, F.left(text, F.length(text) - 3))
-            .hint("rebalance", self._month)
-            .sortWithinPartitions(self._month, day)
+            rows.withColumn(month, month_of(F.col(day).cast("string")))
+            .hint("rebalance", month)
+            .sortWithinPartitions(month, day)
             .write.mode("append")
-            .partitionBy(self._month)
+            .partitionBy(month)
             .parquet(self.path)
         )
 
 
 @dataclass(frozen=True)
 class BucketedTarget:
-    """A catalog table bucketed by its key.
+    """A catalog table bucketed by its key, inside folders by month if it has a day.
 
     A merge then moves only the batch, straight into as many partitions as there
     are buckets: the table's rows already lie where the join needs them. Choose
     ``buckets`` at or above ``spark.sql.shuffle.partitions`` and by the size the
     table will have, so that a bucket of keys fits in a task (``sizing``). The
-    catalog must outlive the session.
+    catalog must outlive the session. A first load of many months writes a file for
+    each month and bucket.
     """
 
     contract: Contract
@@ -94,18 +108,20 @@ class BucketedTarget:
     path: str
     buckets: int
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
+    def _table(self, spark: SparkSession) -> DataFrame | None:
         if spark.catalog.tableExists(self.table):
             return spark.table(self.table)
-        if read_if_present(spark, self.path, self.contract.schema) is not None:
+        if has_files(spark, self.path):
             # Taking the table for new would insert every row again.
             raise RuntimeError(f"files at {self.path}, but the catalog lost {self.table}")
         return None
 
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        rows = self._table(spark)
+        return None if rows is None else rows.select(*self.contract.schema.names)
+
     def keys(self, spark: SparkSession, days: Days | None = None) -> DataFrame | None:
-        # Otherwise the batch would be shuffled a second time to match the buckets.
-        start_shuffles_at(spark, self.buckets)
-        return _keys(self.read(spark), self.contract, days)
+        return _keys(_in_months(self._table(spark), self.contract, days), self.contract, days)
 
     def count(self, spark: SparkSession) -> int:
         rows = self.read(spark)
@@ -113,12 +129,13 @@ class BucketedTarget:
 
     def append(self, rows: DataFrame, n_rows: int) -> None:
         keys = list(self.contract.key)
-        # Tasks that each hold whole buckets write one file per bucket.
-        (
-            rows.repartition(self.buckets, *keys)
-            .write.mode("append")
-            .option("path", self.path)
-            .bucketBy(self.buckets, *keys)
-            .sortBy(*keys)
-            .saveAsTable(self.table)
-        )
+        # Tasks that each hold whole buckets write one file per bucket and month.
+        rows = rows.repartition(self.buckets, *keys)
+        day = self.contract.day
+        if day is not None:
+            month = _month_column(self.contract)
+            rows = rows.withColumn(month, month_of(F.col(day).cast("string")))
+        writer = rows.write.mode("append").option("path", self.path)
+        if day is not None:
+            writer = writer.partitionBy(month)
+        writer.bucketBy(self.buckets, *keys).sortBy(*keys).saveAsTable(self.table)

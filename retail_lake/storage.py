@@ -27,6 +27,12 @@ def matching_names(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(found.getPath().getName() for found in fs.globStatus(target) or [])
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file at or below a path; empty folders don't count."""
+    fs, target = _open(spark, path)
+    return fs.exists(target) and fs.listFiles(target, True).hasNext()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)

@@ -25,7 +25,7 @@ def work_dir(spark: SparkSession) -> str:
     executors are one process. On a cluster an unset folder is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
+    if folder is None and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         folder = _local_folder()
     if folder is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

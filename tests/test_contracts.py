@@ -1,8 +1,11 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import types as T
 
 from retail_lake.contracts import CLIENTS, GOLD, ORDERS, OUT_OF_STOCK, Contract, ContractViolation
 from retail_lake.operators import (
+    bad_rows,
     conform,
     conform_marked,
     contract_report,
@@ -102,3 +105,19 @@ def test_contract_report_of_clean_rows_is_empty(spark):
     columns = "client_id int, fullname string, location_area_id int"
     df = spark.createDataFrame([(1, "a", 2)], columns)
     assert contract_report(df, CLIENTS).isEmpty()
+
+
+def test_fractions_are_no_whole_numbers(spark):
+    schema = T.StructType(
+        [T.StructField("id", T.IntegerType(), False), T.StructField("n", T.ShortType())]
+    )
+    contract = Contract("whole", schema, ("id",))
+    given = "id double, n decimal(6,2)"
+    values = [(1.0, Decimal("2.00")), (12.7, None), (3.0, Decimal("1.90")), (float("nan"), None)]
+    frame = spark.createDataFrame(values, given)
+    assert [tuple(r) for r in conform(frame, contract).collect()] == [
+        (1, 2), (None, None), (3, None), (None, None)
+    ]
+    found = {(r.rule, r.column_name): r.n_rows for r in contract_report(frame, contract).collect()}
+    assert found[("bad_value", "id")] == 2 and found[("bad_value", "n")] == 1
+    assert bad_rows(frame, contract).count() == 3

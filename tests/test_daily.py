@@ -87,7 +87,7 @@ def test_refused_token_is_renewed_for_each_day_anew():
         return [token]
 
     for _ in DAYS:
-        assert fetch_day(FIRST, fetch, authenticate, renewals=5) == [tokens[-1]]
+        assert list(fetch_day(FIRST, fetch, authenticate, renewals=5)) == [tokens[-1]]
     assert len(tokens) == 18
     with pytest.raises(Unauthorized):
         fetch_day(FIRST, fetch, authenticate, renewals=4)
@@ -159,3 +159,58 @@ def test_get_days_fetches_once(spark, api, root, rows):
     # The day without data is asked for again, as it may have some by now.
     assert calls() == ["2021-01-01", "2021-01-02", "2021-01-02"]
     assert get_days(spark, name, [DAYS[1]], root, schema=STOCK_SCHEMA) is None
+
+
+def test_a_generators_refusal_before_its_first_row_is_renewed():
+    tokens = []
+
+    def authenticate():
+        tokens.append(len(tokens))
+        return tokens[-1]
+
+    def fetch(day, token):
+        if token < 2:
+            raise Unauthorized
+        yield from ({"product_id": n} for n in range(3))
+
+    assert len(list(fetch_day(FIRST, fetch, authenticate, 5))) == 3
+    assert tokens == [0, 1, 2]
+
+
+def test_a_refusal_after_rows_is_an_error():
+    def fetch(day, token):
+        yield {"product_id": 1}
+        raise Unauthorized
+
+    with pytest.raises(Unauthorized):
+        list(fetch_day(FIRST, fetch, lambda: "t", 5))
+
+
+def test_a_token_is_kept_until_it_is_refused(spark, source_name, tmp_path):
+    log = tmp_path / "logins"
+
+    def authenticate():
+        with open(log, "a") as file:
+            file.write("x")
+        return "t"
+
+    fetch = lambda day, token: [{"product_id": 1, "date": token}]
+    spark.dataSource.register(daily_source(source_name, fetch, STOCK_SCHEMA, authenticate))
+    days = ",".join(d.isoformat() for d in days_between(FIRST, FIRST + dt.timedelta(days=30)))
+    frame = spark.read.format(source_name).option("days", days).load()
+    assert frame.count() == 31
+    # Spark may plan a read more than once; the days do not log in.
+    assert len(log.read_text()) <= 3
+
+
+def test_an_answer_without_rows_is_stored_and_told_from_no_answer(spark, api, source_name, root):
+    name, _ = api
+    update_days(spark, name, DAYS, root)
+    other = source_name + "_later"
+    answers = {DAYS[0]: [], DAYS[1]: None}
+    spark.dataSource.register(daily_source(other, answers.get, STOCK_SCHEMA))
+    assert update_days(spark, other, DAYS, root) == [DAYS[0]]
+    stored = read_days(spark, root, DAYS[0], DAYS[2], "json", STOCK_SCHEMA)
+    assert {r.ds for r in stored.collect()} == {DAYS[2]}
+    assert DAYS[0] in stored_days(spark, root)
+    assert backfill(spark, other, [DAYS[0]], root) == []

@@ -216,3 +216,20 @@ def test_shuffle_sizing(spark, tmp_path):
     finally:
         spark.conf.unset(INITIAL)
     assert os.path.exists(tmp_path / "x")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_failed_rewrite_leaves_the_stored_day(spark, root, day, fmt):
+    write_day(spark.range(5), root, day, fmt)
+    bad = spark.range(9).selectExpr("if(id = 7, raise_error('broken'), id) AS id")
+    with pytest.raises(Exception, match="broken"):
+        write_day(bad, root, day, fmt)
+    assert read_day(spark, root, day, fmt).count() == 5
+    write_day(spark.range(0), root, day, fmt)
+    assert read_day(spark, root, day, fmt).count() == 0
+
+
+def test_the_limit_of_partitions_is_a_parameter_and_logged(caplog):
+    assert partitions_for(1000, bytes_per_partition=10, most_partitions=50) == 50
+    assert "limit is 50" in caplog.text
+    assert partitions_for(1000, bytes_per_partition=10) == 100

@@ -4,6 +4,7 @@ import pytest
 
 from retail_lake.contracts import CLIENTS, ORDERS
 from retail_lake.sources import JdbcTarget, jdbc
+from retail_lake.sources.targets import Days
 
 
 class FakeReader:
@@ -100,7 +101,7 @@ class FakeRows(FakeReader):
 def test_keys_of_the_batch_days_only(spark):
     session = FakeSession()
     session.read = FakeRows(session.loads)
-    days = ("2021-01-01", "2021-02-01")
+    days = Days("2021-01-01", "2021-02-01", ("2021-01", "2021-02"))
     JdbcTarget(ORDERS, URL, "public.orders", PROPERTIES, partitions=6).keys(session, days)
     read, where, select = session.loads
     assert read["partitionColumn"] == "order_date" and read["numPartitions"] == "6"
@@ -116,8 +117,9 @@ def test_keys_of_an_undated_table(spark):
     assert "partitionColumn" not in read and select["select"] == ("client_id",)
 
 
-@pytest.mark.parametrize("n_rows, parts", [(10, 1), (10**9, 3)])
-def test_small_append_is_one_transaction(n_rows, parts):
+@pytest.mark.parametrize("n_rows", [10, 10**9])
+@pytest.mark.parametrize("atomic, parts", [(True, 1), (False, 3)])
+def test_an_append_is_one_transaction_if_asked_for_at_any_size(n_rows, atomic, parts):
     seen = {}
 
     class Rows:
@@ -136,7 +138,7 @@ def test_small_append_is_one_transaction(n_rows, parts):
             return step
 
     rows = Rows()
-    JdbcTarget(CLIENTS, URL, "public.clients", PROPERTIES).append(rows, n_rows)
+    JdbcTarget(CLIENTS, URL, "public.clients", PROPERTIES, atomic=atomic).append(rows, n_rows)
     assert rows.parts == parts
     assert (("dbtable", "public.clients"), {}) in seen["option"]
     assert seen["mode"] == [(("append",), {})] and "save" in seen

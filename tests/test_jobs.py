@@ -1,12 +1,14 @@
 """Whole daily runs over two days, source to gold."""
 
 import datetime as dt
+import glob
 
 import pytest
 
 from retail_lake.contracts import GOLD, SHOP_COLUMNS, STOCK_SCHEMA, ContractViolation
 from retail_lake.plans import jobs, run_shop_day, run_stock_days
 from retail_lake.sources import NoData, ParquetTarget, daily_source, read_day, stored_days
+from retail_lake.workspace import work_dir
 
 FIRST, SECOND = dt.date(2021, 6, 2), dt.date(2021, 6, 3)
 
@@ -168,3 +170,14 @@ def test_all_eight_tables_are_extracted(spark, root):
     tables = shop(spark)
     jobs.extract_shop(spark, lambda n: asked.append(n) or tables(n), root, FIRST)
     assert sorted(asked) == sorted(SHOP_COLUMNS) and len(asked) == 8
+
+
+def test_staging_is_deleted_after_a_good_load_only(spark, root):
+    gold = targets(root, *SHOP_GOLD)
+    run_shop_day(spark, shop(spark), root, gold, FIRST, "parquet")
+    left = glob.glob(f"{work_dir(spark).removeprefix('file://')}/new-*")
+    kept = run_shop_day(spark, shop(spark, second=True), root, gold, SECOND, "parquet", keep_staged=True)
+    assert kept["orders"].rows.count() == 1
+    now = glob.glob(f"{work_dir(spark).removeprefix('file://')}/new-*")
+    assert len(now) == len(left) + 6
+    assert not any("new-orders" in p and p not in now for p in left)

@@ -1,13 +1,16 @@
 import datetime as dt
 import glob
+import os
 import random
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from retail_lake.contracts import CLIENTS, ORDERS, OUT_OF_STOCK, ContractViolation
-from retail_lake.operators import insert_new
+from retail_lake.contracts import CLIENTS, ORDERS, OUT_OF_STOCK, Contract, ContractViolation
+from retail_lake.operators import insert_new, merge
+from retail_lake.sizing import INITIAL
 from retail_lake.sources import BucketedTarget, ParquetTarget
 from retail_lake.workspace import Staged, stage, work_dir
 
@@ -205,7 +208,7 @@ def test_refused_rows_can_be_looked_at(spark, clients, rows):
     with pytest.raises(ContractViolation) as refused:
         insert_new(batch, clients)
     staged = refused.value.staged
-    assert refused.value.findings == ["too_long:fullname: 1 rows"]
+    assert refused.value.findings == ["too_long:fullname: 1 keys"]
     assert rows(staged.rows.where("_broken <> 0").select("client_id")) == [(1,)]
 
 
@@ -239,3 +242,55 @@ def test_a_cluster_must_name_its_shared_folder(master):
             work_dir(Session)
     else:
         assert work_dir(Session) == work_dir(Session)
+
+
+def test_a_contract_of_many_rules(spark, root):
+    """Seventy rules: a mark for each, also past the first number's bits."""
+    names = [f"c{n}" for n in range(35)]
+    columns = [T.StructField("id", T.IntegerType(), False)]
+    columns += [T.StructField(n, T.VarcharType(3), False) for n in names]
+    contract = Contract("wide", T.StructType(columns), ("id",))
+    text = "id int, " + ", ".join(f"{n} string" for n in names)
+    good = (1, *["x"] * 35)
+    bad = (2, *["x"] * 33, "long text", None)
+    target = ParquetTarget(contract, f"{root}/wide")
+    with pytest.raises(ContractViolation) as refused:
+        insert_new(spark.createDataFrame([good, bad], text), target)
+    assert set(refused.value.findings) == {"too_long:c33: 1 keys", "null:c34: 1 keys"}
+    assert insert_new(spark.createDataFrame([good], text), target).n_new == 1
+
+
+def test_a_lossy_key_is_refused(spark, root):
+    contract = Contract("k", T.StructType([T.StructField("id", T.IntegerType(), False)]), ("id",))
+    frame = spark.createDataFrame([(12.7,), (1.0,)], "id double")
+    with pytest.raises(ContractViolation, match="NULL or bad key: 1 rows"):
+        insert_new(frame, ParquetTarget(contract, f"{root}/k"))
+
+
+def test_months_between_are_not_read(spark, root):
+    """One odd date does not open the months before it."""
+    target = ParquetTarget(ORDERS, f"{root}/orders")
+    rows = [(1, 1, dt.date(2021, m, 1), 1, 1) for m in range(1, 13)]
+    schema = "product_id int, client_id int, order_date date, store_id int, quantity int"
+    frame = spark.createDataFrame(rows, schema)
+    insert_new(frame, target)
+    days = merge._check_keys(merge.key_facts(frame.where("month(order_date) in (1, 12)"), ORDERS), ORDERS)
+    assert days == ("2021-01-01", "2021-12-01", ("2021-01", "2021-12"))
+    plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
+    assert "order_date_month" in plan.partition("PartitionFilters")[2][:120]
+    assert target.keys(spark, days).count() == 2
+
+
+def test_a_bucketed_target_is_pruned_and_leaves_the_session_alone(spark, root):
+    table = f"orders_{uuid.uuid4().hex}"
+    target = BucketedTarget(ORDERS, table, f"{root}/orders", 4)
+    schema = "product_id int, client_id int, order_date date, store_id int, quantity int"
+    frame = spark.createDataFrame([(1, 1, dt.date(2021, m, 1), 1, 1) for m in (1, 2, 3)], schema)
+    os.makedirs(f"{root}/orders/empty")
+    before = spark.conf.get(INITIAL, None)
+    assert insert_new(frame, target).n_new == 3
+    assert insert_new(frame, target).n_new == 0
+    assert spark.conf.get(INITIAL, None) == before
+    days = merge._check_keys(merge.key_facts(frame.limit(1), ORDERS), ORDERS)
+    plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
+    assert "order_date_month" in plan.partition("PartitionFilters")[2][:120]
