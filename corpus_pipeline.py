@@ -72,7 +72,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}").rows
+        written = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            before.discard()
+        docs, before = written.rows, written
     return docs

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_lake.workspace import stage
+from retail_lake.workspace import Staged, stage
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node`` and ``label``, the smallest node it can reach, for every node of ``links``
+def components(links: DataFrame) -> Staged:
+    """A written table of ``node`` and ``label``, the smallest node it can reach, for every node of ``links``
     (columns ``a`` and ``b``, longs).
 
     Every round takes the smallest label among neighbours, then the label of that
@@ -20,7 +20,8 @@ def components(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").unionByName(
         links.select(F.col("b").alias("a"), F.col("a").alias("b"))
     )
-    both = stage(both, "links").rows
+    written = stage(both, "links")
+    both = written.rows
     labels = both.groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("b"), F.col("node")).alias("label")
     )
@@ -42,4 +43,5 @@ def components(links: DataFrame) -> DataFrame:
         staged = following
         # Labels only ever fall, so an equal sum means that none has changed.
         if before == after:
-            return staged.rows
+            written.discard()
+            return staged

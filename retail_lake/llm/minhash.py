@@ -209,16 +209,18 @@ def cluster(documents: DataFrame) -> DataFrame:
     signed = stage(signatures(documents), "signatures").rows
     known = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     sets = ["n_shingles", "digest1", "digest2"]
-    classes = stage(known.groupBy(*sets).agg(F.min("doc_id").alias("first_id")), "classes").rows
+    grouped = stage(known.groupBy(*sets).agg(F.min("doc_id").alias("first_id")), "classes")
+    classes = grouped.rows
     # Of rows that repeat a document one is enough.
     firsts = known.join(classes, [*sets]).where("doc_id = first_id").select("doc_id", "bands")
-    pairs = stage(candidate_pairs(firsts), "pairs").rows
-    links = confirm(pairs, documents)
-    found = components(links)
-    labelled = classes.join(found, F.col("first_id") == F.col("node"), "left").select(
+    pairs = stage(candidate_pairs(firsts), "pairs")
+    found = components(confirm(pairs.rows, documents))
+    labelled = classes.join(found.rows, F.col("first_id") == F.col("node"), "left").select(
         *sets, F.coalesce("label", "first_id").alias("component_id")
     )
     labelled = stage(labelled, "classes").rows
+    for done in (pairs, found, grouped):
+        done.discard()
     mine = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = signed.select("doc_id", *sets).join(labelled, [*sets], "left")
     return out.select(

@@ -1,8 +1,8 @@
 """Quality rules, line first: bad lines go, then documents that lose too much.
 
 Each line is judged by itself: navigation (a line of separators), symbol noise,
-shouting, words said over and over, boilerplate phrases in a short line, and lines
-without any punctuation in documents that otherwise end their lines with it. Lines
+shouting, words said over and over, boilerplate phrases in a short line, and short lines
+without any punctuation or number, as menus have. Lines
 that fail are removed. A document is rejected if too many of its words went with
 them, or by the base rules. Built-in expressions over one row; nothing is shuffled.
 

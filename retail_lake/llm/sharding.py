@@ -134,7 +134,7 @@ def _round(nodes: Staged, quota: dict[int, int], number: int) -> Staged:
     return out
 
 
-def _level(nodes: Staged, quota: dict[int, int]) -> DataFrame:
+def _level(nodes: Staged, quota: dict[int, int]) -> Staged:
     """Shards at exactly their quotas; the rows that lose least have moved."""
     shards = len(quota)
     held = stage(
@@ -148,9 +148,9 @@ def _level(nodes: Staged, quota: dict[int, int]) -> DataFrame:
             F.least(F.col("count") - 1, F.lit(CLASSES - 1)).cast("int").alias("loss"),
         ),
         "held",
-    ).rows
+    )
     linked = nodes.rows.where("linked").join(
-        held,
+        held.rows,
         (F.col("group1") == F.col("held1"))
         & (F.col("group2") == F.col("held2"))
         & (F.col("shard") == F.col("held_in")),
@@ -158,9 +158,12 @@ def _level(nodes: Staged, quota: dict[int, int]) -> DataFrame:
     priced = linked.select(*nodes.rows.columns, "loss").unionByName(
         nodes.rows.where("NOT linked").withColumn("loss", F.lit(0))
     )
-    priced = stage(
+    written = stage(
         priced.withColumn("class", F.col("shard") * CLASSES + F.col("loss")), "priced"
-    ).rows
+    )
+    priced = written.rows
+    held.discard()
+    nodes.discard()
     by_class = _sizes(priced, "class")  # shards times classes
     sizes = {s: sum(by_class.get(s * CLASSES + k, 0) for k in range(CLASSES)) for s in range(shards)}
     # From each class above the quota: how many leave, the cheapest classes first.
@@ -173,7 +176,7 @@ def _level(nodes: Staged, quota: dict[int, int]) -> DataFrame:
                 over -= n
     gaps = [(s, quota[s] - sizes[s]) for s in range(shards) if sizes[s] < quota[s]]
     if not leave:
-        return priced
+        return written
     asked = priced.where(F.col("class").isin(list(leave)))
     order = ["group1", "doc_id"]
     asked = numbered(asked, "class", order, "turn").withColumn(
@@ -192,13 +195,14 @@ def _level(nodes: Staged, quota: dict[int, int]) -> DataFrame:
         filled += gap
     moved = asked.withColumn("shard", F.when(F.col("goes"), target).otherwise(F.col("shard")))
     rest = priced.where(~F.col("class").isin(list(leave)))
-    return moved.select(*priced.columns).unionByName(rest)
+    return _replace(written, moved.select(*priced.columns).unionByName(rest))
 
 
 def assign(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot`` and ``grown_shard``
     of every document, and ``group_rows``, how many have its text."""
-    nodes = stage(nodes_of(documents), "nodes").rows
+    written = stage(nodes_of(documents), "nodes")
+    nodes = written.rows
     groups = stage(
         nodes.groupBy(*GROUP)
         .count()
@@ -209,9 +213,9 @@ def assign(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) ->
             F.col("count").alias("group_rows"),
         ),
         "groups",
-    ).rows
+    )
     rows = nodes.join(
-        groups, (F.col("group1") == F.col("of1")) & (F.col("group2") == F.col("of2")), "left"
+        groups.rows, (F.col("group1") == F.col("of1")) & (F.col("group2") == F.col("of2")), "left"
     ).select(
         *nodes.columns,
         F.coalesce("group_rows", F.lit(1)).alias("group_rows"),
@@ -219,12 +223,13 @@ def assign(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) ->
         F.pmod(F.xxhash64("doc_id", "group1"), F.lit(shards)).cast("int").alias("shard"),
     )
     labelled = stage(rows, "shards")
+    groups.discard()
+    written.discard()
     total = sum(_sizes(labelled.rows).values())
     quota = {s: total // shards + (s < total % shards) for s in range(shards)}
     for number in range(rounds):
         labelled = _round(labelled, quota, number)
-    level = stage(_level(labelled, quota), "level").rows
-    placed = numbered(level, "shard", ["doc_id", "group1"], "slot")
+    placed = numbered(_level(labelled, quota).rows, "shard", ["doc_id", "group1"], "slot")
     return placed.select(
         "doc_id",
         "size",

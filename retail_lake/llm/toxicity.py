@@ -184,7 +184,7 @@ def _sample(documents: DataFrame, labels: DataFrame, limits: Limits):
     rows = texts.join(F.broadcast(picked), "doc_id").select(
         "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) == 0).alias("curve"), "text"
     )
-    return stage(rows.dropDuplicates(["text"]), "toxicity").rows, totals
+    return stage(rows.dropDuplicates(["text"]), "toxicity"), totals
 
 
 def _term_counts(sample: DataFrame, beginnings: tuple[int, int]) -> DataFrame:
@@ -275,7 +275,13 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 def fit(documents: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> Model:
     """Lexicon and curve from the labelled documents that are not held out."""
-    sample, totals = _sample(documents, labels, limits)
+    written, totals = _sample(documents, labels, limits)
+    model = _learned(written.rows, totals, limits)
+    written.discard()
+    return model
+
+
+def _learned(sample: DataFrame, totals: dict[int, int], limits: Limits) -> Model:
     sizes = {
         (r["toxic"], r["curve"]): r["count"]
         for r in sample.groupBy("toxic", "curve").count().collect()

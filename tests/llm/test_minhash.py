@@ -100,7 +100,7 @@ def test_components_of_long_chains(spark):
     rng.shuffle(order)
     links = [(min(a, b), max(a, b)) for a, b in zip(order, order[1:], strict=False)]
     links += [(1000, 1001), (1001, 1002)]
-    rows = components(spark.createDataFrame(links, "a long, b long")).collect()
+    rows = components(spark.createDataFrame(links, "a long, b long")).rows.collect()
     labels = {r.node: r.label for r in rows}
     assert {labels[i] for i in range(300)} == {0} and {labels[i] for i in (1000, 1001, 1002)} == {1000}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long")).rows.count() == 0
