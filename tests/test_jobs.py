@@ -2,12 +2,22 @@
 
 import datetime as dt
 import glob
+import uuid
 
 import pytest
 
 from retail_lake.contracts import GOLD, SHOP_COLUMNS, STOCK_SCHEMA, ContractViolation
+from retail_lake.operators import merge
 from retail_lake.plans import jobs, run_shop_day, run_stock_days
-from retail_lake.sources import NoData, ParquetTarget, daily_source, read_day, stored_days
+from retail_lake.sizing import INITIAL
+from retail_lake.sources import (
+    BucketedTarget,
+    NoData,
+    ParquetTarget,
+    daily_source,
+    read_day,
+    stored_days,
+)
 from retail_lake.workspace import work_dir
 
 FIRST, SECOND = dt.date(2021, 6, 2), dt.date(2021, 6, 3)
@@ -181,3 +191,40 @@ def test_staging_is_deleted_after_a_good_load_only(spark, root):
     now = glob.glob(f"{work_dir(spark).removeprefix('file://')}/new-*")
     assert len(now) == len(left) + 6
     assert not any("new-orders" in p and p not in now for p in left)
+
+
+def test_bucketed_dimensions_leave_the_session_and_the_orders_alone(spark, root, monkeypatch):
+    """Dimensions of differing bucket counts; the orders are shuffled at their own count."""
+    gold = targets(root, *SHOP_GOLD)
+    for name, buckets in (("clients", 3), ("products", 5)):
+        table = f"{name}_{uuid.uuid4().hex}"
+        gold[name] = BucketedTarget(GOLD[name], table, f"{root}/bucketed/{name}", buckets)
+    seen = {}
+    staging = merge.stage
+
+    def watched(rows, label):
+        seen[label] = spark.conf.get(INITIAL, None)
+        return staging(rows, label)
+
+    monkeypatch.setattr(merge, "stage", watched)
+    run_shop_day(spark, shop(spark), root, gold, FIRST, "parquet")
+    own = spark.conf.get(INITIAL)
+    assert seen["new-clients"] == "3" and seen["new-products"] == "5"
+    assert seen["new-orders"] == own not in ("3", "5")
+
+
+def test_a_days_orders_are_read_twice(spark, root, monkeypatch, settings):
+    """Once for their days and keys, once to be merged."""
+    settings(maxMetadataStringLength="2000")
+    gold = targets(root, *SHOP_GOLD)
+    plans = []
+    for module in (jobs, merge):
+        staging = module.stage
+
+        def watched(rows, label, staging=staging):
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+            return staging(rows, label)
+
+        monkeypatch.setattr(module, "stage", watched)
+    run_shop_day(spark, shop(spark), root, gold, FIRST, "parquet")
+    assert sum(plan.count("silver/orders/") for plan in plans) == 2
