@@ -8,9 +8,12 @@ a table with a probability of 0.9999.
 
 Documents with the same shingles are one from the start. In each table a document
 becomes a candidate with the first of its bucket and with the one before it, never with
-all. A batch sends a few documents of a bucket on and links the others to those,
-so a bucket that holds a third of the corpus stays small. Candidates are confirmed on their
-full shingle sets, and links joined to components.
+all. Candidates are confirmed on their full shingle sets, and links joined to components.
+A second round looks at buckets that hold several components: there a document outside
+the largest is compared with others at random, in each table with others, since a loose
+group has members that are like many of it but not like its first. A batch sends a few
+documents of a bucket on and pairs the others with those, so a bucket that holds a third
+of the corpus stays small.
 
 Results, by case: NULL texts and texts without words have no shingles and are linked
 with nothing; a text of fewer than five words has all of them as one shingle; repeated
@@ -37,8 +40,13 @@ WORDS = 5
 SIMILAR = 75
 #: Bands of each collection, and minhashes of a band.
 BANDS, ROWS = 12, 2
-#: Documents of one bucket that a batch sends on.
+#: Documents of one bucket, or of one component in it, that a batch sends on.
 SENT = 4
+#: Others that a document is compared with in each table of the second round.
+PARTNERS = 2
+#: How often it has to meet a component in the tables of a partition to be compared. Of the
+#: twelve tables of a band two sets at the threshold share seven.
+MET = 3
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
@@ -105,64 +113,130 @@ def _candidates(docs: np.ndarray, place: np.ndarray, begin: np.ndarray, least: i
     later = np.flatnonzero(place >= max(1, least))
     first = np.column_stack([docs[begin[later]], docs[later]])
     before = np.column_stack([docs[later - 1], docs[later]])
-    both = np.concatenate([first, before])
-    both = both[both[:, 0] != both[:, 1]]
-    both.sort(axis=1)
-    if not len(both):
-        return both
-    both = both[np.lexsort((both[:, 1], both[:, 0]))]
-    return both[np.concatenate([[True], (both[1:] != both[:-1]).any(axis=1)])]
+    return _distinct(np.concatenate([first, before]))
+
+
+def _crossing(
+    keys: np.ndarray, docs: np.ndarray, parts: np.ndarray, partners: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Order by key, then at random, and pairs of documents of different components.
+
+    In each bucket the documents outside its largest component are paired with those that
+    follow them, in an order that is another one in each table.
+    """
+    order = np.lexsort((mix(keys ^ docs.astype(np.uint64)), keys))
+    keys, docs, parts = keys[order], docs[order], parts[order]
+    n = len(keys)
+    if not n:
+        return order, np.zeros((0, 2), np.int64)
+    begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    size = np.diff(np.append(begin, n))
+    bucket = np.repeat(np.arange(len(begin)), size)
+    # Runs of a component within a bucket; the longest is the last after sorting.
+    by_part = np.lexsort((parts, bucket))
+    p, q = parts[by_part], bucket[by_part]
+    runs = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])]))
+    lengths = np.diff(np.append(runs, n))
+    ranked = np.lexsort((lengths, q[runs]))
+    last = np.flatnonzero(np.append(np.diff(q[runs][ranked]) != 0, True))
+    largest = p[runs][ranked][last]
+    outside = np.flatnonzero(parts != largest[bucket])
+    first, many = begin[bucket[outside]], size[bucket[outside]]
+    steps = np.arange(1, partners + 1)
+    turn = (outside - first)[:, None] + steps
+    other = (first[:, None] + turn % many[:, None]).ravel()
+    own = np.repeat(outside, partners)
+    differ = parts[other] != parts[own]
+    own, other = docs[own[differ]], other[differ]
+    # A similar component is met in many tables, one that shares a passage in few.
+    by_part = np.lexsort((parts[other], own))
+    x, p = own[by_part], parts[other][by_part]
+    fresh = np.ones(len(x), bool)
+    fresh[1:] = (x[1:] != x[:-1]) | (p[1:] != p[:-1])
+    times = np.diff(np.append(np.flatnonzero(fresh), len(x)))
+    often = by_part[np.repeat(times >= MET, times)]
+    return order, _distinct(np.column_stack([own[often], docs[other[often]]]))
+
+
+def _distinct(pairs: np.ndarray) -> np.ndarray:
+    """Pairs of different documents, the smaller first, each once."""
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    pairs.sort(axis=1)
+    if not len(pairs):
+        return pairs
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])]
+
+
+def _table_keys(batch: pa.RecordBatch, bands: int, partitions: int):
+    """Document, key and partition of every table, document by document.
+
+    All tables of one band of the first collection go to one partition, so a pair is
+    found by few of them. A band's hash has its number in it.
+    """
+    tables = multipliers(bands * bands, 4)
+    ids = batch.column(0).to_numpy()
+    raw = b"".join(batch.column(1).to_pylist())
+    lines = np.frombuffer(raw, np.uint64).reshape(len(ids), 2 * bands)
+    keys = lines[:, :bands, None] * tables[0] + lines[:, None, bands:] * tables[1]
+    keys = mix(keys.reshape(len(ids), -1) + tables[None, :]).ravel()
+    parts = (lines[:, :bands] % np.uint64(partitions)).astype(np.int32)
+    return ids, keys, np.repeat(parts.ravel(), bands)
+
+
+def _packed(parts: np.ndarray, partitions: int, columns: dict[str, np.ndarray], pairs, number):
+    """One row for each partition with the bytes of its items, and one with the pairs."""
+    dealt = np.argsort(parts, kind="stable")
+    cuts = np.searchsorted(parts[dealt], np.arange(partitions + 1))
+    full = np.flatnonzero(np.diff(cuts))
+    out = {"part": pa.array([*full.tolist(), number % partitions], pa.int32())}
+    for name, values in columns.items():
+        raw = values[dealt].tobytes()
+        cells = [raw[8 * int(cuts[b]) : 8 * int(cuts[b + 1])] for b in full]
+        out[name] = pa.array([*cells, b""], pa.binary())
+    out["pairs"] = pa.array([b""] * len(full) + [pairs.tobytes()], pa.binary())
+    return pa.RecordBatch.from_pydict(out)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], columns: int) -> list[bytes]:
+    """The bytes of each column of a partition, without the first."""
+    out: list[list[bytes]] = [[] for _ in range(columns)]
+    for batch in batches:
+        for values, kept in zip(batch.columns[1:], out, strict=True):
+            kept.append(b"".join(values.to_pylist()))
+    return [b"".join(cells) for cells in out]
+
+
+def _as_batch(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
+
+
+def _partitions(frame: DataFrame) -> int:
+    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def candidate_pairs(sets: DataFrame, bands: int = BANDS) -> DataFrame:
-    """Distinct pairs ``a < b`` of ``doc_id`` that meet in a table."""
-    partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Distinct pairs ``a < b`` of ``doc_id``: in each table a document with the first of its
+    bucket and with the one before it."""
+    partitions = _partitions(sets)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = multipliers(bands * bands, 4)
         for number, batch in enumerate(batches):
-            ids = batch.column(0).to_numpy()
-            raw = b"".join(batch.column(1).to_pylist())
-            lines = np.frombuffer(raw, np.uint64).reshape(len(ids), 2 * bands)
-            keys = lines[:, :bands, None] * tables[0] + lines[:, None, bands:] * tables[1]
-            keys = mix(keys.reshape(len(ids), -1) + tables[None, :]).ravel()
-            # All tables of one band of the first collection go to one partition, so a
-            # pair is found by few of them. A band's hash has its number in it.
-            parts = (lines[:, :bands] % np.uint64(partitions)).astype(np.int32)
-            parts = np.repeat(parts.ravel(), bands)
+            ids, keys, parts = _table_keys(batch, bands, partitions)
             docs = np.repeat(ids, bands * bands)
             order, place, begin = _pairs(keys, docs)
-            docs = docs[order]
-            linked = _candidates(docs, place, begin, SENT)
-            sent = np.flatnonzero(place < SENT)
-            parts = parts[order[sent]]
-            dealt = np.argsort(parts, kind="stable")
-            sent = sent[dealt]
-            cuts = np.searchsorted(parts[dealt], np.arange(partitions + 1))
-            full = np.flatnonzero(np.diff(cuts))
-            key_bytes, doc_bytes = keys[order[sent]].tobytes(), docs[sent].tobytes()
-            spans = [(8 * int(cuts[b]), 8 * int(cuts[b + 1])) for b in full]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "part": pa.array([*full.tolist(), number % partitions], pa.int32()),
-                    "keys": pa.array([*(key_bytes[s:e] for s, e in spans), b""], pa.binary()),
-                    "docs": pa.array([*(doc_bytes[s:e] for s, e in spans), b""], pa.binary()),
-                    "pairs": pa.array([b""] * len(spans) + [linked.tobytes()], pa.binary()),
-                }
-            )
+            linked = _candidates(docs[order], place, begin, SENT)
+            sent = order[place < SENT]
+            columns = {"keys": keys[sent], "docs": docs[sent]}
+            yield _packed(parts[sent], partitions, columns, linked, number)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs, pairs = [], [], []
-        for batch in batches:
-            for values, kept in zip(batch.columns[1:], (keys, docs, pairs), strict=True):
-                kept.append(b"".join(values.to_pylist()))
-        key = np.frombuffer(b"".join(keys), np.uint64)
-        doc = np.frombuffer(b"".join(docs), np.int64)
+        keys, docs, pairs = _gathered(batches, 3)
+        key, doc = np.frombuffer(keys, np.uint64), np.frombuffer(docs, np.int64)
         order, place, begin = _pairs(key, doc)
         found = _candidates(doc[order], place, begin, 1)
-        linked = np.frombuffer(b"".join(pairs), np.int64).reshape(-1, 2)
-        found = np.concatenate([found, linked])
-        yield pa.RecordBatch.from_pydict({"a": found[:, 0].copy(), "b": found[:, 1].copy()})
+        linked = np.frombuffer(pairs, np.int64).reshape(-1, 2)
+        yield _as_batch(np.concatenate([found, linked]))
 
     sent = sets.select("doc_id", "bands").mapInArrow(
         send, "part int, keys binary, docs binary, pairs binary"
@@ -171,6 +245,42 @@ def candidate_pairs(sets: DataFrame, bands: int = BANDS) -> DataFrame:
     return met.distinct()
 
 
+def crossing_pairs(sets: DataFrame, bands: int = BANDS, partners: int = PARTNERS) -> DataFrame:
+    """Distinct pairs ``a < b`` that meet in a table, but whose ``component`` differs. Of one
+    component in a bucket a batch sends a few on, and pairs the others by itself."""
+    partitions = _partitions(sets)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, batch in enumerate(batches):
+            ids, keys, parts = _table_keys(batch, bands, partitions)
+            docs = np.repeat(ids, bands * bands)
+            groups = np.repeat(batch.column(2).to_numpy(), bands * bands)
+            order, linked = _crossing(keys, docs, groups, partners)
+            inner = order[np.lexsort((groups[order], keys[order]))]
+            k, g = keys[inner], groups[inner]
+            fresh = np.ones(len(k), bool)
+            fresh[1:] = (k[1:] != k[:-1]) | (g[1:] != g[:-1])
+            begin = np.flatnonzero(fresh)
+            place = np.arange(len(k)) - np.repeat(begin, np.diff(np.append(begin, len(k))))
+            sent = inner[place < SENT]
+            columns = {"keys": keys[sent], "docs": docs[sent], "groups": groups[sent]}
+            yield _packed(parts[sent], partitions, columns, linked, number)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, docs, groups, pairs = _gathered(batches, 4)
+        key = np.frombuffer(keys, np.uint64)
+        doc, group = np.frombuffer(docs, np.int64), np.frombuffer(groups, np.int64)
+        found = _crossing(key, doc, group, partners)[1]
+        linked = np.frombuffer(pairs, np.int64).reshape(-1, 2)
+        yield _as_batch(_distinct(np.concatenate([found, linked])))
+
+    sent = sets.select("doc_id", "bands", "component").mapInArrow(
+        send, "part int, keys binary, docs binary, groups binary, pairs binary"
+    )
+    met = sent.repartitionById(partitions, F.col("part")).mapInArrow(meet, "a long, b long")
+    return met.distinct()
+
+
 def confirm(pairs: DataFrame, documents: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
 
@@ -215,11 +325,22 @@ def cluster(documents: DataFrame) -> DataFrame:
     firsts = known.join(classes, [*sets]).where("doc_id = first_id").select("doc_id", "bands")
     pairs = stage(candidate_pairs(firsts), "pairs")
     found = components(confirm(pairs.rows, documents))
-    labelled = classes.join(found.rows, F.col("first_id") == F.col("node"), "left").select(
-        *sets, F.coalesce("label", "first_id").alias("component_id")
+    named = firsts.join(found.rows, F.col("doc_id") == F.col("node"), "left").select(
+        "doc_id", "bands", F.coalesce("label", "doc_id").alias("component")
+    )
+    named = stage(named, "named")
+    again = stage(crossing_pairs(named.rows), "pairs")
+    parts = named.rows.select(F.col("doc_id").alias("of"), "component")
+    joined = confirm(again.rows, documents).join(parts, F.col("a") == F.col("of"))
+    joined = joined.select(F.col("component").alias("a"), "b")
+    joined = joined.join(parts, F.col("b") == F.col("of")).select("a", F.col("component").alias("b"))
+    over = components(joined.distinct())
+    labels = named.rows.join(over.rows, F.col("component") == F.col("node"), "left").select(
+        F.col("doc_id").alias("of"), F.coalesce("label", "component").alias("component_id")
     )
+    labelled = classes.join(labels, F.col("first_id") == F.col("of")).select(*sets, "component_id")
     labelled = stage(labelled, "classes").rows
-    for done in (pairs, found, grouped):
+    for done in (pairs, found, named, again, over, grouped):
         done.discard()
     mine = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = signed.select("doc_id", *sets).join(labelled, [*sets], "left")

@@ -104,3 +104,33 @@ def test_components_of_long_chains(spark):
     labels = {r.node: r.label for r in rows}
     assert {labels[i] for i in range(300)} == {0} and {labels[i] for i in (1000, 1001, 1002)} == {1000}
     assert components(spark.createDataFrame([], "a long, b long")).rows.count() == 0
+
+
+def test_loose_groups_are_joined_by_the_second_round(spark, by_id):
+    """Members like many of their group, but neither like its first nor the one before."""
+    rng = random.Random(12)
+    rows = []
+    for group in range(6):
+        base = [f"g{group}w{i}" for i in range(120)]
+        for k in range(40):
+            own = list(base)
+            for _ in range(3):
+                at = rng.randrange(116)
+                own[at] = f"x{rng.randrange(10**6)}"
+            rows.append((100 * group + k, " ".join(own)))
+    found = by_id(minhash.cluster(spark.createDataFrame(rows, "doc_id long, text string")))
+    want = brute(dict(rows))
+    assert all(found[i].component_id == component for i, (_, component) in want.items())
+
+
+def test_crossing_pairs_differ_in_component():
+    rng = np.random.default_rng(1)
+    keys = rng.integers(0, 40, 600).astype(np.uint64)
+    docs, parts = rng.integers(0, 90, 600), None
+    parts = docs % 7
+    order, pairs = minhash._crossing(keys, docs, parts, 3)
+    assert sorted(order) == list(range(600)) and len(pairs)
+    assert all(a < b and a % 7 != b % 7 for a, b in pairs)
+    together = {(a, b) for k in set(keys) for a in docs[keys == k] for b in docs[keys == k]}
+    assert all((a, b) in together for a, b in pairs)
+    assert len(minhash._crossing(keys[:0], docs[:0], parts[:0], 3)[1]) == 0
