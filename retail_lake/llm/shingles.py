@@ -36,10 +36,11 @@ def multipliers(count: int, seed: int) -> np.ndarray:
     return mix(at * _GOLDEN) | np.uint64(1)
 
 
-def _powers_of(base: int, size: int) -> np.ndarray:
+def powers_of(base: int, size: int) -> np.ndarray:
+    """Powers of an odd base modulo 2**64, remembered for blocks of the usual size."""
     known = _powers.get(base)
     if known is None or len(known) < size:
-        known = np.full(max(size, BLOCK_BYTES), base, np.uint64)
+        known = np.full(max(size, BLOCK_BYTES + 4096), base, np.uint64)
         known[0] = 1
         known = np.multiply.accumulate(known)
         if size <= 2 * BLOCK_BYTES:
@@ -52,9 +53,9 @@ def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     word = ~_SPACE[raw]
     edges = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).astype(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    terms = (raw.astype(np.uint64) + np.uint64(1)) * _powers_of(_BASE, len(raw))
+    terms = (raw.astype(np.uint64) + np.uint64(1)) * powers_of(_BASE, len(raw))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-    hashes = (sums[ends] - sums[starts]) * _powers_of(_INVERSE, len(raw))[starts]
+    hashes = (sums[ends] - sums[starts]) * powers_of(_INVERSE, len(raw))[starts]
     return mix(hashes ^ (ends - starts).astype(np.uint64)), starts
 
 

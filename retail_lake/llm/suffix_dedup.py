@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_lake.llm.shingles import blocks, mix, multipliers
+from retail_lake.llm.shingles import BLOCK_BYTES, blocks, mix, multipliers, powers_of
 from retail_lake.llm.suffixes import deep_shallow_sort
 
 WINDOW = 50
@@ -50,6 +50,9 @@ KEYS, TEXTS, ANSWERS, STRETCHES, RANGES = range(5)
 
 _WEIGHTS = multipliers(2, 5)
 _BASE = int(multipliers(1, 6)[0])
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Level of compression: the next ones cost more time than they save room.
+_LEVEL = 2
 
 
 # --- blocks --------------------------------------------------------------
@@ -57,7 +60,7 @@ _BASE = int(multipliers(1, 6)[0])
 def _pack(*arrays: np.ndarray) -> bytes:
     raw = [np.ascontiguousarray(a).tobytes() for a in arrays]
     head = struct.pack(f"<{len(raw)}q", *map(len, raw))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(raw))
+    return zstandard.ZstdCompressor(level=_LEVEL).compress(head + b"".join(raw))
 
 
 def _unpack(block: bytes, *types: type) -> list[np.ndarray]:
@@ -153,15 +156,10 @@ class Stretches:
     def contents(self) -> np.ndarray:
         """Hash of each stretch's bytes and of the anchor's place in it."""
         n = len(self.raw)
-        powers = np.full(n, _BASE, np.uint64)
-        powers[0] = 1
-        powers = np.multiply.accumulate(powers)
-        sums = np.cumsum((self.raw + np.uint64(1)) * powers, dtype=np.uint64)
+        sums = np.cumsum((self.raw + np.uint64(1)) * powers_of(_BASE, n), dtype=np.uint64)
         sums = np.concatenate([np.zeros(1, np.uint64), sums])
-        inverse = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-        inverse[0] = 1
-        inverse = np.multiply.accumulate(inverse)
-        of = (sums[self.start + self.length] - sums[self.start]) * inverse[self.start]
+        of = sums[self.start + self.length] - sums[self.start]
+        of *= powers_of(_INVERSE, n)[self.start]
         place = (self.anchor - self.start).astype(np.uint64)
         return mix(of ^ (self.length.astype(np.uint64) << np.uint64(32)) ^ place)
 
@@ -179,15 +177,30 @@ def _keys(hashes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return parts.astype(np.int64), keys << np.uint64(64 - KEY_BITS) | parts
 
 
+def _pieces(
+    docs: np.ndarray, texts: list[bytes], most: int = BLOCK_BYTES
+) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Documents, first bytes and pieces of texts; a text longer than a block comes in pieces
+    that share a window but for a byte, so that each window is whole in one of them."""
+    if all(len(text) <= most for text in texts):
+        return docs, np.zeros(len(texts), np.int64), texts
+    found = [
+        (doc, at, text[at : at + most + WINDOW - 1])
+        for doc, text in zip(docs.tolist(), texts, strict=True)
+        for at in range(0, max(1, len(text) - WINDOW + 1), most)
+    ]
+    own, first, pieces = zip(*found, strict=True)
+    return np.array(own, np.int64), np.array(first, np.int64), list(pieces)
+
+
 # --- the four steps ------------------------------------------------------
 
 def _send_keys(count: int) -> Callable:
-    """Each text once for its anchors' partitions, and once for its own."""
+    """The anchors of each document, dealt by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs = batch.column(0).to_numpy()
-            texts = batch.column(1).to_pylist()
+            docs, _, texts = _pieces(batch.column(0).to_numpy(), batch.column(1).to_pylist())
             for begin, end in blocks(texts):
                 found = Stretches(texts[begin:end])
                 parts, keys = _keys(found.hash, count)
@@ -311,7 +324,8 @@ def _send_stretches(count: int) -> Callable:
         wanted = np.sort(mix(keys ^ mix(owner.astype(np.uint64))))
         if not len(wanted):
             return
-        for docs, texts, _ in _texts_of(blocks_.get(TEXTS, [])):
+        for whole, uncut, _ in _texts_of(blocks_.get(TEXTS, [])):
+            docs, base, texts = _pieces(whole, uncut)
             for begin, end in blocks(texts):
                 found = Stretches(texts[begin:end])
                 doc = docs[begin:end][found.text]
@@ -329,7 +343,7 @@ def _send_stretches(count: int) -> Callable:
                 sizes = np.diff(np.append(np.flatnonzero(starts), len(order)))
                 smallest = np.repeat(doc[order][starts], sizes)
                 repeated = order[doc[order] > smallest]
-                place = found.start - found.begins[found.text]
+                place = found.start - found.begins[found.text] + base[begin:end][found.text]
                 yield _ranges(
                     doc[repeated],
                     place[repeated],

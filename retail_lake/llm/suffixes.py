@@ -75,14 +75,17 @@ def deep_shallow_sort(matrix: np.ndarray, shallow: int = 3) -> tuple[np.ndarray,
     number = int.from_bytes
     group = begin[active]
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])).tolist()
+    places: list[int] = []
+    runs: list[int] = []
     for first, last in zip(starts, [*starts[1:], len(active)], strict=True):
         values = [number(tails[at : at + size]) for at in range(first * size, last * size, size)]
-        low = int(active[first])
-        rows = order[low : low + last - first].copy()
-        at = low
+        if values.count(values[0]) == last - first:
+            places += range(first, last)
+            runs += [first] * (last - first)
+            continue
         for equal in blind_trie(values):
-            end = at + len(equal)
-            order[at:end] = rows[equal]
-            begin[at:end] = at
-            at = end
+            runs += [len(places)] * len(equal)
+            places += [first + place for place in equal]
+    begin[active] = active[runs]
+    order[active] = order[active[places]]
     return order, begin

@@ -89,3 +89,14 @@ def test_documents_keep_their_columns(odd, empty, corpus):
     assert texts[105] == "" and texts[5] == corpus[5] and texts[200] is None
     assert suffix_dedup.without_repeats(empty).count() == 0
     assert suffix_dedup.find_repeats(empty).count() == 0
+
+
+def test_long_texts_come_in_pieces_without_losing_a_window():
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcd", k=n)).encode() for n in (10, 49, 50, 130, 149, 500, 0)]
+    docs = np.arange(7)
+    own, first, pieces = suffix_dedup._pieces(docs, texts, most=100)
+    windows = {(d, f + at) for d, f, p in zip(own, first, pieces, strict=True) for at in range(len(p) - 49)}
+    assert windows == {(d, at) for d, t in enumerate(texts) for at in range(len(t) - 49)}
+    assert all(texts[d][f : f + len(p)] == p for d, f, p in zip(own, first, pieces, strict=True))
+    assert sum(max(0, len(p) - 49) for p in pieces) == len(windows)
