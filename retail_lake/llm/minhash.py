@@ -321,7 +321,6 @@ def cluster(documents: DataFrame) -> DataFrame:
     sets = ["n_shingles", "digest1", "digest2"]
     grouped = stage(known.groupBy(*sets).agg(F.min("doc_id").alias("first_id")), "classes")
     classes = grouped.rows
-    # Of rows that repeat a document one is enough.
     firsts = known.join(classes, [*sets]).where("doc_id = first_id").select("doc_id", "bands")
     pairs = stage(candidate_pairs(firsts), "pairs")
     found = components(confirm(pairs.rows, documents))
@@ -335,8 +334,11 @@ def cluster(documents: DataFrame) -> DataFrame:
     joined = joined.select(F.col("component").alias("a"), "b")
     joined = joined.join(parts, F.col("b") == F.col("of")).select("a", F.col("component").alias("b"))
     over = components(joined.distinct())
-    labels = named.rows.join(over.rows, F.col("component") == F.col("node"), "left").select(
-        F.col("doc_id").alias("of"), F.coalesce("label", "component").alias("component_id")
+    # Rows that repeat a document are one here.
+    labels = (
+        named.rows.join(over.rows, F.col("component") == F.col("node"), "left")
+        .groupBy(F.col("doc_id").alias("of"))
+        .agg(F.min(F.coalesce("label", "component")).alias("component_id"))
     )
     labelled = classes.join(labels, F.col("first_id") == F.col("of")).select(*sets, "component_id")
     labelled = stage(labelled, "classes").rows
