@@ -7,8 +7,7 @@ the defaults 48 minhashes serve 144 tables, and two sets at the threshold of 0.7
 a table with a probability of 0.9999.
 
 Documents with the same shingles are one from the start. In each table a document
-becomes a candidate with the first of its bucket and with the one before it, never with
-all. Candidates are confirmed on their full shingle sets, and links joined to components.
+becomes a candidate with the first of its bucket, never with all. Candidates are confirmed on their full shingle sets, and links joined to components.
 A second round looks at buckets that hold several components: there a document outside
 the largest is compared with others at random, in each table with others, since a loose
 group has members that are like many of it but not like its first. A batch sends a few
@@ -109,11 +108,9 @@ def _pairs(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _candidates(docs: np.ndarray, place: np.ndarray, begin: np.ndarray, least: int) -> np.ndarray:
-    """Each document from place ``least`` on with the first of its bucket and the one before."""
+    """Each document from place ``least`` on with the first of its bucket."""
     later = np.flatnonzero(place >= max(1, least))
-    first = np.column_stack([docs[begin[later]], docs[later]])
-    before = np.column_stack([docs[later - 1], docs[later]])
-    return _distinct(np.concatenate([first, before]))
+    return _distinct(np.column_stack([docs[begin[later]], docs[later]]))
 
 
 def _crossing(
@@ -217,7 +214,7 @@ def _partitions(frame: DataFrame) -> int:
 
 def candidate_pairs(sets: DataFrame, bands: int = BANDS) -> DataFrame:
     """Distinct pairs ``a < b`` of ``doc_id``: in each table a document with the first of its
-    bucket and with the one before it."""
+    bucket."""
     partitions = _partitions(sets)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

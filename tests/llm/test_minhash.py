@@ -107,7 +107,7 @@ def test_components_of_long_chains(spark):
 
 
 def test_loose_groups_are_joined_by_the_second_round(spark, by_id):
-    """Members like many of their group, but neither like its first nor the one before."""
+    """Members like many of their group, but not like its first."""
     rng = random.Random(12)
     rows = []
     for group in range(6):
