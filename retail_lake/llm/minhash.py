@@ -7,12 +7,11 @@ the defaults 48 minhashes serve 144 tables, and two sets at the threshold of 0.7
 a table with a probability of 0.9999.
 
 Documents with the same shingles are one from the start. In each table a document
-becomes a candidate with the first of its bucket, never with all. Candidates are confirmed on their full shingle sets, and links joined to components.
-A second round looks at buckets that hold several components: there a document outside
-the largest is compared with others at random, in each table with others, since a loose
-group has members that are like many of it but not like its first. A batch sends a few
-documents of a bucket on and pairs the others with those, so a bucket that holds a third
-of the corpus stays small.
+becomes a candidate with the first of its bucket over the whole corpus. Candidates are
+confirmed on their full shingle sets, and links joined to components. Further rounds do
+the same with a random first where a bucket still holds several components, until a round joins few.
+The documents of the buckets that are left then go through an exact join (a prefix filter
+on rare shingles), so that every pair that shares a table is joined or known to differ.
 
 Results, by case: NULL texts and texts without words have no shingles and are linked
 with nothing; a text of fewer than five words has all of them as one shingle; repeated
@@ -27,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_lake.llm.components import components
@@ -39,13 +38,10 @@ WORDS = 5
 SIMILAR = 75
 #: Bands of each collection, and minhashes of a band.
 BANDS, ROWS = 12, 2
-#: Documents of one bucket, or of one component in it, that a batch sends on.
-SENT = 4
-#: Others that a document is compared with in each table of the second round.
-PARTNERS = 2
-#: How often it has to meet a component in the tables of a partition to be compared. Of the
-#: twelve tables of a band two sets at the threshold share seven.
-MET = 3
+#: Documents that look up their buckets together.
+CHUNK = 5_000
+#: The exact join follows when a round joins less than one in so many of its documents.
+FEW = 50
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
@@ -97,22 +93,6 @@ def signatures(documents: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
     )
 
 
-def _pairs(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by key and document, place within the key, and where the key begins."""
-    order = np.lexsort((docs, keys))
-    keys = keys[order]
-    fresh = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-    begin = np.flatnonzero(fresh)
-    begin = np.repeat(begin, np.diff(np.append(begin, len(keys))))
-    return order, np.arange(len(keys)) - begin, begin
-
-
-def _candidates(docs: np.ndarray, place: np.ndarray, begin: np.ndarray, least: int) -> np.ndarray:
-    """Each document from place ``least`` on with the first of its bucket."""
-    later = np.flatnonzero(place >= max(1, least))
-    return _distinct(np.column_stack([docs[begin[later]], docs[later]]))
-
-
 def _crossing(
     keys: np.ndarray, docs: np.ndarray, parts: np.ndarray, partners: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -145,14 +125,7 @@ def _crossing(
     own = np.repeat(outside, partners)
     differ = parts[other] != parts[own]
     own, other = docs[own[differ]], other[differ]
-    # A similar component is met in many tables, one that shares a passage in few.
-    by_part = np.lexsort((parts[other], own))
-    x, p = own[by_part], parts[other][by_part]
-    fresh = np.ones(len(x), bool)
-    fresh[1:] = (x[1:] != x[:-1]) | (p[1:] != p[:-1])
-    times = np.diff(np.append(np.flatnonzero(fresh), len(x)))
-    often = by_part[np.repeat(times >= MET, times)]
-    return order, _distinct(np.column_stack([own[often], docs[other[often]]]))
+    return order, _distinct(np.column_stack([own, docs[other]]))
 
 
 def _distinct(pairs: np.ndarray) -> np.ndarray:
@@ -165,7 +138,7 @@ def _distinct(pairs: np.ndarray) -> np.ndarray:
     return pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])]
 
 
-def _table_keys(batch: pa.RecordBatch, bands: int, partitions: int):
+def _table_keys(batch: pa.Table, bands: int, partitions: int):
     """Document, key and partition of every table, document by document.
 
     All tables of one band of the first collection go to one partition, so a pair is
@@ -181,101 +154,174 @@ def _table_keys(batch: pa.RecordBatch, bands: int, partitions: int):
     return ids, keys, np.repeat(parts.ravel(), bands)
 
 
-def _packed(parts: np.ndarray, partitions: int, columns: dict[str, np.ndarray], pairs, number):
-    """One row for each partition with the bytes of its items, and one with the pairs."""
+def _packed(name: str, parts: np.ndarray, columns: dict[str, np.ndarray], of: int) -> pa.Table:
+    """One row for each part with the bytes of its items."""
     dealt = np.argsort(parts, kind="stable")
-    cuts = np.searchsorted(parts[dealt], np.arange(partitions + 1))
-    full = np.flatnonzero(np.diff(cuts))
-    out = {"part": pa.array([*full.tolist(), number % partitions], pa.int32())}
-    for name, values in columns.items():
+    own, first = np.unique(parts[dealt], return_index=True)
+    cuts = np.append(first, len(parts))
+    out = {name: own.astype(np.int64), "of": np.full(len(own), of, np.int64)}
+    for column, values in columns.items():
         raw = values[dealt].tobytes()
-        cells = [raw[8 * int(cuts[b]) : 8 * int(cuts[b + 1])] for b in full]
-        out[name] = pa.array([*cells, b""], pa.binary())
-    out["pairs"] = pa.array([b""] * len(full) + [pairs.tobytes()], pa.binary())
-    return pa.RecordBatch.from_pydict(out)
+        cells = [raw[8 * i : 8 * j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        out[column] = pa.array(cells, pa.binary())
+    return pa.table(out)
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], columns: int) -> list[bytes]:
-    """The bytes of each column of a partition, without the first."""
-    out: list[list[bytes]] = [[] for _ in range(columns)]
-    for batch in batches:
-        for values, kept in zip(batch.columns[1:], out, strict=True):
-            kept.append(b"".join(values.to_pylist()))
-    return [b"".join(cells) for cells in out]
-
+def _partitions(frame: DataFrame) -> int:
+    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def _as_batch(pairs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
 
+def _heads(keys: np.ndarray, docs: np.ndarray, groups: np.ndarray, turn: int):
+    """Order by key and rank, where each key begins, that place for each entry, and which
+    entries are of another component than the first of their key. Ranks are ids in turn 0 and
+    random afterwards; they depend on nothing but document and key."""
+    ids = docs.astype(np.uint64)
+    order = np.lexsort((docs, mix(ids ^ keys ^ np.uint64(turn)), keys) if turn else (docs, keys))
+    k, g = keys[order], groups[order]
+    fresh = np.ones(len(k), bool)
+    fresh[1:] = k[1:] != k[:-1]
+    begin = np.flatnonzero(fresh)
+    at = np.repeat(begin, np.diff(np.append(begin, len(k))))
+    return order, begin, at, g != g[at]
 
-def _partitions(frame: DataFrame) -> int:
-    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+def meetings(sets: DataFrame, turn: int, bands: int = BANDS) -> DataFrame:
+    """Pairs of the first document ``a`` of a table's bucket over the whole corpus and another
+    one ``b`` of it, if their ``component`` differs. A document of buckets with several
+    components that has no such pair is paired with itself.
 
-def candidate_pairs(sets: DataFrame, bands: int = BANDS) -> DataFrame:
-    """Distinct pairs ``a < b`` of ``doc_id``: in each table a document with the first of its
-    bucket."""
+    Documents are dealt to chunks by id. A chunk asks for each of its keys, with its first
+    document and one of another component, so a bucket brings few entries however many
+    documents it holds; it gets the first of the corpus back and compares all its members.
+    """
     partitions = _partitions(sets)
+    chunks = sets.count() // CHUNK + 1
+    dealt = sets.select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk"), "doc_id", "bands", "component"
+    )
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
-            ids, keys, parts = _table_keys(batch, bands, partitions)
-            docs = np.repeat(ids, bands * bands)
-            order, place, begin = _pairs(keys, docs)
-            linked = _candidates(docs[order], place, begin, SENT)
-            sent = order[place < SENT]
-            columns = {"keys": keys[sent], "docs": docs[sent]}
-            yield _packed(parts[sent], partitions, columns, linked, number)
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs, pairs = _gathered(batches, 3)
-        key, doc = np.frombuffer(keys, np.uint64), np.frombuffer(docs, np.int64)
-        order, place, begin = _pairs(key, doc)
-        found = _candidates(doc[order], place, begin, 1)
-        linked = np.frombuffer(pairs, np.int64).reshape(-1, 2)
-        yield _as_batch(np.concatenate([found, linked]))
-
-    sent = sets.select("doc_id", "bands").mapInArrow(
-        send, "part int, keys binary, docs binary, pairs binary"
+    def entries(table: pa.Table):
+        ids, keys, parts = _table_keys(table.select(["doc_id", "bands"]), bands, partitions)
+        groups = np.repeat(table.column("component").to_numpy(), bands * bands)
+        return keys, np.repeat(ids, bands * bands), groups, parts
+
+    def ask(table: pa.Table) -> pa.Table:
+        keys, docs, groups, parts = entries(table)
+        order, begin, at, other = _heads(keys, docs, groups, turn)
+        others = np.flatnonzero(other)
+        others = others[np.unique(at[others], return_index=True)[1]]
+        sent = order[np.concatenate([begin, others])]
+        columns = {"keys": keys[sent], "docs": docs[sent], "groups": groups[sent]}
+        return _packed("part", parts[sent], columns, table.column("chunk")[0].as_py())
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, docs, groups, chunk = [], [], [], []
+        for batch in batches:
+            cells = batch.column("keys").to_pylist()
+            keys += cells
+            docs += batch.column("docs").to_pylist()
+            groups += batch.column("groups").to_pylist()
+            sizes = [len(cell) // 8 for cell in cells]
+            chunk.append(np.repeat(batch.column("of").to_numpy(), sizes))
+        if not keys:
+            return
+        key, chunk = np.frombuffer(b"".join(keys), np.uint64), np.concatenate(chunk)
+        doc, group = (np.frombuffer(b"".join(x), np.int64) for x in (docs, groups))
+        order, begin, at, other = _heads(key, doc, group, turn)
+        several = np.zeros(len(order), bool)
+        several[at[other]] = True
+        asked = np.flatnonzero(several[at])
+        first = at[asked]
+        to = chunk[order[asked]]
+        # A chunk may have sent two entries of a key.
+        once = np.unique(np.column_stack([to, first]), axis=0)
+        to, head = once[:, 0], order[once[:, 1]]
+        columns = {"keys": key[head], "docs": doc[head], "groups": group[head]}
+        for out in _packed("chunk", to, columns, 0).to_batches():
+            yield out
+
+    def compare(table: pa.Table, replies: pa.Table) -> pa.Table:
+        keys, docs, groups, _ = entries(table)
+        key = np.frombuffer(b"".join(replies.column("keys").to_pylist()), np.uint64)
+        doc = np.frombuffer(b"".join(replies.column("docs").to_pylist()), np.int64)
+        group = np.frombuffer(b"".join(replies.column("groups").to_pylist()), np.int64)
+        if not len(key):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        order = np.argsort(key)
+        at = order[np.minimum(np.searchsorted(key[order], keys), len(key) - 1)]
+        hit = np.flatnonzero(key[at] == keys)
+        a, b = doc[at[hit]], docs[hit]
+        differ = group[at[hit]] != groups[hit]
+        alone = np.setdiff1d(b, b[differ])
+        pairs = np.unique(np.column_stack([a[differ], b[differ]]), axis=0)
+        pairs = np.concatenate([pairs, np.column_stack([alone, alone])])
+        return pa.table({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
+
+    asked = dealt.groupBy("chunk").applyInArrow(
+        ask, "part long, of long, keys binary, docs binary, groups binary"
+    )
+    asked = asked.repartitionById(partitions, F.col("part").cast("int"))
+    answers = asked.mapInArrow(
+        answer, "chunk long, of long, keys binary, docs binary, groups binary"
+    )
+    return (
+        dealt.groupBy("chunk")
+        .cogroup(answers.groupBy("chunk"))
+        .applyInArrow(compare, "a long, b long")
     )
-    met = sent.repartitionById(partitions, F.col("part")).mapInArrow(meet, "a long, b long")
-    return met.distinct()
 
 
-def crossing_pairs(sets: DataFrame, bands: int = BANDS, partners: int = PARTNERS) -> DataFrame:
-    """Distinct pairs ``a < b`` that meet in a table, but whose ``component`` differs. Of one
-    component in a bucket a batch sends a few on, and pairs the others by itself."""
-    partitions = _partitions(sets)
+def close_pairs(sets: DataFrame, documents: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """Pairs ``a < b`` of ``sets`` (``doc_id``, ``component``) whose component differs: all
+    that can be similar, and some that are not.
+
+    Shingles are ordered by rarity. Two similar sets share a shingle in the part of each
+    that lies before its last ``similar`` hundredths, and from the first one they share both
+    must go on for long enough.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = _bytes(batch.column(2))
+            for begin, end in blocks(texts):
+                hashes, first = shingle_sets(texts[begin:end], WORDS)
+                counts = np.diff(first)
+                own = {
+                    name: np.repeat(batch.column(i).to_numpy()[begin:end], counts)
+                    for i, name in enumerate(("doc", "component"))
+                }
+                sizes = np.repeat(counts, counts).astype(np.int64)
+                yield pa.RecordBatch.from_pydict(
+                    {**own, "n": sizes, "shingle": hashes.view(np.int64)}
+                )
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
-            ids, keys, parts = _table_keys(batch, bands, partitions)
-            docs = np.repeat(ids, bands * bands)
-            groups = np.repeat(batch.column(2).to_numpy(), bands * bands)
-            order, linked = _crossing(keys, docs, groups, partners)
-            inner = order[np.lexsort((groups[order], keys[order]))]
-            k, g = keys[inner], groups[inner]
-            fresh = np.ones(len(k), bool)
-            fresh[1:] = (k[1:] != k[:-1]) | (g[1:] != g[:-1])
-            begin = np.flatnonzero(fresh)
-            place = np.arange(len(k)) - np.repeat(begin, np.diff(np.append(begin, len(k))))
-            sent = inner[place < SENT]
-            columns = {"keys": keys[sent], "docs": docs[sent], "groups": groups[sent]}
-            yield _packed(parts[sent], partitions, columns, linked, number)
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs, groups, pairs = _gathered(batches, 4)
-        key = np.frombuffer(keys, np.uint64)
-        doc, group = np.frombuffer(docs, np.int64), np.frombuffer(groups, np.int64)
-        found = _crossing(key, doc, group, partners)[1]
-        linked = np.frombuffer(pairs, np.int64).reshape(-1, 2)
-        yield _as_batch(_distinct(np.concatenate([found, linked])))
-
-    sent = sets.select("doc_id", "bands", "component").mapInArrow(
-        send, "part int, keys binary, docs binary, groups binary, pairs binary"
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
+    rows = sets.join(texts, F.col("doc_id") == F.col("id")).select("doc_id", "component", "text")
+    shingles = rows.dropDuplicates().mapInArrow(
+        run, "doc long, component long, n long, shingle long"
+    )
+    shingles = stage(shingles, "shingles").rows
+    counted = shingles.groupBy("shingle", "component").agg(F.count("*").alias("many"))
+    known = counted.groupBy("shingle").agg(
+        F.sum("many").alias("all"),
+        F.count("*").alias("components"),
+        # Of two components one at least is another than the one with the most documents.
+        F.max_by("component", F.struct("many", "component")).alias("most"),
+    )
+    place = F.row_number().over(Window.partitionBy("doc").orderBy("all", "shingle"))
+    ranked = shingles.join(known, "shingle").withColumn("place", place.cast("long"))
+    early = ranked.where(
+        (F.col("components") > 1) & (100 * (F.col("n") - F.col("place") + 1) >= similar * F.col("n"))
+    )
+    early = stage(early.select("doc", "component", "n", "shingle", "place", "most"), "early").rows
+    x, y = early.where("component <> most").alias("x"), early.alias("y")
+    rest = F.least(F.expr("x.n - x.place"), F.expr("y.n - y.place")) + 1
+    long_enough = (100 + similar) * rest >= similar * F.expr("x.n + y.n")
+    return (
+        x.join(y, F.expr("x.shingle = y.shingle AND x.component <> y.component") & long_enough)
+        .select(F.expr("least(x.doc, y.doc) AS a"), F.expr("greatest(x.doc, y.doc) AS b"))
+        .distinct()
     )
-    met = sent.repartitionById(partitions, F.col("part")).mapInArrow(meet, "a long, b long")
-    return met.distinct()
 
 
 def confirm(pairs: DataFrame, documents: DataFrame, similar: int = SIMILAR) -> DataFrame:
@@ -310,6 +356,23 @@ def confirm(pairs: DataFrame, documents: DataFrame, similar: int = SIMILAR) -> D
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _joined(pairs: DataFrame, documents: DataFrame, parts: DataFrame) -> tuple[DataFrame, int]:
+    """``parts`` (``doc_id``, ``component``) with the similar pairs joined, and how many
+    components that took away."""
+    of = parts.select(F.col("doc_id").alias("of"), "component").distinct()
+    links = confirm(pairs, documents).join(of, F.col("a") == F.col("of"))
+    links = links.select(F.col("component").alias("a"), "b")
+    links = links.join(of, F.col("b") == F.col("of")).select("a", F.col("component").alias("b"))
+    over = components(links.distinct())
+    named = parts.join(over.rows, F.col("component") == F.col("node"), "left").select(
+        "doc_id", F.coalesce("label", "component").alias("component")
+    )
+    named = stage(named, "parts").rows
+    gone = over.rows.where("node <> label").count()
+    over.discard()
+    return named, gone
+
+
 def cluster(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (smallest ``doc_id`` reachable over links)
     and ``kept`` (true for that document)."""
@@ -319,28 +382,23 @@ def cluster(documents: DataFrame) -> DataFrame:
     grouped = stage(known.groupBy(*sets).agg(F.min("doc_id").alias("first_id")), "classes")
     classes = grouped.rows
     firsts = known.join(classes, [*sets]).where("doc_id = first_id").select("doc_id", "bands")
-    pairs = stage(candidate_pairs(firsts), "pairs")
-    found = components(confirm(pairs.rows, documents))
-    named = firsts.join(found.rows, F.col("doc_id") == F.col("node"), "left").select(
-        "doc_id", "bands", F.coalesce("label", "doc_id").alias("component")
-    )
-    named = stage(named, "named")
-    again = stage(crossing_pairs(named.rows), "pairs")
-    parts = named.rows.select(F.col("doc_id").alias("of"), "component")
-    joined = confirm(again.rows, documents).join(parts, F.col("a") == F.col("of"))
-    joined = joined.select(F.col("component").alias("a"), "b")
-    joined = joined.join(parts, F.col("b") == F.col("of")).select("a", F.col("component").alias("b"))
-    over = components(joined.distinct())
+    sets_of = stage(firsts, "sets").rows
+    parts = stage(sets_of.select("doc_id", F.col("doc_id").alias("component")), "parts").rows
+    active, turn, few = sets_of.join(parts, "doc_id"), 0, False
+    while not few:
+        met = stage(meetings(active, turn), "pairs").rows
+        pairs = met.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        parts, joined = _joined(pairs.distinct(), documents, parts)
+        mine = met.select(F.col("b").alias("doc_id")).distinct()
+        active = stage(sets_of.join(mine, "doc_id").join(parts, "doc_id"), "active").rows
+        turn += 1
+        few = turn > 1 and FEW * joined <= active.count()
+    # What is left: documents in buckets that hold several components.
+    parts, _ = _joined(close_pairs(active.drop("bands"), documents), documents, parts)
     # Rows that repeat a document are one here.
-    labels = (
-        named.rows.join(over.rows, F.col("component") == F.col("node"), "left")
-        .groupBy(F.col("doc_id").alias("of"))
-        .agg(F.min(F.coalesce("label", "component")).alias("component_id"))
-    )
+    labels = parts.groupBy(F.col("doc_id").alias("of")).agg(F.min("component").alias("component_id"))
     labelled = classes.join(labels, F.col("first_id") == F.col("of")).select(*sets, "component_id")
     labelled = stage(labelled, "classes").rows
-    for done in (pairs, found, named, again, over, grouped):
-        done.discard()
     mine = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = signed.select("doc_id", *sets).join(labelled, [*sets], "left")
     return out.select(

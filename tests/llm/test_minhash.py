@@ -134,3 +134,51 @@ def test_crossing_pairs_differ_in_component():
     together = {(a, b) for k in set(keys) for a in docs[keys == k] for b in docs[keys == k]}
     assert all((a, b) in together for a, b in pairs)
     assert len(minhash._crossing(keys[:0], docs[:0], parts[:0], 3)[1]) == 0
+
+
+def family(rng, members, template=86, own=14, linked=()):
+    """Documents of one template, below the threshold to each other, but for ``linked`` pairs."""
+    base = [f"t{i}" for i in range(template)]
+    texts = {k: [*base, *(f"o{k}x{i}" for i in range(own))] for k in range(members)}
+    for a, b in linked:
+        texts[b] = [*texts[a][:-3], "p", "q", f"r{b}"]
+    return [(k, " ".join(words)) for k, words in texts.items()]
+
+
+def test_links_within_a_large_bucket_of_unlinked_documents(spark, by_id):
+    rng = random.Random(3)
+    linked = [(i, 399 - i) for i in range(5, 45)]
+    rows = family(rng, 400, template=82, own=18, linked=linked)
+    want = brute(dict(rows))
+    assert sum(i != component for i, (_, component) in want.items()) == len(linked)
+    found = by_id(minhash.cluster(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: r.component_id for i, r in found.items()} == {i: c for i, (_, c) in want.items()}
+
+
+def test_first_of_a_bucket_does_not_depend_on_batches(spark):
+    rows = family(random.Random(4), 60)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = minhash.signatures(frame).selectExpr("doc_id", "bands", "doc_id AS component")
+    found = []
+    for size, chunk in ((10000, 5000), (3, 7)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        known, minhash.CHUNK = minhash.CHUNK, chunk
+        try:
+            found.append([sorted(minhash.meetings(sets, turn).collect()) for turn in (0, 1)])
+        finally:
+            minhash.CHUNK = known
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1] and (0, 59) in found[0][0]
+
+
+def test_exact_join_finds_all_similar_pairs(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choices("abc", k=rng.randrange(4, 14)))) for k in range(150)]
+    sets = {k: plain_set(text) for k, text in rows}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    own = frame.selectExpr("doc_id", "doc_id % 40 AS component")
+    found = {tuple(r) for r in minhash.close_pairs(own, frame).collect()}
+    for a, b in combinations(range(150), 2):
+        similar = 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+        assert a % 40 != b % 40 or (a, b) not in found
+        assert not similar or a % 40 == b % 40 or (a, b) in found
