@@ -72,10 +72,26 @@ def ranks_of(path: str) -> dict[bytes, int]:
     }
 
 
-class Tokenizer:
-    """Ids of a text, as the file's own library gives without special tokens."""
+@functools.lru_cache(maxsize=2)
+def added_of(path: str) -> dict[str, int]:
+    """Ids of the added tokens in a tokenizer file."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens", [])
+    if any(token.get(flag) for token in tokens for flag in ("lstrip", "rstrip", "single_word")):
+        raise ValueError("added tokens that take white space or whole words only")
+    return {token["content"]: token["id"] for token in tokens}
 
-    def __init__(self, path: str, pattern: str):
+
+class Tokenizer:
+    """Ids of a text, as the file's own library gives without adding special tokens. With
+    ``added`` the file's added tokens within a text have their own ids, as by the library's
+    defaults; without, they are ordinary text (``encode_special_tokens``)."""
+
+    def __init__(self, path: str, pattern: str, added: bool = False):
+        self._added = added_of(path) if added else {}
+        # The longest first, where one begins with another.
+        names = sorted(self._added, key=len, reverse=True)
+        self._split = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
         self._ranks, self._pattern = ranks_of(path), pattern
         self._fast = tiktoken.Encoding(
             "packing", pat_str=pattern, mergeable_ranks=self._ranks, special_tokens={}
@@ -83,12 +99,18 @@ class Tokenizer:
         self._slow: Encoder | None = None
 
     def ids(self, text: str) -> np.ndarray:
+        pieces = self._split.split(text) if self._split else [text]
+        found = [
+            np.array([self._added[piece]], np.uint32) if at % 2 else self._plain(piece)
+            for at, piece in enumerate(pieces)
+        ]
+        return np.append(np.concatenate(found), CLOSING_ID).astype(np.uint32)
+
+    def _plain(self, text: str) -> np.ndarray:
         if LONG_SPACE.search(text):
             self._slow = self._slow or Encoder(Vocabulary(self._ranks), self._pattern)
-            found = np.frombuffer(self._slow.encode([text])[0], np.uint32)
-        else:
-            found = self._fast.encode_to_numpy(text, disallowed_special=())
-        return np.append(found, CLOSING_ID).astype(np.uint32)
+            return np.frombuffer(self._slow.encode([text])[0], np.uint32)
+        return self._fast.encode_to_numpy(text, disallowed_special=())
 
 
 class Stock:
@@ -223,7 +245,7 @@ def pack_documents(
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(path, pattern)
+        tokenizer = Tokenizer(path, pattern, added=True)
         task = _Task(tiers, step, TaskContext.get().partitionId())
         types = {"ids": pa.binary(), "tier": pa.int32()}
         id_type = None

@@ -67,3 +67,17 @@ def test_step_groups_are_even():
 
 def test_empty_table(empty):
     assert pack(empty).count() == 0
+
+
+def test_added_tokens_have_their_ids_as_by_the_librarys_defaults(spark):
+    library = Tokenizer.from_file(PATH)
+    name = "<|endoftext|>"
+    texts = [f"a{name} x", name, name * 2, f" {name}\n\n{name} b", f"a{name[:-1]} b", f"{' ' * 20_001}{name}"]
+    want = [[*library.encode(text, add_special_tokens=False).ids, 0] for text in texts]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = defaultdict(list)
+    for r in pack(frame).collect():
+        pieces[r.doc_id].append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
+    for i, ids in enumerate(want):
+        assert [x for _, part in sorted(pieces[i]) for x in part] == ids
+    assert 50256 in want[0]
