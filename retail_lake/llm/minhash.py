@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from retail_lake.llm.components import components
 from retail_lake.llm.shingles import blocks, mix, multipliers, shingle_sets
-from retail_lake.workspace import stage
+from retail_lake.workspace import Staged, stage
 
 WORDS = 5
 #: Least similarity, in hundredths.
@@ -271,7 +271,12 @@ def meetings(sets: DataFrame, turn: int, bands: int = BANDS) -> DataFrame:
     )
 
 
-def close_pairs(sets: DataFrame, documents: DataFrame, similar: int = SIMILAR) -> DataFrame:
+def close_pairs(
+    sets: DataFrame,
+    documents: DataFrame,
+    similar: int = SIMILAR,
+    spent: list[Staged] | None = None,
+) -> DataFrame:
     """Pairs ``a < b`` of ``sets`` (``doc_id``, ``component``) whose component differs: all
     that can be similar, and some that are not.
 
@@ -295,12 +300,13 @@ def close_pairs(sets: DataFrame, documents: DataFrame, similar: int = SIMILAR) -
                     {**own, "n": sizes, "shingle": hashes.view(np.int64)}
                 )
 
+    spent = [] if spent is None else spent
     texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
     rows = sets.join(texts, F.col("doc_id") == F.col("id")).select("doc_id", "component", "text")
     shingles = rows.dropDuplicates().mapInArrow(
         run, "doc long, component long, n long, shingle long"
     )
-    shingles = stage(shingles, "shingles").rows
+    shingles = _spent(shingles, "shingles", spent)
     counted = shingles.groupBy("shingle", "component").agg(F.count("*").alias("many"))
     known = counted.groupBy("shingle").agg(
         F.sum("many").alias("all"),
@@ -313,7 +319,8 @@ def close_pairs(sets: DataFrame, documents: DataFrame, similar: int = SIMILAR) -
     early = ranked.where(
         (F.col("components") > 1) & (100 * (F.col("n") - F.col("place") + 1) >= similar * F.col("n"))
     )
-    early = stage(early.select("doc", "component", "n", "shingle", "place", "most"), "early").rows
+    early = early.select("doc", "component", "n", "shingle", "place", "most")
+    early = _spent(early, "early", spent)
     x, y = early.where("component <> most").alias("x"), early.alias("y")
     rest = F.least(F.expr("x.n - x.place"), F.expr("y.n - y.place")) + 1
     long_enough = (100 + similar) * rest >= similar * F.expr("x.n + y.n")
@@ -356,7 +363,15 @@ def confirm(pairs: DataFrame, documents: DataFrame, similar: int = SIMILAR) -> D
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _joined(pairs: DataFrame, documents: DataFrame, parts: DataFrame) -> tuple[DataFrame, int]:
+def _spent(df: DataFrame, label: str, spent: list[Staged]) -> DataFrame:
+    """The rows of a staged table that is to be discarded in the end."""
+    spent.append(stage(df, label))
+    return spent[-1].rows
+
+
+def _joined(
+    pairs: DataFrame, documents: DataFrame, parts: DataFrame, spent: list[Staged]
+) -> tuple[DataFrame, int]:
     """``parts`` (``doc_id``, ``component``) with the similar pairs joined, and how many
     components that took away."""
     of = parts.select(F.col("doc_id").alias("of"), "component").distinct()
@@ -367,7 +382,7 @@ def _joined(pairs: DataFrame, documents: DataFrame, parts: DataFrame) -> tuple[D
     named = parts.join(over.rows, F.col("component") == F.col("node"), "left").select(
         "doc_id", F.coalesce("label", "component").alias("component")
     )
-    named = stage(named, "parts").rows
+    named = _spent(named, "parts", spent)
     gone = over.rows.where("node <> label").count()
     over.discard()
     return named, gone
@@ -379,26 +394,29 @@ def cluster(documents: DataFrame) -> DataFrame:
     signed = stage(signatures(documents), "signatures").rows
     known = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     sets = ["n_shingles", "digest1", "digest2"]
-    grouped = stage(known.groupBy(*sets).agg(F.min("doc_id").alias("first_id")), "classes")
-    classes = grouped.rows
+    spent: list[Staged] = []
+    classes = _spent(known.groupBy(*sets).agg(F.min("doc_id").alias("first_id")), "classes", spent)
     firsts = known.join(classes, [*sets]).where("doc_id = first_id").select("doc_id", "bands")
-    sets_of = stage(firsts, "sets").rows
-    parts = stage(sets_of.select("doc_id", F.col("doc_id").alias("component")), "parts").rows
+    sets_of = _spent(firsts, "sets", spent)
+    parts = _spent(sets_of.select("doc_id", F.col("doc_id").alias("component")), "parts", spent)
     active, turn, few = sets_of.join(parts, "doc_id"), 0, False
     while not few:
-        met = stage(meetings(active, turn), "pairs").rows
+        met = _spent(meetings(active, turn), "pairs", spent)
         pairs = met.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        parts, joined = _joined(pairs.distinct(), documents, parts)
+        parts, joined = _joined(pairs.distinct(), documents, parts, spent)
         mine = met.select(F.col("b").alias("doc_id")).distinct()
-        active = stage(sets_of.join(mine, "doc_id").join(parts, "doc_id"), "active").rows
+        active = _spent(sets_of.join(mine, "doc_id").join(parts, "doc_id"), "active", spent)
         turn += 1
         few = turn > 1 and FEW * joined <= active.count()
     # What is left: documents in buckets that hold several components.
-    parts, _ = _joined(close_pairs(active.drop("bands"), documents), documents, parts)
+    rest = close_pairs(active.drop("bands"), documents, SIMILAR, spent)
+    parts, _ = _joined(rest, documents, parts, spent)
     # Rows that repeat a document are one here.
     labels = parts.groupBy(F.col("doc_id").alias("of")).agg(F.min("component").alias("component_id"))
     labelled = classes.join(labels, F.col("first_id") == F.col("of")).select(*sets, "component_id")
     labelled = stage(labelled, "classes").rows
+    for done in spent:
+        done.discard()
     mine = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = signed.select("doc_id", *sets).join(labelled, [*sets], "left")
     return out.select(
