@@ -1,15 +1,18 @@
 """The SQL of the operators that SQL can express, in DuckDB's dialect.
 
 SQL has neither the merges of a tokenizer, a learned lexicon, the random draws of a
-fingerprint or of label propagation, nor a reader of broken markup; those operators are
-held against brute force, an exact round trip or held-out labels in ``tests/llm``.
+fingerprint or of label propagation, nor a reader of broken markup, and all periods of all
+texts are too many for it; those operators are held against brute force, an exact round
+trip or held-out labels in ``tests/llm``.
 """
 
+from retail_lake.llm.infill import Rules as Forms
 from retail_lake.llm.minhash import SIMILAR, WORDS
 from retail_lake.llm.quality import BOILERPLATE, SYMBOLS, WINDOW, Rules
 from retail_lake.llm.suffix_dedup import WINDOW as BYTES
 
 RULES = Rules()
+FORMS = Forms()
 WORD = r"[^\x20\x09-\x0D]+"
 
 REPEATS = f"""WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -92,8 +95,42 @@ QUALITY = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
   SELECT *, NOT base_failed AND NOT n_lost_words > {RULES.most_lost}::DOUBLE * n_words AS kept
   FROM based"""
 
+def _group(number: int) -> str:
+    return f"CAST('0x' || substr(h, {8 * number + 1}, 8) AS BIGINT)"
+
+
+INFILL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+    sha256('{FORMS.seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+  g AS (SELECT doc_id, t, length(t) AS n, {", ".join(f"{_group(i)} AS h{i + 1}" for i in range(4))} FROM d),
+  f AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR {" OR ".join(f"contains(t, '{m}')" for m in FORMS.sentinels)}
+      OR h3 % 100 >= {100 - FORMS.plain_percent} THEN 'plain'
+      WHEN h4 % 100 < {FORMS.spm_percent} THEN 'spm' ELSE 'psm' END AS form FROM g),
+  parts AS (SELECT *, '{FORMS.prefix}' || substr(t, 1, a) AS prefix, '{FORMS.middle}' || substr(t, a + 1, b - a) AS middle,
+    '{FORMS.suffix}' || substr(t, b + 1) AS suffix FROM f)
+  SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN prefix || suffix || middle
+      ELSE suffix || prefix || middle END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts"""
+
+# 40 hex digits are eight groups of five, each of four digits to the base of 32.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_DIGITS = " || ".join(
+    f"substr('{BASE32}', ((v >> {shift}) & 31) + 1, 1)" for shift in (15, 10, 5, 0)
+)
+WARC = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+  o AS (SELECT html, max(page_id) AS owner FROM p GROUP BY html),
+  b AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, owner, array_to_string(list_transform(
+      list_transform(range(0, 8), lambda i: CAST('0x' || substr(sha1(html), 5 * i + 1, 5) AS INTEGER)),
+      lambda v: {_DIGITS}), '') AS payload_digest,
+    owner IS NULL OR page_id IS NOT DISTINCT FROM owner AS own FROM p JOIN o USING (html))
+  SELECT page_id, payload_bytes, payload_digest, CASE WHEN own THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN NOT own THEN owner END AS refers_to FROM b"""
+
 ORACLES: dict[str, str] = {
     "op4_suffixes": REPEATS,
     "op6_minhash": NEAR,
     "op10_quality": QUALITY,
+    "op11_infill": INFILL,
+    "op12_warc": WARC,
 }

@@ -11,14 +11,17 @@ import corpus_pipeline
 from retail_lake.llm import (
     bpe,
     fingerprint,
+    infill,
     minhash,
     packing,
     pages,
     quality,
+    repetitions,
     secrets,
     sharding,
     suffix_dedup,
     toxicity,
+    warc,
 )
 from retail_lake.llm.oracles import ORACLES
 
@@ -76,6 +79,20 @@ def op10_quality(spark, sf):
     return quality.verdicts(quality.assess(documents(spark, sf)))
 
 
+def op11_infill(spark, sf):
+    return infill.digests(infill.restored(infill.transform(documents(spark, sf))))
+
+
+def op12_warc(spark, sf):
+    return warc.packed_and_read(spark.read.parquet(f"{sf.rstrip('/')}/pages.parquet"))
+
+
+def op13_runs(spark, sf):
+    return repetitions.digests(
+        repetitions.collapse_runs(documents(spark, sf), edit=repetitions.planted)
+    )
+
+
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
 
@@ -91,6 +108,9 @@ _QUERIES = [
     op8_shards,
     op9_fingerprints,
     op10_quality,
+    op11_infill,
+    op12_warc,
+    op13_runs,
     pipeline,
 ]
 
