@@ -1,0 +1,127 @@
+import hashlib
+import random
+import re
+import time
+import zlib
+
+from pyspark.sql import functions as F
+
+from retail_lake.llm import repetitions
+
+
+def brute(words, shortest=12):
+    """All runs, by comparing every word with the one a period later."""
+    found, n = [], len(words)
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            if i > start and i + q - start >= 2 * q:
+                found.append((start, i + q - start, q))
+            i += i == start
+    smallest = [
+        r
+        for r in found
+        if not any(a <= r[0] and a + n >= r[0] + r[1] and q < r[2] for a, n, q in found)
+    ]
+    return sorted(r for r in smallest if r[1] >= shortest)
+
+
+def collapsed(words, runs):
+    dropped = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in dropped)
+
+
+def texts(rng, count):
+    for _ in range(count):
+        letters = rng.choice([1, 2, 2, 3, 5])
+        words = [rng.randrange(letters) for _ in range(rng.randrange(80))]
+        for _ in range(rng.randrange(3)):
+            unit = [rng.randrange(letters) for _ in range(rng.randrange(1, 20))]
+            at, more = rng.randrange(len(words) + 1), unit * rng.randrange(2, 6)
+            words[at:at] = more[: rng.randrange(1, len(more) + 1)]
+        yield words
+
+
+def test_runs_equal_brute_force():
+    for words in texts(random.Random(1), 500):
+        for shortest in (2, 12):
+            assert repetitions.runs_of(words, shortest) == brute(words, shortest)
+        assert repetitions.find_runs([b"%d" % w for w in words]) == brute(words)
+
+
+def test_runs_come_as_words_are_appended():
+    """Nothing beyond the appended word is looked at, and a run is given as it ends."""
+    words = [9, *[1, 2, 3] * 5, 7, 8, *[4, 5] * 8]
+    text, ended = repetitions.SquareText(words), {}
+    for at in range(len(words)):
+        for run in text.append():
+            ended[run] = at
+    assert ended == {(1, 15, 3): 16}
+    assert list(text.finish()) == [(18, 16, 2)]
+
+
+def test_hostile_texts_take_time_in_proportion():
+    rng = random.Random(4)
+    shapes = {
+        "one word": lambda n: [0] * n,
+        "long runs with breaks": lambda n: [0 if i % 500 else i + 1 for i in range(n)],
+        "two words": lambda n: [rng.randrange(2) for _ in range(n)],
+        "a long period": lambda n: [i % (n // 4) for i in range(n)],
+    }
+    for name, shape in shapes.items():
+        words, start = shape(40_000), time.process_time()
+        repetitions.runs_of(words)
+        assert time.process_time() - start < 40_000 * 400e-6, name
+
+
+def test_many_different_words_are_told_apart():
+    words = list(range(70_000)) * 2
+    assert repetitions.find_runs([b"%d" % w for w in words]) == [(0, 140_000, 70_000)]
+    assert repetitions.runs_of([0, 255, 254, 65_025, 65_024] * 3) == [(0, 15, 5)]
+
+
+def test_every_row_equals_brute_force(spark, odd, empty):
+    rng = random.Random(5)
+    more = [(1000 + i, " ".join(f"w{w}" for w in words)) for i, words in enumerate(texts(rng, 150))]
+    more += [(5000, "a b c  d\x0b\x0ce\r\n" * 20), (5001, "é ß " * 30)]
+    frame = odd.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    # The longest texts would take brute force too long.
+    frame = frame.where("text IS NULL OR length(text) < 9000")
+    rows = repetitions.digests(repetitions.collapse_runs(frame, edit=repetitions.planted)).collect()
+    want = []
+    for doc in frame.collect():
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", doc.text or "") if w]
+        if doc.doc_id is not None and words:
+            h = zlib.crc32(str(doc.doc_id).encode())
+            g, n = h // 10, len(words)
+            if h % 10 == 0:
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs = brute(words)
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None,) * 3)
+        listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        want.append(
+            (
+                doc.doc_id,
+                len(runs),
+                *best,
+                None if not runs else 1000 * best[1] // best[2],
+                hashlib.sha256(listed.encode()).hexdigest(),
+                hashlib.sha256(collapsed(words, runs).encode()).hexdigest(),
+            )
+        )
+    assert sorted(map(tuple, rows), key=repr) == sorted(want, key=repr)
+    assert repetitions.digests(repetitions.collapse_runs(empty)).count() == 0
+
+
+def test_spans_and_texts_with_clashing_columns(spark):
+    frame = spark.createDataFrame([(1, "x " + "a b " * 8 + "y"), (None, None)], "doc_id long, text string")
+    for name in ("runs", "collapsed", "best", "start", "length", "period"):
+        frame = frame.withColumn(name, F.lit("clash"))
+    rows = {r.doc_id: r for r in repetitions.collapse_runs(frame).collect()}
+    assert [tuple(r) for r in rows[1].runs] == [(1, 16, 2)] and rows[1].collapsed == "x a b y"
+    assert rows[None].runs == [] and rows[None].collapsed == ""
