@@ -131,6 +131,7 @@ ORACLES: dict[str, str] = {
     UNION ALL SELECT 'duplicate_key', 'product_id,order_date', CAST(SUM(n) AS BIGINT)
       FROM repeated) WHERE n_rows > 0""",
     "lossy_casts": "SELECT event_id, value FROM events WHERE value <> trunc(value)",
+    "lossy_days": "SELECT event_id, ts FROM events WHERE ts <> date_trunc('day', ts)",
     "stage_counts": f"""SELECT (SELECT COUNT(*) FROM ({RAW_STOCK})) AS n_read,
     (SELECT COUNT(*) FROM ({RAW_STOCK})
       WHERE product_id IS NOT NULL AND date IS NOT NULL) AS n_valid,
@@ -150,9 +151,22 @@ ORACLES: dict[str, str] = {
     WHERE ds <> (SELECT MIN(ds) FROM raw) AND ds <> DATE '{STORED_UNTIL}'
   UNION ALL SELECT CAST(1 AS BIGINT), 'replaced', MIN(ds) FROM raw""",
     "stock_get": RAW_STOCK,
+    "stock_answers": f"""WITH raw AS ({RAW_STOCK}),
+  rows AS (SELECT ds, COUNT(*) AS n FROM raw GROUP BY ds),
+  answered AS (SELECT ds FROM rows UNION SELECT CAST(d AS DATE) FROM (SELECT
+      UNNEST(generate_series(MIN(ds), MAX(ds), INTERVAL 1 DAY)) AS d FROM raw) WHERE day(d) % 2 = 1)
+  SELECT a.ds, CASE WHEN day(a.ds) % 2 = 1 THEN 0 ELSE COALESCE(n, 0) END AS n_rows
+    FROM answered a LEFT JOIN rows r ON r.ds = a.ds""",
     "store_cleared": f"SELECT * FROM ({RAW_STOCK}) WHERE ds < DATE '{STORED_UNTIL}'",
     "orders_merged": FACT_FIRST,
     "orders_merged_bucketed": FACT_FIRST,
+    "orders_merged_yearly": FACT_FIRST,
+    "clients_merged": """SELECT CAST(c_custkey AS INT) AS client_id,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN c_name WHEN c_nationkey = 7 THEN 'a copy'
+      ELSE 'later ' || c_name END AS fullname, CAST(c_nationkey AS INT) AS location_area_id
+  FROM customer""",
+    "refused_load": """SELECT CAST(c_custkey AS INT) AS client_id, c_name AS fullname,
+    CAST(c_nationkey AS INT) AS location_area_id FROM customer WHERE c_nationkey < 10""",
     "shop_day": SHOP_DAY,
     "stock_days": STOCK_RUN,
 }

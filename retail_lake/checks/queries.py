@@ -28,7 +28,9 @@ from retail_lake.plans import sample_shop as shop
 from retail_lake.sizing import fit_shuffle, input_bytes
 from retail_lake.sources import (
     BucketedTarget,
+    ConcurrentLoad,
     ParquetTarget,
+    answered_days,
     backfill,
     clear,
     daily,
@@ -165,6 +167,15 @@ def lossy_casts(spark, sf):
     return bad_rows(events, Contract("counts", schema, ("event_id",)))
 
 
+def lossy_days(spark, sf):
+    """Events whose moment is no whole day, under a contract that wants days."""
+    schema = T.StructType(
+        [T.StructField("event_id", T.LongType(), False), T.StructField("ts", T.DateType())]
+    )
+    events = shop.table(spark, sf, "events").select("event_id", "ts")
+    return bad_rows(events, Contract("days", schema, ("event_id",)))
+
+
 def stage_counts(spark, sf):
     out = new_path(spark, "silver")
     counts = to_silver(
@@ -264,6 +275,20 @@ def stock_get(spark, sf):
     return get_days(spark, name, daily.days_between(first, last), root, schema=STOCK_SCHEMA)
 
 
+def stock_answers(spark, sf):
+    """The ledger of a store whose source answers every other day without rows."""
+    root, name = new_path(spark, "store"), shop.register_stock_source(spark, sf)
+    first, last = shop.stock_days(spark, sf)
+    days = daily.days_between(first, last)
+    update_days(spark, name, days, root)
+    empty = [day for day in days if day.day % 2]
+    update_days(spark, _register(spark, dict.fromkeys(empty, []).get), empty, root)
+    with_rows = read_days(spark, root, first, last, "json", STOCK_SCHEMA)
+    with_rows = with_rows.groupBy("ds").agg(F.count(F.lit(1)).alias("n_rows"))
+    answered = answered_days(spark, root).join(with_rows, "ds", "left")
+    return answered.select("ds", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
+
+
 def store_cleared(spark, sf):
     """A full store is cleared and filled again with the first days only."""
     root = new_path(spark, "store")
@@ -300,6 +325,59 @@ def orders_merged_bucketed(spark, sf):
     return _two_loads(target, shop.orders(spark, sf)).select(*ORDERS.schema.names)
 
 
+def orders_merged_yearly(spark, sf):
+    """As ``orders_merged_bucketed``, in folders by year."""
+    path = new_path(spark, "gold")
+    target = BucketedTarget(ORDERS, "orders_" + path[-32:], path, 4, folders="year")
+    return _two_loads(target, shop.orders(spark, sf)).select(*ORDERS.schema.names)
+
+
+def clients_merged(spark, sf):
+    """A loaded segment, then all customers, those of one nation twice: wide rows, keys
+    without a day, and the target's keys filtered by the batch's."""
+    target = ParquetTarget(GOLD["clients"], new_path(spark, "gold"))
+    clients = shop.clients(spark, sf)
+    first = clients.join(
+        shop.table(spark, sf, "customer")
+        .where("c_mktsegment = 'BUILDING'")
+        .select(F.col("c_custkey").alias("client_id")),
+        "client_id",
+        "left_semi",
+    )
+    insert_new(first, target)
+    renamed = clients.where("location_area_id = 7").withColumn("fullname", F.lit("a copy"))
+    batch = clients.withColumn("fullname", F.concat(F.lit("later "), "fullname"))
+    insert_new(
+        batch.unionByName(renamed),
+        target,
+        on_duplicate="first",
+        order_by=["fullname"],
+        prefilter=True,
+    )
+    return target.read(spark)
+
+
+def refused_load(spark, sf):
+    """Two loads of one target read its keys at the same time. The second to append is
+    refused, so the target holds the first one's rows alone."""
+    target = ParquetTarget(GOLD["clients"], new_path(spark, "gold"))
+    clients = shop.clients(spark, sf)
+
+    class Overtaken(ParquetTarget):
+        """Another load comes in between reading the keys and appending."""
+
+        def keys(self, spark, days=None, span=None):
+            found = super().keys(spark, days, span)
+            insert_new(clients.where("location_area_id < 10"), target)
+            return found
+
+    try:
+        insert_new(clients, Overtaken(target.contract, target.path))
+    except ConcurrentLoad:
+        return target.read(spark)
+    raise AssertionError("both loads were let in")
+
+
 def _as_text(rows: DataFrame, name: str) -> DataFrame:
     """Rows of any gold table as ``table_name, row_key, attributes``."""
     contract = GOLD[name]
@@ -372,6 +450,7 @@ _QUERIES = {
     first_line: ["lineitem"],
     stock_contract_report: ["events"],
     lossy_casts: ["events"],
+    lossy_days: ["events"],
     stage_counts: ["events"],
     csv_roundtrip: ["documents"],
     json_roundtrip: ["events"],
@@ -382,9 +461,13 @@ _QUERIES = {
     stock_backfill: ["events"],
     stock_update: ["events"],
     stock_get: ["events"],
+    stock_answers: ["events"],
     store_cleared: ["events"],
     orders_merged: ["lineitem", "orders"],
     orders_merged_bucketed: ["lineitem", "orders"],
+    orders_merged_yearly: ["lineitem", "orders"],
+    clients_merged: ["customer"],
+    refused_load: ["customer"],
     shop_day: ["lineitem", "orders", "part", "customer", "supplier"],
     stock_days: ["events"],
 }

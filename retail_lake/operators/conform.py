@@ -19,7 +19,10 @@ log = logging.getLogger(__name__)
 BROKEN = "_broken"
 RULES_PER_COLUMN = 62
 
-_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+_REAL = (T.FloatType, T.DoubleType)
+_MOMENT = (T.TimestampType, T.TimestampNTZType)
+#: A text that is a day or a part of one, without a time of day.
+_DAY_ALONE = r"^\s*[+-]?\d+(-\d{1,2}(-\d{1,2})?)?\s*$"
 
 
 def broken_column(rule: int) -> tuple[str, int]:
@@ -32,18 +35,59 @@ def broken_columns(n_rules: int) -> list[str]:
     return list(dict.fromkeys(broken_column(n)[0] for n in range(max(1, n_rules))))
 
 
+def _kept(given: Column, source: T.DataType, target: T.DataType) -> Column | None:
+    """Whether a cast that succeeds keeps the whole value; None where it cannot lose any.
+
+    The value must survive the way back to its own type. A text has no one spelling, so it
+    is compared in a wider type instead. Rounding to a binary fraction is what such a type
+    is for: only an overflow to infinity counts there, and digits of a whole number.
+    """
+    typed = given.try_cast(target)
+    back = typed.try_cast(source) == given
+    text = isinstance(source, T.StringType)
+    whole = isinstance(source, T.IntegralType)
+    if isinstance(target, T.DateType):
+        if isinstance(source, _MOMENT):
+            return back
+        if text:
+            moment = given.try_cast("timestamp_ntz")
+            return F.coalesce(moment == typed.cast("timestamp_ntz"), given.rlike(_DAY_ALONE))
+    if isinstance(target, T.IntegralType):
+        return back if isinstance(source, (*_REAL, T.DecimalType, *_MOMENT)) else None
+    if isinstance(target, T.DecimalType):
+        if text:
+            wide = given.try_cast(T.DecimalType(38, min(38, max(18, target.scale))))
+            return F.coalesce(wide == typed, F.lit(True))
+        return back if isinstance(source, (*_REAL, T.DecimalType)) else None
+    if isinstance(target, _REAL):
+        if whole:
+            return back
+        if isinstance(source, (*_REAL, T.DecimalType, T.StringType)):
+            endless = F.lit(float("inf"))
+            wide = F.abs(given.try_cast("double"))
+            return F.isnan(typed) | (F.abs(typed) < endless) | (wide == endless)
+    if isinstance(target, T.BooleanType) and isinstance(source, T.NumericType):
+        return back
+    return None
+
+
+def exact(given: Column, source: T.DataType, target: T.DataType) -> Column:
+    """A value in another type, NULL where the cast fails or drops a part of it: a fraction,
+    a time of day, digits."""
+    typed = given.try_cast(target)
+    kept = None if source == target else _kept(given, source, target)
+    return typed if kept is None else F.when(kept, typed)
+
+
 def exact_cast(df: DataFrame, field: T.StructField) -> Column:
-    """A column in the contract's type, NULL where the cast fails or drops a fraction."""
-    given, source = F.col(field.name), df.schema[field.name].dataType
-    typed = given.try_cast(field.dataType)
-    if isinstance(source, _FRACTIONAL) and isinstance(field.dataType, T.IntegralType):
-        typed = F.when(typed.try_cast(source) == given, typed)
-    return typed.alias(field.name)
+    """A column in the contract's type, NULL where the cast fails or drops a part."""
+    source = df.schema[field.name].dataType
+    return exact(F.col(field.name), source, field.dataType).alias(field.name)
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """Contract columns in contract order; a value that cannot be cast, or only with
-    loss of its fraction, is NULL."""
+    loss of a part, is NULL."""
     return df.select([exact_cast(df, f) for f in contract.schema])
 
 

@@ -18,16 +18,19 @@ from retail_lake.operators.conform import (
     exact_cast,
     row_rules,
 )
-from retail_lake.operators.joins import new_rows
+from retail_lake.operators.joins import new_rows, possible_partners
 from retail_lake.operators.quality import first_per_key
 from retail_lake.sizing import shuffles_at
-from retail_lake.sources.targets import Days, month_of
+from retail_lake.sources.targets import Days, Span, month_of
+from retail_lake.storage import total_bytes
 from retail_lake.workspace import Staged, stage
 
 log = logging.getLogger(__name__)
 
 #: How many batch rows a merged row stands for.
 COPIES = "_copies"
+#: Stored bytes from which an undated target's keys are filtered by those of the batch.
+FILTER_BYTES = 1024 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -52,34 +55,46 @@ class Inserted:
 
 
 def key_facts(batch: DataFrame, contract: Contract) -> DataFrame:
-    """For each day that the batch gives, ``n_rows`` and ``n_keyless``, how many of them
-    have a NULL or bad key. One narrow pass; a few rows for each day of the calendar."""
+    """For each day that the batch gives, ``n_rows``, ``n_keyless``, how many of them have a
+    NULL or bad key, and ``low`` and ``high``, the span of the first key column as text.
+
+    One narrow pass; one row for each day of the calendar however finely the batch's own
+    column tells times, and one for all that is no day.
+    """
     typed = [exact_cast(batch, contract.schema[k]) for k in contract.key]
     keyless = reduce(lambda a, b: a | b, [k.isNull() for k in typed])
-    day = [F.col(contract.day)] if contract.day else []
+    day = [exact_cast(batch, contract.schema[contract.day])] if contract.day else []
     return batch.groupBy(*day).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(keyless).alias("n_keyless")
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(keyless).alias("n_keyless"),
+        F.min(typed[0]).cast("string").alias("low"),
+        F.max(typed[0]).cast("string").alias("high"),
     )
 
 
-def _check_keys(facts: DataFrame, contract: Contract) -> Days | None:
-    """Refuse NULL keys and return the batch's days as text, so that they hold years
-    Python's dates do not know.
+def _check_keys(facts: DataFrame, contract: Contract) -> tuple[Days | None, Span | None]:
+    """Refuse NULL keys; give the batch's days, or the span of its keys if they have no day.
+    Both are text, so that they hold years Python's dates do not know.
 
     This comes before the merge's shuffle, which would otherwise send all rows with a
     NULL key to the same task.
     """
-    day = F.col(contract.day).try_cast("date") if contract.day else F.lit(None).cast("date")
+    day = F.col(contract.day) if contract.day else F.lit(None).cast("date")
+    kind = contract.schema[contract.key[0]].dataType
     text = day.cast("string")
-    n_keyless, first, last, months = facts.agg(
+    n_keyless, first, last, months, low, high = facts.agg(
         F.coalesce(F.sum("n_keyless"), F.lit(0)),
         F.min(day).cast("string"),
         F.max(day).cast("string"),
         F.collect_set(month_of(text)),  # as many as the calendar has
+        F.min(F.col("low").cast(kind)).cast("string"),
+        F.max(F.col("high").cast(kind)).cast("string"),
     ).first()
     if n_keyless:
         raise ContractViolation(contract.name, [f"NULL or bad key: {n_keyless} rows"])
-    return None if first is None else Days(first, last, tuple(sorted(months)))
+    if contract.day:
+        return (None if first is None else Days(first, last, tuple(sorted(months)))), None
+    return None, (None if low is None else Span(contract.key[0], low, high))
 
 
 def _check_staged(
@@ -102,6 +117,84 @@ def _check_staged(
     return n_new
 
 
+def _at_once(
+    marked: DataFrame, existing: DataFrame | None, contract: Contract, order_by: list[str], marks
+) -> Staged:
+    """New rows of a batch with one value column or none: a hash aggregate by key, and the
+    anti-join in the same partitioning."""
+    rows = _first_of_copies(marked, contract, order_by, marks)
+    if existing is not None:
+        rows = new_rows(rows, existing, list(contract.key))
+    return stage(rows, f"new-{contract.name}")
+
+
+def _first_of_copies(marked: DataFrame, contract: Contract, order_by: list[str], marks):
+    keys = list(contract.key)
+    return first_per_key(
+        marked,
+        keys,
+        order_by,
+        values=[c for c in contract.schema.names if c not in keys],
+        also=[F.count(F.lit(1)).alias(COPIES), *[F.bit_or(c).alias(c) for c in marks]],
+    )
+
+
+def _keys_first(
+    marked: DataFrame, existing: DataFrame | None, contract: Contract, order_by: list[str], marks
+) -> Staged:
+    """New rows of a batch with several value columns, whose least row only a sort can find.
+
+    The keys go first: counted, joined against the target's and staged. The wide rows are
+    then read for new keys only, and sorted only for new keys that repeat. A snapshot
+    whose keys all exist is neither moved nor sorted, and the staged keys, none, are all
+    that is given.
+    """
+    keys = list(contract.key)
+    counted = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES))
+    if existing is not None:
+        counted = new_rows(counted, existing, keys)
+    staged_keys = stage(counted, f"new-keys-{contract.name}")
+    fresh = staged_keys.rows
+    n_new, n_repeated = fresh.agg(F.count(F.lit(1)), F.count_if(F.col(COPIES) > 1)).first()
+    if not n_new:
+        return staged_keys
+    many = fresh.where(F.col(COPIES) > 1).select(*keys)
+    if existing is not None:
+        rows = marked.join(fresh.where(F.col(COPIES) == 1).select(*keys), keys, "left_semi")
+    elif n_repeated:
+        rows = marked.join(many, keys, "left_anti")
+    else:
+        rows = marked
+    rows = rows.withColumn(COPIES, F.lit(1).cast("long"))
+    if n_repeated:
+        repeated = marked.join(many, keys, "left_semi")
+        rows = rows.unionByName(_first_of_copies(repeated, contract, order_by, marks))
+    staged = stage(rows.select(*contract.schema.names, COPIES, *marks), f"new-{contract.name}")
+    staged_keys.discard()
+    n_rows = staged.rows.count()
+    if n_rows != n_new:
+        finding = f"{n_new} new keys became {n_rows} rows: the batch changed while it was read"
+        raise ContractViolation(contract.name, [finding], staged)
+    return staged
+
+
+def _append(target, rows: DataFrame, n_new: int, n_bytes: int, days: Days | None, seen) -> None:
+    """Append behind a claim, where the target has them."""
+    spark = rows.sparkSession
+    if seen is None:
+        target.append(rows, n_new, n_bytes, days)
+        return
+    number = target.claims.take(spark, seen)
+    try:
+        target.append(rows, n_new, n_bytes, days)
+    except Exception:
+        # The write is over; what it may have left is there for the next load to see. An
+        # interrupt is no such end, and leaves the claim.
+        target.claims.finish(spark, number)
+        raise
+    target.claims.finish(spark, number)
+
+
 def insert_new(
     batch: DataFrame,
     target,
@@ -109,6 +202,7 @@ def insert_new(
     order_by: Sequence[str] = (),
     count_existing: bool = False,
     facts: DataFrame | None = None,
+    prefilter: bool | None = None,
 ) -> Inserted:
     """Append the batch rows whose key the target lacks.
 
@@ -118,12 +212,15 @@ def insert_new(
     refuses a key of which any row breaks a rule. ``facts`` are the ``key_facts`` of the
     batch, where the caller has them.
 
-    The batch is shuffled once, by key: copies of a key collapse into one
-    counted row before they move, and the anti-join uses the same partitioning.
-    Its result is staged, so new rows are computed once. All rules are checked
-    on the staged rows, and the target is touched last: a refused load leaves
-    nothing behind, and a load that died halfway is completed by running it
-    again.
+    ``prefilter`` says whether keys of an undated target pass a filter made of the batch's
+    before they are shuffled; by default that depends on the bytes that are stored.
+
+    Keys are shuffled once: copies of a key collapse into one counted row before they move,
+    and the anti-join uses the same partitioning. New rows are staged, so they are computed
+    once. All rules are checked on the staged rows, and the target is touched last: a
+    refused load leaves nothing behind, and a load that died halfway is completed by
+    running it again. Of two loads of a file target at the same time the later one ends
+    in ``ConcurrentLoad`` before it appends.
     """
     if on_duplicate not in ("error", "first"):
         raise ValueError(f"on_duplicate: {on_duplicate!r}")
@@ -132,26 +229,31 @@ def insert_new(
     spark, contract = batch.sparkSession, target.contract
     keys, columns = list(contract.key), contract.schema.names
 
-    days = _check_keys(key_facts(batch, contract) if facts is None else facts, contract)
+    claims = getattr(target, "claims", None)
+    seen = None if claims is None else claims.begin(spark)
+    days, span = _check_keys(
+        key_facts(batch, contract) if facts is None else facts, contract
+    )
     n_existing = target.count(spark) if count_existing else None
     marks = broken_columns(len(list(row_rules(batch, contract))))
-    rows = first_per_key(
-        conform_marked(batch, contract),
-        keys,
-        list(order_by),
-        values=[c for c in columns if c not in keys],
-        also=[F.count(F.lit(1)).alias(COPIES), *[F.bit_or(c).alias(c) for c in marks]],
-    )
-    existing = target.keys(spark, days)
-    if existing is not None:
-        rows = new_rows(rows, existing, keys)
+    marked = conform_marked(batch, contract)
+    existing = target.keys(spark, days, span)
+    if existing is not None and days is None:
+        if prefilter is None:
+            prefilter = hasattr(target, "n_bytes") and target.n_bytes(spark) >= FILTER_BYTES
+        if prefilter:
+            existing = possible_partners(existing, marked.select(*keys), keys)
+    new = _at_once if len(columns) - len(keys) < 2 else _keys_first
     # A bucketed target's rows stay where they are if the batch meets them in as many parts.
     with shuffles_at(spark, getattr(target, "buckets", None)):
-        staged = stage(rows, f"new-{contract.name}")
+        staged = new(marked, existing, contract, list(order_by), marks)
+    if not set(columns) <= set(staged.rows.columns):
+        log.info("%s: no new rows, %s before", contract.name, n_existing)
+        return Inserted(spark.createDataFrame([], contract.schema), 0, staged, n_existing)
 
     n_new = _check_staged(batch, staged, contract, on_duplicate)
     log.info("%s: %d new rows, %s before", contract.name, n_new, n_existing)
     inserted = staged.rows.select(*columns)
     if n_new:
-        target.append(inserted, n_new)
+        _append(target, inserted, n_new, total_bytes(spark, staged.path), days, seen)
     return Inserted(inserted, n_new, staged, n_existing)

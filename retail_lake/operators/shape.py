@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retail_lake.functions.calendar import calendar_parts
+from retail_lake.operators.conform import exact
 from retail_lake.operators.joins import join_dimensions
 
 
@@ -43,9 +45,11 @@ def dates(df: DataFrame, column: str) -> DataFrame:
     """One row per day of ``column``, from orders or from stock rows.
 
     Days are made distinct before their parts are derived: the shuffle carries
-    one date per map task and day, and nothing is sorted.
+    one date per map task and day, and nothing is sorted. What is no whole day, or a
+    moment within one, becomes a NULL that a merge refuses.
     """
-    days = df.select(F.col(column).try_cast("date").alias("order_date")).distinct()
+    day = exact(F.col(column), df.schema[column].dataType, T.DateType())
+    days = df.select(day.alias("order_date")).distinct()
     return days.select("order_date", *calendar_parts(F.col("order_date")))
 
 
@@ -58,8 +62,9 @@ def out_of_stock(stock: DataFrame) -> DataFrame:
 
     Rows are made distinct after the cast, so two spellings of a day are one.
     """
+    kinds = {f.name: f.dataType for f in stock.schema}
     typed = stock.select(
-        F.col("product_id").try_cast("int").alias("product_id"),
-        F.col("date").try_cast("date").alias("order_date"),
+        exact(F.col("product_id"), kinds["product_id"], T.IntegerType()).alias("product_id"),
+        exact(F.col("date"), kinds["date"], T.DateType()).alias("order_date"),
     )
     return typed.distinct().withColumn("store_id", F.lit(None).cast("int"))

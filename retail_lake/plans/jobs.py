@@ -155,10 +155,10 @@ def transform_stock(
         validate=validate(schema.names),
         clean=clean_stock,
     )
-    for day in files.stored_days(spark, silver):
-        if first <= day <= last and day not in written:
-            # An earlier run left rows for a day that now has none.
-            files.write_day(spark.createDataFrame([], schema), silver, day)
+    # An earlier run left rows for days that now have none.
+    stored = files.folder_days(spark, silver)
+    emptied = [day for day in stored if first <= day <= last and day not in written]
+    files.empty_days(spark, silver, emptied, schema, "parquet")
     return counts
 
 

@@ -19,9 +19,9 @@ Hook = Callable[[DataFrame], DataFrame]
 class StageCounts:
     """Rows read, left after validation and left after cleaning.
 
-    They are taken while the one write runs. A task that is run again after a
-    lost executor adds its rows again to counts taken before a shuffle, so use
-    them as a log; what decides anything is counted on written tables.
+    They are taken while the one write runs, and by task partition: where a partition was
+    counted twice, as a map task that runs again after a lost executor is, or where a hook
+    reads its input twice, the rows are counted again by a job of their own.
     """
 
     n_read: int
@@ -49,25 +49,46 @@ def to_silver(
     return counts
 
 
+_ROW = "_row_of_partition"
+
+
 @dataclass(frozen=True)
 class _Counted:
+    source: DataFrame
     rows: DataFrame
     seen: Observation
 
     def count(self) -> int:
         try:
-            return self.seen.get["n"]
+            seen = self.seen.get
         except Py4JJavaError as error:
             # Nothing was left to write, and adaptive execution dropped the finished
             # stages from its plan together with what they observed.
             if "toPyRow" not in str(error):
                 raise
-            return self.rows.count()
+            return self.source.count()
+        if seen["n_begun"] == len(seen["partitions"]):
+            return seen["n"]
+        log.info("silver: partitions counted twice, %d rows are counted anew", seen["n"])
+        return self.source.count()
 
 
 def _counted(df: DataFrame, before: _Counted | None = None) -> _Counted:
-    """Count ``df``, or reuse the count before it if the stage changed nothing."""
+    """Count ``df``, or reuse the count before it if the stage changed nothing.
+
+    Every task partition that has rows says so with its first one: if there are more of these
+    than partitions, some were counted more than once.
+    """
     if before is not None and df is before.rows:
         return before
     seen = Observation()
-    return _Counted(df.observe(seen, F.count(F.lit(1)).alias("n")), seen)
+    row = F.col(_ROW)
+    first = row.bitwiseAND((1 << 33) - 1) == 0
+    numbered = df.withColumn(_ROW, F.monotonically_increasing_id())
+    observed = numbered.observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(first).alias("n_begun"),
+        F.collect_set(F.when(first, F.shiftright(row, 33).cast("int"))).alias("partitions"),
+    )
+    return _Counted(df, observed.drop(_ROW), seen)

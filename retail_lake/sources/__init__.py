@@ -1,3 +1,4 @@
+from retail_lake.sources.claims import Claims, ConcurrentLoad
 from retail_lake.sources.daily import (
     NoData,
     Unauthorized,
@@ -9,6 +10,7 @@ from retail_lake.sources.daily import (
     update_days,
 )
 from retail_lake.sources.files import (
+    answered_days,
     clear,
     dated_name,
     open_table,
@@ -24,10 +26,13 @@ from retail_lake.sources.targets import BucketedTarget, ParquetTarget
 
 __all__ = [
     "BucketedTarget",
+    "Claims",
+    "ConcurrentLoad",
     "JdbcTarget",
     "NoData",
     "ParquetTarget",
     "Unauthorized",
+    "answered_days",
     "backfill",
     "clear",
     "daily_source",

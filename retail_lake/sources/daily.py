@@ -21,7 +21,16 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from retail_lake.operators.joins import new_rows
-from retail_lake.sources.files import DAY, read_days, stored_days, write_day, write_days
+from retail_lake.sources.files import (
+    DAY,
+    answered_days,
+    empty_days,
+    folder_days,
+    read_days,
+    record_answers,
+    stored_days,
+    write_days,
+)
 
 # Workers get this module with the pickled source, installed there or not.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -179,7 +188,11 @@ def update_days(
 ) -> list[dt.date]:
     """Fetch ``days`` again and replace them in the store; returns those that were
     answered. An answer without rows is a stored day without rows; a day that the
-    source does not have keeps what was stored for it."""
+    source does not have keeps what was stored for it.
+
+    Days are entered in the store's ledger by one write, after their rows. A run that dies
+    before leaves its days out of the ledger, and a backfill asks for the empty ones again.
+    """
     listed = ",".join(day.isoformat() for day in days)
     rows = spark.read.format(name).options(days=listed, answers="true").load()
     seen = Observation()
@@ -188,9 +201,12 @@ def update_days(
     answers = marked.where(~F.col(ANSWERED)).drop(ANSWERED)
     stored = write_days(answers, root, fmt, gather=False)
     answered = sorted(seen.get["days"])
-    empty = spark.createDataFrame([], rows.drop(DAY, ANSWERED).schema)
-    for day in sorted(set(answered) - set(stored["days"])):
-        write_day(empty, root, day, fmt)
+    without_rows = set(answered) - set(stored["days"])
+    if without_rows:
+        # Only days that had rows before have anything to lose.
+        emptied = without_rows.intersection(folder_days(spark, root))
+        empty_days(spark, root, emptied, rows.drop(DAY, ANSWERED).schema, fmt)
+    record_answers(spark, root, answered)
     return answered
 
 
@@ -200,9 +216,9 @@ def backfill(
     """Fetch only those ``days`` the store lacks; returns the days added."""
     schema = T.StructType([T.StructField(DAY, T.DateType())])
     requested = spark.createDataFrame([(day,) for day in days], schema)
-    stored = spark.createDataFrame([(day,) for day in stored_days(spark, root)], schema)
     # At most the days the caller listed come back.
-    missing = [r[0] for r in missing_days(requested, stored).orderBy(F.col(DAY)).collect()]
+    missing = missing_days(requested, answered_days(spark, root))
+    missing = sorted(row[DAY] for row in missing.collect())
     return update_days(spark, name, missing, root, fmt) if missing else []
 
 
@@ -219,5 +235,9 @@ def get_days(
     backfill(spark, name, days, root, fmt)
     if not set(days) & set(stored_days(spark, root)):
         return None
+    if not folder_days(spark, root):
+        # Answers without rows alone: there is nothing to read a schema from.
+        fields = [] if schema is None else schema.fields
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField(DAY, T.DateType())]))
     rows = read_days(spark, root, min(days), max(days), fmt, schema)
     return rows.where(F.col(DAY).isin(days))

@@ -3,15 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_lake.storage import exists, matching_names
+from retail_lake.storage import copy_file, delete_folder, exists, has_files, matching_names
+from retail_lake.workspace import new_path
 
 DAY = "ds"
+#: Folder of a store with the ledger of the days that its source has answered. Spark reads
+#: no folder with such a name as data.
+LEDGER = "_answered"
+LEDGER_SCHEMA = T.StructType(
+    [T.StructField(DAY, T.DateType()), T.StructField("answered_at", T.TimestampType())]
+)
 
 #: Options of each supported format. CSV quotes are doubled and values may hold
 #: line breaks, as relational exports write them; blanks around a text belong to
@@ -169,14 +177,66 @@ def write_days(
     return seen.get
 
 
-def stored_days(spark: SparkSession, root: str) -> list[dt.date]:
-    """Days a store holds, from its folder names alone."""
+def folder_days(spark: SparkSession, root: str) -> list[dt.date]:
+    """Days that have a folder in a store, from the folders' names alone."""
     names = matching_names(spark, f"{str(root).rstrip('/')}/{DAY}=*")
     return [dt.date.fromisoformat(name.partition("=")[2]) for name in names]
 
 
+def _ledger(root: str) -> str:
+    return f"{str(root).rstrip('/')}/{LEDGER}"
+
+
+def record_answers(spark: SparkSession, root: str, days: Iterable[dt.date]) -> None:
+    """Enter days in the store's ledger: one small write, however many days."""
+    rows = [(day,) for day in sorted(set(days))]
+    if rows:
+        entered = spark.createDataFrame(rows, T.StructType(LEDGER_SCHEMA.fields[:1]))
+        entered = entered.coalesce(1).withColumn("answered_at", F.current_timestamp())
+        entered.write.mode("append").parquet(_ledger(root))
+
+
+def answered_days(spark: SparkSession, root: str) -> DataFrame:
+    """Distinct ``ds`` that the store's source has answered, by its ledger and by the
+    folders of days that were stored otherwise."""
+    schema = T.StructType(LEDGER_SCHEMA.fields[:1])
+    days = spark.createDataFrame([(day,) for day in folder_days(spark, root)], schema)
+    if has_files(spark, _ledger(root)):
+        ledger = spark.read.schema(LEDGER_SCHEMA).parquet(_ledger(root))
+        days = days.unionByName(ledger.select(DAY))
+    return days.distinct()
+
+
+def stored_days(spark: SparkSession, root: str) -> list[dt.date]:
+    """Days a store holds, those that were answered without rows included. At most the days
+    of a calendar; without a ledger only folder names are read."""
+    if not has_files(spark, _ledger(root)):
+        return folder_days(spark, root)
+    return sorted(row[DAY] for row in answered_days(spark, root).collect())
+
+
+def empty_days(
+    spark: SparkSession, root: str, days: Iterable[dt.date], schema: T.StructType, fmt: str
+) -> None:
+    """Replace stored days by nothing: one empty table is written, and its file takes the
+    place of those in each day's folder. A day keeps its rows until the file is there."""
+    days = sorted(set(days))
+    if not days:
+        return
+    blank = new_path(spark, "blank")
+    _writer(spark.createDataFrame([], schema), fmt).save(blank)
+    (name,) = matching_names(spark, f"{blank}/part-*")
+    for day in days:
+        folder = day_path(root, day)
+        before = matching_names(spark, f"{folder}/part-*")
+        copy_file(spark, f"{blank}/{name}", f"{folder}/{name}")
+        for old in before:
+            delete_folder(spark, f"{folder}/{old}")
+    delete_folder(spark, blank)
+
+
 def clear(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "parquet") -> bool:
-    """Drop every stored day; says whether there was one.
+    """Drop every stored day and the ledger; says whether there was a day.
 
     Writes an empty table over the store, so nothing outside it can go.
     """

@@ -6,10 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from retail_lake.contracts import Contract
-from retail_lake.sources.targets import Days
+from retail_lake.sources.targets import Days, Span, near_keys
 
 FETCH_ROWS = 10_000
 
@@ -89,14 +88,16 @@ class JdbcTarget:
     partitions: int = 32
     atomic: bool = False
 
-    def keys(self, spark: SparkSession, days: Days | None = None) -> DataFrame:
+    def keys(
+        self, spark: SparkSession, days: Days | None = None, span: Span | None = None
+    ) -> DataFrame:
         contract = self.contract
         if days is None:
             rows = snapshot(
                 spark, self.url, self.table, self.properties, self.split, self.partitions
             )
         else:
-            # Only the batch's days are asked of the database.
+            # Only the batch's days are asked of the database, as is a span of keys.
             rows = snapshot(
                 spark,
                 self.url,
@@ -106,16 +107,16 @@ class JdbcTarget:
                 self.partitions,
                 bounds=days[:2] if self.split in (None, contract.day) else None,
             )
-            first, last = (F.lit(d).cast("date") for d in days[:2])
-            rows = rows.where(rows[contract.day].between(first, last))
-        return rows.select(*contract.key)
+        return near_keys(rows, contract, days, span)
 
     def count(self, spark: SparkSession) -> int:
         query = f"SELECT COUNT(*) AS n FROM {self.table}"
         found = _reader(spark, self.url, self.properties).option("query", query).load()
         return int(found.first()[0])
 
-    def append(self, rows: DataFrame, n_rows: int) -> None:
+    def append(
+        self, rows: DataFrame, n_rows: int, n_bytes: int = 0, days: Days | None = None
+    ) -> None:
         if self.atomic:
             rows = rows.coalesce(1)
         (

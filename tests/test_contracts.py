@@ -1,3 +1,4 @@
+import datetime as dt
 from decimal import Decimal
 
 import pytest
@@ -121,3 +122,59 @@ def test_fractions_are_no_whole_numbers(spark):
     found = {(r.rule, r.column_name): r.n_rows for r in contract_report(frame, contract).collect()}
     assert found[("bad_value", "id")] == 2 and found[("bad_value", "n")] == 1
     assert bad_rows(frame, contract).count() == 3
+
+
+def _casts(spark, source, target, values):
+    """Values as Spark casts them under a contract; None for those that are refused."""
+    schema = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("v", target)])
+    frame = spark.createDataFrame(
+        list(enumerate(values)),
+        T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", source)]),
+    )
+    contract = Contract("casts", schema, ("id",))
+    found = [r.v for r in conform(frame, contract).orderBy("id").collect()]
+    given = sum(v is not None for v in values)
+    assert bad_rows(frame, contract).count() == given - sum(v is not None for v in found)
+    return found
+
+
+DAY = dt.date(2021, 1, 3)
+
+
+def test_a_time_of_day_is_lost_in_a_day_and_midnight_is_not(spark):
+    for kind in (T.TimestampType(), T.TimestampNTZType()):
+        moments = [dt.datetime(2021, 1, 3), dt.datetime(2021, 1, 3, 10), None]
+        moments += [dt.datetime(2021, 1, 3, 0, 0, 0, 1)]
+        assert _casts(spark, kind, T.DateType(), moments) == [DAY, None, None, None]
+    texts = ["2021-01-03", " 2021-1-3 ", "2021-01-03 00:00:00", "2021-01-03T00:00", "2021-01-03 00:00:00.000"]
+    assert _casts(spark, T.StringType(), T.DateType(), texts) == [DAY] * 5
+    texts = ["2021-01-03 10:00", "2021-01-03T00:00:01", "2021-01-03 lunch", "2021-13-01", "", "10:00"]
+    assert _casts(spark, T.StringType(), T.DateType(), texts) == [None] * 6
+    assert _casts(spark, T.StringType(), T.DateType(), ["2021", "2021-02"]) == [
+        dt.date(2021, 1, 1), dt.date(2021, 2, 1)
+    ]
+
+
+def test_digits_are_kept_or_refused(spark):
+    big = 2**53 + 1
+    cases = [
+        (T.LongType(), T.DoubleType(), [2**53, big, None], [2.0**53, None, None]),
+        (T.IntegerType(), T.FloatType(), [2**24, 2**24 + 1], [2.0**24, None]),
+        (T.LongType(), T.IntegerType(), [5, 2**31], [5, None]),
+        (T.DecimalType(8, 3), T.DecimalType(8, 1), [Decimal("1.500"), Decimal("1.250")], [Decimal("1.5"), None]),
+        (T.StringType(), T.DecimalType(6, 2), ["1.50", "1.505", "x", " 7 "], [Decimal("1.50"), None, None, Decimal("7.00")]),
+        (T.DoubleType(), T.DecimalType(6, 2), [1.5, 1.505], [Decimal("1.50"), None]),
+        (T.IntegerType(), T.BooleanType(), [0, 1, 2], [False, True, None]),
+        (T.StringType(), T.IntegerType(), ["12", "12.7", " 3 "], [12, None, 3]),
+        (T.DoubleType(), T.FloatType(), [0.5, 1e300, float("inf")], [0.5, None, float("inf")]),
+        (T.DateType(), T.TimestampType(), [DAY], [dt.datetime(2021, 1, 3)]),
+        (T.IntegerType(), T.StringType(), [7], ["7"]),
+    ]
+    for source, target, values, expected in cases:
+        assert _casts(spark, source, target, values) == expected, (source, target)
+    assert str(_casts(spark, T.DoubleType(), T.FloatType(), [float("nan")])) == "[nan]"
+
+
+def test_moments_as_numbers(spark):
+    moments = [dt.datetime(1970, 1, 2), dt.datetime(1970, 1, 1, 0, 0, 0, 500_000)]
+    assert _casts(spark, T.TimestampType(), T.LongType(), moments) == [86_400, None]

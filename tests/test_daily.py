@@ -7,8 +7,12 @@ from pyspark.sql import types as T
 from retail_lake.contracts import STOCK_SCHEMA
 from retail_lake.sources import (
     Unauthorized,
+    answered_days,
     backfill,
+    clear,
+    daily,
     daily_source,
+    files,
     get_days,
     missing_days,
     read_days,
@@ -214,3 +218,70 @@ def test_an_answer_without_rows_is_stored_and_told_from_no_answer(spark, api, so
     assert {r.ds for r in stored.collect()} == {DAYS[2]}
     assert DAYS[0] in stored_days(spark, root)
     assert backfill(spark, other, [DAYS[0]], root) == []
+
+
+def test_a_thousand_empty_days_cost_one_write(spark, source_name, root, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    days = days_between(FIRST, FIRST + dt.timedelta(days=999))
+    fetch = lambda day: [] if day != FIRST else document(day)
+    spark.dataSource.register(daily_source(source_name, fetch, STOCK_SCHEMA))
+    writes = []
+    for name in ("save", "parquet", "json"):
+        plain = getattr(DataFrameWriter, name)
+
+        def counted(self, path=None, *args, plain=plain, **more):
+            writes.append(path)
+            return plain(self, path, *args, **more)
+
+        monkeypatch.setattr(DataFrameWriter, name, counted)
+    assert update_days(spark, source_name, days, root) == days
+    assert writes == [root, f"{root}/_answered"]
+    assert stored_days(spark, root) == days
+    assert os.listdir(root).count("ds=2021-01-01") == 1 and len(os.listdir(root)) <= 4
+    assert backfill(spark, source_name, days, root) == [] and len(writes) == 2
+
+
+def test_days_in_the_ledger_are_not_missing(spark, api, root, rows):
+    name, calls = api
+    files.record_answers(spark, root, DAYS[:2])
+    files.record_answers(spark, root, DAYS[:1])
+    assert rows(answered_days(spark, root)) == [(DAYS[0],), (DAYS[1],)]
+    assert backfill(spark, name, DAYS, root) == [DAYS[2]]
+    assert calls() == ["2021-01-03"]
+    assert stored_days(spark, root) == DAYS
+
+
+def test_a_run_that_dies_before_the_ledger_asks_again(spark, source_name, root, monkeypatch):
+    answers = {DAYS[0]: [], DAYS[1]: document(DAYS[1])}
+    spark.dataSource.register(daily_source(source_name, answers.get, STOCK_SCHEMA))
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(daily, "record_answers", dies)
+        with pytest.raises(OSError):
+            update_days(spark, source_name, DAYS, root)
+    assert stored_days(spark, root) == [DAYS[1]]
+    assert backfill(spark, source_name, DAYS, root) == [DAYS[0]]
+
+
+def test_a_store_of_answers_without_rows(spark, source_name, root):
+    spark.dataSource.register(daily_source(source_name, lambda day: [], STOCK_SCHEMA))
+    for schema in (STOCK_SCHEMA, None):
+        found = get_days(spark, source_name, DAYS, root, schema=schema)
+        assert found.count() == 0 and found.columns[-1] == "ds"
+    assert clear(spark, root, STOCK_SCHEMA) and stored_days(spark, root) == []
+    assert not clear(spark, root, STOCK_SCHEMA)
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet", "csv"])
+def test_days_are_emptied_by_one_write(spark, root, fmt):
+    frame = spark.createDataFrame([(n, d) for d in DAYS for n in range(9)], "n int, ds date")
+    files.write_days(frame, root, fmt)
+    files.empty_days(spark, root, DAYS[:2], frame.drop("ds").schema, fmt)
+    left = read_days(spark, root, DAYS[0], DAYS[2], fmt, frame.drop("ds").schema)
+    assert {r.ds for r in left.collect()} == {DAYS[2]} and left.count() == 9
+    assert stored_days(spark, root) == DAYS
+    files.empty_days(spark, root, [], frame.schema, fmt)

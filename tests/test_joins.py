@@ -1,7 +1,8 @@
 import pytest
 
 from retail_lake.operators import join_dimensions, new_rows
-from retail_lake.operators.joins import measured_sizes
+from retail_lake.operators import joins
+from retail_lake.operators.joins import estimated_bytes, measured_sizes
 
 
 def plan(df):
@@ -76,3 +77,28 @@ def test_hot_key_of_an_anti_join_is_split(spark, settings, hot):
     later = spark.range(30_000, 60_000).where("id % 3 <> 0").count()
     assert len(new.collect()) == hot_rows + missing_from_existing + later
     assert "skew=true" in plan(new)
+
+
+def test_sizes_are_measured_only_where_the_estimate_is_open(spark, fact, root, rows, monkeypatch):
+    spark.range(2000).selectExpr("id % 9 AS id", "concat('name ', id) AS name").write.parquet(root)
+    dimension = spark.read.parquet(root).groupBy("id").agg({"name": "min"}).toDF("id", "name")
+    asked = []
+    measuring = joins.measured_sizes
+    monkeypatch.setattr(joins, "measured_sizes", lambda f: asked.append(len(f)) or measuring(f))
+    joined = join_dimensions(fact, {"id": dimension})
+    assert not asked and "BroadcastHashJoin" in plan(joined) and joined.count() == 2
+    n_bytes = estimated_bytes(dimension)
+    join_dimensions(fact, {"id": dimension}, max_bytes=n_bytes // joins.ESTIMATE_FACTOR)
+    assert not asked, "far above the bound"
+    near = join_dimensions(fact, {"id": dimension}, max_bytes=n_bytes)
+    assert asked == [1] and rows(near) == rows(joined)
+    unknown = dimension.join(spark.range(9), "id")
+    assert estimated_bytes(unknown) is None
+    both = join_dimensions(fact, {"id": unknown.toDF("id", "other")})
+    assert asked == [1, 1] and both.count() == 2
+
+
+def test_sizes_of_the_session(fact, settings):
+    for text, n_bytes in (("10MB", 10 << 20), ("-1", -1), ("256k", 256 << 10), ("7b", 7)):
+        settings(autoBroadcastJoinThreshold=text.replace(" ", ""))
+        assert joins._bytes_of(fact, "spark.sql.autoBroadcastJoinThreshold") == n_bytes

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from retail_lake.contracts import CLIENTS, ORDERS, OUT_OF_STOCK, Contract, ContractViolation
 from retail_lake.operators import insert_new, merge
+from retail_lake.operators.joins import possible_partners
 from retail_lake.sizing import INITIAL
 from retail_lake.sources import BucketedTarget, ParquetTarget
 from retail_lake.workspace import Staged, stage, work_dir
@@ -275,7 +276,8 @@ def test_months_between_are_not_read(spark, root):
     frame = spark.createDataFrame(rows, schema)
     insert_new(frame, target)
     days = merge._check_keys(merge.key_facts(frame.where("month(order_date) in (1, 12)"), ORDERS), ORDERS)
-    assert days == ("2021-01-01", "2021-12-01", ("2021-01", "2021-12"))
+    days, span = days
+    assert days == ("2021-01-01", "2021-12-01", ("2021-01", "2021-12")) and span is None
     plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
     assert "order_date_month" in plan.partition("PartitionFilters")[2][:120]
     assert target.keys(spark, days).count() == 2
@@ -283,7 +285,7 @@ def test_months_between_are_not_read(spark, root):
 
 def test_a_bucketed_target_is_pruned_and_leaves_the_session_alone(spark, root):
     table = f"orders_{uuid.uuid4().hex}"
-    target = BucketedTarget(ORDERS, table, f"{root}/orders", 4)
+    target = BucketedTarget(ORDERS, table, f"{root}/orders", 4, folders="month")
     schema = "product_id int, client_id int, order_date date, store_id int, quantity int"
     frame = spark.createDataFrame([(1, 1, dt.date(2021, m, 1), 1, 1) for m in (1, 2, 3)], schema)
     os.makedirs(f"{root}/orders/empty")
@@ -291,6 +293,189 @@ def test_a_bucketed_target_is_pruned_and_leaves_the_session_alone(spark, root):
     assert insert_new(frame, target).n_new == 3
     assert insert_new(frame, target).n_new == 0
     assert spark.conf.get(INITIAL, None) == before
-    days = merge._check_keys(merge.key_facts(frame.limit(1), ORDERS), ORDERS)
+    days, _ = merge._check_keys(merge.key_facts(frame.limit(1), ORDERS), ORDERS)
     plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
     assert "order_date_month" in plan.partition("PartitionFilters")[2][:120]
+
+
+@pytest.mark.parametrize(
+    "file_bytes, folders, files", [(1, "month", 5 * 4), (1500, "year", 2 * 4), (10**9, "none", 4)]
+)
+def test_a_tables_folders_follow_the_bytes_of_its_first_load(spark, root, file_bytes, folders, files):
+    """Five months of two years in four buckets."""
+    path = f"{root}/{folders}"
+    table = f"orders_{uuid.uuid4().hex}"
+    data = spark.range(4000).selectExpr(
+        "id AS product_id",
+        "id AS client_id",
+        "element_at(array('2020-11-05', '2020-12-05', '2021-01-05', '2021-02-05', '2021-03-05'),"
+        " cast(id % 5 + 1 AS int)) AS order_date",
+        "1 AS store_id",
+        "1 AS quantity",
+    )
+    target = BucketedTarget(ORDERS, table, path, 4, file_bytes=file_bytes)
+    assert target.stored_folders(spark) is None
+    assert insert_new(data.where("id < 3000"), target).n_new == 3000
+    assert target.stored_folders(spark) == folders
+    assert len(glob.glob(f"{path}/**/part-*", recursive=True)) == files
+    # Another object for the same table, with another mind, keeps to what is stored.
+    later = BucketedTarget(ORDERS, table, path, 4, folders="month" if folders != "month" else "year")
+    assert insert_new(data, later).n_new == 1000
+    assert insert_new(data, target).n_new == 0
+    assert sorted(r[0] for r in later.read(spark).collect()) == list(range(4000))
+    days, _ = merge._check_keys(
+        merge.key_facts(data.where("order_date = '2021-02-05'"), ORDERS), ORDERS
+    )
+    plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
+    assert target.keys(spark, days).count() == 800
+    if folders != "none":
+        assert f"order_date_{folders}" in plan.partition("PartitionFilters")[2][:120]
+
+
+def test_a_table_from_before_there_was_a_choice_is_one_by_months(spark, root):
+    path, table = f"{root}/old", f"orders_{uuid.uuid4().hex}"
+    target = BucketedTarget(ORDERS, table, path, 4)
+    old = spark.createDataFrame([(1, 1, dt.date(2021, 1, 1), 1, 1, "2021-01")], ", ".join(
+        [*(f"{f.name} {f.dataType.simpleString()}" for f in ORDERS.schema), "order_date_month string"]
+    ))
+    keys = list(ORDERS.key)
+    writer = old.write.option("path", path).partitionBy("order_date_month")
+    writer.bucketBy(4, *keys).sortBy(*keys).saveAsTable(table)
+    assert target.stored_folders(spark) == "month"
+    batch = spark.createDataFrame([(1, 1, "2021-01-01", 1, 1), (2, 1, "2021-02-01", 1, 1)], ORDER)
+    assert insert_new(batch, target).n_new == 1
+    assert os.path.isdir(f"{path}/order_date_month=2021-02")
+
+
+def test_days_and_years():
+    assert merge.Days("x", "y", ("-0001-02", "2020-12", "2021-01", "2021-03")).years == (
+        "-0001", "2020", "2021"
+    )
+
+
+def test_facts_are_one_row_a_day_however_finely_times_are_told(spark):
+    moments = [dt.datetime(2021, 1, 3, 0), dt.datetime(2021, 1, 3, 10), dt.datetime(2021, 1, 3, 11)]
+    batch = spark.createDataFrame(
+        [(n, n, m, 1, 1) for n, m in enumerate(moments)],
+        "product_id int, client_id int, order_date timestamp, store_id int, quantity int",
+    )
+    facts = {r.order_date: (r.n_rows, r.n_keyless) for r in merge.key_facts(batch, ORDERS).collect()}
+    assert facts == {dt.date(2021, 1, 3): (1, 0), None: (2, 2)}
+
+
+def test_a_moment_within_a_day_is_no_key(spark, orders):
+    columns = "product_id int, client_id int, order_date timestamp, store_id int, quantity int"
+    whole = spark.createDataFrame([(1, 1, dt.datetime(2021, 1, 3), 1, 1)], columns)
+    part = spark.createDataFrame([(1, 1, dt.datetime(2021, 1, 3, 10), 1, 1)], columns)
+    text = spark.createDataFrame([(1, 1, "2021-01-03 10:00", 1, 1)], ORDER)
+    for batch in (part, text, whole.union(part)):
+        with pytest.raises(ContractViolation, match="NULL or bad key: 1 rows"):
+            insert_new(batch, orders)
+    assert insert_new(whole, orders).n_new == 1
+
+
+def _staged_plans(batch, target, monkeypatch, **options):
+    plans = {}
+
+    def explained(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, label)
+
+    monkeypatch.setattr("retail_lake.operators.merge.stage", explained)
+    done = insert_new(batch, target, **options)
+    return plans, done
+
+
+def test_a_wide_snapshot_whose_keys_exist_is_neither_sorted_nor_moved(spark, root, clients, monkeypatch):
+    given = spark.createDataFrame([(n, f"client {n}", n) for n in range(500)], CLIENT)
+    given.write.parquet(f"{root}/snapshot")
+    snapshot = spark.read.parquet(f"{root}/snapshot")
+    plans, done = _staged_plans(snapshot, clients, monkeypatch)
+    assert done.n_new == 500 and "SortAggregate" not in "".join(plans.values())
+    assert "Exchange" not in plans["new-clients"]
+    renamed = snapshot.withColumn("fullname", F.lit("other"))
+    plans, done = _staged_plans(renamed, clients, monkeypatch)
+    assert done.n_new == 0 and set(plans) == {"new-keys-clients"}
+    assert "SortAggregate" not in plans["new-keys-clients"] and "fullname" not in plans["new-keys-clients"]
+    more = renamed.unionByName(spark.createDataFrame([(900, "new", 1)], CLIENT))
+    plans, done = _staged_plans(more, clients, monkeypatch)
+    assert done.n_new == 1 and "SortAggregate" not in "".join(plans.values())
+
+
+def test_only_new_keys_that_repeat_are_collapsed(spark, clients, rows, monkeypatch):
+    insert_new(spark.createDataFrame([(1, "ann", 5)], CLIENT), clients)
+    batch = spark.createDataFrame(
+        [(1, "z", 1), (1, "a", 1), (2, "bob", 2), (3, "cy", 9), (3, "cy", 8), (3, None, 1)], CLIENT
+    )
+    with pytest.raises(ContractViolation, match="repeated new keys: 1, such as .*3"):
+        insert_new(batch, clients)
+    options = {"on_duplicate": "first", "order_by": ["fullname"]}
+    plans, done = _staged_plans(batch, clients, monkeypatch, **options)
+    assert plans["new-clients"].count("SortAggregate") == 2
+    assert rows(done.rows) == [(2, "bob", 2), (3, "cy", 8)]
+    bad = spark.createDataFrame([(4, "x", 1), (4, "y" * 64, 1)], CLIENT)
+    with pytest.raises(ContractViolation, match="too_long:fullname: 1 keys"):
+        insert_new(bad, clients, **options)
+
+
+@pytest.mark.parametrize("prefilter", [None, True])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_wide_merges_match_brute_force(spark, clients, rows, seed, prefilter):
+    rng, gold = random.Random(seed), {}
+    for _ in range(3):
+        data = [(rng.randrange(30), rng.choice("abc"), rng.randrange(3)) for _ in range(40)]
+        first = {}
+        for row in data:
+            first[row[0]] = min(row, first.get(row[0], row))
+        expected = {k: row for k, row in first.items() if k not in gold}
+        done = insert_new(
+            spark.createDataFrame(data, CLIENT),
+            clients,
+            on_duplicate="first",
+            order_by=["fullname", "location_area_id"],
+            prefilter=prefilter,
+        )
+        assert rows(done.rows) == sorted(expected.values(), key=repr)
+        gold |= expected
+        assert rows(clients.read(spark)) == sorted(gold.values(), key=repr)
+
+
+def test_a_batch_that_changes_between_its_passes_is_refused(spark, clients, monkeypatch):
+    insert_new(spark.createDataFrame([(0, "x", 1)], CLIENT), clients)
+    passes = iter([[(1, "a", 1), (2, "b", 1)], [(1, "a", 1)]])
+    staging = merge.stage
+
+    def changing(df, label):
+        rows = spark.createDataFrame(next(passes), CLIENT)
+        if label.startswith("new-keys"):
+            return staging(rows.select(F.col("client_id").cast("int")).withColumn("_copies", F.lit(1)), label)
+        return staging(rows.withColumn("_copies", F.lit(1)).withColumn("_broken", F.lit(0)), label)
+
+    monkeypatch.setattr(merge, "stage", changing)
+    with pytest.raises(ContractViolation, match="2 new keys became 1 rows: the batch changed"):
+        insert_new(spark.createDataFrame([(5, "a", 1)], CLIENT), clients)
+    assert clients.count(spark) == 1
+
+
+def test_keys_without_a_day_are_read_by_the_batchs_span_and_filter(spark, clients, monkeypatch):
+    insert_new(spark.createDataFrame([(n, "x", 1) for n in range(2000)], CLIENT), clients)
+    batch = spark.createDataFrame([(n, "y", 1) for n in range(1900, 2100, 2)], CLIENT)
+    plans, done = _staged_plans(batch, clients, monkeypatch, prefilter=True)
+    assert done.n_new == 50
+    pushed = plans["new-keys-clients"].partition("PushedFilters")[2].partition("]")[0]
+    assert "GreaterThanOrEqual(client_id,1900)" in pushed and "(client_id,2098)" in pushed
+    assert "bitmap_construct_agg" in plans["new-keys-clients"]
+    existing = clients.keys(spark, None, merge.Span("client_id", "1900", "2098"))
+    assert existing.count() == 100 + 50
+    passed = possible_partners(existing, batch.selectExpr("cast(client_id AS int)"), ["client_id"])
+    assert 100 <= passed.count() < 110
+
+
+def test_a_filter_that_is_too_small_lets_more_pass_and_loses_none(spark):
+    batch = spark.range(0, 200_000, 2)
+    existing = spark.range(0, 200_000)
+    for bits, most in ((1 << 15, 200_000), (1 << 22, 105_000)):
+        passed = possible_partners(existing, batch, ["id"], most_bits=bits)
+        assert passed.join(batch, "id", "left_semi").count() == 100_000
+        assert passed.count() <= most
+    assert possible_partners(existing, batch.limit(0), ["id"]).count() == 0

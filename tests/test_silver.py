@@ -1,0 +1,86 @@
+"""Counts of the silver stages."""
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from retail_lake.operators import clean_stock, drop_unknown
+from retail_lake.plans import silver, to_silver
+
+
+@pytest.fixture
+def written(root):
+    os.makedirs(root)
+    return lambda df: df.write.parquet(f"{root}/out")
+
+
+def stock(spark, n=1000, parts=6):
+    return spark.range(0, n, 1, parts).selectExpr(
+        "if(id % 10 = 0, null, id % 50) AS product_id", "'2021-01-03' AS date"
+    )
+
+
+def test_counts_of_each_stage(spark, written):
+    counts = to_silver(lambda: stock(spark), written, drop_unknown, clean_stock)
+    assert counts == silver.StageCounts(1000, 900, 45)
+
+
+def test_stages_that_change_nothing_count_once(spark, written):
+    assert to_silver(lambda: stock(spark), written) == silver.StageCounts(1000, 1000, 1000)
+
+
+def test_empty_tables_and_partitions(spark, root):
+    empty = stock(spark).where("product_id > 99")
+    assert to_silver(lambda: empty, lambda df: df.write.parquet(f"{root}/a")) == (
+        silver.StageCounts(0, 0, 0)
+    )
+    some = stock(spark).where("product_id = 5").repartition(40)
+    counts = to_silver(lambda: some, lambda df: df.write.parquet(f"{root}/b"), clean=clean_stock)
+    assert counts == silver.StageCounts(20, 20, 1)
+
+
+def test_a_hook_that_reads_its_input_twice_does_not_double_the_counts(spark, written):
+    def both(df):
+        return df.where("product_id < 10").unionByName(df.where("product_id >= 10"))
+
+    counts = to_silver(lambda: stock(spark), written, drop_unknown, both)
+    assert counts == silver.StageCounts(1000, 900, 900)
+
+
+def test_a_map_stage_that_runs_again_is_counted_once(spark, root, settings, tmp_path):
+    """The first reduce task finds the shuffle's files gone, so the maps run once more."""
+    settings(adaptive__enabled="false", shuffle__partitions="32")
+    folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    local = [f.getPath() for f in folder.localDirs()]
+    flag = str(tmp_path / "lost")
+
+    def lose(batches):
+        for batch in batches:
+            try:
+                os.close(os.open(flag, os.O_CREAT | os.O_EXCL))
+                for place in local:
+                    for name in glob.glob(f"{place}/*/shuffle_*"):
+                        os.remove(name)
+            except FileExistsError:
+                pass
+            yield batch
+
+    def clean(df):
+        # Two shuffles: the task that loses the files runs between them.
+        schema = "product_id long, date string"
+        first = clean_stock(df).mapInArrow(lose, schema).repartition(3, "product_id")
+        return first.withColumn("date", F.upper("date"))
+
+    source = f"{root}/in"
+    stock(spark).write.parquet(source)
+    counts = to_silver(
+        lambda: spark.read.parquet(source),
+        lambda df: df.write.parquet(f"{root}/out"),
+        drop_unknown,
+        clean,
+    )
+    assert os.path.exists(flag)
+    assert counts == silver.StageCounts(1000, 900, 45)
+    assert spark.read.parquet(f"{root}/out").count() == 45
