@@ -508,8 +508,11 @@ def read_records(archives: DataFrame, payloads: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     ranges = archives.select("archive").mapInArrow(locate, "archive string, index string, begin long")
-    # Small rows, so that archives of any sizes are spread evenly.
-    spread = ranges.repartition("archive", "index", "begin").sortWithinPartitions("archive", "begin")
+    # Small rows that stand for much reading: archives of any sizes are spread evenly, over
+    # a number of tasks that adaptive execution does not merge by the rows' own bytes.
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = ranges.repartition(tasks, "archive", "index", "begin")
+    spread = spread.sortWithinPartitions("archive", "begin")
     return spread.mapInArrow(
         read,
         "archive string, record_id string, record_type string, target_uri string, date string, "
