@@ -72,23 +72,37 @@ def key_facts(batch: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def _check_keys(facts: DataFrame, contract: Contract) -> tuple[Days | None, Span | None]:
+def _check_keys(
+    batch: DataFrame, contract: Contract, facts: DataFrame | None = None
+) -> tuple[Days | None, Span | None]:
     """Refuse NULL keys; give the batch's days, or the span of its keys if they have no day.
     Both are text, so that they hold years Python's dates do not know.
 
     This comes before the merge's shuffle, which would otherwise send all rows with a
-    NULL key to the same task.
+    NULL key to the same task. Without ``facts`` one global aggregate over the key columns
+    finds it all.
     """
-    day = F.col(contract.day) if contract.day else F.lit(None).cast("date")
     kind = contract.schema[contract.key[0]].dataType
-    text = day.cast("string")
-    n_keyless, first, last, months, low, high = facts.agg(
-        F.coalesce(F.sum("n_keyless"), F.lit(0)),
+    day = F.lit(None).cast("date")
+    if facts is None:
+        typed = [exact_cast(batch, contract.schema[k]) for k in contract.key]
+        keyless = F.count_if(reduce(lambda a, b: a | b, [k.isNull() for k in typed]))
+        if contract.day:
+            day = typed[contract.key.index(contract.day)]
+        low, high, rows = typed[0], typed[0], batch
+    else:
+        keyless = F.coalesce(F.sum("n_keyless"), F.lit(0))
+        if contract.day:
+            day = F.col(contract.day)
+        low, high, rows = F.col("low").cast(kind), F.col("high").cast(kind), facts
+    n_keyless, first, last, months, low, high = rows.agg(
+        keyless,
         F.min(day).cast("string"),
         F.max(day).cast("string"),
-        F.collect_set(month_of(text)),  # as many as the calendar has
-        F.min(F.col("low").cast(kind)).cast("string"),
-        F.max(F.col("high").cast(kind)).cast("string"),
+        # As many as the calendar has.
+        F.transform(F.collect_set(F.trunc(day, "month")), lambda m: month_of(m.cast("string"))),
+        F.min(low).cast("string"),
+        F.max(high).cast("string"),
     ).first()
     if n_keyless:
         raise ContractViolation(contract.name, [f"NULL or bad key: {n_keyless} rows"])
@@ -231,9 +245,7 @@ def insert_new(
 
     claims = getattr(target, "claims", None)
     seen = None if claims is None else claims.begin(spark)
-    days, span = _check_keys(
-        key_facts(batch, contract) if facts is None else facts, contract
-    )
+    days, span = _check_keys(batch, contract, facts)
     n_existing = target.count(spark) if count_existing else None
     marks = broken_columns(len(list(row_rules(batch, contract))))
     marked = conform_marked(batch, contract)

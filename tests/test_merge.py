@@ -275,8 +275,9 @@ def test_months_between_are_not_read(spark, root):
     schema = "product_id int, client_id int, order_date date, store_id int, quantity int"
     frame = spark.createDataFrame(rows, schema)
     insert_new(frame, target)
-    days = merge._check_keys(merge.key_facts(frame.where("month(order_date) in (1, 12)"), ORDERS), ORDERS)
-    days, span = days
+    some = frame.where("month(order_date) in (1, 12)")
+    days, span = merge._check_keys(some, ORDERS)
+    assert merge._check_keys(some, ORDERS, merge.key_facts(some, ORDERS)) == (days, span)
     assert days == ("2021-01-01", "2021-12-01", ("2021-01", "2021-12")) and span is None
     plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
     assert "order_date_month" in plan.partition("PartitionFilters")[2][:120]
@@ -293,7 +294,7 @@ def test_a_bucketed_target_is_pruned_and_leaves_the_session_alone(spark, root):
     assert insert_new(frame, target).n_new == 3
     assert insert_new(frame, target).n_new == 0
     assert spark.conf.get(INITIAL, None) == before
-    days, _ = merge._check_keys(merge.key_facts(frame.limit(1), ORDERS), ORDERS)
+    days, _ = merge._check_keys(frame.limit(1), ORDERS)
     plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
     assert "order_date_month" in plan.partition("PartitionFilters")[2][:120]
 
@@ -323,9 +324,7 @@ def test_a_tables_folders_follow_the_bytes_of_its_first_load(spark, root, file_b
     assert insert_new(data, later).n_new == 1000
     assert insert_new(data, target).n_new == 0
     assert sorted(r[0] for r in later.read(spark).collect()) == list(range(4000))
-    days, _ = merge._check_keys(
-        merge.key_facts(data.where("order_date = '2021-02-05'"), ORDERS), ORDERS
-    )
+    days, _ = merge._check_keys(data.where("order_date = '2021-02-05'"), ORDERS)
     plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
     assert target.keys(spark, days).count() == 800
     if folders != "none":
