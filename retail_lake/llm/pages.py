@@ -326,8 +326,15 @@ def main_text(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
     rows = _with_host(pages).join(winners, "host", "left")
-    kind = pages.schema["page_id"].dataType.simpleString()
-    found = rows.select("page_id", "url", "html", "winners").mapInPandas(
-        run, f"page_id {kind}, url string, text string"
+    # As text: beside a NULL, pandas would make long ids fractions and round them.
+    kind = pages.schema["page_id"].dataType
+    own = F.col("page_id").cast("string").alias("page_id")
+    found = rows.select(own, "url", "html", "winners").mapInPandas(
+        run, "page_id string, url string, text string"
+    )
+    return found.select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "url",
+        "text",
+        F.length("text").cast("long").alias("n_chars"),
     )
-    return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -269,9 +269,12 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def scan(documents: DataFrame) -> DataFrame:
     """Base spans and candidates of each document; every batch's counts on its first row."""
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInPandas(_scan, f"doc_id {kind}, {SCANNED}")
+    # As text: beside a NULL, pandas would make long ids fractions and round them.
+    kind = documents.schema["doc_id"].dataType
+    own = F.col("doc_id").cast("string").alias("doc_id")
+    texts = documents.select(own, F.coalesce("text", F.lit("")).alias("text"))
+    scanned = texts.mapInPandas(_scan, f"doc_id string, {SCANNED}")
+    return scanned.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _rates(scanned: DataFrame) -> tuple[float, tuple[float, ...]]:
@@ -308,12 +311,14 @@ def _with_evidence(scanned: DataFrame, rate: float, shares: tuple, levels: Level
             ]
             yield batch
 
-    kind = scanned.schema["doc_id"].dataType.simpleString()
-    return scanned.select("doc_id", "base", "runs").mapInPandas(
+    kind = scanned.schema["doc_id"].dataType
+    own = F.col("doc_id").cast("string").alias("doc_id")
+    judged = scanned.select(own, "base", "runs").mapInPandas(
         run,
-        f"doc_id {kind}, base array<struct<start:int,kind:int,end:int>>, "
+        "doc_id string, base array<struct<start:int,kind:int,end:int>>, "
         "runs array<struct<start:int,end:int,band:int,steps:int>>",
     )
+    return judged.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _thresholds(judged: DataFrame, levels: Levels) -> tuple[int, ...]:

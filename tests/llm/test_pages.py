@@ -68,3 +68,11 @@ def test_odd_rows(spark):
     assert texts[(2, "no host")] == ("", 0) and texts[(None, "http://a.example")] == ("", 0)
     assert texts[(3, "http://a.example/x")][1] == 50_000 * 5 - 1
     assert pages.main_text(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_large_ids_beside_a_null_one(spark):
+    ids = [2**60 + 1, 2**60 + 3, None]
+    rows = [(i, "http://a.example", page(f"<p>{LONG}</p>")) for i in ids]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    found = pages.main_text(frame)
+    assert {r.page_id for r in found.collect()} == set(ids) and dict(found.dtypes)["page_id"] == "bigint"

@@ -66,3 +66,11 @@ def test_levels_are_stricter_for_lengths_with_many_ordinary_runs():
     run = "".join(random.Random(5).choices(LETTERS, k=40))
     assert secrets.spans_in(f"x {run}", model) == [(2, 3, 42)]
     assert secrets.spans_in("x " + "z" * 40, model) == []
+
+
+def test_large_ids_beside_a_null_one(spark):
+    ids = [2**60 + 1, 2**60 + 3, None]
+    rows = [(i, "password = abcdefgh12345") for i in ids]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = secrets.digests(secrets.find(frame))
+    assert {r.doc_id for r in found.collect()} == set(ids) and dict(found.dtypes)["doc_id"] == "bigint"
