@@ -55,60 +55,46 @@ class Inserted:
 
 
 def key_facts(batch: DataFrame, contract: Contract) -> DataFrame:
-    """For each day that the batch gives, ``n_rows``, ``n_keyless``, how many of them have a
-    NULL or bad key, and ``low`` and ``high``, the span of the first key column as text.
+    """``n_rows`` and ``n_keyless``, how many of them have a NULL or bad key: for each day
+    that the batch gives, or, where the key has no day, in one row with ``low`` and ``high``,
+    the span of the first key column as text.
 
     One narrow pass; one row for each day of the calendar however finely the batch's own
     column tells times, and one for all that is no day.
     """
     typed = [exact_cast(batch, contract.schema[k]) for k in contract.key]
     keyless = reduce(lambda a, b: a | b, [k.isNull() for k in typed])
-    day = [exact_cast(batch, contract.schema[contract.day])] if contract.day else []
-    return batch.groupBy(*day).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(keyless).alias("n_keyless"),
-        F.min(typed[0]).cast("string").alias("low"),
-        F.max(typed[0]).cast("string").alias("high"),
-    )
+    counts = [F.count(F.lit(1)).alias("n_rows"), F.count_if(keyless).alias("n_keyless")]
+    if contract.day:
+        return batch.groupBy(exact_cast(batch, contract.schema[contract.day])).agg(*counts)
+    low, high = (edge(typed[0]).cast("string") for edge in (F.min, F.max))
+    return batch.agg(*counts, low.alias("low"), high.alias("high"))
 
 
-def _check_keys(
-    batch: DataFrame, contract: Contract, facts: DataFrame | None = None
-) -> tuple[Days | None, Span | None]:
+def _check_keys(facts: DataFrame, contract: Contract) -> tuple[Days | None, Span | None]:
     """Refuse NULL keys; give the batch's days, or the span of its keys if they have no day.
     Both are text, so that they hold years Python's dates do not know.
 
     This comes before the merge's shuffle, which would otherwise send all rows with a
-    NULL key to the same task. Without ``facts`` one global aggregate over the key columns
-    finds it all.
+    NULL key to the same task.
     """
-    kind = contract.schema[contract.key[0]].dataType
-    day = F.lit(None).cast("date")
-    if facts is None:
-        typed = [exact_cast(batch, contract.schema[k]) for k in contract.key]
-        keyless = F.count_if(reduce(lambda a, b: a | b, [k.isNull() for k in typed]))
-        if contract.day:
-            day = typed[contract.key.index(contract.day)]
-        low, high, rows = typed[0], typed[0], batch
+    if contract.day is None:
+        found = facts.first()
+        n_keyless, days = found["n_keyless"], None
+        span = Span(contract.key[0], found["low"], found["high"])
+        span = None if found["low"] is None else span
     else:
-        keyless = F.coalesce(F.sum("n_keyless"), F.lit(0))
-        if contract.day:
-            day = F.col(contract.day)
-        low, high, rows = F.col("low").cast(kind), F.col("high").cast(kind), facts
-    n_keyless, first, last, months, low, high = rows.agg(
-        keyless,
-        F.min(day).cast("string"),
-        F.max(day).cast("string"),
-        # As many as the calendar has.
-        F.transform(F.collect_set(F.trunc(day, "month")), lambda m: month_of(m.cast("string"))),
-        F.min(low).cast("string"),
-        F.max(high).cast("string"),
-    ).first()
+        day = F.col(contract.day)
+        n_keyless, first, last, months = facts.agg(
+            F.coalesce(F.sum("n_keyless"), F.lit(0)),
+            F.min(day).cast("string"),
+            F.max(day).cast("string"),
+            F.collect_set(month_of(day.cast("string"))),  # as many as the calendar has
+        ).first()
+        days, span = None if first is None else Days(first, last, tuple(sorted(months))), None
     if n_keyless:
         raise ContractViolation(contract.name, [f"NULL or bad key: {n_keyless} rows"])
-    if contract.day:
-        return (None if first is None else Days(first, last, tuple(sorted(months)))), None
-    return None, (None if low is None else Span(contract.key[0], low, high))
+    return days, span
 
 
 def _check_staged(
@@ -245,7 +231,8 @@ def insert_new(
 
     claims = getattr(target, "claims", None)
     seen = None if claims is None else claims.begin(spark)
-    days, span = _check_keys(batch, contract, facts)
+    facts = key_facts(batch, contract) if facts is None else facts
+    days, span = _check_keys(facts, contract)
     n_existing = target.count(spark) if count_existing else None
     marks = broken_columns(len(list(row_rules(batch, contract))))
     marked = conform_marked(batch, contract)

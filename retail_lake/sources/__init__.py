@@ -21,11 +21,12 @@ from retail_lake.sources.files import (
     write_day,
     write_days,
 )
-from retail_lake.sources.jdbc import JdbcTarget, snapshot
+from retail_lake.sources.jdbc import ChangedMeanwhile, JdbcTarget, snapshot, unchanged
 from retail_lake.sources.targets import BucketedTarget, ParquetTarget
 
 __all__ = [
     "BucketedTarget",
+    "ChangedMeanwhile",
     "Claims",
     "ConcurrentLoad",
     "JdbcTarget",
@@ -46,6 +47,7 @@ __all__ = [
     "save_table",
     "snapshot",
     "stored_days",
+    "unchanged",
     "update_days",
     "write_day",
     "write_days",

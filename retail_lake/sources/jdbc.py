@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import contextlib
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +53,8 @@ def snapshot(
 
     Each task reads over its own connection at its own moment, so a parallel read is one
     consistent snapshot only of a table that nothing changes meanwhile: rows that move
-    between ranges may be missed or read twice. Read a replica or a frozen view.
+    between ranges may be missed or read twice. Read a replica or a frozen view, or have
+    changes noticed by ``unchanged``.
     """
     if predicates is not None:
         properties = {"fetchsize": str(FETCH_ROWS), **properties}
@@ -68,6 +70,35 @@ def snapshot(
     return reader.load()
 
 
+class ChangedMeanwhile(RuntimeError):
+    """A table changed while it was read, so what was read is no one state of it."""
+
+
+@contextlib.contextmanager
+def unchanged(
+    spark: SparkSession, url: str, properties: Mapping[str, str], *fences: str
+) -> Iterator[None]:
+    """Fail if what the ``fences`` ask for differs before and after the reads inside.
+
+    A fence is a query whose one row changes whenever a table does, such as ``SELECT COUNT(*),
+    MAX(changed_at) FROM public.orders`` or a database's own count of changes. Write the
+    snapshots inside: frames are read when they are written. A run that fails here is run
+    again, and replaces the day it stored.
+    """
+
+    def look() -> list[tuple]:
+        return [
+            tuple(_reader(spark, url, properties).option("query", fence).load().first())
+            for fence in fences
+        ]
+
+    before = look()
+    yield
+    for fence, old, new in zip(fences, before, look(), strict=True):
+        if old != new:
+            raise ChangedMeanwhile(f"{fence}: {old} became {new}")
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
     """A warehouse table that is read for its keys and appended to.

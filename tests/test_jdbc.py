@@ -4,7 +4,7 @@ import pytest
 
 from retail_lake.contracts import CLIENTS, ORDERS
 from retail_lake.sources import JdbcTarget, jdbc
-from retail_lake.sources.targets import Days
+from retail_lake.sources.targets import Days, Span
 
 
 class FakeReader:
@@ -78,6 +78,27 @@ def test_own_predicates_win():
     assert asked["predicates"] == ["id < 5", "id >= 5"] and asked["fetchsize"] == "10000"
 
 
+def test_a_table_that_changes_while_it_is_read_is_noticed():
+    session = FakeSession((10, "2021-01-03"))
+    fences = ("SELECT COUNT(*), MAX(changed_at) FROM a", "SELECT COUNT(*), MAX(changed_at) FROM b")
+    with jdbc.unchanged(session, URL, PROPERTIES, *fences):
+        jdbc.snapshot(session, URL, "a", PROPERTIES, split="id", bounds=(1, 9))
+    asked = [load.get("query") for load in session.loads]
+    assert asked == [*fences, None, *fences]
+    assert all(load["user"] == "u" for load in session.loads)
+    with pytest.raises(jdbc.ChangedMeanwhile, match="FROM a: .10, .* became .11"):
+        with jdbc.unchanged(session, URL, PROPERTIES, *fences):
+            session.read.answer = (11, "2021-01-04")
+
+
+def test_an_error_inside_is_not_hidden_by_the_fence():
+    session = FakeSession((1,))
+    with pytest.raises(OSError):
+        with jdbc.unchanged(session, URL, PROPERTIES, "SELECT COUNT(*) FROM a"):
+            raise OSError("connection lost")
+    assert len(session.loads) == 1
+
+
 class FakeRows(FakeReader):
     """Adds what ``keys`` does to the loaded rows."""
 
@@ -109,6 +130,16 @@ def test_keys_of_the_batch_days_only(spark):
     assert "order_date" in where["where"] and select["select"] == ORDERS.key
 
 
+def test_the_span_of_a_batch_is_asked_of_the_database(spark):
+    session = FakeSession()
+    session.read = FakeRows(session.loads)
+    span = Span("client_id", "3", "900")
+    JdbcTarget(CLIENTS, URL, "public.clients", PROPERTIES).keys(session, None, span)
+    _, where, select = session.loads
+    assert "client_id, CAST('3' AS INT)" in where["where"] and "'900'" in where["where"]
+    assert select["select"] == ("client_id",)
+
+
 def test_keys_of_an_undated_table(spark):
     session = FakeSession()
     session.read = FakeRows(session.loads)

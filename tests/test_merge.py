@@ -276,8 +276,7 @@ def test_months_between_are_not_read(spark, root):
     frame = spark.createDataFrame(rows, schema)
     insert_new(frame, target)
     some = frame.where("month(order_date) in (1, 12)")
-    days, span = merge._check_keys(some, ORDERS)
-    assert merge._check_keys(some, ORDERS, merge.key_facts(some, ORDERS)) == (days, span)
+    days, span = merge._check_keys(merge.key_facts(some, ORDERS), ORDERS)
     assert days == ("2021-01-01", "2021-12-01", ("2021-01", "2021-12")) and span is None
     plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
     assert "order_date_month" in plan.partition("PartitionFilters")[2][:120]
@@ -294,7 +293,7 @@ def test_a_bucketed_target_is_pruned_and_leaves_the_session_alone(spark, root):
     assert insert_new(frame, target).n_new == 3
     assert insert_new(frame, target).n_new == 0
     assert spark.conf.get(INITIAL, None) == before
-    days, _ = merge._check_keys(frame.limit(1), ORDERS)
+    days, _ = merge._check_keys(merge.key_facts(frame.limit(1), ORDERS), ORDERS)
     plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
     assert "order_date_month" in plan.partition("PartitionFilters")[2][:120]
 
@@ -324,7 +323,8 @@ def test_a_tables_folders_follow_the_bytes_of_its_first_load(spark, root, file_b
     assert insert_new(data, later).n_new == 1000
     assert insert_new(data, target).n_new == 0
     assert sorted(r[0] for r in later.read(spark).collect()) == list(range(4000))
-    days, _ = merge._check_keys(data.where("order_date = '2021-02-05'"), ORDERS)
+    one = data.where("order_date = '2021-02-05'")
+    days, _ = merge._check_keys(merge.key_facts(one, ORDERS), ORDERS)
     plan = target.keys(spark, days)._jdf.queryExecution().executedPlan().toString()
     assert target.keys(spark, days).count() == 800
     if folders != "none":
@@ -358,7 +358,9 @@ def test_facts_are_one_row_a_day_however_finely_times_are_told(spark):
         [(n, n, m, 1, 1) for n, m in enumerate(moments)],
         "product_id int, client_id int, order_date timestamp, store_id int, quantity int",
     )
-    facts = {r.order_date: (r.n_rows, r.n_keyless) for r in merge.key_facts(batch, ORDERS).collect()}
+    facts = merge.key_facts(batch, ORDERS)
+    assert "ObjectHashAggregate" not in facts._jdf.queryExecution().executedPlan().toString()
+    facts = {r.order_date: (r.n_rows, r.n_keyless) for r in facts.collect()}
     assert facts == {dt.date(2021, 1, 3): (1, 0), None: (2, 2)}
 
 
