@@ -1,11 +1,17 @@
 """Main text of web pages by consensus host paths.
 
-Each page is read into a light tree, its containers are scored by the prose directly in
-them, and the page votes for the generalised tag-class paths of the best ones. Spark
-sums the votes of every host. Each page is then extracted again from the container
-on its host's winning path; a page that has none of them uses its own best container.
+Each page is read into a light tree and its containers are scored by the blocks of prose
+below them. The lowest container that holds them all, or the article element around it, is
+the page's own (of several parts that reader comments divide at the level of the page, the
+largest counts), and the page votes for its generalised tag-class path. Spark sums the
+votes of every host; a path with a quarter of them wins, and the first one always does.
+Each page is then extracted again: from its own container if that lies on a winning
+path, else from the first winning path that it has text on, else from its own container.
 A page whose article is short or odd so profits from the others of its host.
 
+Markup is read by the attribute states of HTML in time linear in the page, however deep
+its elements are nested. As in browsers, a tag that is never closed swallows the rest.
+
 Results, by case: a NULL or empty html, or one without prose, has an empty text; a page
 without a host in its url votes for itself only; repeated rows are extracted each;
 NULL ids pass through; markup that breaks off is read as far as it goes; an empty table
@@ -25,9 +31,9 @@ from pyspark.sql import functions as F
 from retail_lake.workspace import stage
 
 #: A path wins if it has this share of its host's votes.
-LEAST_SHARE = 0.05
-#: Share of the best score from which a container is voted for.
-NEAR_BEST = 0.5
+LEAST_SHARE = 0.25
+#: Characters outside links from which a block is prose; a first-level heading always is.
+LEAST_PROSE = 20
 
 # Fixed values of HTML: elements without content, with raw content, and in blocks.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -48,7 +54,8 @@ CLOSED_BY = {
     "option": {"option"},
 }
 #: Elements past which no end tag is implied.
-SCOPES = frozenset("html body table ul ol dl div section article main aside nav td th li".split())
+SCOPES_OF_P = frozenset("button caption html object table td th".split())
+SCOPES_OF_ITEMS = frozenset("table ul ol dl select".split())
 # Elements and words in classes and ids that are no article text.
 NOISE = frozenset("nav header footer aside form button select dialog menu".split()) | RAW
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
@@ -59,15 +66,25 @@ NOISE_WORDS = frozenset(
     "footer header masthead comment comments disqus respond reply share sharing social related "
     "recommended recommendations widget toolbar pagination pager skip search".split()
 )
-#: Words that tell that a header or notice belongs to the article.
-ARTICLE_WORDS = frozenset("article post entry content main story text body".split())
-
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*(?:>|\Z)|<[a-zA-Z/][^>]*\Z",
-    re.DOTALL,
+#: Words that tell that a container is the article, and a header with them its title.
+ARTICLE_WORDS = frozenset("article post entry story".split())
+#: First words of classes that describe a layout, not the element that has them.
+LAYOUT_WORDS = frozenset("has no with without".split())
+#: Noise that is reader comments; at the level of the page an article doesn't go on after it.
+REPLY_WORDS = frozenset("comment comments disqus respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks that are no containers by themselves.
+LEAVES = HEADINGS | frozenset("p pre blockquote ul ol dl li dt dd tr thead tbody tfoot".split())
+
+_MARKUP = re.compile(r"<(?=[a-zA-Z/!?])")
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_ATTRIBUTE = re.compile(
+    r"""[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))?+"""
 )
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_TAG_END = re.compile(r"[\s/]*+>")
+_COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.DOTALL)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW}
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -75,16 +92,45 @@ _DIGITS = re.compile(r"\d+")
 class Node:
     """An element, or the document: its children are nodes and texts."""
 
-    __slots__ = ("children", "noise", "path", "score", "tag")
+    __slots__ = (
+        "article", "children", "held", "linked", "noise", "prose", "replies", "size", "step", "tag"
+    )
 
-    def __init__(self, tag: str, path: str, noise: bool):
-        self.tag, self.path, self.noise = tag, path, noise
+    def __init__(self, tag: str, step: str = "", noise: bool = False, article: bool = False):
+        self.tag, self.step, self.noise, self.article = tag, step, noise, article
         self.children: list = []
-        self.score = 0.0
+        self.replies = False
+        # Characters directly in this block and in links there; from here down, blocks of
+        # prose and their characters.
+        self.size = self.linked = self.held = self.prose = 0
+
+
+def _attributes(source: str, at: int) -> tuple[dict[str, str], int]:
+    """Attributes from a place in a tag, and where the tag ends; -1 if it does not."""
+    out: dict[str, str] = {}
+    if source.startswith(">", at):
+        return out, at + 1
+    while True:
+        end = _TAG_END.match(source, at)
+        if end is not None:
+            return out, end.end()
+        m = _ATTRIBUTE.match(source, at)
+        if m is None or m.end() == at:
+            return out, -1
+        value = m[2] or ""
+        if value[:1] in ('"', "'"):
+            value = value[1:-1]
+        elif m[2] is None and source[m.end() : m.end() + 64].lstrip()[:1] == "=":
+            return out, -1  # a quote that is never closed
+        out.setdefault(m[1].lower(), value)
+        at = m.end()
 
 
-def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): (m[2] or "").strip("\"'") for m in _ATTRIBUTE.finditer(text)}
+def _names(attributes: dict[str, str]) -> list[set[str]]:
+    """Words of every class and of the id."""
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    words = [_WORD.findall(_CAMEL.sub("-", name).lower()) for name in names]
+    return [set(w) for w in words if w and w[0] not in LAYOUT_WORDS]
 
 
 def _is_noise(tag: str, attributes: dict[str, str]) -> bool:
@@ -98,9 +144,17 @@ def _is_noise(tag: str, attributes: dict[str, str]) -> bool:
         "style", ""
     ).replace(" ", ""):
         return True
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    words = set(_WORD.findall(names))
-    return bool(words & NOISE_WORDS) and not words & ARTICLE_WORDS
+    words: set[str] = set().union(*_names(attributes))
+    found = words & NOISE_WORDS
+    if tag in HEADINGS or words & ARTICLE_WORDS:
+        found -= {"header"}
+    return bool(found)
+
+
+def _is_article(tag: str, attributes: dict[str, str]) -> bool:
+    if tag in ("article", "main") or attributes.get("role") in ("article", "main"):
+        return True
+    return tag in ("div", "section") and any(w & ARTICLE_WORDS for w in _names(attributes))
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -108,63 +162,116 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
     return ".".join([tag, *classes])
 
 
+class _Open:
+    """Open elements, and for every tag the depths it is open at."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks = [0]
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, tags: frozenset[str] | set[str]) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
+    def cut(self, depth: int) -> None:
+        while len(self.nodes) > depth:
+            tag = self.nodes.pop().tag
+            self.depths[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+
+    def close(self, tags: frozenset[str] | set[str], scopes: frozenset[str] | set[str]) -> bool:
+        """Closes the last open element of some tags, unless a scope lies within it."""
+        depth = self.last(tags)
+        if not depth or self.last(scopes) > depth:
+            return False
+        self.cut(depth)
+        return True
+
+
 def parse(source: str) -> Node:
     """The tree of a page. End tags without a start are skipped, missing ones implied."""
-    root = Node("", "", False)
-    stack = [root]
+    root = Node("")
+    stack = _Open(root)
     at, size = 0, len(source)
     while at < size:
-        m = _TAG.search(source, at)
+        m = _MARKUP.search(source, at)
+        begin = size if m is None else m.start()
+        if begin > at:
+            stack.nodes[-1].children.append(source[at:begin])
         if m is None:
-            stack[-1].children.append(source[at:])
             break
-        if m.start() > at:
-            stack[-1].children.append(source[at : m.start()])
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
-            continue
-        attributes = _attributes(m[3]) if m[3].strip(" /") else {}
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>|\Z", re.IGNORECASE).search(source, at)
-            at = end.end()
+        closing = source[begin + 1] == "/"
+        name = _TAG_NAME.match(source, begin + 1 + closing)
+        if name is None:
+            at = _after_declaration(source, begin)
             continue
-        if tag in BLOCKS:
-            _close(stack, {"p"}, SCOPES - {"div", "section", "article", "main", "aside", "nav"})
-        if tag in CLOSED_BY:
-            _close(stack, CLOSED_BY[tag], {"table", "ul", "ol", "dl", "select"})
-        parent = stack[-1]
-        node = Node(
-            tag,
-            f"{parent.path}>{_step(tag, attributes)}",
-            parent.noise or _is_noise(tag, attributes),
-        )
-        parent.children.append(node)
-        if tag not in VOID:
-            stack.append(node)
+        tag = name[0].lower()
+        attributes, at = _attributes(source, name.end())
+        if at < 0:
+            break
+        if closing:
+            _end_tag(stack, tag)
+        elif tag in RAW:
+            end = _RAW_END[tag].search(source, at)
+            at = size if end is None else end.start()
+        else:
+            _start_tag(stack, tag, attributes)
     return root
 
 
-def _close(stack: list[Node], tags: set[str], scopes: frozenset[str] | set[str]) -> None:
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].tag in tags:
-            del stack[depth:]
-            return
-        if stack[depth].tag in scopes:
-            return
+def _after_declaration(source: str, begin: int) -> int:
+    """The end of a comment or of what browsers take for one."""
+    comment = _COMMENT.match(source, begin)
+    if comment is not None:
+        return comment.end()
+    end = source.find(">", begin)
+    return len(source) if end < 0 else end + 1
+
+
+def _start_tag(stack: _Open, tag: str, attributes: dict[str, str]) -> None:
+    if tag in BLOCKS:
+        stack.close({"p"}, SCOPES_OF_P)
+    if tag in CLOSED_BY:
+        stack.close(CLOSED_BY[tag], SCOPES_OF_ITEMS)
+    parent = stack.nodes[-1]
+    node = Node(
+        tag,
+        _step(tag, attributes),
+        parent.noise or _is_noise(tag, attributes),
+        _is_article(tag, attributes),
+    )
+    if attributes and node.noise and not parent.noise:
+        node.replies = any(words & REPLY_WORDS for words in _names(attributes))
+    parent.children.append(node)
+    if tag not in VOID:
+        stack.push(node)
+
+
+def _end_tag(stack: _Open, tag: str) -> None:
+    if tag in RAW:
+        return
+    if tag == "p":
+        if not stack.close({"p"}, SCOPES_OF_P):
+            stack.nodes[-1].children.append(Node("p", "p", stack.nodes[-1].noise))
+        return
+    depth = stack.last({tag})
+    # The end of a mere format does not end blocks.
+    if depth and (tag in BLOCKS or depth >= stack.blocks[-1]):
+        stack.cut(depth)
 
 
 def _plain(raw: str) -> str:
     return references.unescape(raw) if "&" in raw else raw
 
 
-def text_blocks(node: Node) -> list[str]:
+def text_blocks(node: Node, left_out: set[int] | frozenset[int] = frozenset()) -> list[str]:
     """Texts of the blocks below a node in page order, without noise."""
     out: list[str] = []
     pieces: list[str] = []
@@ -182,7 +289,7 @@ def text_blocks(node: Node) -> list[str]:
             flush()
         elif isinstance(item, str):
             pieces.append(_plain(item))
-        elif item.noise and item is not node:
+        elif (item.noise or id(item) in left_out) and item is not node:
             continue
         elif item.tag == "br":
             pieces.append(" ")
@@ -196,81 +303,127 @@ def text_blocks(node: Node) -> list[str]:
     return out
 
 
-def _lengths(node: Node) -> tuple[int, int]:
-    """Characters of text in a block and of those in links; nested blocks don't count."""
-    total = linked = 0
-    stack = [(child, False) for child in node.children]
+def _measure(root: Node) -> list[tuple[Node, int]]:
+    """Elements outside noise in page order, each with its parent's place; sizes of blocks."""
+    order: list[tuple[Node, int]] = []
+    stack: list = [(root, -1, root, False)]
     while stack:
-        item, link = stack.pop()
+        item, parent, block, link = stack.pop()
         if isinstance(item, str):
-            size = len(item.strip())
-            total += size
-            linked += size if link else 0
-        elif not item.noise and item.tag not in BLOCKS:
-            stack += [(child, link or item.tag == "a") for child in item.children]
-    return total, linked
-
-
-def score_containers(root: Node) -> list[Node]:
-    """Containers with a score: prose in their blocks, half as much for those one level up."""
-    scored: dict[int, Node] = {}
-    stack: list[tuple[Node, Node | None, Node | None]] = [(root, None, None)]
-    while stack:
-        node, parent, above = stack.pop()
-        if node.noise:
+            size = len(_plain(item.strip()).strip())
+            block.size += size
+            block.linked += size if link else 0
             continue
-        if node.tag in BLOCKS or not node.tag:
-            total, linked = _lengths(node)
-            prose = total - 2 * linked
-            if prose > 0:
-                home = parent if node.tag in ("p", "pre", "blockquote", "li") and parent else node
-                over = above if home is parent else parent
-                worth = prose * (1.0 if node.tag != "li" else 0.5)
-                home.score += worth
-                scored[id(home)] = home
-                if over is not None:
-                    over.score += worth / 2
-                    scored[id(over)] = over
-        inner = (node, parent) if node.tag in BLOCKS or not node.tag else (parent, above)
-        for child in node.children:
-            if isinstance(child, Node):
-                stack.append((child, *inner))
-    return sorted(scored.values(), key=lambda n: -n.score)
-
-
-def votes_of(root: Node) -> list[tuple[str, float]]:
-    """Paths of the best containers with their shares of the page's prose."""
-    best = score_containers(root)
-    if not best:
-        return []
-    total = sum(n.score for n in best)
-    shares: dict[str, float] = {}
-    for node in best:
-        if node.score >= NEAR_BEST * best[0].score:
-            shares[node.path] = shares.get(node.path, 0.0) + node.score / total
-    return list(shares.items())
+        if item.noise:
+            continue
+        if item.tag in BLOCKS:
+            block = item
+        link = link or item.tag == "a"
+        order.append((item, parent))
+        place = len(order) - 1
+        stack += [(child, place, block, link) for child in reversed(item.children)]
+    return order
+
+
+def score_containers(root: Node) -> bool:
+    """Sets ``held``, the blocks of prose in an element; whether there are any.
+
+    Where no block is long enough, all with more text than links count.
+    """
+    order = _measure(root)
+    for least in (LEAST_PROSE, 1):
+        for node, _ in order:
+            prose = node.size - 2 * node.linked
+            node.held = int(prose >= (1 if node.tag == "h1" else least))
+            node.prose = prose * node.held
+        if any(node.held and node.tag not in HEADINGS for node, _ in order) or least == 1:
+            break
+    for node, parent in reversed(order):
+        if parent >= 0:
+            order[parent][0].held += node.held
+            order[parent][0].prose += node.prose
+    return root.held > 0
+
+
+def _beyond_comments(node: Node) -> list[Node]:
+    """Children of the body that reader comments part from those with most of the prose."""
+    regions: list[list[Node]] = [[]]
+    for child in node.children:
+        if isinstance(child, Node):
+            if child.replies:
+                regions.append([])
+            regions[-1].append(child)
+    best = max(regions, key=lambda region: sum(c.prose for c in region))
+    return [c for region in regions if region is not best for c in region if c.held]
+
+
+def own_container(root: Node) -> tuple[list[Node], set[int]]:
+    """Elements from the document down to the one with the article, or none; and ids of
+    elements below that are no part of it.
+
+    That is the lowest container of all prose, and where it lies in an article or in an
+    element that is named so, the outermost of those.
+    """
+    left_out: set[int] = set()
+    if not score_containers(root):
+        return [], left_out
+    chain, held = [root], root.held
+    while True:
+        node = chain[-1]
+        inner = [c for c in node.children if isinstance(c, Node) and c.held]
+        if node.tag in ("", "html", "body") and sum(c.held for c in inner) == held:
+            beyond = _beyond_comments(node)
+            left_out.update(map(id, beyond))
+            held -= sum(c.held for c in beyond)
+            inner = [c for c in inner if id(c) not in left_out]
+        inner = [c for c in inner if c.held == held]
+        if not inner:
+            break
+        chain.append(inner[0])
+    while len(chain) > 1 and (chain[-1].tag in LEAVES or chain[-1].tag not in BLOCKS):
+        chain.pop()
+    for tags in (("article",), ("main",), ("div", "section")):
+        for depth, node in enumerate(chain):
+            if node.article and node.tag in tags:
+                return chain[: depth + 1], left_out
+    return chain, left_out
+
+
+def path_of(chain: list[Node]) -> str:
+    """Steps down to the last element; neither tags nor classes have white space."""
+    return " ".join(node.step for node in chain[1:])
+
+
+def vote_of(source: str) -> str | None:
+    """The path that a page votes for; None without prose."""
+    chain, _ = own_container(parse(source))
+    return path_of(chain) if chain else None
 
 
 def _on_path(root: Node, path: str) -> list[Node]:
-    out, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        if node.path == path and not node.noise:
-            out.append(node)
-        elif path.startswith(node.path):
-            stack += [c for c in reversed(node.children) if isinstance(c, Node)]
-    return out
+    level = [root]
+    for step in path.split():
+        level = [
+            c
+            for node in level
+            for c in node.children
+            if isinstance(c, Node) and c.step == step and not c.noise
+        ]
+    return level
 
 
 def extract(source: str, winners: list[str]) -> str:
-    """The main text: from the first winning path that the page has prose on."""
+    """The main text of a page, given the winning paths of its host."""
     root = parse(source)
-    for path in winners:
-        found = [block for node in _on_path(root, path) for block in text_blocks(node)]
-        if found:
-            return "\n".join(found)
-    best = score_containers(root)
-    return "\n".join(text_blocks(best[0])) if best else ""
+    chain, left_out = own_container(root)
+    if not chain:
+        return ""
+    if path_of(chain) not in winners:
+        for path in winners:
+            found = [block for node in _on_path(root, path) for block in text_blocks(node)]
+            if found:
+                return "\n".join(found)
+    return "\n".join(text_blocks(chain[-1], left_out))
 
 
 def _with_host(pages: DataFrame) -> DataFrame:
@@ -288,26 +441,22 @@ def host_votes(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [
-                (host, path, share)
-                for host, source in zip(batch["host"], batch["html"], strict=True)
-                for path, share in votes_of(parse(source))
-            ]
-            if found:
-                yield pd.DataFrame(found, columns=["host", "path", "votes"])
+            paths = [vote_of(source) for source in batch["html"]]
+            yield pd.DataFrame({"host": batch["host"], "path": paths})
 
     cast = _with_host(pages).where("host IS NOT NULL").select("host", "html")
-    each = cast.mapInPandas(run, "host string, path string, votes double")
-    # Votes are whole numbers, so that their sum is the same in any order.
-    return each.groupBy("host", "path").agg(
-        F.sum(F.round(F.col("votes") * 1e6).cast("long")).alias("votes")
-    )
+    each = cast.mapInPandas(run, "host string, path string").where("path IS NOT NULL")
+    return each.groupBy("host", "path").agg(F.count("*").alias("votes"))
 
 
 def winning_paths(votes: DataFrame) -> DataFrame:
-    """``host`` and its ``winners``, by falling votes."""
-    totals = votes.groupBy("host").agg(F.sum("votes").alias("total"))
-    good = votes.join(totals, "host").where(F.col("votes") >= LEAST_SHARE * F.col("total"))
+    """``host`` and its ``winners``, by falling votes: five at most."""
+    totals = votes.groupBy("host").agg(
+        F.sum("votes").alias("total"), F.min(F.struct(-F.col("votes"), "path"))["path"].alias("first")
+    )
+    good = votes.join(totals, "host").where(
+        (F.col("votes") >= LEAST_SHARE * F.col("total")) | (F.col("path") == F.col("first"))
+    )
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("low"), "path")))
     return good.groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("winners"))
 
