@@ -10,10 +10,13 @@ goes through a logistic curve to a score between 0 and 1.
 
 Learning takes at most ``Limits.rows`` labelled documents of each label, those with the
 smallest hash of ``doc_id``; one third of them calibrates the curve and the rest make
-the lexicon. Scoring covers every document.
+the lexicon. That sample bounds all that is learned; no term of it is left out for its rank.
+The same rows give the same model in any partitioning and any size of batches. A phrase of
+two words is an exception if harmless documents have it around a term and toxic ones never.
+Scoring covers every document.
 
 Results, by case: NULL and empty texts have the score of a text without matches;
-repeated rows are scored each; a row with a NULL ``doc_id`` is scored and not held out;
+repeated rows are scored each; a document or text with both labels is toxic; a row with a NULL ``doc_id`` is scored and not held out;
 without labels the lexicon is empty and every score is the same; an empty table gives
 an empty result; other columns are ignored.
 """
@@ -30,7 +33,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_lake.workspace import stage
@@ -71,7 +74,6 @@ class Limits:
     """Bounds of learning; shares are of the toxic documents that make the lexicon."""
 
     rows: int = 4000  # labelled documents of each label
-    candidates: int = 4000  # terms looked at more closely
     least_precision: float = 0.80
     common: float = 0.03
     least_support: int = 3
@@ -146,9 +148,15 @@ class Matcher:
                 excepted.append((begin, end))
             elif weight > found.get(begin, -math.inf):
                 found[begin] = weight
-        for begin, end in excepted:
-            for at in [at for at in found if begin <= at < end]:
-                del found[at]
+        if excepted and found:
+            excepted.sort()
+            place, reach = 0, -1
+            for at in sorted(found):
+                while place < len(excepted) and excepted[place][0] <= at:
+                    reach = max(reach, excepted[place][1])
+                    place += 1
+                if at < reach:
+                    del found[at]
         return found
 
 
@@ -175,16 +183,38 @@ def _sample(documents: DataFrame, labels: DataFrame, limits: Limits):
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))
     )
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     totals = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = F.xxhash64("doc_id")
     chosen = [known.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(limits.rows) for k in (0, 1)]
-    picked = chosen[0].unionByName(chosen[1]).dropDuplicates(["doc_id"])
+    picked = chosen[0].unionByName(chosen[1])
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # At most 2 x limits.rows narrow rows are broadcast.
-    rows = texts.join(F.broadcast(picked), "doc_id").select(
-        "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) == 0).alias("curve"), "text"
+    rows = texts.join(F.broadcast(picked), "doc_id")
+    first = F.pmod(F.xxhash64(F.min("doc_id"), F.lit(7)), F.lit(3)) == 0
+    once = rows.groupBy("text").agg(F.max("toxic").alias("toxic"), first.alias("curve"))
+    return stage(_sketched(once), "toxicity"), totals
+
+
+def _sketched(rows: DataFrame) -> DataFrame:
+    """``lead`` is true for one text, that with the smallest digest, of each smallest word
+    triple; near copies share it. Texts without a triple all lead."""
+
+    @F.pandas_udf("string")
+    def sketch(texts: pd.Series) -> pd.Series:
+        out = []
+        for text in texts:
+            words = fold(text).split()
+            least = min(zip(words, words[1:], words[2:], strict=False), default=None)
+            out.append(" ".join(least) if least else None)
+        return pd.Series(out, dtype="object")
+
+    known = rows.withColumn("digest", F.sha2("text", 256)).withColumn("sketch", sketch("text"))
+    # At most 2 x limits.rows texts, or those of rows that share such an id.
+    same = Window.partitionBy("curve", F.coalesce("sketch", "digest"))
+    return known.select(
+        "toxic", "curve", "text", (F.col("digest") == F.min("digest").over(same)).alias("lead")
     )
-    return stage(rows.dropDuplicates(["text"]), "toxicity"), totals
 
 
 def _term_counts(sample: DataFrame, beginnings: tuple[int, int]) -> DataFrame:
@@ -193,15 +223,8 @@ def _term_counts(sample: DataFrame, beginnings: tuple[int, int]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             counts = {0: Counter(), 1: Counter()}
-            seen = set()
             for toxic, text in zip(batch["toxic"], batch["text"], strict=True):
-                folded = fold(text)
-                words = folded.split()
-                sketch = min(zip(words, words[1:], words[2:], strict=False), default=None)
-                if sketch and sketch in seen:
-                    continue
-                seen.add(sketch)
-                counts[toxic].update(terms_of(folded, beginnings))
+                counts[toxic].update(terms_of(fold(text), beginnings))
             terms = list(counts[0] | counts[1])
             if terms:
                 yield pd.DataFrame(
@@ -212,12 +235,12 @@ def _term_counts(sample: DataFrame, beginnings: tuple[int, int]) -> DataFrame:
                     }
                 )
 
-    counted = sample.where("NOT curve").mapInPandas(run, "term string, hits long, misses long")
+    counted = sample.where("NOT curve AND lead").mapInPandas(run, "term string, hits long, misses long")
     return counted.groupBy("term").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
 
 
-def _documents_with(sample: DataFrame, terms: list[str]) -> list[list[int]]:
-    """Places in ``terms`` that each toxic document of the lexicon part has."""
+def _documents_with(sample: DataFrame, terms: list[str], common: set[int]) -> list[list[int]]:
+    """Places in ``terms`` that each toxic document of the lexicon part has, if none is common."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         machine = ahocorasick.Automaton()
@@ -225,13 +248,55 @@ def _documents_with(sample: DataFrame, terms: list[str]) -> list[list[int]]:
             machine.add_word(term, place)
         machine.make_automaton()
         for batch in batches:
-            found = [sorted({p for _, p in machine.iter(fold(t))}) for t in batch["text"]]
-            yield pd.DataFrame({"places": found})
+            found = [{p for _, p in machine.iter(fold(t))} for t in batch["text"]]
+            places = [sorted(f) for f in found if f and not f & common]
+            if places:
+                yield pd.DataFrame({"places": places})
 
     rows = sample.where("NOT curve AND toxic = 1").select("text")
     return [r["places"] for r in rows.mapInPandas(run, "places array<int>").collect()]
 
 
+def _harmless_phrases(sample: DataFrame, lexicon: dict[str, float], least: int) -> list[str]:
+    """Two words around a match that several harmless documents have, and no toxic one."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = Matcher(lexicon)
+        for batch in batches:
+            counts = {0: Counter(), 1: Counter()}
+            for toxic, text in zip(batch["toxic"], batch["text"], strict=True):
+                counts[toxic].update(phrases_at(fold(text), matcher))
+            phrases = list(counts[0] | counts[1])
+            if phrases:
+                hits, misses = ([counts[k][p] for p in phrases] for k in (1, 0))
+                yield pd.DataFrame({"phrase": phrases, "hits": hits, "misses": misses})
+
+    counted = sample.where("NOT curve AND lead").mapInPandas(
+        run, "phrase string, hits long, misses long"
+    )
+    totals = counted.groupBy("phrase").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
+    good = totals.where((F.col("hits") == 0) & (F.col("misses") >= least)).select("phrase")
+    return sorted(r["phrase"] for r in good.collect())
+
+
+def phrases_at(folded: str, matcher: Matcher) -> set[str]:
+    """The matched words with the word before, and with the word after."""
+    out: set[str] = set()
+    for begin in matcher.weights(folded):
+        end = folded.find(" ", begin + 1)
+        before, after = folded.rfind(" ", 0, begin), folded.find(" ", end + 1)
+        if before >= 0:
+            out.add(folded[before + 1 : end])
+        if after >= 0:
+            out.add(folded[begin + 1 : after])
+    return {phrase for phrase in out if " " in phrase.strip()}
+
+
+def common_terms(hits: list[int], n_toxic: int, limits: Limits) -> list[int]:
+    least = max(limits.least_support, limits.common * n_toxic)
+    return [i for i in range(len(hits)) if hits[i] >= least]
+
+
 def choose_terms(
     rows: list[list[int]], hits: list[int], misses: list[int], n_toxic: int, limits: Limits
 ) -> list[int]:
@@ -239,9 +304,7 @@ def choose_terms(
 
     A term that only comes with another one, as the words of a much copied document
     do, covers nothing new and is not taken."""
-    chosen = [
-        i for i in range(len(hits)) if hits[i] >= max(limits.least_support, limits.common * n_toxic)
-    ]
+    chosen = common_terms(hits, n_toxic, limits)
     taken = set(chosen)
     left = [set(r) for r in rows if not taken & set(r)]
     least = max(limits.least_support, limits.rare * n_toxic)
@@ -302,31 +365,32 @@ def _learned(sample: DataFrame, totals: dict[int, int], limits: Limits) -> Model
     weighed = precise.withColumn(
         "weight", odds(F.col("hits"), toxic) - odds(F.col("misses"), harmless)
     )
-    top = (
-        weighed.orderBy(F.desc("hits"), "misses", F.length("term"), "term")
-        .limit(limits.candidates)
-        .collect()
-    )
-    terms = [r["term"] for r in top]
-    rows = _documents_with(sample, terms) if terms else []
-    chosen = choose_terms(rows, [r["hits"] for r in top], [r["misses"] for r in top], toxic, limits)
+    top = weighed.orderBy(F.desc("hits"), "misses", F.length("term"), "term").collect()
+    terms, hits = [r["term"] for r in top], [r["hits"] for r in top]
+    common = set(common_terms(hits, toxic, limits))
+    rows = _documents_with(sample, terms, common) if terms else []
+    chosen = choose_terms(rows, hits, [r["misses"] for r in top], toxic, limits)
     lexicon = {terms[i]: float(max(top[i]["weight"], 0.1)) for i in chosen}
+    learned = _harmless_phrases(sample, lexicon, limits.least_support) if lexicon else []
+    exceptions = (*EXCEPTIONS, *learned)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(lexicon, EXCEPTIONS)
+        matcher = Matcher(lexicon, exceptions)
         for batch in batches:
             x = np.array([features(fold(t), matcher) for t in batch["text"]]).reshape(-1, 2)
             yield pd.DataFrame({"toxic": batch["toxic"], "a": x[:, 0], "b": x[:, 1]})
 
     measured = sample.where("curve").mapInPandas(measure, "toxic int, a double, b double").collect()
     if len({r["toxic"] for r in measured}) < 2:
-        return Model(lexicon, (-4.0, 2.0, 2.0))
+        return Model(lexicon, (-4.0, 2.0, 2.0), exceptions)
+    # In one order, so that sums are the same to the last digit.
+    measured.sort(key=lambda r: (r["toxic"], r["a"], r["b"]))
     y = np.array([r["toxic"] for r in measured], float)
     # Each label weighs as much as it does among all labels.
     share = {k: totals[k] / max(1, (y == k).sum()) for k in (0, 1)}
     weight = np.where(y == 1, share[1], share[0])
     x = np.array([(r["a"], r["b"]) for r in measured])
-    return Model(lexicon, fit_curve(x, y, weight / weight.mean()))
+    return Model(lexicon, fit_curve(x, y, weight / weight.mean()), exceptions)
 
 
 def score(text: Column, model: Model) -> Column:

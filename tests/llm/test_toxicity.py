@@ -77,3 +77,59 @@ def test_odd_rows_and_missing_labels(spark, odd, empty, labelled):
     assert len({r.score for r in toxicity.assess(odd, labels.where("false")).collect()}) == 1
     assert not any(r.held_out for r in rows if r.doc_id is None)
     assert toxicity.assess(empty, labels).count() == 0
+
+
+def test_exceptions_are_swept_as_brute_force_finds_them():
+    rng = random.Random(2)
+    for _ in range(300):
+        words = [rng.choice("abcd") for _ in range(rng.randrange(30))]
+        phrases = {" ".join(rng.choice("abcd") for _ in range(rng.randrange(1, 4))) for _ in range(3)}
+        terms = {f" {w} ": float(ord(w)) for w in rng.sample("abcd", 2)}
+        folded = toxicity.fold(" ".join(words))
+        matches = {i: terms[f" {w} "] for i, w in enumerate(words) if f" {w} " in terms}
+        for phrase in phrases:
+            size = len(phrase.split())
+            for i in range(len(words) - size + 1):
+                if words[i : i + size] == phrase.split():
+                    matches = {at: w for at, w in matches.items() if not i <= at < i + size}
+        found = toxicity.Matcher(terms, tuple(phrases)).weights(folded)
+        assert found == {2 * i: w for i, w in matches.items()}
+
+
+def test_the_model_does_not_depend_on_layout(spark, labelled):
+    documents, labels = labelled
+    copies = documents.where("doc_id < 200").selectExpr(
+        "doc_id + 5000 AS doc_id", "concat(text, ' ', 'copy', doc_id) AS text", "lang", "score"
+    )
+    known = labels.where("doc_id < 200").selectExpr("doc_id + 5000 AS doc_id", "quality", "toxic")
+    against = labels.where("doc_id < 30").selectExpr("doc_id", "quality", "1 - toxic AS toxic")
+    documents, labels = documents.unionByName(copies), labels.unionByName(known).unionByName(against)
+    models = []
+    for batch, parts in ((5, 7), (10_000, 1), (64, 3)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            models.append(toxicity.fit(documents.repartition(parts), labels.repartition(parts)))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert models[0] == models[1] == models[2] and models[0].terms
+
+
+def test_phrases_that_only_harmless_documents_have_are_exceptions(spark):
+    rng = random.Random(4)
+    documents, labels = [], []
+    for i in range(1200):
+        words = [f"w{rng.randrange(300)}x" for _ in range(30)]
+        if i % 2:
+            words[rng.randrange(30)] = "vundle"
+        elif i % 10 == 0:
+            words[10:12] = ["vundle", "tree"]
+        documents.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(spark.createDataFrame(documents, "doc_id long, text string"), labels)
+    assert "vundle tree" in " ".join(model.exceptions)
+    texts = spark.createDataFrame([(1, "some vundle here"), (2, "a vundle tree here")], "doc_id long, text string")
+    from pyspark.sql import functions as F
+
+    found = {r[0]: r[1] for r in texts.select("doc_id", toxicity.score(F.col("text"), model)).collect()}
+    assert found[1] > 0.7 > found[2]
