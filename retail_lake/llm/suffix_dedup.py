@@ -519,7 +519,8 @@ def _cleaned(place: int) -> Callable:
 
     def finish(ids, texts, spans, others) -> pa.RecordBatch:
         tables = [pa.ipc.open_stream(o).read_all() for o in others]
-        columns = pa.concat_tables(tables).combine_chunks()
+        columns = pa.concat_tables(tables).combine_chunks().flatten()
+        columns = columns.rename_columns([c.removeprefix("_others.") for c in columns.column_names])
         kept = [
             _kept(text, own).decode("utf-8", "ignore")
             for text, own in zip(texts, spans, strict=True)
@@ -588,10 +589,11 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     columns = documents.columns
     others = [c for c in columns if c != "text"]
     whole = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    # The other columns in one, so that no name of theirs clashes.
     rows = whole.select(
         F.col("doc_id").cast("long").alias("_id"),
         F.col("text").cast("binary").alias("_text"),
-        *others,
+        F.struct(*others).alias("_others"),
     )
     known = rows.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"))
     texts = rows.mapInArrow(_send_texts(count), BLOCK)

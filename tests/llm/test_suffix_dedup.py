@@ -100,3 +100,16 @@ def test_long_texts_come_in_pieces_without_losing_a_window():
     assert windows == {(d, at) for d, t in enumerate(texts) for at in range(len(t) - 49)}
     assert all(texts[d][f : f + len(p)] == p for d, f, p in zip(own, first, pieces, strict=True))
     assert sum(max(0, len(p) - 49) for p in pieces) == len(windows)
+
+
+def test_columns_with_the_names_of_inner_ones(spark):
+    passage = "a passage of more than fifty bytes that two documents share"
+    schema = "_id long, text string, _text string, doc_id long, _others string, part int, kind int, block binary"
+    rows = [(7, f"{i} {passage} {i}", "t", i, None, 1, 2, b"x") for i in (1, 2)]
+    rows += [(None, None, None, None, "o", None, None, None)]
+    clean = suffix_dedup.without_repeats(spark.createDataFrame(rows, schema))
+    assert clean.columns == ["_id", "text", "_text", "doc_id", "_others", "part", "kind", "block"]
+    found = {r.doc_id: r for r in clean.collect()}
+    assert found[1].text == f"1 {passage} 1" and passage not in found[2].text
+    assert found[2][0] == 7 and found[2]["_text"] == "t" and bytes(found[2]["block"]) == b"x"
+    assert found[None]["_others"] == "o"
