@@ -5,8 +5,9 @@ byte positions. A queue keeps, per merge rank, a bucket of list positions whose
 pair has that rank; a three-level bitmap over the ranks tells by find-first-set
 which bucket is next. A popped position whose pair changed meanwhile is stale and
 skipped. Pre-tokens never touch (a barrier lies between them), so one pop merges
-that rank in all of them, and a pre-token of a megabyte costs no more per byte than
-short ones.
+that rank in all of them. Where a merge can bring a lower rank back, those pairs of a
+pre-token are merged in one go that lie before the first that does, and the others wait
+in a heap; so time stays near linear in the length of a pre-token.
 
 Results, by case: a NULL text is empty; an empty text has no ids and decodes to
 no bytes; rows with a NULL ``doc_id`` and repeated rows are encoded like any other
@@ -17,7 +18,8 @@ from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Iterable, Iterator
+import heapq
+from collections.abc import Collection, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,9 @@ BLOCK_CHARS = 4_000_000
 #: Pre-tokens remembered in a task; past that the memory starts anew.
 REMEMBERED = 500_000
 BARRIER, DEAD = -1, -2
+#: Positions of a rank that can bring a lower one back, taken from its bucket at once: the
+#: first time, and at least. As many are taken as are merged, up to a factor of two or so.
+WIDEST, LEAST_WINDOW = 1 << 16, 16
 
 
 class Vocabulary:
@@ -93,7 +98,9 @@ def load(path: str) -> Vocabulary:
 class RankQueue:
     """Buckets of positions by rank, under a bitmap of 64-bit words in levels."""
 
-    def __init__(self, size: int):
+    def __init__(self, size: int, ordered: Collection[int] = ()):
+        """``ordered`` are the ranks whose buckets are kept as heaps."""
+        self.ordered = ordered
         self.buckets: dict[int, list[int]] = {}
         self.levels: list[list[int]] = []
         while not self.levels or len(self.levels[-1]) > 1:
@@ -104,6 +111,8 @@ class RankQueue:
         bucket = self.buckets.get(rank)
         if bucket is None:
             self.open(rank, [position])
+        elif rank in self.ordered:
+            heapq.heappush(bucket, position)
         else:
             bucket.append(position)
 
@@ -135,6 +144,33 @@ class RankQueue:
         return rank, self.buckets.pop(rank)
 
 
+def _until_lower(
+    vocabulary: Vocabulary,
+    rank: int,
+    left: np.ndarray,
+    ids: np.ndarray,
+    following: np.ndarray,
+    preceding: np.ndarray,
+    barriers: np.ndarray,
+) -> np.ndarray:
+    """Which of the pairs at ``left`` may be merged in one go: in each piece those up to the
+    first whose merge makes a pair of lower rank, which would go before the others."""
+    right = following[left]
+    before = ids[preceding[left]]
+    # The pair just to the left has been merged by then.
+    joined = np.concatenate([[False], right[:-1] == preceding[left[1:]]])
+    before = np.where(joined, rank, before)
+    merged = np.full(len(left), rank, np.int64)
+    made = vocabulary.pair_ranks(before, merged)
+    lower = (made >= 0) & (made < rank)
+    made = vocabulary.pair_ranks(merged, ids[following[right]])
+    lower |= (made >= 0) & (made < rank)
+    earlier = np.cumsum(lower) - lower
+    piece = np.searchsorted(barriers, left)
+    _, first, which = np.unique(piece, return_index=True, return_inverse=True)
+    return earlier == earlier[first][which]
+
+
 def merge_block(vocabulary: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all pieces in a row, and how many of them each piece has."""
     lengths = np.array([len(p) for p in pieces], np.int64)
@@ -149,7 +185,8 @@ def merge_block(vocabulary: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray
     ranks[barriers] = -1
     ranks[barriers[1:] - 1] = -1
 
-    queue = RankQueue(vocabulary.size)
+    queue = RankQueue(vocabulary.size, vocabulary.reentrant)
+    window: dict[int, int] = {}
     start = np.flatnonzero(ranks >= 0)
     start = start[np.argsort(ranks[start], kind="stable")]
     found, first = np.unique(ranks[start], return_index=True)
@@ -158,11 +195,22 @@ def merge_block(vocabulary: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray
 
     while (popped := queue.pop()) is not None:
         rank, positions = popped
+        ordered = rank in vocabulary.reentrant
+        if ordered:
+            # Only so many of the leftmost, as each that is not merged goes back.
+            rest = positions
+            wide = min(len(rest), window.get(rank, WIDEST))
+            if wide == len(rest):
+                rest = []
+            else:
+                positions = [heapq.heappop(rest) for _ in range(wide)]
         left = np.sort(np.array(positions, np.int64))
         left = left[ranks[left] == rank]
         if len(left) > 1:
             left = left[np.concatenate([[True], left[1:] != left[:-1]])]
         if not len(left):
+            if ordered and rest:
+                queue.open(rank, rest)
             continue
         waiting = left
         # Of pairs that share a token, as in a run of one letter, the leftmost goes first.
@@ -171,9 +219,8 @@ def merge_block(vocabulary: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray
             index = np.arange(len(left))
             run = np.maximum.accumulate(np.where(shared, 0, index))
             left = left[(index - run) % 2 == 0]
-        if rank in vocabulary.reentrant:
-            piece = np.searchsorted(barriers, left)
-            left = left[np.unique(piece, return_index=True)[1]]
+        if ordered:
+            left = left[_until_lower(vocabulary, rank, left, ids, following, preceding, barriers)]
         right = following[left]
         after = following[right]
         ids[left] = rank
@@ -184,9 +231,14 @@ def merge_block(vocabulary: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray
         before = preceding[left]
         ranks[left] = vocabulary.pair_ranks(ids[left], ids[after])
         ranks[before] = vocabulary.pair_ranks(ids[before], ids[left])
+        if ordered:
+            back = waiting[ranks[waiting] == rank].tolist()
+            window[rank] = max(2 * wide if 2 * len(back) < wide else wide // 2, LEAST_WINDOW)
+            for p in back:
+                heapq.heappush(rest, p)
+            if rest:
+                queue.open(rank, rest)
         changed = np.concatenate([left, before])
-        if rank in vocabulary.reentrant:
-            changed = np.concatenate([changed, waiting])
         new = ranks[changed]
         useful = new >= 0
         for r, p in zip(new[useful].tolist(), changed[useful].tolist(), strict=True):
