@@ -20,13 +20,15 @@ ignored.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_lake.workspace import stage
 
 #: Samples of a fingerprint.
-SAMPLES = 24
+SAMPLES = 64
 #: Ranges of ``doc_id`` for each shuffle partition, and the boundaries at which they
 #: are cut by counted shares; within those they are of even width.
 RANGES, BOUNDARIES = 4, 256
@@ -37,28 +39,36 @@ _LEAST = 60.0  # log values lie above minus this
 
 
 def _uniform(bits: Column) -> Column:
-    """A number between 0 and 1 from 32 bits."""
-    return (bits.cast("double") + 0.5) / float(1 << 32)
+    """A number between 0 and 1 from 25 bits."""
+    return (bits.bitwiseAND(F.lit((1 << 25) - 1)).cast("double") + 0.5) / float(1 << 25)
 
 
-def _halves(h: Column) -> tuple[Column, Column]:
-    return _uniform(F.shiftrightunsigned(h, 32)), _uniform(h.bitwiseAND(F.lit((1 << 32) - 1)))
+def _salt(number: int) -> Column:
+    """A long that is particular to ``number``."""
+    digest = hashlib.blake2b(number.to_bytes(8, "big"), digest_size=8).digest()
+    return F.lit(int.from_bytes(digest, "big", signed=True)).cast("long")
 
 
 def sample(term: Column, log_weight: Column, number: int) -> Column:
-    """Value of a term in one sample, above the hash of the term and its quantised weight."""
-    first = F.xxhash64(term, F.lit(3 * number))
-    second = F.xxhash64(term, F.lit(3 * number + 1))
-    u1, u2 = _halves(first)
-    u3, u4 = _halves(second)
-    beta = _uniform(F.shiftrightunsigned(F.xxhash64(term, F.lit(3 * number + 2)), 32))
+    """Value of a term (a hash) in one sample, above the hash of the term and its quantised
+    weight. Nothing in it is conditional, so that parts used twice are computed once."""
+    first = F.xxhash64(term.bitwiseXOR(_salt(2 * number)))
+    second = F.xxhash64(term.bitwiseXOR(_salt(2 * number + 1)))
+    u1, u2 = _uniform(first), _uniform(F.shiftrightunsigned(first, 25))
+    u3, u4 = _uniform(second), _uniform(F.shiftrightunsigned(second, 25))
+    # The 14 bits that are left of each hash.
+    beta = _uniform(
+        F.shiftleft(F.shiftrightunsigned(first, 50), 11).bitwiseOR(
+            F.shiftrightunsigned(second, 53)
+        )
+    )
     r = -F.log(u1 * u2)  # gamma of shape 2
     c = -F.log(u3 * u4)
     t = F.floor(log_weight / r + beta)
     value = F.log(c) - r * (t - beta) - r
     steps = F.floor((value + _LEAST) * _STEPS).cast("long")
     steps = F.least(F.greatest(steps, F.lit(0)), F.lit((1 << 31) - 1))
-    kept = F.xxhash64(term, t, F.lit(number)).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
+    kept = F.xxhash64(second.bitwiseXOR(t)).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
     return F.shiftleft(steps, _HASH_BITS).bitwiseOR(kept)
 
 
@@ -149,9 +159,9 @@ def fingerprints(rows: DataFrame, keys: list[str], columns: list[str], samples:
         F.log(F.count(F.lit(1))).alias("log_weight")
     )
     empty = F.xxhash64(F.lit(""))
-    last = F.when(F.col("term") == empty, F.lit((1 << 63) - 1))
+    last = (F.col("term") == empty).cast("long") * F.lit((1 << 63) - 1)
     least = [
-        F.min(F.coalesce(last, sample(F.col("term"), F.col("log_weight"), i))).alias(f"s{i}")
+        F.min(sample(F.col("term"), F.col("log_weight"), i).bitwiseOR(last)).alias(f"s{i}")
         for i in range(samples)
     ]
     return terms.groupBy(*keys, "which").agg(*least)
