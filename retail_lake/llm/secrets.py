@@ -5,12 +5,15 @@ every long run of letters, digits and base64 signs is a candidate. Its encoding
 inferred from the characters it uses, and a battery tests whether it looks drawn at
 random from that alphabet: chi-squared uniformity over symbols and over pooled
 character classes, a runs test about the alphabet's middle, and lag-one serial
-correlation, combined by Fisher's method. A candidate that passes gets a p-value under
+correlation, combined by Fisher's method. Each candidate also has a p-value under
 the opposite hypothesis, ordinary text: its changes between character classes and
-its evenness of symbols against the rates counted over all documents. A
-Benjamini-Hochberg step over all candidates, separate for each band of lengths, keeps
-the share of false discoveries below a level, so a short run needs more evidence
-when ordinary runs of its length are many.
+its evenness of symbols against the rates counted over all documents. Two
+Benjamini-Hochberg steps over all candidates, separate for each band of lengths, keep
+the shares of false discoveries below their levels: the first finds by the battery which
+runs are no random draws (besides those beyond a fixed level), the second which of the
+others are no ordinary text. So a run needs more evidence, and has to look more random,
+when ordinary runs of its length are many. Where a base
+span covers a part of a run, its free parts are candidates if they are long enough.
 
 Results, by case: NULL and empty texts have no spans; repeated rows and rows with a
 NULL ``doc_id`` are scanned like any other row; an empty table gives an empty result;
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -75,26 +79,33 @@ for _number, _letters in enumerate((LOWER, UPPER, DIGITS, "+/-_"), 1):
 _ALNUM = [ord(c) for c in LOWER + UPPER + DIGITS]
 #: Shortest candidates of each band of lengths.
 BANDS = (20, 32, 48, 80)
-#: Steps of -log10 p: tenths, up to p = 1e-300.
-STEPS, MOST_STEPS = 10, 3000
+#: Steps of -log10 p: tenths. Evidence is counted up to p = 1e-30, and the battery's up to
+#: 1e-10: no thresholds of a Benjamini-Hochberg step over real corpora lie beyond.
+STEPS, MOST_STEPS, MOST_ODD = 10, 300, 100
+#: Shortest candidate.
+SHORTEST = 20
 
 
 @dataclass(frozen=True)
 class Levels:
-    """Level of the battery, and the share of false discoveries allowed in a band."""
+    """Level of the battery for any run; shares of false discoveries allowed in a band, of
+    runs that are refused as no random draws, and of secrets."""
 
     battery: float = 0.002
+    false_refusals: float = 0.01
     false_discoveries: float = 0.01
 
 
 @dataclass(frozen=True)
 class Model:
-    """Rates of ordinary text, and for each band the least evidence that counts."""
+    """Rates of ordinary text, and for each band the least evidence that counts, and the
+    least against a random draw that refuses a run."""
 
     switch_rate: float
     symbol_shares: tuple[float, ...]
     thresholds: tuple[int, ...]
     levels: Levels
+    odd: tuple[int, ...] = (27,) * len(BANDS)  # a fixed level of 0.002
 
 
 # --- one text ------------------------------------------------------------
@@ -122,11 +133,30 @@ def base_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int, i
 
 
 def candidates(text: str, runs: list[tuple[int, int]], base: list) -> list[tuple[int, int]]:
-    """Long runs that touch no base span."""
+    """Long runs, or their long parts, that no base span covers. Both lists are in order."""
     if not base:
         return runs
-    taken = [(start, end) for start, _, end in base]
-    return [r for r in runs if not any(s < r[1] and r[0] < e for s, e in taken)]
+    taken: list[list[int]] = []  # the base spans' union
+    for start, _, stop in base:
+        if taken and start <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], stop)
+        else:
+            taken.append([start, stop])
+    out, at = [], 0
+    for begin, end in runs:
+        while at < len(taken) and taken[at][1] <= begin:
+            at += 1
+        free, place = begin, at
+        while place < len(taken) and taken[place][0] < end:
+            if taken[place][0] - free >= SHORTEST:
+                out.append((free, taken[place][0]))
+            free = taken[place][1]
+            place += 1
+        # Only the last of them can reach into the next run.
+        at = max(at, place - 1)
+        if end - free >= SHORTEST:
+            out.append((free, end))
+    return out
 
 
 def long_runs(text: str) -> list[tuple[int, int]]:
@@ -214,13 +244,14 @@ def _codes(run: str) -> np.ndarray:
     return np.frombuffer(run.rstrip("=").encode("ascii"), np.uint8)
 
 
-def evidence(run: str, switch_rate: float, shares: np.ndarray, levels: Levels) -> int:
-    """Tenths of -log10 p; 0 for a run that fails the battery."""
+def evidence(run: str, switch_rate: float, shares: np.ndarray) -> tuple[int, int]:
+    """Tenths of -log10 p of ordinary text, and of a random draw."""
     codes = _codes(run)
-    log_p = log_p_text(codes, switch_rate, shares)
-    if log_p > -1 or log_p_random(codes) < math.log(levels.battery):
-        return 0
-    return min(MOST_STEPS, int(-log_p / math.log(10) * STEPS))
+    if len(codes) < 2:  # signs of padding alone
+        return 0, MOST_ODD
+    log_p, odd = log_p_text(codes, switch_rate, shares), log_p_random(codes)
+    tenths = -STEPS / math.log(10)
+    return min(MOST_STEPS, int(log_p * tenths)), min(MOST_ODD, int(odd * tenths))
 
 
 def band_of(length: int) -> int:
@@ -291,24 +322,19 @@ def _rates(scanned: DataFrame) -> tuple[float, tuple[float, ...]]:
     return (switches + 1) / (pairs + 50), tuple(symbols / symbols.sum())
 
 
-def _with_evidence(scanned: DataFrame, rate: float, shares: tuple, levels: Levels) -> DataFrame:
-    """Candidates as ``start, end, band, steps`` in place of their texts."""
+def _judged(run: dict, rate: float, shares: np.ndarray) -> dict:
+    steps, odd = evidence(run["run"], rate, shares)
+    band = band_of(len(run["run"]))
+    return {"start": run["start"], "end": run["end"], "band": band, "steps": steps, "odd": odd}
+
+
+def _with_evidence(scanned: DataFrame, rate: float, shares: tuple) -> DataFrame:
+    """Candidates as ``start, end, band, steps, odd`` in place of their texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of_symbols = np.array(shares)
         for batch in batches:
-            batch["runs"] = [
-                [
-                    {
-                        "start": r["start"],
-                        "end": r["end"],
-                        "band": band_of(len(r["run"])),
-                        "steps": evidence(r["run"], rate, of_symbols, levels),
-                    }
-                    for r in runs
-                ]
-                for runs in batch["runs"]
-            ]
+            batch["runs"] = [[_judged(r, rate, of_symbols) for r in runs] for runs in batch["runs"]]
             yield batch
 
     kind = scanned.schema["doc_id"].dataType
@@ -316,36 +342,51 @@ def _with_evidence(scanned: DataFrame, rate: float, shares: tuple, levels: Level
     judged = scanned.select(own, "base", "runs").mapInPandas(
         run,
         "doc_id string, base array<struct<start:int,kind:int,end:int>>, "
-        "runs array<struct<start:int,end:int,band:int,steps:int>>",
+        "runs array<struct<start:int,end:int,band:int,steps:int,odd:int>>",
     )
     return judged.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
-def _thresholds(judged: DataFrame, levels: Levels) -> tuple[int, ...]:
-    """Benjamini-Hochberg in each band: the least evidence that is a discovery."""
+def _discoveries(counts: dict[int, int], level: float, most: int) -> int:
+    """Benjamini-Hochberg over steps of -log10 p: the least that is a discovery."""
+    total, seen, least = sum(counts.values()), 0, most + 1
+    for step in sorted(counts, reverse=True):
+        seen += counts[step]
+        if step and 10 ** (-step / STEPS) <= level * seen / total:
+            least = step
+    return least
+
+
+def _thresholds(judged: DataFrame, levels: Levels) -> tuple[tuple[int, ...], tuple[int, ...]]:
+    """The least evidence of a secret, and of a run that is no random draw, by band. The
+    first is among all runs of the band: those that are no random draws have none."""
     rows = (
         judged.select(F.explode("runs").alias("run"))
-        .groupBy("run.band", "run.steps")
+        .groupBy("run.band", "run.steps", "run.odd")
         .count()
-        .collect()  # bands x steps at most
+        .collect()  # bands x steps x steps of the battery at most
     )
-    out = []
+    least, odd = [], []
     for band in range(len(BANDS)):
-        steps = sorted(((r["steps"], r["count"]) for r in rows if r["band"] == band), reverse=True)
-        total, seen, least = sum(n for _, n in steps), 0, MOST_STEPS + 1
-        for step, n in steps:
-            seen += n
-            if step and 10 ** (-step / STEPS) <= levels.false_discoveries * seen / total:
-                least = step
-        out.append(least)
-    return tuple(out)
+        own = [(r["steps"], r["odd"], r["count"]) for r in rows if r["band"] == band]
+        against: dict[int, int] = Counter()
+        for _, step, n in own:
+            against[step] += n
+        fixed = math.ceil(-STEPS * math.log10(levels.battery))
+        odd.append(min(fixed, _discoveries(against, levels.false_refusals, MOST_ODD)))
+        passing: dict[int, int] = Counter()
+        for step, by_battery, n in own:
+            passing[step if by_battery < odd[-1] else 0] += n
+        least.append(_discoveries(passing, levels.false_discoveries, MOST_STEPS))
+    return tuple(least), tuple(odd)
 
 
 def _fit(documents: DataFrame, levels: Levels) -> tuple[Model, DataFrame]:
     scanned = stage(scan(documents), "secrets").rows
     rate, shares = _rates(scanned)
-    judged = _with_evidence(scanned, rate, shares, levels)
-    return Model(rate, shares, _thresholds(judged, levels), levels), judged
+    judged = _with_evidence(scanned, rate, shares)
+    least, odd = _thresholds(judged, levels)
+    return Model(rate, shares, least, levels, odd), judged
 
 
 def fit(documents: DataFrame, levels: Levels = Levels()) -> Model:
@@ -359,9 +400,13 @@ def find(documents: DataFrame, levels: Levels = Levels()) -> DataFrame:
     of the battery ``random``."""
     model, judged = _fit(documents, levels)
     least = F.array(*[F.lit(t) for t in model.thresholds])
+    odd = F.array(*[F.lit(t) for t in model.odd])
     kinds = F.array(*[F.lit(k) for k in (*BASE_KINDS, RANDOM_KIND)])
     random = F.transform(
-        F.filter("runs", lambda r: r["steps"] >= F.get(least, r["band"])),
+        F.filter(
+            "runs",
+            lambda r: (r["steps"] >= F.get(least, r["band"])) & (r["odd"] < F.get(odd, r["band"])),
+        ),
         lambda r: F.struct(
             r["start"].alias("start"), F.lit(len(BASE_KINDS)).alias("kind"), r["end"].alias("end")
         ),
@@ -384,8 +429,9 @@ def spans_in(text: str, model: Model) -> list[tuple[int, int, int]]:
     base = base_spans(text, runs)
     shares = np.array(model.symbol_shares)
     for start, end in candidates(text, runs, base):
-        steps = evidence(text[start:end], model.switch_rate, shares, model.levels)
-        if steps >= model.thresholds[band_of(end - start)]:
+        steps, odd = evidence(text[start:end], model.switch_rate, shares)
+        band = band_of(end - start)
+        if steps >= model.thresholds[band] and odd < model.odd[band]:
             base.append((start, len(BASE_KINDS), end))
     return sorted(base)
 
