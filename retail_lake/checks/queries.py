@@ -25,7 +25,7 @@ from retail_lake.operators import (
 )
 from retail_lake.plans import run_shop_day, run_stock_days, to_silver
 from retail_lake.plans import sample_shop as shop
-from retail_lake.sizing import fit_shuffle, input_bytes
+from retail_lake.sizing import buckets_for, fit_shuffle, input_bytes
 from retail_lake.sources import (
     BucketedTarget,
     ConcurrentLoad,
@@ -301,10 +301,11 @@ def store_cleared(spark, sf):
 
 # --- merges and daily runs -----------------------------------------------
 
-def _two_loads(target, fact):
+def _two_loads(target_for, fact):
     """Load the history, then everything. The joined fact is written once, as the
-    silver table it would come from."""
+    silver table it would come from. ``target_for`` makes the target from its rows' number."""
     options, fact = MERGE_OPTIONS["orders"], stage(fact, "silver-orders").rows
+    target = target_for(fact.count())
     insert_new(fact.where(F.col("order_date") < LOADED_UNTIL), target, **options)
     insert_new(fact, target, **options)
     return target.read(fact.sparkSession)
@@ -312,24 +313,31 @@ def _two_loads(target, fact):
 
 def orders_merged(spark, sf):
     target = ParquetTarget(ORDERS, new_path(spark, "gold"))
-    return _two_loads(target, shop.orders(spark, sf))
+    return _two_loads(lambda _: target, shop.orders(spark, sf))
 
 
 def orders_merged_bucketed(spark, sf):
     path = new_path(spark, "gold")
     table = "orders_" + path[-32:]
-    buckets = fit_shuffle(
+    least = fit_shuffle(
         spark, input_bytes(spark, f"{sf}/lineitem.parquet", f"{sf}/orders.parquet")
     )
-    target = BucketedTarget(ORDERS, table, path, buckets)
-    return _two_loads(target, shop.orders(spark, sf)).select(*ORDERS.schema.names)
+
+    def target_for(n_rows):
+        return BucketedTarget(ORDERS, table, path, buckets_for(n_rows, least))
+
+    return _two_loads(target_for, shop.orders(spark, sf)).select(*ORDERS.schema.names)
 
 
 def orders_merged_yearly(spark, sf):
     """As ``orders_merged_bucketed``, in folders by year."""
     path = new_path(spark, "gold")
-    target = BucketedTarget(ORDERS, "orders_" + path[-32:], path, 4, folders="year")
-    return _two_loads(target, shop.orders(spark, sf)).select(*ORDERS.schema.names)
+    table = "orders_" + path[-32:]
+
+    def target_for(n_rows):
+        return BucketedTarget(ORDERS, table, path, buckets_for(n_rows, 4), folders="year")
+
+    return _two_loads(target_for, shop.orders(spark, sf)).select(*ORDERS.schema.names)
 
 
 def clients_merged(spark, sf):

@@ -18,6 +18,9 @@ BYTES_PER_PARTITION = 256 * 1024 * 1024
 #: Default limit of reducers. More of them burden the driver; past the limit
 #: partitions grow, and sorts and hash tables spill.
 MOST_PARTITIONS = 100_000
+#: Rows for each bucket of a table. The task that merges a bucket holds its keys, some
+#: 260 bytes a row, however well the files they came from are packed.
+ROWS_PER_BUCKET = 2_000_000
 
 log = logging.getLogger(__name__)
 _changing = threading.RLock()
@@ -44,6 +47,14 @@ def partitions_for(
     return min(most_partitions, wanted)
 
 
+def buckets_for(n_rows: int, least: int = 1) -> int:
+    """Buckets for a table of ``n_rows``, so that a bucket's keys fit in a task."""
+    wanted = max(least, math.ceil(n_rows / ROWS_PER_BUCKET))
+    if wanted > MOST_PARTITIONS:
+        log.warning("%d rows ask for %d buckets; the limit is %d", n_rows, wanted, MOST_PARTITIONS)
+    return min(wanted, MOST_PARTITIONS)
+
+
 @contextlib.contextmanager
 def shuffles_at(spark: SparkSession, partitions: int | None) -> Iterator[None]:
     """Shuffles of the jobs started inside begin with ``partitions``; afterwards the

@@ -160,8 +160,8 @@ class BucketedTarget:
 
     A merge then moves only the batch, straight into as many partitions as there
     are buckets: the table's rows already lie where the join needs them. Choose
-    ``buckets`` at or above ``spark.sql.shuffle.partitions`` and by the size the
-    table will have, so that a bucket of keys fits in a task (``sizing``). The
+    ``buckets`` at or above ``spark.sql.shuffle.partitions`` and by the rows the
+    table will have, so that a bucket of keys fits in a task (``sizing.buckets_for``). The
     catalog must outlive the session.
 
     A load writes a file for each bucket and folder. Whether folders are months, years or

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retail_lake import sizing
+from retail_lake.checks import queries
 from retail_lake.contracts import CLIENTS, ORDERS, OUT_OF_STOCK, Contract, ContractViolation
 from retail_lake.operators import insert_new, merge
 from retail_lake.operators.joins import possible_partners
@@ -480,3 +482,20 @@ def test_a_filter_that_is_too_small_lets_more_pass_and_loses_none(spark):
         assert passed.join(batch, "id", "left_semi").count() == 100_000
         assert passed.count() <= most
     assert possible_partners(existing, batch.limit(0), ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("name", ["orders_merged_yearly", "orders_merged_bucketed"])
+def test_buckets_follow_the_rows(spark, root, monkeypatch, name):
+    """A bucket's keys meet in one task, so more rows need more buckets."""
+    spark.range(300).selectExpr(
+        "id % 60 AS l_orderkey", "id AS l_partkey", "id % 7 AS l_suppkey", "1 AS l_quantity"
+    ).write.parquet(f"{root}/lineitem.parquet")
+    spark.range(60).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey",
+        "timestamp'1994-01-01' + make_interval(0, 0, 0, 30 * CAST(id AS int)) AS o_orderdate",
+    ).write.parquet(f"{root}/orders.parquet")
+    monkeypatch.setattr(sizing, "ROWS_PER_BUCKET", 10)
+    found = queries.registered()[name](spark, root)
+    assert found.count() == 300
+    buckets = {int(f.rpartition("_")[2].partition(".")[0]) for f in found.inputFiles()}
+    assert 20 <= len(buckets) <= 30
