@@ -36,11 +36,14 @@ RANGES, BOUNDARIES = 4, 256
 _HASH_BITS = 32
 _STEPS = 1 << 24  # of the logarithm of a value
 _LEAST = 60.0  # log values lie above minus this
+#: The least value of a text of W words is above this over W with a probability of exp(-24),
+#: 4e-11, a sample: terms that are surely above it need no logarithms.
+_NEAR = 24.0
 
 
 def _uniform(bits: Column) -> Column:
     """A number between 0 and 1 from 25 bits."""
-    return (bits.bitwiseAND(F.lit((1 << 25) - 1)).cast("double") + 0.5) / float(1 << 25)
+    return (bits.bitwiseAND(F.lit((1 << 25) - 1)).cast("double") + 0.5) * 2.0**-25
 
 
 def _salt(number: int) -> Column:
@@ -49,9 +52,15 @@ def _salt(number: int) -> Column:
     return F.lit(int.from_bytes(digest, "big", signed=True)).cast("long")
 
 
-def sample(term: Column, log_weight: Column, number: int) -> Column:
+def sample(term: Column, log_weight: Column, number: int, near: Column) -> Column:
     """Value of a term (a hash) in one sample, above the hash of the term and its quantised
-    weight. Nothing in it is conditional, so that parts used twice are computed once."""
+    weight. ``near`` is the weight times ``_NEAR``, over the words of the text.
+
+    The value is log(c) - r * (t - beta + 1), where exp(-r) is u1 * u2, c is at least
+    1 - u3 * u4, and r * (t - beta) at most the log of the weight. So its exponential is at
+    least u1 * u2 * (1 - u3 * u4) / weight, and where that rules a term out the greatest
+    value stands for it.
+    """
     first = F.xxhash64(term.bitwiseXOR(_salt(2 * number)))
     second = F.xxhash64(term.bitwiseXOR(_salt(2 * number + 1)))
     u1, u2 = _uniform(first), _uniform(F.shiftrightunsigned(first, 25))
@@ -69,7 +78,11 @@ def sample(term: Column, log_weight: Column, number: int) -> Column:
     steps = F.floor((value + _LEAST) * _STEPS).cast("long")
     steps = F.least(F.greatest(steps, F.lit(0)), F.lit((1 << 31) - 1))
     kept = F.xxhash64(second.bitwiseXOR(t)).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
-    return F.shiftleft(steps, _HASH_BITS).bitwiseOR(kept)
+    least = u1 * u2 * (F.lit(1.0) - u3 * u4)
+    far = F.lit(((1 << 31) - 1) << _HASH_BITS).bitwiseOR(
+        second.bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
+    )
+    return F.when(least <= near, F.shiftleft(steps, _HASH_BITS).bitwiseOR(kept)).otherwise(far)
 
 
 def _ranges(documents: DataFrame) -> tuple[DataFrame, int]:
@@ -153,15 +166,18 @@ def fingerprints(rows: DataFrame, keys: list[str], columns: list[str], samples:
     rows = rows.select(*keys, F.explode(texts).alias("item")).select(
         *keys, "item.which", F.split("item.text", r"[\x20\x09-\x0D]+").alias("words")
     )
-    words = rows.select(*keys, "which", F.explode("words").alias("word"))
+    words = rows.select(*keys, "which", F.size("words").alias("n"), F.explode("words").alias("word"))
     # The empty word, before or after white space, is a term of texts without words only.
-    terms = words.groupBy(*keys, "which", F.xxhash64("word").alias("term")).agg(
-        F.log(F.count(F.lit(1))).alias("log_weight")
+    count = F.count(F.lit(1))
+    terms = words.groupBy(*keys, "which", "n", F.xxhash64("word").alias("term")).agg(
+        F.log(count).alias("log_weight"), (count * _NEAR / F.col("n")).alias("near")
     )
     empty = F.xxhash64(F.lit(""))
     last = (F.col("term") == empty).cast("long") * F.lit((1 << 63) - 1)
     least = [
-        F.min(sample(F.col("term"), F.col("log_weight"), i).bitwiseOR(last)).alias(f"s{i}")
+        F.min(
+            sample(F.col("term"), F.col("log_weight"), i, F.col("near")).bitwiseOR(last)
+        ).alias(f"s{i}")
         for i in range(samples)
     ]
     return terms.groupBy(*keys, "which").agg(*least)

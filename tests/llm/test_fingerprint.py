@@ -3,6 +3,8 @@ import re
 import statistics
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from retail_lake.llm import fingerprint
 
 
@@ -53,6 +55,23 @@ def test_weights_count(spark):
     assert abs(statistics.mean(same) - 0.5) < 0.05
 
 
+def test_far_terms_take_no_logarithms(spark, corpus, monkeypatch):
+    """Most values are ruled out before their logarithms, and none of them was the least."""
+    far = ((1 << 31) - 1) << 32
+    terms = spark.range(2000).selectExpr("xxhash64(id) AS term")
+    drawn = fingerprint.sample(
+        F.col("term"), F.lit(0.0), 3, F.lit(fingerprint._NEAR / 2000)
+    )
+    assert terms.where(drawn >= far).count() > 1600
+    frame = spark.createDataFrame(list(corpus.items()), "doc_id long, text string").selectExpr(
+        "0 as range_no", "doc_id as place", "text"
+    )
+    call = frame, ["range_no", "place"], ["text"], fingerprint.SAMPLES
+    found = sorted(fingerprint.fingerprints(*call).collect())
+    monkeypatch.setattr(fingerprint, "_NEAR", float("inf"))
+    assert sorted(fingerprint.fingerprints(*call).collect()) == found
+
+
 def test_odd_rows(spark, odd, empty):
     rows = fingerprint.compare(odd).collect()
     assert len(rows) == odd.count()
